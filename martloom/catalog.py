@@ -197,7 +197,7 @@ def upsert_counters(spark, sf_dir):
 
 
 EVENT_RECORD = record(event_id=LONG, user_id=LONG, event_type=TEXT, group_id=LONG)
-PAGE_ROWS = 5000
+PAGE_ROWS, MIN_PAGES = 1_000_000, 8
 
 
 def _event_records(spark, sf_dir):
@@ -206,12 +206,16 @@ def _event_records(spark, sf_dir):
 
 @query
 def paged_extract(spark, sf_dir):
-    """Events saved as API responses of at most PAGE_ROWS records, read back page by page."""
+    """Events saved as API responses of about PAGE_ROWS records, read back page by page."""
     path = fresh_path(spark, "api-pages")
-    saved = _event_records(spark, sf_dir).select(message(*EVENT_RECORD.names).alias("value"))
-    saved.write.option("maxRecordsPerFile", PAGE_ROWS).text(path)
-    uris = sorted(spark.read.text(path).inputFiles())
-    rows = read_paged(spark, stored_pages(uris), len(uris), EVENT_RECORD)
+    records = _event_records(spark, sf_dir)
+    n_pages = max(MIN_PAGES, -(-records.count() // PAGE_ROWS))
+    saved = records.select(
+        message(*EVENT_RECORD.names).alias("value"),
+        F.pmod(F.xxhash64("event_id"), F.lit(n_pages)).alias("page"),
+    )
+    saved.hint("rebalance", "page").write.partitionBy("page").text(path)
+    rows = read_paged(spark, stored_pages(path), n_pages, EVENT_RECORD)
     return rows.drop("page_no").dropDuplicates(["event_id"])
 
 
@@ -340,7 +344,12 @@ def friend_recommendations(spark, sf_dir):
 # --- streams ---------------------------------------------------------------------------------------
 
 PROMO_NOW = dt.datetime(2024, 1, 16)
-STREAM_FILES = 4
+BATCHES = 3
+
+
+def _files_per_batch(files: int) -> int:
+    """Cut the staged files into about BATCHES micro-batches, whatever the scale."""
+    return -(-files // BATCHES)
 
 
 def _run_notifications(spark, sf_dir):
@@ -353,7 +362,7 @@ def _run_notifications(spark, sf_dir):
         (F.col("ts").cast("timestamp") + F.expr("interval 1 day")).alias("promo_end"),
     )
     once = as_envelopes(promos, F.col("promo_id"), message(*PROMOTION.names), F.col("promo_start"), "promotions")
-    stage_in_time_order(once.unionAll(once), source, STREAM_FILES)
+    files = stage_in_time_order(once.unionAll(once), source)
     job = NotificationJob(
         read_subscriptions=lambda: src.subscriptions(spark, sf_dir),
         now=F.lit(PROMO_NOW).cast("timestamp"),
@@ -361,7 +370,8 @@ def _run_notifications(spark, sf_dir):
         store_feedback=batch_file_writer(feedback),
         repeat_delay="60 days",
     )
-    job.start(file_stream(spark, source), checkpoint).awaitTermination()
+    stream = file_stream(spark, source, files_per_batch=_files_per_batch(files))
+    job.start(stream, checkpoint).awaitTermination()
     return messages, feedback
 
 
@@ -402,11 +412,13 @@ def stream_layers(spark, sf_dir):
         .alias("items"),
     )
     once = as_envelopes(sold, F.col("order_id"), message("order_id", "user_id", "items"), F.col("o_orderdate"), "orders")
-    stage_in_time_order(once.unionAll(once), source, STREAM_FILES)
+    per_batch = _files_per_batch(stage_in_time_order(once.unionAll(once), source))
     checkpoint = fresh_path(spark, "checkpoint")
-    stream_layer.start_raw(file_stream(spark, source, files_per_batch=2), raw, f"{checkpoint}/raw").awaitTermination()
-    stream_layer.start_lines(spark, raw, lines, f"{checkpoint}/lines", "3650 days").awaitTermination()
-    stream_layer.start_counters(spark, lines, marts, f"{checkpoint}/counters").awaitTermination()
+    stream = file_stream(spark, source, files_per_batch=per_batch)
+    stream_layer.start_raw(stream, raw, f"{checkpoint}/raw").awaitTermination()
+    stream_layer.start_lines(spark, raw, lines, f"{checkpoint}/lines", "3650 days", per_batch).awaitTermination()
+    stream_layer.start_counters(spark, lines, marts, f"{checkpoint}/counters", files_per_batch=per_batch) \
+        .awaitTermination()
     return stream_layer.read_counters(spark, marts)
 
 

@@ -108,8 +108,8 @@ def _user_mart() -> str:
     counts = ", ".join(f"count(*) FILTER (WHERE event_type = '{t}') AS {t}_events" for t in EVENT_TYPES)
     return f"""WITH e AS (SELECT event_id, ts, user_id, event_type, c_nationkey AS zone_id
       FROM events LEFT JOIN customer ON user_id = c_custkey),
-    last AS (SELECT user_id, zone_id FROM e
-      QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1),
+    last AS (SELECT user_id, zone_id FROM e WHERE zone_id IS NOT NULL
+      QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, zone_id) = 1),
     modal AS (SELECT user_id, zone_id FROM (SELECT user_id, zone_id, count(*) AS n FROM e
         WHERE zone_id IS NOT NULL GROUP BY 1, 2)
       QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY n DESC, zone_id) = 1),

@@ -7,28 +7,31 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from martloom.functions.scalars import month_start, week_start
-from martloom.operators.joins import pairs_in_groups, without_known
+from martloom.operators.joins import block_join, without_known
 
 
 def user_mart(events: DataFrame, types: Sequence[str]) -> DataFrame:
     """First and last activity, counts by event type, last and most visited zone.
 
     Everything comes from one pass: per (user, zone) first, then per user, so a
-    very active user is already reduced to one row per zone.
+    very active user is already reduced to one row per zone. Only fixed-width
+    values are aggregated over the events, which keeps that step a hash
+    aggregation. Ties go to the smallest zone id; unknown zones lose.
     """
     per_zone = events.groupBy("user_id", "zone_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("ts").alias("first_ts"),
-        F.max(F.struct("ts", "event_id")).alias("last_event"),
+        F.max("ts").alias("last_ts"),
         *[F.count_if(F.col("event_type") == t).alias(t) for t in types],
     )
+    rank_last = F.struct(-F.unix_micros(F.col("last_ts").cast("timestamp")), F.col("zone_id"))
+    rank_modal = F.struct(-F.col("n"), F.col("zone_id"))
+    known = F.col("zone_id").isNotNull()
     return per_zone.groupBy("user_id").agg(
         F.min("first_ts").alias("first_activity"),
-        F.max("last_event.ts").alias("last_activity"),
-        F.max_by("zone_id", F.col("last_event")).alias("last_zone"),
-        # Equally frequent zones: the smallest id. Unknown zones do not compete.
-        F.min_by("zone_id", F.when(F.col("zone_id").isNotNull(), F.struct(-F.col("n"), F.col("zone_id"))))
-        .alias("modal_zone"),
+        F.max("last_ts").alias("last_activity"),
+        F.min_by("zone_id", F.when(known, rank_last)).alias("last_zone"),
+        F.min_by("zone_id", F.when(known, rank_modal)).alias("modal_zone"),
         *[F.sum(t).alias(f"{t}_events") for t in types],
     )
 
@@ -88,21 +91,23 @@ def shared_community_pairs(members: DataFrame, min_shared: int) -> DataFrame:
     ).select(*group, "user_id", "tail")
     only_tail = tail.join(tails, ["zone_id", "user_id"]).select(*group, "user_id", "tail")
 
-    met_head = pairs_in_groups(with_tail, with_tail, group, "user_id", ["tail"]).filter("user_id_a < user_id_b")
-    met_cross = pairs_in_groups(with_tail, only_tail, group, "user_id", ["tail"]).filter("user_id_a <> user_id_b")
+    def meet(left: DataFrame, right: DataFrame) -> DataFrame:
+        other = right.select(*group, F.col("user_id").alias("other_id"), F.col("tail").alias("other_tail"))
+        return block_join(left, other, group, "user_id", "other_id")
 
     def pair(met: DataFrame) -> DataFrame:
         return met.select(
             "zone_id",
-            F.least("user_id_a", "user_id_b").alias("a"),
-            F.greatest("user_id_a", "user_id_b").alias("b"),
-            F.size(F.array_intersect("tail_a", "tail_b")).alias("in_tails"),
+            F.least("user_id", "other_id").alias("a"),
+            F.greatest("user_id", "other_id").alias("b"),
+            F.size(F.array_intersect("tail", "other_tail")).alias("in_tails"),
         )
 
     # A meeting in a group is one shared community; the tails are equal in every
     # row of a pair.
     return (
-        pair(met_head).unionAll(pair(met_cross))
+        pair(meet(with_tail, with_tail).filter("user_id < other_id"))
+        .unionAll(pair(meet(with_tail, only_tail).filter("user_id <> other_id")))
         .groupBy("zone_id", "a", "b")
         .agg((F.count(F.lit(1)) + F.max("in_tails")).alias("shared"))
         .filter(F.col("shared") >= min_shared)

@@ -103,12 +103,22 @@ def read_paged(spark: SparkSession, fetch_page: Callable[[int], Iterable[str]],
     return rows.select("page_no", F.from_json("payload", schema).alias("r")).select("page_no", "r.*")
 
 
-def stored_pages(uris: list[str]) -> Callable[[int], Iterable[str]]:
-    """``fetch_page`` over responses saved as files, one JSON record per line."""
+def stored_pages(base: str) -> Callable[[int], Iterable[str]]:
+    """``fetch_page`` over saved responses ``base/page=N/``, one JSON record per line.
+
+    The folder of a page follows from its number, so no list of pages is built
+    or shipped; lines are streamed and never held together.
+    """
+    for spark_scheme, arrow_scheme in {"s3a://": "s3://", "s3n://": "s3://", "file:/": "file:///"}.items():
+        if base.startswith(spark_scheme):
+            base = arrow_scheme + base[len(spark_scheme):].lstrip("/")
+
     def fetch(page: int) -> Iterator[str]:
-        filesystem, path = pafs.FileSystem.from_uri(uris[page])
-        with filesystem.open_input_stream(path) as raw:
-            for line in io.TextIOWrapper(raw, encoding="utf-8"):
-                yield line.rstrip("\n")
+        filesystem, folder = pafs.FileSystem.from_uri(f"{base}/page={page}")
+        for info in filesystem.get_file_info(pafs.FileSelector(folder, allow_not_found=True)):
+            if info.is_file and not info.base_name.startswith(("_", ".")):
+                with filesystem.open_input_stream(info.path) as raw:
+                    for line in io.TextIOWrapper(raw, encoding="utf-8"):
+                        yield line.rstrip("\n")
 
     return fetch
