@@ -39,9 +39,13 @@ def ratio(part: Column, whole: Column) -> Column:
 
 
 def stable_key(*cols: str) -> Column:
-    """Surrogate key that depends on the values alone, so reruns agree."""
+    """Surrogate key that depends on the values alone, so reruns agree.
+
+    The outer coalesce never applies. It tells the optimizer that the key is not
+    null; otherwise joins on it would hash every row once more to filter nulls.
+    """
     parts = [F.coalesce(F.col(c).cast("string"), F.lit(KEY_NULL)) for c in cols]
-    return F.sha2(F.concat_ws(KEY_SEPARATOR, *parts), 256)
+    return F.coalesce(F.sha2(F.concat_ws(KEY_SEPARATOR, *parts), 256), F.lit(""))
 
 
 def great_circle_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:

@@ -71,9 +71,10 @@ def block_join(left: DataFrame, right: DataFrame, group: list[str], left_id: str
     return a.join(b, [*group, "_i", "_j"]).drop("_i", "_j")
 
 
-# Fixed value: upper bound on the number of zone centres packed into arrays of one
-# small table. More centres than this use joined rows instead.
-PACKED_CENTRES = 5000
+# Fixed value: up to this many zone centres the candidates of all cells fit a
+# broadcast (at most cells x centres entries, under 10 MB at ten degrees). More
+# centres than this use joined rows instead.
+PACKED_CENTRES = 500
 
 
 def cell_of(lat: Column, lon: Column, cell_deg: int) -> Column:
@@ -130,7 +131,7 @@ def nearest_zone(points: DataFrame, point_key: str, centres: DataFrame, cell_deg
         packed = candidates.groupBy("cell").agg(
             F.collect_list(F.struct("zone_id", "c_lat", "c_lon")).alias("options")
         )
-        best = placed.join(packed, "cell", "left").withColumn(
+        best = placed.join(F.broadcast(packed), "cell", "left").withColumn(
             "best",
             F.array_min(F.transform("options", lambda o: choice(o["c_lat"], o["c_lon"], o["zone_id"]))),
         )

@@ -20,6 +20,15 @@ def signed_amount(df: DataFrame, amount: str, is_refund: Column, name: str = "si
     return df.withColumn(name, F.when(is_refund, -F.col(amount)).otherwise(F.col(amount)))
 
 
+def computed_once(df: DataFrame, name: str, col: Column) -> DataFrame:
+    """Add a costly column, such as parsed text, as the output of a generator.
+
+    A plain column would be substituted into every filter and field access on it,
+    also into the null filters the optimizer adds, and be computed for each.
+    """
+    return df.select("*", F.explode(F.array(col)).alias(name))
+
+
 def parse_events(df: DataFrame, schema: StructType, value: str = "value") -> tuple[DataFrame, DataFrame]:
     """Split envelopes into parsed rows and rows that do not fit the schema.
 
@@ -27,14 +36,14 @@ def parse_events(df: DataFrame, schema: StructType, value: str = "value") -> tup
     is the envelope as received, to be stored and looked at.
     """
     wider = StructType([*schema.fields, StructField(_BROKEN, StringType())])
-    text = F.col(value).cast("string")
-    parsed = df.withColumn(
-        "event",
-        F.from_json(text, wider, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}),
+    event = F.from_json(
+        F.col(value).cast("string"), wider, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
     )
+    parsed = computed_once(df, "event", event)
     is_bad = F.col("event").isNull() | F.col(f"event.{_BROKEN}").isNotNull()
-    good = parsed.filter(~is_bad).withColumn("event", F.col("event").dropFields(_BROKEN))
-    return good, parsed.filter(is_bad).drop("event")
+    fields = F.struct(*[F.col(f"event.{name}") for name in schema.names])
+    good = parsed.filter(~is_bad).select(*df.columns, fields.alias("event"))
+    return good, parsed.filter(is_bad).select(*df.columns)
 
 
 def active_at(df: DataFrame, start: str, end: str, now: Column) -> DataFrame:

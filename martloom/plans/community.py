@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from martloom.functions.scalars import ratio
-from martloom.operators.joins import only_known
 from martloom.operators.ranking import first_event, latest_per_key, oldest
 
 
-def joined_users(log: DataFrame, enter: str) -> DataFrame:
-    """Distinct (community, user) with an enter event."""
-    return log.filter(F.col("event") == enter).select("group_id", "user_id").distinct()
+def user_steps(log: DataFrame, messages: DataFrame, enter: str) -> DataFrame:
+    """Per community and user: did they enter, did they write. Repeated events of
+    a user are merged before the shuffle."""
+    entered = log.select("group_id", "user_id", (F.col("event") == enter).alias("entered"), F.lit(False).alias("wrote"))
+    wrote = messages.select("group_id", "user_id", F.lit(False).alias("entered"), F.lit(True).alias("wrote"))
+    return entered.unionAll(wrote).groupBy("group_id", "user_id").agg(
+        F.bool_or("entered").alias("entered"), F.bool_or("wrote").alias("wrote")
+    )
 
 
 def community_conversion(log: DataFrame, messages: DataFrame, enter: str, n: int = 10) -> DataFrame:
@@ -19,15 +23,18 @@ def community_conversion(log: DataFrame, messages: DataFrame, enter: str, n: int
     communities. A community nobody joined stays, with a null conversion."""
     # At most n rows: safe to broadcast whatever the size of the log.
     first = F.broadcast(oldest(first_event(log, "group_id", "ts", "first_ts"), "first_ts", "group_id", n))
-    chosen = first.select("group_id")
-    joined = joined_users(log.join(F.broadcast(chosen), "group_id", "left_semi"), enter)
-    wrote = only_known(joined, messages.join(F.broadcast(chosen), "group_id", "left_semi"),
-                       ["group_id", "user_id"])
-    n_joined = joined.groupBy("group_id").agg(F.count(F.lit(1)).alias("joined_users"))
-    n_wrote = wrote.groupBy("group_id").agg(F.count(F.lit(1)).alias("writers"))
-    counted = first.join(n_joined, "group_id", "left").join(n_wrote, "group_id", "left")
-    counted = counted.fillna(0, ["joined_users", "writers"])
-    return counted.withColumn("conversion", ratio(F.col("writers"), F.col("joined_users")))
+
+    def chosen(df: DataFrame) -> DataFrame:
+        return df.join(first.select("group_id"), "group_id", "left_semi")
+
+    counted = user_steps(chosen(log), chosen(messages), enter).groupBy("group_id").agg(
+        F.count_if("entered").alias("joined_users"),
+        F.count_if(F.col("entered") & F.col("wrote")).alias("writers"),
+    )
+    # Every chosen community has an event in the log, so the inner join keeps all.
+    return counted.join(first, "group_id").withColumn(
+        "conversion", ratio(F.col("writers"), F.col("joined_users"))
+    )
 
 
 def current_members(log: DataFrame, enter: str, leave: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from martloom.functions.scalars import month_start, week_start
 from martloom.operators.joins import block_join, without_known
+from martloom.session import stored
 
 
 def user_mart(events: DataFrame, types: Sequence[str]) -> DataFrame:
@@ -80,16 +81,19 @@ def shared_community_pairs(members: DataFrame, min_shared: int) -> DataFrame:
         raise ValueError("min_shared must be at least 1")
     group = ["zone_id", "group_id"]
     sizes = members.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-    frequent_first = W.partitionBy("zone_id", "user_id").orderBy(F.col("n").desc(), F.col("group_id").desc())
-    ordered = members.join(sizes, group).withColumn("_at", F.row_number().over(frequent_first)).drop("n")
-    tail = ordered.filter(F.col("_at") < min_shared)
-    head = ordered.filter(F.col("_at") >= min_shared)
-
-    tails = tail.groupBy("zone_id", "user_id").agg(F.collect_list("group_id").alias("tail"))
-    with_tail = head.join(tails, ["zone_id", "user_id"], "left").withColumn(
-        "tail", F.coalesce("tail", F.array().cast("array<bigint>"))
-    ).select(*group, "user_id", "tail")
-    only_tail = tail.join(tails, ["zone_id", "user_id"]).select(*group, "user_id", "tail")
+    of_user = W.partitionBy("zone_id", "user_id")
+    frequent_first = of_user.orderBy(F.col("n").desc(), F.col("group_id").desc())
+    in_tail = F.col("at") < min_shared
+    # Read four times below, so it is computed once.
+    listed = stored(
+        members.join(sizes, group)
+        .withColumn("at", F.row_number().over(frequent_first))
+        .withColumn("tail", F.collect_list(F.when(in_tail, F.col("group_id"))).over(of_user))
+        .select(*group, "user_id", "tail", in_tail.alias("in_tail")),
+        "listed-members",
+    )
+    head = listed.filter(~F.col("in_tail")).drop("in_tail")
+    tail = listed.filter("in_tail").drop("in_tail")
 
     def meet(left: DataFrame, right: DataFrame) -> DataFrame:
         other = right.select(*group, F.col("user_id").alias("other_id"), F.col("tail").alias("other_tail"))
@@ -106,8 +110,8 @@ def shared_community_pairs(members: DataFrame, min_shared: int) -> DataFrame:
     # A meeting in a group is one shared community; the tails are equal in every
     # row of a pair.
     return (
-        pair(meet(with_tail, with_tail).filter("user_id < other_id"))
-        .unionAll(pair(meet(with_tail, only_tail).filter("user_id <> other_id")))
+        pair(meet(head, head).filter("user_id < other_id"))
+        .unionAll(pair(meet(head, tail).filter("user_id <> other_id")))
         .groupBy("zone_id", "a", "b")
         .agg((F.count(F.lit(1)) + F.max("in_tails")).alias("shared"))
         .filter(F.col("shared") >= min_shared)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martloom.functions.scalars import money, total
 from martloom.operators.joins import enrich
+from martloom.operators.rows import computed_once
 from martloom.schema import DOUBLE, INT, LONG, TEXT, TS_NTZ, record
 
 # Statuses and event types of the test data.
@@ -90,7 +91,7 @@ def order_dishes(spark: SparkSession, sf_dir: str, item: str = "dish_id") -> Dat
     its category. Repeats within an order go before the join."""
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("dish_id")
-    ).distinct()
+    ).filter("dish_id IS NOT NULL").distinct()
     if item == "category":
         lines = lines.join(dishes(spark, sf_dir), "dish_id").select("order_id", "category").distinct()
     owners = table(spark, sf_dir, "orders").select(
@@ -107,9 +108,8 @@ def dishes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with the community number read out of the JSON properties."""
-    return table(spark, sf_dir, "events").withColumn(
-        "group_id", F.from_json("props", "k bigint")["k"]
-    ).drop("props")
+    rows = table(spark, sf_dir, "events")
+    return computed_once(rows, "group_id", F.from_json("props", "k bigint")["k"]).drop("props")
 
 
 def group_log(spark: SparkSession, sf_dir: str) -> DataFrame:
