@@ -1,0 +1,93 @@
+import math
+import random
+
+from pyspark.sql import functions as F
+
+from conftest import plan, rows
+from martloom.operators import joins as J
+
+
+def test_left_join_keeps_rows_and_fills(spark):
+    left = spark.createDataFrame([(1,), (2,)], "k long")
+    right = spark.createDataFrame([(1, 5)], "k long, n long")
+    assert rows(J.keep_all(left, right, ["k"], {"n": 0})) == [(1, 5), (2, 0)]
+
+
+def test_known_rows(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (None, "d")], "k long, v string")
+    known = spark.createDataFrame([(2,), (2,), (3,), (9,)], "k long")
+    assert rows(J.only_known(df, known, ["k"]), "v") == [("b",), ("c",)]
+    assert rows(J.without_known(df, known, ["k"]), "v") == [("a",), ("d",)]
+
+
+def test_enrich_keeps_unknown_and_broadcasts_by_size(spark):
+    df = spark.range(100).withColumnRenamed("id", "zone_id")
+    zones = spark.createDataFrame([(1, "one")], "zone_id long, name string")
+    out = J.enrich(df, zones, "zone_id")
+    assert out.count() == 100 and out.filter("name is not null").count() == 1
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    try:
+        spark.conf.set(limit, "-1")
+        assert "BroadcastHashJoin" not in plan(J.enrich(df, zones, "zone_id"))
+    finally:
+        spark.conf.set(limit, before)
+
+
+def test_dimensions_join(spark):
+    fact = spark.createDataFrame([("x", "y", 1), ("x", "q", 2)], "a_sk string, b_sk string, n int")
+    a = spark.createDataFrame([("x", "ax")], "a_sk string, a string")
+    b = spark.createDataFrame([("y", "by"), ("q", "bq")], "b_sk string, b string")
+    assert rows(J.with_dimensions(fact, {"a_sk": a, "b_sk": b}), "a", "b", "n") == [("ax", "bq", 2), ("ax", "by", 1)]
+
+
+def test_block_join_equals_plain_join_whatever_the_block_size(spark):
+    rng = random.Random(1)
+    left = [(i, 7 if rng.random() < 0.4 else rng.randrange(20)) for i in range(200)]
+    right = [(i, 7 if rng.random() < 0.4 else rng.randrange(20)) for i in range(150)]
+    expected = sorted((g, i, j) for i, g in left for j, h in right if g == h)
+    a = spark.createDataFrame(left, "i long, g long")
+    b = spark.createDataFrame(right, "j long, g long")
+    for block_rows in (5, 33, 2000):
+        assert sorted(tuple(r) for r in J.block_join(a, b, ["g"], "i", "j", block_rows).select("g", "i", "j").collect()) == expected
+
+
+def test_block_join_cuts_a_hot_group(spark):
+    hot = spark.range(1000).select(F.col("id").alias("i"), F.lit(1).alias("g"))
+    other = hot.withColumnRenamed("i", "j")
+    left_copies = J.block_join(hot, other, ["g"], "i", "j", 100)
+    assert left_copies.count() == 1_000_000
+    assert "_i" in plan(left_copies) and "explode(sequence" in plan(left_copies)
+
+
+def _brute(points, centres):
+    def km(a, b):
+        p, q = math.radians(a[0]), math.radians(b[0])
+        h = math.sin((q - p) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin(math.radians(b[1] - a[1]) / 2) ** 2
+        return 2 * 6371.0 * math.asin(math.sqrt(min(h, 1.0)))
+
+    return {p[0]: min((round(km(p[1:], c[1:]), 3), c[0]) for c in centres) for p in points}
+
+
+def test_nearest_zone_equals_brute_force(spark, monkeypatch):
+    rng = random.Random(3)
+    points = [(i, rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(300)]
+    points += [(1000, 90.0, 0.0), (1001, -90.0, 180.0), (1002, 0.0, 180.0), (1003, 0.0, -180.0), (1004, 85.0, 179.9)]
+    centres = [(z, rng.uniform(-90, 90), rng.uniform(-180, 180)) for z in range(40)]
+    centres += [(z + 40, 55 + rng.random(), 37 + rng.random()) for z in range(20)]
+    p = spark.createDataFrame(points, "user_id long, lat double, lon double")
+    c = spark.createDataFrame(centres, "zone_id long, lat double, lon double")
+    expected = _brute(points, centres)
+    for packed in (500, 3):
+        monkeypatch.setattr(J, "PACKED_CENTRES", packed)
+        for cell in (10, 30):
+            got = {r.user_id: (r.distance_km, r.zone_id) for r in J.nearest_zone(p, "user_id", c, cell).collect()}
+            assert {k: v[1] for k, v in got.items()} == {k: v[1] for k, v in expected.items()}
+            assert all(abs(got[k][0] - expected[k][0]) <= 0.002 for k in got)
+
+
+def test_nearest_zone_has_no_cross_join(spark):
+    p = spark.createDataFrame([(1, 0.0, 0.0)], "user_id long, lat double, lon double")
+    c = spark.createDataFrame([(1, 1.0, 1.0)], "zone_id long, lat double, lon double")
+    text = plan(J.nearest_zone(p, "user_id", c))
+    assert "CartesianProduct" not in text and "NestedLoop" not in text
