@@ -1,0 +1,191 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import plan, rows
+from martloom.operators.quality import bag_difference, duplicates
+from martloom.plans.layers import LayerTable, Mart, backfill, period_bounds, promote, refresh
+from martloom.schema import LONG, TEXT, TS_NTZ, record
+from martloom.sources import sinks
+from martloom.sources.files import lake_window, read_documents, read_files, read_lake, read_lookup
+
+DAY = dt.date(2024, 1, 10)
+
+
+def _daily(spark, days, per_day=5):
+    rows_ = [(i, dt.date(2024, 1, d)) for d in days for i in range(per_day)]
+    return spark.createDataFrame(rows_, "id long, day date")
+
+
+def test_rerun_leaves_no_duplicates(spark, tmp_path):
+    path = str(tmp_path / "mart")
+    full = _daily(spark, range(1, 6))
+    for _ in range(2):
+        sinks.write_mart(full, path, "day")
+    sinks.write_mart(_daily(spark, [3]), path, "day")
+    stored = spark.read.parquet(path)
+    assert duplicates(stored, ["id", "day"]).count() == 0
+    assert rows(bag_difference(full, stored)) == []
+
+
+def test_static_overwrite_would_lose_the_other_days(spark, tmp_path):
+    path = str(tmp_path / "mart")
+    sinks.write_mart(_daily(spark, range(1, 6)), path, "day")
+    _daily(spark, [3]).write.mode("overwrite").partitionBy("day").parquet(path)
+    assert spark.read.parquet(path).count() == 5
+
+
+def test_large_folder_is_split_over_tasks(spark):
+    df = spark.range(10).select("id", F.lit("x").alias("part"))
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan(sinks._spread(df, ["part"]))
+
+
+def test_lake_reads_only_the_asked_days(spark, tmp_path):
+    path = str(tmp_path / "lake")
+    sinks.relayout(_daily(spark, range(1, 21)).withColumn("kind", F.lit("a")), path, ["day", "kind"])
+    part = read_lake(spark, path, DAY, 3, "day")
+    assert sorted({r.day.day for r in part.collect()}) == [8, 9, 10]
+    assert "PartitionFilters: [isnotnull(day" in plan(part)
+    with pytest.raises(ValueError):
+        lake_window(DAY, 0)
+
+
+def test_upsert_rewrites_only_touched_periods(spark, tmp_path):
+    path = str(tmp_path / "counters")
+    schema = "user_id long, year int, n long, version int"
+    sinks.upsert(path, spark.createDataFrame([(1, 2023, 5, 1), (2, 2023, 1, 1), (1, 2024, 2, 1)], schema), ["user_id", "year"], "version", "year")
+    untouched = sorted((tmp_path / "counters" / "year=2023").glob("*.parquet"))
+    changes = spark.createDataFrame([(1, 2024, 3, 2), (3, 2024, 1, 2), (1, 2024, 1, 0)], schema)
+    for _ in range(2):
+        sinks.upsert(path, changes.filter("version > 0"), ["user_id", "year"], "version", "year")
+    assert rows(spark.read.parquet(path), "user_id", "year", "n") == [(1, 2023, 5), (1, 2024, 3), (2, 2023, 1), (3, 2024, 1)]
+    assert sorted((tmp_path / "counters" / "year=2023").glob("*.parquet")) == untouched
+
+
+def test_older_version_does_not_win(spark):
+    schema = "k long, v string, version int"
+    target = spark.createDataFrame([(1, "new", 5)], schema)
+    late = spark.createDataFrame([(1, "old", 4)], schema)
+    assert rows(sinks.upserted(target, late, ["k"], "version"), "v") == [("new",)]
+
+
+def test_only_new_keys_are_inserted(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = record(k=LONG, v=TEXT, t=LONG)
+    new = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (2, "c", 1)], schema)
+    for _ in range(2):
+        sinks.insert_new(new, path, ["k"], ["t"], schema)
+    sinks.insert_new(spark.createDataFrame([(2, "z", 0), (3, "d", 1)], schema), path, ["k"], ["t"], schema)
+    assert rows(spark.read.parquet(path), "k", "v") == [(1, "a"), (2, "c"), (3, "d")]
+
+
+def test_increment_and_mark(spark, tmp_path):
+    marks = str(tmp_path / "marks")
+    t = dt.datetime(2024, 1, 1)
+    source = spark.createDataFrame([(i, t + dt.timedelta(hours=i)) for i in range(4)], "id long, ts timestamp_ntz")
+    assert sinks.read_mark(spark, marks, "s") is None
+    assert sinks.extract_new(source, "ts", None).count() == 4
+    sinks.save_mark(source.filter("id < 2"), marks, "s", "ts", 0)
+    sinks.save_mark(source, marks, "other", "ts", 0)
+    new = sinks.extract_new(source, "ts", sinks.read_mark(spark, marks, "s"))
+    assert rows(new, "id") == [(2,), (3,)]
+    sinks.save_mark(new, marks, "s", "ts", 1)
+    nothing = sinks.extract_new(source, "ts", sinks.read_mark(spark, marks, "s"))
+    assert nothing.count() == 0
+    assert sinks.save_mark(nothing, marks, "s", "ts", 2) is None
+    assert sinks.read_mark(spark, marks, "s") == "2024-01-01 03:00:00"
+
+
+def test_landing_the_same_day_again_replaces_it(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    df = spark.createDataFrame([(1, "x"), (2, None)], "id long, v string")
+    for day in (DAY, DAY, DAY + dt.timedelta(days=1)):
+        sinks.land_raw(df, path, day, dt.datetime(2024, 1, 10), "api")
+    landed = spark.read.parquet(path)
+    assert landed.count() == 4
+    assert rows(landed.filter(F.col("load_date") == F.lit(DAY)), "payload") == [('{"id":1,"v":"x"}',), ('{"id":2}',)]
+
+
+def test_promotion_twice_adds_nothing(spark, tmp_path):
+    staging, dds, mart = (str(tmp_path / n) for n in ("stg", "dds", "mart"))
+    schema = record(id=LONG, name=TEXT)
+    for shift, ids in enumerate(((1, 2), (2, 3))):
+        df = spark.createDataFrame([(i, f"n{i}") for i in ids], "id int, name string")
+        sinks.land_raw(df, staging, DAY + dt.timedelta(days=shift), dt.datetime(2024, 1, 10), "api")
+    tables = [
+        LayerTable(staging, dds, schema, lambda d: d, keys=["id"], order_cols=["name"]),
+        LayerTable(staging, mart, record(load_date=TS_NTZ, n=LONG),
+                   lambda d: d.groupBy("load_date").agg(F.count(F.lit(1)).alias("n")), period_col="load_date"),
+    ]
+    for shift in (0, 1, 1):
+        promote(spark, tables, DAY + dt.timedelta(days=shift))
+    assert rows(spark.read.parquet(dds)) == [(1, "n1"), (2, "n2"), (3, "n3")]
+    assert rows(spark.read.parquet(mart), "n") == [(2,), (2,)]
+
+
+def test_period_bounds():
+    d = dt.date
+    assert period_bounds(d(2024, 1, 10), d(2024, 1, 10), "week") == (d(2024, 1, 8), d(2024, 1, 14))
+    assert period_bounds(d(2023, 12, 31), d(2024, 1, 10), "week") == (d(2023, 12, 25), d(2024, 1, 14))
+    assert period_bounds(d(2023, 12, 5), d(2024, 2, 10), "month") == (d(2023, 12, 1), d(2024, 2, 29))
+    with pytest.raises(ValueError):
+        period_bounds(DAY, DAY, "year")
+
+
+def _mart(spark, tmp_path, name, lake):
+    def build(df):
+        return df.groupBy(F.date_trunc("week", "day").cast("date").alias("week")).agg(F.sum("amount").alias("amount"))
+
+    return Mart(lake, "day", build, str(tmp_path / name), "week", "week")
+
+
+def test_backfill_law_in_any_order(spark, tmp_path):
+    lake = str(tmp_path / "lake")
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(16)]
+    sinks.relayout(spark.createDataFrame([(d, i) for i, d in enumerate(days)], "day date, amount long"), lake, ["day"])
+    once, daily = _mart(spark, tmp_path, "once", lake), _mart(spark, tmp_path, "daily", lake)
+    backfill(spark, once, days[0], days[-1])
+    for day in [days[9], *days[::5], days[2]]:
+        refresh(spark, daily, day)
+    assert rows(spark.read.parquet(daily.path)) == rows(spark.read.parquet(once.path))
+
+
+def test_late_refund_needs_a_look_back(spark, tmp_path):
+    lake = str(tmp_path / "lake")
+    first, last = dt.date(2024, 1, 2), dt.date(2024, 1, 16)
+    sinks.relayout(spark.createDataFrame([(first, 10), (last, 5)], "day date, amount long"), lake, ["day"])
+    mart = _mart(spark, tmp_path, "mart", lake)
+    backfill(spark, mart, first, last)
+    sinks.relayout(spark.createDataFrame([(first, 10), (first, -10)], "day date, amount long"), lake, ["day"])
+    refresh(spark, mart, last, 1)
+    assert rows(spark.read.parquet(mart.path), "amount") == [(10,), (5,)]
+    refresh(spark, mart, last, 15)
+    assert rows(spark.read.parquet(mart.path), "amount") == [(0,), (5,)]
+
+
+def test_files_documents_and_lookups(spark, tmp_path):
+    csv = str(tmp_path / "csv")
+    spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string").write.csv(csv)
+    assert rows(read_files(spark, csv, "csv", record(id=LONG, v=TEXT))) == [(1, "a"), (2, "b")]
+
+    docs = str(tmp_path / "docs")
+    spark.createDataFrame([('{"id": 1, "x": {"y": "deep"}}',), ("broken",)], "value string").write.text(docs)
+    known = read_documents(spark, docs, record(id=LONG))
+    assert rows(known.select("doc.id")) == [(1,), (None,)]
+    free = read_documents(spark, docs).select(F.expr("try_variant_get(doc, '$.x.y', 'string')").alias("y"))
+    assert rows(free) == [("deep",), (None,)]
+
+    lookup = str(tmp_path / "lookup")
+    spark.createDataFrame([(1, "old", 1), (1, "new", 2), (2, "x", 1)], "k long, v string, t long").write.parquet(lookup)
+    assert rows(read_lookup(spark, lookup, "k", "t"), "k", "v") == [(1, "new"), (2, "x")]
+    assert read_lookup(spark, lookup, "k").count() == 2
+
+
+def test_messages_and_feedback(spark):
+    df = spark.createDataFrame([(1, "p")], "user_id long, promo string")
+    assert rows(sinks.to_messages(df, "user_id", ["promo"])) == [("1", '{"promo":"p"}')]
+    with_id = sinks.to_messages(df, "user_id", ["promo"], F.lit("m1"))
+    assert rows(with_id) == [("1", '{"promo":"p","message_id":"m1"}')]
+    feedback = sinks.to_feedback(df)
+    assert feedback.dtypes[-1] == ("feedback", "string") and rows(feedback) == [(1, "p", None)]
