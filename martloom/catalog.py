@@ -373,6 +373,7 @@ def _run_notifications(spark, sf_dir):
         send_messages=batch_file_writer(messages),
         store_feedback=batch_file_writer(feedback),
         repeat_delay="60 days",
+        work_path=fresh_path(spark, "live-promotions"),
     )
     stream = file_stream(spark, source, files_per_batch=_files_per_batch(files))
     job.start(stream, checkpoint).awaitTermination()

@@ -135,11 +135,11 @@ def lake_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events(spark, sf_dir).filter(F.col("event_type") == SUBSCRIBE).select(
         "user_id", F.col("group_id").alias("restaurant_id")
-    ).distinct()
+    )
 
 
 def zone_members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    subscribed = subscriptions(spark, sf_dir).withColumnRenamed("restaurant_id", "group_id")
+    subscribed = subscriptions(spark, sf_dir).withColumnRenamed("restaurant_id", "group_id").distinct()
     return subscribed.join(user_zones(spark, sf_dir), "user_id").select("zone_id", "user_id", "group_id")
 
 
