@@ -116,8 +116,8 @@ def nearest_zone(points: DataFrame, point_key: str, centres: DataFrame, cell_deg
                  decimals: int = 3) -> DataFrame:
     """Nearest centre of every point, by an equi join on grid cells.
 
-    ``points`` has ``lat`` and ``lon``; distances are compared after rounding and
-    ties go to the smallest zone id.
+    ``points`` has ``lat`` and ``lon`` and one row per ``point_key``; distances are
+    compared after rounding and ties go to the smallest zone id.
     """
     candidates = cell_candidates(centres, cell_deg)
     placed = points.withColumn("cell", cell_of(F.col("lat"), F.col("lon"), cell_deg))

@@ -1,0 +1,41 @@
+"""Physical plans of the batch queries."""
+
+import os
+
+import pytest
+
+import __spark_entry__ as entry
+from conftest import plan
+
+SF_DIR = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test data not there")
+
+BATCH = sorted(n for n in entry.queries() if not n.startswith("stream_"))
+
+
+@pytest.mark.parametrize("name", BATCH)
+def test_no_cross_join_and_no_python_rows(spark, name):
+    text = plan(entry.queries()[name](spark, SF_DIR))
+    for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
+        assert word not in text
+
+
+def test_scans_read_only_what_is_used(spark):
+    text = plan(entry.queries()["weekly_retention"](spark, SF_DIR))
+    assert "PushedFilters: [In(o_orderstatus, [F,O,P])]" in text
+    assert "o_orderpriority" not in text and "o_orderkey" not in text
+
+
+def test_oldest_communities_are_a_top_k(spark):
+    text = plan(entry.queries()["community_conversion"](spark, SF_DIR))
+    assert "TakeOrderedAndProject(limit=10" in text
+    assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,purchase)" in text
+
+
+def test_top_dishes_are_a_top_k(spark):
+    assert "TakeOrderedAndProject(limit=20" in plan(entry.queries()["top_dishes"](spark, SF_DIR))
+
+
+def test_events_are_hash_aggregated_before_the_first_shuffle(spark):
+    text = plan(entry.queries()["user_mart"](spark, SF_DIR))
+    assert "HashAggregate(keys=[user_id" in text and text.index("SortAggregate") < text.index("HashAggregate(keys=[user_id")
