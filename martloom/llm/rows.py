@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+ROOT = str(Path(__file__).resolve().parents[2])
 #: Rows of one Arrow batch: texts are long, and a batch is held in a worker's memory.
 BATCH_ROWS = 1000
 #: Rows turned into Python objects at once.
@@ -24,8 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
+def prepare(spark: SparkSession) -> None:
+    """Small Arrow batches; workers on this machine find the package where the driver
+    did, whatever folder they start in (a cluster installs or ships it)."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
 
 
 def map_columns(df: DataFrame, columns: list[str], fields: list[tuple[str, str]],
@@ -36,7 +41,7 @@ def map_columns(df: DataFrame, columns: list[str], fields: list[tuple[str, str]]
     list per column, and returns or yields one list per field. It may return more or
     fewer rows than it got.
     """
-    small_batches(df.sparkSession)
+    prepare(df.sparkSession)
     kinds, names = [_ARROW[k] for _, k in fields], [n for n, _ in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -54,7 +59,7 @@ def map_columns(df: DataFrame, columns: list[str], fields: list[tuple[str, str]]
 
 def keep_rows(df: DataFrame, column: str, make: Callable[[], Callable[[list], list[bool]]]) -> DataFrame:
     """The rows of ``df``, all columns, for whose ``column`` the made function says true."""
-    small_batches(df.sparkSession)
+    prepare(df.sparkSession)
     at = df.columns.index(column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -35,8 +35,9 @@ from martloom.llm.rows import HELD_OUT, keep_rows, map_columns, share_below
 from martloom.session import stored
 
 MAX_LABELLED, THRESHOLD, SEED = 20_000, 0.7, 9
-#: Lengths of stems; least log odds ratio, at 95 % confidence, of a stem.
-STEMS, LEAST_ODDS, Z = range(3, 8), 2.0, 1.64
+#: Lengths of stems; least log odds ratio, at 95 % confidence, of a stem; share of a stem's
+#: lines that makes an extension stand for it.
+STEMS, LEAST_ODDS, Z, SAME = range(3, 8), 2.0, 1.64, 0.95
 PRIOR_WEIGHT, SCOPE = 2.0, 4
 
 # Words of the grammar's own vocabulary, whatever the labels show.
@@ -143,24 +144,30 @@ class Grammar:
         return [math.log1p(max(0.0, sums[c])) for c in CONTEXTS]
 
 
-def weight(pos: float, neg: float, n_pos: float, n_neg: float) -> float:
+def weight(pos: float, neg: float, n_pos: float, n_neg: float, z: float = Z) -> float:
     """Lower confidence bound of the log odds ratio of a stem's lines."""
     ratio = math.log((pos + 0.5) / (n_pos - pos + 0.5)) - math.log((neg + 0.5) / (n_neg - neg + 0.5))
-    return ratio - Z * math.sqrt(1 / (pos + 0.5) + 1 / (neg + 0.5))
-
-
-def lexicon(counts: list[tuple[str, int, int]], n_pos: int, n_neg: int) -> Grammar:
-    """Stems end with ``*`` in ``counts``. A stem is not kept beside a shorter one that
-    says as much."""
+    return ratio - z * math.sqrt(1 / (pos + 0.5) + 1 / (neg + 0.5))
+
+
+def lexicon(counts: list[tuple[str, int, int]], n_pos: int, n_neg: int, tested: int = 1) -> Grammar:
+    """Stems end with ``*`` in ``counts``. What is kept must stand out among all
+    ``tested`` stems and words. Of a stem and its extensions the longest that is met as
+    often is kept, and none beside a shorter one that says as much."""
+    z = max(Z, math.sqrt(2 * math.log(max(1, tested))))
+    strong = {g: (p, weight(p, n, n_pos, n_neg)) for g, p, n in counts
+              if weight(p, n, n_pos, n_neg, z) > 0 and weight(p, n, n_pos, n_neg) >= LEAST_ODDS}
+    replaced = set()
+    for gram, (pos, _) in strong.items():
+        name = gram.rstrip("*")
+        parent = (name[:-1] if gram.endswith("*") else name[:STEMS[-1]]) + "*"
+        if parent in strong and pos >= SAME * strong[parent][0]:
+            replaced.add(parent)
     stems: dict[str, float] = {}
     words: dict[str, float] = {}
-    for gram, pos, neg in sorted(counts, key=lambda x: len(x[0])):
-        value = weight(pos, neg, n_pos, n_neg)
-        if value < LEAST_ODDS:
-            continue
-        name = gram.rstrip("*")
-        best = max((stems.get(name[:n], 0.0) for n in STEMS), default=0.0)
-        if value > best + 0.5:
+    for gram in sorted(strong.keys() - replaced, key=lambda g: (len(g.rstrip("*")), g)):
+        name, value = gram.rstrip("*"), strong[gram][1]
+        if value > max((stems.get(name[:n], 0.0) for n in STEMS), default=0.0) + 0.5:
             (stems if gram.endswith("*") else words)[name] = value
     return Grammar(stems, words)
 
@@ -235,14 +242,15 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
         return work
 
     sides = ["p0", "n0", "p1", "n1"]
-    counted = (map_columns(lines, ["toxic", "half", "line"], [("gram", "string"), *[(s, "long") for s in sides]], count_grams)
-               .groupBy("gram").agg(*[F.sum(s).alias(s) for s in sides]).filter("gram = '' OR p0 + p1 >= 3"))
-    # Bounded by the sample; those far from any chance stay on the executors.
-    rows = [tuple(r) for r in counted.filter("gram = '' OR p0 + p1 > n0 + n1").collect()]
+    counted = stored(map_columns(lines, ["toxic", "half", "line"], [("gram", "string"), *[(s, "long") for s in sides]], count_grams)
+               .groupBy("gram").agg(*[F.sum(s).alias(s) for s in sides]).filter("gram = '' OR p0 + p1 + n0 + n1 >= 3"), "toxicity_grams")
+    tested = counted.count()
+    # Bounded by the sample; most stay on the executors.
+    rows = [tuple(r) for r in counted.filter("gram = '' OR p0 + p1 >= 3 AND p0 + p1 > n0 + n1").collect()]
     total = next((r[1:] for r in rows if r[0] == ""), (0, 0, 0, 0))
     rows = [r for r in rows if r[0]]
-    halves = [lexicon([(g, c[2 * h], c[2 * h + 1]) for g, *c in rows], total[2 * h], total[2 * h + 1]) for h in (0, 1)]
-    whole = lexicon([(g, c[0] + c[2], c[1] + c[3]) for g, *c in rows], total[0] + total[2], total[1] + total[3])
+    halves = [lexicon([(g, c[2 * h], c[2 * h + 1]) for g, *c in rows], total[2 * h], total[2 * h + 1], tested) for h in (0, 1)]
+    whole = lexicon([(g, c[0] + c[2], c[1] + c[3]) for g, *c in rows], total[0] + total[2], total[1] + total[3], tested)
     entries = [(g.stems, g.words) for g in halves]
 
     def read():
