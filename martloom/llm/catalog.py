@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import bpe, language, lines, mixing, simhash, toxicity
+from martloom.llm import bpe, iblt, language, lines, mixing, pii, simhash, toxicity, urls, vectors
 from martloom.llm.rows import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -21,6 +21,18 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+def op4_paragraph_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return iblt.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
@@ -39,6 +51,12 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
-REGISTRY = {q.__name__: q for q in (op1_language_id, op2_mix_sources, op6_byte_bpe, op7_simhash, op8_line_dedup, op9_toxicity)}
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+REGISTRY = {q.__name__: q for q in (
+    op1_language_id, op2_mix_sources, op3_personal_data, op4_paragraph_sketch, op5_url_filter, op6_byte_bpe, op7_simhash, op8_line_dedup,
+    op9_toxicity, op10_embedding_dedup)}
 
 ORACLE: dict[str, str] = {}

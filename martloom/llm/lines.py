@@ -1,12 +1,13 @@
 """Line dedup: runs of lines that an earlier place already holds are deleted.
 
-Windows are measured in words: from every line on, the lines up to the first at which
-``min_words`` words are together form a window, and the line of least hash in each window
-is a fingerprint. A run of at least ``min_words`` words holds a whole window, so wherever
-it is repeated it has the same fingerprint: none is missed. Each fingerprint's first
-place is its anchor; every other place is joined to the anchor's document, matched lines
-are extended both ways as far as they agree, and matched runs of ``min_words`` words or
-more are deleted. A deleted line equals an earlier one, so the earliest of each stays.
+Windows are measured in words: from every line on, and from every line back, the lines up
+to the first at which ``min_words`` words are together. The line of least hash in a window
+is its fingerprint, qualified by all that the window holds. A run of ``min_words`` words
+or more that is repeated holds the same windows at both places, and each of its lines lies
+in one of them, so none is missed. Each fingerprint's first place is its anchor; every
+other place is joined to the anchor's document, matched lines are extended both ways as
+far as they agree, and matched runs of ``min_words`` words or more are deleted. A deleted
+line equals an earlier one, so the earliest of each stays.
 
 Defined results: lines end at a line feed and are compared without white space at their
 ends; a null text stays null, an empty one empty; a text that loses all its lines is
@@ -16,6 +17,8 @@ equal in id and text share one decision; an empty table gives an empty table.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
@@ -25,6 +28,7 @@ from martloom.llm.rows import fresh, map_columns, text_hash
 from martloom.session import stored
 
 MIN_WORDS = 50
+BASE, PRIME = 0x9E3779B97F4A7C1, (1 << 61) - 1
 
 
 def line_hashes(text: str | None) -> tuple[list[int], list[int]]:
@@ -34,10 +38,8 @@ def line_hashes(text: str | None) -> tuple[list[int], list[int]]:
     return hashes, [len(x.split()) for x in lines]
 
 
-def window_minima(hashes: list[int], words: list[int], min_words: int = MIN_WORDS) -> list[int]:
-    """Places of the least hash, the last of equal ones, in every window that reaches
-    ``min_words`` words."""
-    picks: set[int] = set()
+def _windows(hashes: list[int], words: list[int], min_words: int) -> Iterator[tuple[int, int, int]]:
+    """(start, end, place of the least hash) of every window that reaches ``min_words``."""
     queue: list[int] = []  # places of the window with rising hashes
     head = end = held = 0
     for start in range(len(hashes)):
@@ -48,12 +50,27 @@ def window_minima(hashes: list[int], words: list[int], min_words: int = MIN_WORD
             held += words[end]
             end += 1
         if held < min_words:
-            break
-        picks.add(queue[head])
+            return
+        yield start, end, queue[head]
         held -= words[start]
         if queue[head] == start:
             head += 1
-    return sorted(picks)
+
+
+def fingerprints(hashes: list[int], words: list[int], min_words: int = MIN_WORDS) -> tuple[list[int], list[int]]:
+    """Fingerprints and their lines, for windows read forwards and backwards."""
+    n = len(hashes)
+    windows = set(_windows(hashes, words, min_words))
+    windows |= {(n - e, n - s, n - 1 - p) for s, e, p in _windows(hashes[::-1], words[::-1], min_words)}
+    if not windows:
+        return [], []
+    # Hashes of any run of lines from those of the heads of the text.
+    heads, powers = [0], [1]
+    for h in hashes:
+        heads.append((heads[-1] * BASE + h) % PRIME)
+        powers.append(powers[-1] * BASE % PRIME)
+    found = {((heads[e] - heads[s] * powers[e - s]) % PRIME ^ hashes[p] % PRIME, p) for s, e, p in windows}
+    return [k for k, _ in found], [p for _, p in found]
 
 
 def matched_runs(own: list[int], words: list[int], other: list[int], min_words: int = MIN_WORDS) -> list[tuple[int, int]]:
@@ -70,15 +87,15 @@ def _lines(docs: DataFrame, min_words: int) -> DataFrame:
     def make():
         def work(ids, keys, texts):
             out = [line_hashes(t) for t in texts]
-            return (ids, keys, [h for h, _ in out], [w for _, w in out],
-                    [window_minima(h, w, min_words) for h, w in out])
+            prints = [fingerprints(h, w, min_words) for h, w in out]
+            return (ids, keys, [h for h, _ in out], [w for _, w in out], [f for f, _ in prints], [p for _, p in prints])
 
         return work
 
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("key"), "text")
     return map_columns(keyed, ["doc_id", "key", "text"],
                        [("doc_id", "long"), ("key", "long"), ("hashes", "array<long>"), ("words", "array<int>"),
-                        ("picks", "array<int>")], make)
+                        ("prints", "array<long>"), ("places", "array<int>")], make)
 
 
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -86,8 +103,8 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     exclusive, for documents that have any. They may overlap."""
     lines = stored(_lines(docs, min_words), "lines")
     same = ["doc_id", "key"]
-    places = lines.select(*same, F.size("hashes").alias("n"), F.explode("picks").alias("line"), "hashes").select(
-        *same, "n", "line", F.element_at("hashes", F.col("line") + 1).alias("hash"))
+    places = lines.select(*same, F.size("hashes").alias("n"), F.explode(F.arrays_zip("prints", "places")).alias("p")).select(
+        *same, "n", F.col("p.places").alias("line"), F.col("p.prints").alias("hash"))
     place = F.struct(*same, "line")
     anchors = stored(places.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last"))
                      .filter("first < last").select("hash", "first"), "line_anchors")

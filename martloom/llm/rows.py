@@ -19,7 +19,7 @@ HELD_OUT = "CAST(crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 3 = 1 AS BOOLEA
 
 _ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(),
           "boolean": pa.bool_(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()),
-          "array<int>": pa.list_(pa.int32()), "array<string>": pa.list_(pa.string())}
+          "array<double>": pa.list_(pa.float64()), "array<int>": pa.list_(pa.int32()), "array<string>": pa.list_(pa.string())}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,7 +34,7 @@ def prepare(spark: SparkSession) -> None:
 
 
 def map_columns(df: DataFrame, columns: list[str], fields: list[tuple[str, str]],
-                make: Callable[[], Callable[..., Iterable]]) -> DataFrame:
+                make: Callable[[], Callable[..., Iterable]], slice_rows: int = SLICE_ROWS) -> DataFrame:
     """A new table with ``fields`` (name, type) from ``columns`` of ``df``.
 
     ``make()`` runs once per task; what it returns gets the values of some rows, one
@@ -47,8 +47,8 @@ def map_columns(df: DataFrame, columns: list[str], fields: list[tuple[str, str]]
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(at, SLICE_ROWS)
+            for at in range(0, batch.num_rows, slice_rows):
+                part = batch.slice(at, slice_rows)
                 out = work(*[c.to_pylist() for c in part.columns])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(v, type=k) for v, k in zip(out, kinds, strict=True)], names=names)
