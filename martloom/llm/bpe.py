@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from martloom.llm.rows import map_columns
 
 #: Memory of one task, not results: past these sizes the tables start anew.
-MAX_STATES, MAX_PIECES, PIECE_CHARS = 300_000, 150_000, 48
+MAX_STATES, MAX_PIECES, PIECE_CHARS = 300_000, 400_000, 48
 #: Bytes of one piece after which settled tokens are emitted.
 LONG_PIECE = 4096
 
@@ -147,8 +147,8 @@ class Encoder:
         self.transducer = Transducer(ranks)
         self.split = regex.compile(pattern).findall
         # Pieces met lately and those met before them; the older half is dropped in turn.
-        self._known: dict[str, list[int]] = {}
-        self._older: dict[str, list[int]] = {}
+        self._known: dict[str, tuple[int, ...]] = {}
+        self._older: dict[str, tuple[int, ...]] = {}
 
     def encode(self, text: str | None) -> list[int]:
         out: list[int] = []
@@ -160,7 +160,7 @@ class Encoder:
             if ids is None:
                 ids = older.get(piece)
                 if ids is None:
-                    ids = encode(piece.encode())
+                    ids = tuple(encode(piece.encode()))
                 if len(piece) <= PIECE_CHARS:
                     if len(known) >= MAX_PIECES:
                         self._older, self._known = older, known = known, {}

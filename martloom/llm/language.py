@@ -83,7 +83,7 @@ def build(langs: list[str], lang: np.ndarray, gram: np.ndarray, count: np.ndarra
           max_contexts: int = MAX_CONTEXTS) -> Trees:
     """Trees from counts of (language number, bytes of context and next byte)."""
     n_langs = max(1, len(langs))
-    seen = np.unique(gram & 255)
+    seen = np.unique(np.concatenate([gram >> 8 * k & 255 for k in range(ORDER + 1)]))
     symbol = np.zeros(256, dtype=np.int32)
     symbol[seen] = np.arange(1, len(seen) + 1)
     width = len(seen) + 1

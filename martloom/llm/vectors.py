@@ -209,12 +209,12 @@ def verified(members: DataFrame, width: int, grid: int) -> DataFrame:
 def near_vectors(embeddings: DataFrame) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row."""
     vectors = stored(distinct_vectors(embeddings), "vectors")
-    widths = vectors.groupBy("dim").count().orderBy(F.desc("count"), "dim").limit(1).collect()
+    widths = vectors.groupBy("dim").agg(F.sum("n").alias("rows"), F.count("*").alias("n")).orderBy(F.desc("rows"), "dim").limit(1).collect()
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), "label", "embedding")
     if not widths:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
                            F.lit(True).alias("kept"))
-    width, total = widths[0]
+    width, _, total = widths[0]
     vectors = vectors.filter(F.col("dim") == width)
     index, slack, _ = fit(vectors, total, width)
     grid = len(index.books[0]) * len(index.books[1])

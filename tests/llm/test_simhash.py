@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import numpy as np
 import xxhash
@@ -10,7 +11,7 @@ from martloom.llm import graph, simhash
 
 
 def plain_fingerprint(text):
-    words = [w for w in (text or "").encode().lower().replace(b"\x1c", b"\x1c").split()]
+    words = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower())
     if not words:
         return 0
     shingles = [b" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))]
@@ -31,7 +32,7 @@ def plain_components(rows):
     ids = {}
     for i, (doc, _) in enumerate(rows):
         ids.setdefault(label[i], []).append(doc)
-    return sorted((doc, min((d for d in ids[label[i]] if d is not None), default=None)) for i, (doc, _) in enumerate(rows))
+    return [(doc, min((d for d in ids[label[i]] if d is not None), default=None)) for i, (doc, _) in enumerate(rows)]
 
 
 def test_fingerprint_is_the_definition():

@@ -1,0 +1,90 @@
+from __future__ import annotations
+
+import random
+
+from helpers import DOCS, WORDS, awkward, clashing, empty
+
+from martloom.llm import toxicity
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def corpus(spark, n=1200, stems=("grumbax", "zolver")):
+    """Toxic texts hold words with one of two stems that no list knows."""
+    pick = random.Random(2)
+    rows, labels = [], []
+    for i in range(n):
+        toxic = int(pick.random() < 0.2)
+        words = [pick.choice(WORDS) + pick.choice(["", "en", "ly"]) for _ in range(60)]
+        if toxic:
+            for _ in range(3):
+                words[pick.randrange(60)] = pick.choice(stems) + pick.choice(["en", "ul", "ka", "ory"])
+        text = ". ".join(" ".join(words[k:k + 12]) for k in range(0, 60, 12))
+        rows.append((i, text, "en", "a", len(text)))
+        if pick.random() < 0.8:
+            labels.append((i, 1, toxic))
+    return spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, LABELS)
+
+
+def test_held_out_rows(spark):
+    docs, labels = corpus(spark)
+    model = toxicity.train(docs, labels)
+    out = {r.doc_id: r for r in toxicity.scores(docs, model).collect()}
+    held = [(out[r.doc_id], r.toxic) for r in labels.collect() if out[r.doc_id].held_out]
+    assert len(held) > 200
+    assert sum(o.predicted == t for o, t in held) >= 0.97 * len(held)
+    assert all(0 <= o.score <= 1 and o.predicted == int(o.score >= 0.7) for o in out.values())
+    kept = toxicity.drop_toxic(clashing(docs, "score", "keep"), model)
+    assert {r.doc_id for r in kept.collect()} == {i for i, r in out.items() if r.score < 0.7}
+    assert kept.columns == [*docs.columns, "score", "keep"]
+
+
+def test_labels_of_held_out_rows_are_not_used(spark):
+    from pyspark.sql import functions as F
+    docs, labels = corpus(spark, 500)
+    turned = labels.withColumn("toxic", F.when(F.expr(toxicity.HELD_OUT), 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    a, b = toxicity.train(docs, labels), toxicity.train(docs, turned)
+    assert a.grammar.stems == b.grammar.stems and (a.beta == b.beta).all()
+
+
+def test_contexts():
+    grammar = toxicity.Grammar({"grumb": 5.0}, {})
+
+    def context(text):
+        return {c: v for c, v in grammar.clause(text.lower()).items() if v}
+
+    assert context("what a grumbax today") == {"plain": 5.0}
+    assert context("you are a grumbax") == {"targeted": 5.0}
+    assert context("grumbax like you") == {"targeted": 5.0}
+    assert context("she is not a grumbax") == {"negated": 5.0}
+    assert context("he said that grumbax") == {"reported": 5.0}
+    assert context("the word “grumbax” is rude") == {"reported": 5.0}
+    assert context("i kill you") == {"threat": toxicity.PRIOR_WEIGHT}
+    assert context("skill and grumpy") == {}
+
+
+def test_negation_and_report_weigh_less_before_labels_say_otherwise():
+    model = toxicity.Model(toxicity.Grammar({}, {}), toxicity.PRIOR)
+    plain, negated, reported = (model.score(t) for t in ("You idiot.", "You are not an idiot.", "He wrote: idiot"))
+    assert plain > negated and plain > model.score("He wrote idiot") and plain > model.score("A clean text.")
+    assert model.score(None) == model.score("") == model.score("clean")
+    assert reported == model.score("An idiot.")  # a colon ends the clause
+
+
+def test_scope_ends_with_the_clause():
+    grammar = toxicity.Grammar({}, {})
+    near, far = grammar.features("He said no. An idiot!"), grammar.features("He said no idiot")
+    assert near[0] > 0 and far[0] == 0
+
+
+def test_awkward_rows(spark):
+    docs, labels = corpus(spark, 300)
+    model = toxicity.train(docs, labels)
+    out = toxicity.scores(awkward(spark), model).collect()
+    assert len(out) == 11 and all(0 <= r.score <= 1 for r in out)
+    assert len({r.score for r in out if r.doc_id in (2, 3, 4)}) == 1
+    assert toxicity.scores(empty(spark), model).count() == 0
+    none = spark.createDataFrame([(1, 1, None), (None, 1, 1)], LABELS)
+    untaught = toxicity.train(docs, none)
+    assert (untaught.beta == toxicity.PRIOR).all()
+    assert toxicity.drop_toxic(empty(spark), toxicity.train(empty(spark), labels)).count() == 0
