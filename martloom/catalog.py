@@ -17,13 +17,13 @@ from martloom.operators.rows import (
     add_with_default, conform, create_views, parse_events, signed_amount,
 )
 from martloom.plans import community, courier, lake, popularity, retention, segmentation
-from martloom.plans.layers import LayerTable, Mart, backfill, promote, refresh
+from martloom.plans.layers import LayerTable, Mart, backfill, promote, refresh, stored_days
 from martloom.schema import LONG, TEXT, TS_NTZ, record
 from martloom.session import fresh_path, stored
-from martloom.sources.files import read_documents, read_files, read_lake
+from martloom.sources.files import read_documents, read_files
 from martloom.sources.paged import read_paged, stored_pages
 from martloom.sources.sinks import (
-    extract_new, land_raw, read_mark, relayout, save_mark, upsert,
+    drop_periods, extract_new, land_raw, read_mark, read_or_empty, relayout, save_mark, upsert,
 )
 from martloom.streaming import layers as stream_layer
 from martloom.streaming.notify import PROMOTION, NotificationJob, batch_file_writer
@@ -162,10 +162,12 @@ STATUS_SINCE = dt.date(1998, 1, 1)
 
 @query
 def status_backfill(spark, sf_dir):
+    """Orders from before the column was added have none; neither have undated ones."""
     rows = src.orders(spark, sf_dir)
     path = fresh_path(spark, "orders-feed")
-    rows.filter(F.col("order_date") < F.lit(STATUS_SINCE)).drop("status").write.mode("append").parquet(path)
-    rows.filter(F.col("order_date") >= F.lit(STATUS_SINCE)).write.mode("append").parquet(path)
+    with_status = F.coalesce(F.col("order_date") >= F.lit(STATUS_SINCE), F.lit(False))
+    rows.filter(~with_status).drop("status").write.mode("append").parquet(path)
+    rows.filter(with_status).write.mode("append").parquet(path)
     feed = add_with_default(read_files(spark, path, "parquet", rows.schema), "status", src.CLOSED, "string")
     return signed_amount(feed, "amount", F.col("status") == src.REFUNDED).select(
         "order_id", "user_id", "status", "signed_amount", "order_date"
@@ -183,17 +185,21 @@ def courier_ledger(spark, sf_dir):
 
 @query
 def upsert_counters(spark, sf_dir):
-    """Order counters as of mid-1998, then the counters of every later-touched year."""
-    rows = src.orders(spark, sf_dir).withColumn("order_year", F.year("order_date"))
+    """Order counters as of mid-1998, then the counters of later-touched years. Orders
+    that are refunded have no year here, and only their odd users come with a change."""
+    rows = src.orders(spark, sf_dir).withColumn(
+        "order_year", F.when(F.col("status") != src.REFUNDED, F.year("order_date")))
+    early = F.coalesce(F.col("order_date") < F.lit(dt.date(1998, 7, 1)), F.lit(True))
 
     def counters(df, version):
         return df.groupBy("user_id", "order_year").agg(F.count(F.lit(1)).alias("orders")).withColumn(
             "version", F.lit(version))
 
     path = fresh_path(spark, "counters")
-    relayout(counters(rows.filter("order_date < date'1998-07-01'"), 1), path, ["order_year"])
-    upsert(path, counters(rows.filter("order_year >= 1998"), 2), ["user_id", "order_year"], "version", "order_year")
-    return spark.read.parquet(path)
+    relayout(counters(rows.filter(early | F.col("order_year").isNull()), 1), path, ["order_year"])
+    changed = counters(rows.filter("order_year >= 1998 OR order_year IS NULL AND user_id % 2 = 1"), 2)
+    upsert(path, changed, ["user_id", "order_year"], "version", "order_year")
+    return read_files(spark, path, "parquet", changed.schema)
 
 
 EVENT_RECORD = record(event_id=LONG, user_id=LONG, event_type=TEXT, group_id=LONG)
@@ -240,23 +246,48 @@ def document_landing(spark, sf_dir):
 FIRST_LOAD, SECOND_LOAD = dt.date(2024, 1, 16), dt.date(2024, 1, 31)
 
 
-def _land_twice(spark, sf_dir, df, source_name):
-    """Two loads of a growing source; the second picks up only what is new."""
+# The late rows of the source come within this time.
+OVERLAP = "2 days"
+
+
+def staged_schema(rows: DataFrame) -> StructType:
+    """Schema of the landing table that holds ``rows``."""
+    return StructType([*rows.schema.fields, *record(
+        payload=TEXT, load_source=TEXT, loaded_at=TS_NTZ, load_date=DateType(), load_seq=IntegerType()).fields])
+
+
+def _with_gaps(events: DataFrame) -> DataFrame:
+    """Some events come without a time, and some of the last day before the first load
+    come late: the next time the source is read."""
+    ts = F.when(F.col("event_id") % 11 != 0, F.col("ts"))
+    start = F.lit(FIRST_LOAD).cast("timestamp_ntz")
+    return events.withColumn("ts", ts).withColumn(
+        "late", F.coalesce((F.col("event_id") % 7 == 0) & (F.col("ts") < start) & (F.col("ts") >= start - F.expr("interval 1 day")),
+                           F.lit(False)))
+
+
+def _land_in_parts(spark, events, source_name):
+    """Loads of a growing source: two on the first day, one later. Each picks up what no
+    load before it has brought, whatever its time."""
     landing, marks = fresh_path(spark, "landing"), fresh_path(spark, "marks")
-    known_then = df.filter(F.col("ts") < F.lit(FIRST_LOAD).cast("timestamp_ntz"))
-    for seq, (visible, day) in enumerate([(known_then, FIRST_LOAD), (df, SECOND_LOAD)]):
-        new = extract_new(visible, "ts", read_mark(spark, marks, source_name))
-        land_raw(new, landing, day, dt.datetime.combine(day, dt.time()), source_name)
-        landed = spark.read.parquet(landing).filter(F.col("load_date") == F.lit(day))
-        save_mark(landed, marks, source_name, "ts", seq)
-    return landing
+    rows = events.drop("late")
+    schema = staged_schema(rows)
+    first = F.coalesce(F.col("ts") < F.lit(FIRST_LOAD).cast("timestamp_ntz"), F.col("event_id") % 2 == 0) & ~F.col("late")
+    visible = [events.filter(first).drop("late"), events.filter(first | F.col("late")).drop("late"), rows]
+    for seq, (known, day) in enumerate(zip(visible, (FIRST_LOAD, FIRST_LOAD, SECOND_LOAD), strict=True)):
+        landed = read_or_empty(spark, landing, schema)
+        new = stored(extract_new(known, "ts", read_mark(spark, marks, source_name), landed, ["event_id"], OVERLAP), "increment")
+        land_raw(new, landing, day, dt.datetime.combine(day, dt.time()), source_name, load_seq=seq)
+        save_mark(new, marks, source_name, "ts", seq)
+    return landing, schema
 
 
 @query
 def raw_increment(spark, sf_dir):
     events = read_files(spark, f"{sf_dir}/events.parquet", "parquet", src.SCHEMAS["events"])
-    landing = _land_twice(spark, sf_dir, events, "events")
-    return spark.read.parquet(landing).select("load_date", "event_id", "user_id", "event_type", "ts", "load_source")
+    landing, schema = _land_in_parts(spark, _with_gaps(events), "events")
+    return read_files(spark, landing, "parquet", schema).select(
+        "load_date", "load_seq", "event_id", "user_id", "event_type", "ts", "load_source")
 
 
 MEMBER = record(group_id=LONG, user_id=LONG, event_id=LONG, event=TEXT, ts=TS_NTZ)
@@ -264,10 +295,12 @@ MEMBER = record(group_id=LONG, user_id=LONG, event_id=LONG, event=TEXT, ts=TS_NT
 
 @query
 def insert_new_keys(spark, sf_dir):
-    """Membership keys promoted from two staged loads into the persistent layer."""
-    landing = _land_twice(spark, sf_dir, src.group_log(spark, sf_dir), "group_log")
+    """Membership keys promoted from the staged loads into the persistent layer, one of
+    them again. Some members have no community; null is a key as well."""
+    log = src.group_log(spark, sf_dir).withColumn("group_id", F.when(F.col("group_id") != 0, F.col("group_id")))
+    landing, schema = _land_in_parts(spark, log.withColumn("late", F.lit(False)), "group_log")
     target = fresh_path(spark, "members")
-    step = LayerTable(landing, target, MEMBER, lambda df: df, ["group_id", "user_id"], ["ts", "event_id"])
+    step = LayerTable(landing, schema, target, MEMBER, lambda df: df, ["group_id", "user_id"], ["ts", "event_id"])
     for day in (FIRST_LOAD, SECOND_LOAD, SECOND_LOAD):
         promote(spark, [step], day)
     return read_files(spark, target, "parquet", MEMBER)
@@ -288,16 +321,12 @@ def current_members(spark, sf_dir):
 
 # --- event lake --------------------------------------------------------------------------------
 
-LAKE_FIRST, LAKE_LAST = dt.date(2024, 1, 1), dt.date(2024, 1, 31)
-LAKE_DAYS = (LAKE_LAST - LAKE_FIRST).days + 1
-
-
 @query
 def lake_relayout(spark, sf_dir):
     path = fresh_path(spark, "lake")
     dated = src.table(spark, sf_dir, "events").withColumn("event_date", F.col("ts").cast("date"))
     relayout(dated, path, ["event_date", "event_type"])
-    return read_lake(spark, path, LAKE_LAST, LAKE_DAYS).groupBy("event_date", "event_type").agg(
+    return read_files(spark, path, "parquet", dated.schema).groupBy("event_date", "event_type").agg(
         F.count(F.lit(1)).alias("events"),
         F.countDistinct("user_id").alias("users"),
         F.min("event_id").alias("first_event"),
@@ -317,16 +346,25 @@ def zone_mart(spark, sf_dir):
 
 @query
 def rerun_safe_mart(spark, sf_dir):
-    """Full run, then one day again, then a look-back of ten days: equals one run."""
+    """Full run, then one day again, then a look-back of ten days: equals one run. A week
+    that the lake does not hold any more is gone after the next run over it."""
     lake_path = fresh_path(spark, "lake")
-    relayout(src.lake_events(spark, sf_dir).withColumn("event_date", F.col("ts").cast("date")),
-             lake_path, ["event_date"])
-    mart = Mart(lake_path, "event_date", lambda df: lake.zone_weeks(df, src.EVENT_TYPES),
+    dated = src.lake_events(spark, sf_dir).withColumn("event_date", F.col("ts").cast("date"))
+    gone = dated.filter("event_id % 100 = 0").withColumn("event_date", F.date_add("event_date", 70))
+    relayout(dated.unionByName(gone.withColumn("ts", F.col("ts") + F.expr("interval 70 days"))), lake_path, ["event_date"])
+    mart = Mart(lake_path, dated.schema, "event_date", lambda df: lake.zone_weeks(df, src.EVENT_TYPES),
                 fresh_path(spark, "zone-weeks"), "week", "week")
-    backfill(spark, mart, LAKE_FIRST, LAKE_LAST)
-    refresh(spark, mart, dt.date(2024, 1, 17))
-    refresh(spark, mart, dt.date(2024, 1, 24), 10)
-    return lake.with_month_totals(spark.read.parquet(mart.path), src.EVENT_TYPES)
+    bounds = stored_days(spark, mart)
+    if bounds:
+        first, last = bounds
+        backfill(spark, mart, first, last)
+        extra = [first + dt.timedelta(days=70 + k) for k in range((last - first).days - 69)]
+        drop_periods(spark, lake_path, "event_date", extra)
+        refresh(spark, mart, last, (last - first).days - 60)
+        refresh(spark, mart, first + dt.timedelta(days=16))
+        refresh(spark, mart, first + dt.timedelta(days=23), 10)
+    weeks = mart.build(dated).schema
+    return lake.with_month_totals(read_or_empty(spark, mart.path, weeks), src.EVENT_TYPES)
 
 
 @query

@@ -30,15 +30,24 @@ def enrich(df: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     return df.join(lookup, key, "left")
 
 
+def _by_key(df: DataFrame, known: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join to the distinct keys of ``known``. Null is a key like any other."""
+    other = known.select(*[F.col(k).alias(f"_known_{k}") for k in keys]).distinct()
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_known_{k}"))
+    return df.join(other, same, how)
+
+
 def without_known(df: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose key is not in ``known``. The known keys are reduced before the
     shuffle, so a key repeated there many times is one row."""
-    return df.join(known.select(*keys).distinct(), keys, "left_anti")
+    return _by_key(df, known, keys, "left_anti")
 
 
 def only_known(df: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose key is in ``known``."""
-    return df.join(known.select(*keys).distinct(), keys, "left_semi")
+    return _by_key(df, known, keys, "left_semi")
 
 
 def block_join(left: DataFrame, right: DataFrame, group: list[str], left_id: str, right_id: str,

@@ -132,4 +132,6 @@ def with_dense_ranks(df: DataFrame, count_col: str, overall: str, within: str, g
     in_all = levels.select(count_col).distinct().withColumn(
         overall, F.dense_rank().over(W.orderBy(F.col(count_col).desc()))
     )
-    return df.join(in_group.join(in_all, count_col), [group, count_col])
+    levels = in_group.join(in_all, count_col).withColumnsRenamed({group: "_group", count_col: "_count"})
+    same = F.col(group).eqNullSafe(F.col("_group")) & (F.col(count_col) == F.col("_count"))
+    return df.join(levels, same).drop("_group", "_count")

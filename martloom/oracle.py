@@ -6,7 +6,7 @@ windows, joins and distinct counts stand where Spark uses another route.
 
 from __future__ import annotations
 
-from martloom.catalog import LAKE_FIRST, LAKE_LAST, PROMO_NOW, STATUS_SINCE, FIRST_LOAD, SECOND_LOAD, TOP_DISHES
+from martloom.catalog import PROMO_NOW, STATUS_SINCE, FIRST_LOAD, SECOND_LOAD, TOP_DISHES
 from martloom.standins import EVENT_TYPES, WIDE_DIMS, WIDE_MEASURES
 
 K = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
@@ -137,7 +137,7 @@ _POPULAR = """pop AS (SELECT l_partkey AS dish_id, count(DISTINCT o_orderkey) AS
 ranked AS (SELECT dish_id, p_name AS dish_name, p_type AS category, orders, users,
     dense_rank() OVER (ORDER BY orders DESC) AS rank_overall,
     dense_rank() OVER (PARTITION BY p_type ORDER BY orders DESC) AS rank_in_category
-  FROM pop JOIN part ON dish_id = p_partkey)"""
+  FROM pop LEFT JOIN part ON dish_id = p_partkey)"""
 
 
 def _km(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
@@ -174,34 +174,39 @@ ORACLE: dict[str, str] = {
           CAST((week - cohort_week) // 7 AS BIGINT) AS weeks_since, count(DISTINCT act.user_id) AS customers
         FROM act JOIN co USING (user_id) GROUP BY 1, 2""",
     "status_backfill": f"""WITH {ORDERS},
-        h AS (SELECT * REPLACE (CASE WHEN order_date < DATE '{STATUS_SINCE}' THEN 'F' ELSE status END AS status) FROM o)
+        h AS (SELECT * REPLACE (CASE WHEN order_date >= DATE '{STATUS_SINCE}' THEN status ELSE 'F' END AS status) FROM o)
         SELECT order_id, user_id, status, CAST(CASE WHEN status = 'P' THEN -amount ELSE amount END AS DOUBLE)
           AS signed_amount, CAST(order_date AS VARCHAR) AS order_date FROM h""",
     "courier_ledger": _COURIER,
-    "upsert_counters": """SELECT o_custkey AS user_id, year(o_orderdate) AS order_year, count(*) AS orders,
-        CAST(CASE WHEN year(o_orderdate) >= 1998 THEN 2 ELSE 1 END AS BIGINT) AS version FROM orders GROUP BY 1, 2""",
+    "upsert_counters": """SELECT o_custkey AS user_id, CASE WHEN o_orderstatus <> 'P' THEN year(o_orderdate) END AS order_year,
+        count(*) AS orders, CAST(CASE WHEN order_year >= 1998 OR order_year IS NULL AND o_custkey % 2 = 1 THEN 2 ELSE 1 END
+        AS BIGINT) AS version FROM orders GROUP BY 1, 2""",
     "paged_extract": f"WITH {EVENTS} SELECT event_id, user_id, event_type, k AS group_id FROM ev",
     "document_landing": f"""WITH {EVENTS} SELECT event_id, user_id, event_type, k AS group_id, 'landed' AS state
         FROM ev WHERE event_type <> 'error' UNION ALL
         SELECT count(*), 0, '', 0, 'set aside' FROM ev WHERE event_type = 'error'""",
-    "raw_increment": f"""SELECT CASE WHEN ts < TIMESTAMP '{FIRST_LOAD}' THEN '{FIRST_LOAD}' ELSE '{SECOND_LOAD}' END
-        AS load_date, event_id, user_id, event_type, ts, 'events' AS load_source FROM events""",
-    "insert_new_keys": f"""WITH {EVENTS} SELECT k AS group_id, user_id, event_id, event_type AS event, ts FROM ev
-        QUALIFY row_number() OVER (PARTITION BY k, user_id ORDER BY ts, event_id) = 1""",
+    "raw_increment": f"""WITH e AS (SELECT * REPLACE (CASE WHEN event_id % 11 <> 0 THEN ts END AS ts) FROM events),
+        s AS (SELECT *, CASE WHEN ts < TIMESTAMP '{FIRST_LOAD}' THEN
+              CASE WHEN event_id % 7 = 0 AND ts >= TIMESTAMP '{FIRST_LOAD}' - INTERVAL 1 DAY THEN 1 ELSE 0 END
+            WHEN ts IS NULL AND event_id % 2 = 0 THEN 0 ELSE 2 END AS seq FROM e)
+        SELECT CASE WHEN seq < 2 THEN '{FIRST_LOAD}' ELSE '{SECOND_LOAD}' END AS load_date, CAST(seq AS BIGINT) AS load_seq,
+          event_id, user_id, event_type, ts, 'events' AS load_source FROM s""",
+    "insert_new_keys": f"""WITH {EVENTS} SELECT nullif(k, 0) AS group_id, user_id, event_id, event_type AS event, ts FROM ev
+        QUALIFY row_number() OVER (PARTITION BY nullif(k, 0), user_id ORDER BY ts, event_id) = 1""",
     "community_conversion": f"""WITH {EVENTS},
         old AS (SELECT k, min(ts) AS first_ts FROM ev GROUP BY 1 ORDER BY 2, 1 LIMIT 10),
         j AS (SELECT DISTINCT k, user_id FROM ev WHERE event_type = 'signup'),
-        w AS (SELECT * FROM j WHERE EXISTS (SELECT 1 FROM ev WHERE ev.k = j.k AND ev.user_id = j.user_id
+        w AS (SELECT * FROM j WHERE EXISTS (SELECT 1 FROM ev WHERE ev.k IS NOT DISTINCT FROM j.k AND ev.user_id = j.user_id
           AND event_type = 'purchase')),
-        c AS (SELECT k AS group_id, first_ts, (SELECT count(*) FROM j WHERE j.k = old.k) AS joined_users,
-          (SELECT count(*) FROM w WHERE w.k = old.k) AS writers FROM old)
+        c AS (SELECT k AS group_id, first_ts, (SELECT count(*) FROM j WHERE j.k IS NOT DISTINCT FROM old.k) AS joined_users,
+          (SELECT count(*) FROM w WHERE w.k IS NOT DISTINCT FROM old.k) AS writers FROM old)
         SELECT *, CAST(writers AS DOUBLE) / nullif(CAST(joined_users AS DOUBLE), 0) AS conversion FROM c""",
     "current_members": f"""WITH {EVENTS}, last AS (SELECT * FROM ev WHERE event_type IN ('signup', 'error')
           QUALIFY row_number() OVER (PARTITION BY k, user_id ORDER BY ts DESC, event_id DESC) = 1)
         SELECT k AS group_id, user_id, ts AS member_since FROM last WHERE event_type = 'signup'""",
-    "lake_relayout": f"""SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS event_date, event_type, count(*) AS events,
+    "lake_relayout": """SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS event_date, event_type, count(*) AS events,
         count(DISTINCT user_id) AS users, min(event_id) AS first_event, max(event_id) AS last_event FROM events
-        WHERE CAST(ts AS DATE) BETWEEN DATE '{LAKE_FIRST}' AND DATE '{LAKE_LAST}' GROUP BY 1, 2""",
+        GROUP BY 1, 2""",
     "user_mart": _user_mart(),
     "zone_mart": _zone_mart(),
     "rerun_safe_mart": _zone_mart(),
@@ -226,5 +231,5 @@ ORACLE: dict[str, str] = {
           count(DISTINCT o_orderkey) AS orders
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 3
         UNION ALL SELECT o_custkey, 'category', p_type, count(DISTINCT o_orderkey)
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey GROUP BY 1, 3""",
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN part ON l_partkey = p_partkey GROUP BY 1, 3""",
 }

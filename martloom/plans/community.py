@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from martloom.functions.scalars import ratio
+from martloom.operators.joins import only_known
 from martloom.operators.ranking import first_event, latest_per_key, oldest
 
 
@@ -25,14 +26,15 @@ def community_conversion(log: DataFrame, messages: DataFrame, enter: str, n: int
     first = F.broadcast(oldest(first_event(log, "group_id", "ts", "first_ts"), "first_ts", "group_id", n))
 
     def chosen(df: DataFrame) -> DataFrame:
-        return df.join(first.select("group_id"), "group_id", "left_semi")
+        return only_known(df, first, ["group_id"])
 
     counted = user_steps(chosen(log), chosen(messages), enter).groupBy("group_id").agg(
         F.count_if("entered").alias("joined_users"),
         F.count_if(F.col("entered") & F.col("wrote")).alias("writers"),
     )
-    # Every chosen community has an event in the log, so the inner join keeps all.
-    return counted.join(first, "group_id").withColumn(
+    # Every chosen community has an event in the log, and null is one as well.
+    first = first.withColumnRenamed("group_id", "_group")
+    return counted.join(first, F.col("group_id").eqNullSafe(F.col("_group"))).drop("_group").withColumn(
         "conversion", ratio(F.col("writers"), F.col("joined_users"))
     )
 

@@ -9,9 +9,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from martloom.operators.joins import only_known, without_known
 from martloom.operators.rows import conform
+from martloom.session import stored
 from martloom.sources.files import lake_window
-from martloom.sources.sinks import insert_new, write_mart
+from martloom.sources.sinks import drop_periods, insert_new, write_mart
 
 
 @dataclass(frozen=True)
@@ -19,10 +21,12 @@ class LayerTable:
     """How one staged table reaches the next layer.
 
     With ``period_col`` whole periods are replaced, otherwise rows with new
-    ``keys`` are added. ``shape`` turns staged rows into target columns.
+    ``keys`` are added. ``shape`` turns staged rows (``staged`` is their schema)
+    into target columns.
     """
 
     staging: str
+    staged: StructType
     target: str
     schema: StructType
     shape: Callable[[DataFrame], DataFrame]
@@ -32,12 +36,17 @@ class LayerTable:
 
 
 def promote(spark: SparkSession, tables: Sequence[LayerTable], day: dt.date) -> None:
-    """Carry the rows staged on ``day`` into the next layer."""
+    """Carry the rows staged on ``day`` into the next layer.
+
+    A period that the day touches is rebuilt from all staged rows, not from the
+    day's alone: other loads may hold rows of it too.
+    """
     for table in tables:
-        staged = spark.read.parquet(table.staging).filter(F.col("load_date") == F.lit(day))
-        rows = conform(table.shape(staged), table.schema)
+        staged = spark.read.schema(table.staged).parquet(table.staging)
+        rows = conform(table.shape(staged.filter(F.col("load_date") == F.lit(day))), table.schema)
         if table.period_col:
-            write_mart(rows, table.target, table.period_col)
+            whole = conform(table.shape(staged), table.schema)
+            write_mart(only_known(whole, rows, [table.period_col]), table.target, table.period_col)
         else:
             insert_new(rows, table.target, list(table.keys), list(table.order_cols), table.schema)
 
@@ -47,6 +56,7 @@ class Mart:
     """A mart computed from the lake, stored and replaced period by period."""
 
     lake: str
+    schema: StructType
     day_col: str
     build: Callable[[DataFrame], DataFrame]
     path: str
@@ -70,11 +80,24 @@ def refresh(spark: SparkSession, mart: Mart, day: dt.date, depth: int = 1) -> No
     """Rebuild every period touched by the last ``depth`` days up to ``day``.
 
     Periods are always read whole, so a refresh in the middle of a week never
-    replaces that week by a part of it, and days may be refreshed in any order.
+    replaces that week by a part of it, and days may be refreshed in any order. A
+    stored period of the span that has no rows any more is removed.
     """
     first, last = period_bounds(*lake_window(day, depth), mart.period)
-    rows = spark.read.parquet(mart.lake).filter(F.col(mart.day_col).between(F.lit(first), F.lit(last)))
-    write_mart(mart.build(rows), mart.path, mart.period_col)
+    rows = spark.read.schema(mart.schema).parquet(mart.lake).filter(F.col(mart.day_col).between(F.lit(first), F.lit(last)))
+    built = stored(mart.build(rows), "mart")
+    write_mart(built, mart.path, mart.period_col)
+    held = spark.read.schema(built.schema).parquet(mart.path).filter(F.col(mart.period_col).between(F.lit(first), F.lit(last)))
+    # A few periods, whatever the size of the mart.
+    empty = without_known(held.select(mart.period_col).distinct(), built, [mart.period_col])
+    drop_periods(spark, mart.path, mart.period_col, [r[0] for r in empty.collect()])
+
+
+def stored_days(spark: SparkSession, mart: Mart) -> tuple[dt.date, dt.date] | None:
+    """First and last day of the lake, read from its folders."""
+    lake = spark.read.schema(mart.schema).parquet(mart.lake)
+    first, last = lake.agg(F.min(mart.day_col), F.max(mart.day_col)).first()
+    return None if first is None else (first, last)
 
 
 def backfill(spark: SparkSession, mart: Mart, first: dt.date, last: dt.date) -> None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from martloom.operators.joins import enrich
 from martloom.operators.ranking import top, with_dense_ranks
 
 
@@ -22,7 +23,8 @@ def dish_popularity(lines: DataFrame, dishes: DataFrame) -> DataFrame:
     counts = user_item_counts(lines, "dish_id").groupBy("dish_id").agg(
         F.sum("orders").alias("orders"), F.count(F.lit(1)).alias("users")
     )
-    named = counts.join(dishes, "dish_id")
+    # A dish that the lookup does not hold stays, without name and category.
+    named = enrich(counts, dishes, "dish_id")
     return with_dense_ranks(named, "orders", "rank_overall", "rank_in_category", "category")
 
 

@@ -91,9 +91,9 @@ def order_dishes(spark: SparkSession, sf_dir: str, item: str = "dish_id") -> Dat
     its category. Repeats within an order go before the join."""
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("dish_id")
-    ).filter("dish_id IS NOT NULL").distinct()
+    ).distinct()
     if item == "category":
-        lines = lines.join(dishes(spark, sf_dir), "dish_id").select("order_id", "category").distinct()
+        lines = enrich(lines, dishes(spark, sf_dir), "dish_id").select("order_id", "category").distinct()
     owners = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id")
     )

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import plan, rows
 from martloom.operators.quality import bag_difference, duplicates
-from martloom.plans.layers import LayerTable, Mart, backfill, period_bounds, promote, refresh
+from martloom.plans.layers import LayerTable, Mart, backfill, period_bounds, promote, refresh, stored_days
 from martloom.schema import LONG, TEXT, TS_NTZ, record
 from martloom.sources import sinks
 from martloom.sources.files import lake_window, read_documents, read_files, read_lake, read_lookup
@@ -85,13 +85,14 @@ def test_increment_and_mark(spark, tmp_path):
     t = dt.datetime(2024, 1, 1)
     source = spark.createDataFrame([(i, t + dt.timedelta(hours=i)) for i in range(4)], "id long, ts timestamp_ntz")
     assert sinks.read_mark(spark, marks, "s") is None
-    assert sinks.extract_new(source, "ts", None).count() == 4
+    none = source.filter("false")
+    assert sinks.extract_new(source, "ts", None, none, ["id"]).count() == 4
     sinks.save_mark(source.filter("id < 2"), marks, "s", "ts", 0)
     sinks.save_mark(source, marks, "other", "ts", 0)
-    new = sinks.extract_new(source, "ts", sinks.read_mark(spark, marks, "s"))
+    new = sinks.extract_new(source, "ts", sinks.read_mark(spark, marks, "s"), source.filter("id < 2"), ["id"])
     assert rows(new, "id") == [(2,), (3,)]
     sinks.save_mark(new, marks, "s", "ts", 1)
-    nothing = sinks.extract_new(source, "ts", sinks.read_mark(spark, marks, "s"))
+    nothing = sinks.extract_new(source, "ts", sinks.read_mark(spark, marks, "s"), source, ["id"])
     assert nothing.count() == 0
     assert sinks.save_mark(nothing, marks, "s", "ts", 2) is None
     assert sinks.read_mark(spark, marks, "s") == "2024-01-01 03:00:00"
@@ -113,9 +114,10 @@ def test_promotion_twice_adds_nothing(spark, tmp_path):
     for shift, ids in enumerate(((1, 2), (2, 3))):
         df = spark.createDataFrame([(i, f"n{i}") for i in ids], "id int, name string")
         sinks.land_raw(df, staging, DAY + dt.timedelta(days=shift), dt.datetime(2024, 1, 10), "api")
+    staged = spark.read.parquet(staging).schema
     tables = [
-        LayerTable(staging, dds, schema, lambda d: d, keys=["id"], order_cols=["name"]),
-        LayerTable(staging, mart, record(load_date=TS_NTZ, n=LONG),
+        LayerTable(staging, staged, dds, schema, lambda d: d, keys=["id"], order_cols=["name"]),
+        LayerTable(staging, staged, mart, record(load_date=TS_NTZ, n=LONG),
                    lambda d: d.groupBy("load_date").agg(F.count(F.lit(1)).alias("n")), period_col="load_date"),
     ]
     for shift in (0, 1, 1):
@@ -137,7 +139,7 @@ def _mart(spark, tmp_path, name, lake):
     def build(df):
         return df.groupBy(F.date_trunc("week", "day").cast("date").alias("week")).agg(F.sum("amount").alias("amount"))
 
-    return Mart(lake, "day", build, str(tmp_path / name), "week", "week")
+    return Mart(lake, spark.read.parquet(lake).schema, "day", build, str(tmp_path / name), "week", "week")
 
 
 def test_backfill_law_in_any_order(spark, tmp_path):
@@ -189,3 +191,63 @@ def test_messages_and_feedback(spark):
     assert rows(with_id) == [("1", '{"promo":"p","message_id":"m1"}')]
     feedback = sinks.to_feedback(df)
     assert feedback.dtypes[-1] == ("feedback", "string") and rows(feedback) == [(1, "p", None)]
+
+
+def test_two_loads_of_one_day_are_both_kept(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    for seq, ids in enumerate(((1, 2), (3,), (3,))):
+        df = spark.createDataFrame([(i,) for i in ids], "id long")
+        sinks.land_raw(df, path, DAY, dt.datetime(2024, 1, 10), "api", load_seq=min(seq, 1))
+    assert rows(spark.read.parquet(path), "id", "load_seq") == [(1, 0), (2, 0), (3, 1)]
+
+
+def test_ties_late_rows_and_rows_without_a_time_are_loaded_once(spark, tmp_path):
+    t = dt.datetime(2024, 1, 5)
+    hour = dt.timedelta(hours=1)
+    schema = "id long, ts timestamp_ntz"
+    landed = spark.createDataFrame([(1, t), (2, None), (3, t - hour)], schema)
+    source = spark.createDataFrame(
+        [(1, t), (2, None), (3, t - hour), (4, t), (5, None), (6, t - hour), (7, t - 50 * hour), (8, t + hour)], schema)
+    assert rows(sinks.extract_new(source, "ts", str(t), landed, ["id"]), "id") == [(4,), (5,), (8,)]
+    assert rows(sinks.extract_new(source, "ts", str(t), landed, ["id"], "1 day"), "id") == [(4,), (5,), (6,), (8,)]
+
+
+def test_null_keys_are_inserted_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = record(k=LONG, v=TEXT, t=LONG)
+    new = spark.createDataFrame([(None, "a", 1), (None, "b", 2), (1, "c", 1)], schema)
+    for _ in range(3):
+        sinks.insert_new(new, path, ["k"], ["t"], schema)
+    assert rows(spark.read.parquet(path), "k", "v") == [(1, "c"), (None, "a")]
+
+
+def test_upsert_keeps_the_rest_of_the_null_period(spark, tmp_path):
+    path = str(tmp_path / "counters")
+    schema = "user_id long, year int, n long, version int"
+    sinks.upsert(path, spark.createDataFrame([(1, None, 5, 1), (2, None, 1, 1), (3, 2024, 1, 1)], schema), ["user_id", "year"], "version", "year")
+    sinks.upsert(path, spark.createDataFrame([(1, None, 6, 2)], schema), ["user_id", "year"], "version", "year")
+    assert rows(spark.read.schema(schema).parquet(path), "user_id", "n") == [(1, 6), (2, 1), (3, 1)]
+
+
+def test_promotion_by_period_keeps_rows_of_other_loads(spark, tmp_path):
+    staging, mart = str(tmp_path / "stg"), str(tmp_path / "mart")
+    schema = record(id=LONG, month=LONG)
+    for shift, ids in enumerate(((1, 2), (3,))):
+        df = spark.createDataFrame([(i, 1) for i in ids] + [(10 + shift, None)], "id long, month long")
+        sinks.land_raw(df, staging, DAY + dt.timedelta(days=shift), dt.datetime(2024, 1, 10), "api")
+    step = LayerTable(staging, spark.read.parquet(staging).schema, mart, schema, lambda d: d, period_col="month")
+    for shift in (0, 1):
+        promote(spark, [step], DAY + dt.timedelta(days=shift))
+    assert sorted(r.id for r in spark.read.schema(schema).parquet(mart).collect()) == [1, 2, 3, 10, 11]
+
+
+def test_a_period_that_became_empty_is_removed(spark, tmp_path):
+    lake = str(tmp_path / "lake")
+    days = [dt.date(2024, 1, 2), dt.date(2024, 1, 16), dt.date(2024, 1, 23)]
+    sinks.relayout(spark.createDataFrame([(d, 10) for d in days], "day date, amount long"), lake, ["day"])
+    mart = _mart(spark, tmp_path, "mart", lake)
+    assert stored_days(spark, mart) == (days[0], days[2])
+    backfill(spark, mart, days[0], days[2])
+    sinks.drop_periods(spark, lake, "day", [days[1]])
+    refresh(spark, mart, days[1])
+    assert rows(spark.read.parquet(mart.path), "week") == [(dt.date(2024, 1, 1),), (dt.date(2024, 1, 22),)]

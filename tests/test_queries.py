@@ -1,6 +1,7 @@
 """Registered queries against their SQL, on whole tables."""
 
 import os
+import re
 
 import pytest
 
@@ -18,7 +19,8 @@ def duck():
 
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"segment_scores_approx"}
+    without = set(entry.queries()) - set(entry.oracle_sql())
+    assert {q for q in without if not re.match(r"op\d+_|pipeline$", q)} == {"segment_scores_approx"}
 
 
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
