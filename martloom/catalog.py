@@ -372,10 +372,14 @@ def nearest_zone(spark, sf_dir):
     return zone_of_point(src.user_points(spark, sf_dir), "user_id", src.zone_centres(spark, sf_dir))
 
 
+# Two communities of four members, or one of two.
+FRIEND_WEIGHT = lake.UNIT // 2
+
+
 @query
 def friend_recommendations(spark, sf_dir):
     sent, received = src.direct_messages(spark, sf_dir)
-    return lake.friend_recommendations(src.zone_members(spark, sf_dir), lake.undirected(sent, received))
+    return lake.friend_recommendations(src.zone_members(spark, sf_dir), lake.undirected(sent, received), FRIEND_WEIGHT)
 
 
 # --- streams ---------------------------------------------------------------------------------------

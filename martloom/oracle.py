@@ -6,7 +6,7 @@ windows, joins and distinct counts stand where Spark uses another route.
 
 from __future__ import annotations
 
-from martloom.catalog import PROMO_NOW, STATUS_SINCE, FIRST_LOAD, SECOND_LOAD, TOP_DISHES
+from martloom.catalog import FRIEND_WEIGHT, PROMO_NOW, STATUS_SINCE, FIRST_LOAD, SECOND_LOAD, TOP_DISHES
 from martloom.standins import EVENT_TYPES, WIDE_DIMS, WIDE_MEASURES
 
 K = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
@@ -121,10 +121,11 @@ def _user_mart() -> str:
 _SHARED = f"""{EVENTS},
 member AS (SELECT DISTINCT c_nationkey AS zone_id, user_id, k FROM ev JOIN customer ON user_id = c_custkey
   WHERE event_type = 'view'),
-contact AS (SELECT DISTINCT least(user_id, k) AS a, greatest(user_id, k) AS b FROM ev
-  WHERE event_type IN ('click', 'signup') AND user_id <> k),
-pair AS (SELECT x.zone_id, x.user_id AS a, y.user_id AS b, count(*) AS shared
-  FROM member x JOIN member y ON x.zone_id = y.zone_id AND x.k = y.k AND x.user_id < y.user_id GROUP BY 1, 2, 3)"""
+contact AS (SELECT DISTINCT user_id AS a, user_id + k AS b FROM ev WHERE event_type IN ('click', 'signup') AND k <> 0),
+w AS (SELECT zone_id, k, 1000000 // count(*) AS w FROM member GROUP BY 1, 2),
+pair AS (SELECT x.zone_id, x.user_id AS a, y.user_id AS b, count(*) AS shared, CAST(sum(w) AS BIGINT) AS weight
+  FROM member x JOIN member y ON x.zone_id = y.zone_id AND x.k = y.k AND x.user_id < y.user_id
+  JOIN w ON w.zone_id = x.zone_id AND w.k = x.k GROUP BY 1, 2, 3)"""
 
 _NOTIFY = f"""{EVENTS},
 sub AS (SELECT DISTINCT user_id, k FROM ev WHERE event_type = 'view'),
@@ -217,8 +218,8 @@ ORACLE: dict[str, str] = {
         d AS (SELECT user_id, zone_id, round({_km('lat', 'lon', 'zlat', 'zlon')}, 3) AS distance_km FROM u, z)
         SELECT user_id, zone_id, distance_km FROM d
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY distance_km, zone_id) = 1""",
-    "friend_recommendations": f"""WITH {_SHARED} SELECT CAST(zone_id AS BIGINT) AS zone_id, a, b, shared FROM pair
-        WHERE shared >= 2 AND NOT EXISTS (SELECT 1 FROM contact c WHERE c.a = pair.a AND c.b = pair.b)""",
+    "friend_recommendations": f"""WITH {_SHARED} SELECT CAST(zone_id AS BIGINT) AS zone_id, a, b, shared, weight FROM pair
+        WHERE weight >= {FRIEND_WEIGHT} AND NOT EXISTS (SELECT 1 FROM contact c WHERE c.a = pair.a AND c.b = pair.b)""",
     "stream_notifications": f"""WITH {_NOTIFY} SELECT promo_id, k AS restaurant_id, user_id, promo_start, favourites,
         {_key(['promo_id', 'user_id'])} AS message_id FROM promo JOIN sub USING (k) JOIN fav USING (user_id)""",
     "stream_feedback": f"""WITH {_NOTIFY} SELECT promo_id, k AS restaurant_id, user_id, 'none' AS feedback

@@ -63,33 +63,37 @@ def undirected(sent: DataFrame, received: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def shared_community_pairs(members: DataFrame, min_shared: int) -> DataFrame:
-    """User pairs of one zone that share at least ``min_shared`` communities.
-
-    ``members`` has distinct ``(zone_id, user_id, group_id)``. Result:
-    ``(zone_id, a, b, shared)`` with ``a < b``.
-
-    Prefix filtering (Chaudhuri, Ganti & Kaushik, ICDE 2006): order the
-    communities of a zone from rare to frequent. Two users who share t of them
-    must meet in one that is not among the t-1 most frequent of either, so the
-    communities at the tail of a user's list are never paired with each other. A
-    community that holds a third of all rows is at the tail of nearly all its
-    members and produces almost no pairs, yet no pair is lost and every count is
-    complete: what both tails share is counted from the two short tails.
+#: A community of n members weighs this over n, rounded down.
+UNIT = 1_000_000
+
+
+def shared_community_pairs(members: DataFrame, min_weight: int) -> DataFrame:
+    """User pairs of one zone whose shared communities weigh ``min_weight`` or more.
+
+    ``members`` has distinct ``(zone_id, user_id, group_id)``; a community weighs the less
+    the more members of the zone it has. Result: ``(zone_id, a, b, shared, weight)`` with
+    ``a < b``.
+
+    Prefix filtering (Chaudhuri, Ganti & Kaushik, ICDE 2006), by weight: a user's tail is
+    the most frequent communities that together stay below the threshold. Two users who
+    share nothing outside both tails cannot reach it, so tails are never paired with each
+    other. Any number of communities that everyone is in weigh next to nothing and stay
+    in the tails; no pair is lost, and every count and weight is complete: what both tails
+    share is added from the two lists.
     """
-    if min_shared < 1:
-        raise ValueError("min_shared must be at least 1")
+    if min_weight < 1:
+        raise ValueError("min_weight must be at least 1")
     group = ["zone_id", "group_id"]
-    sizes = members.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
+    sizes = members.groupBy(*group).agg(F.floor(F.lit(UNIT) / F.count(F.lit(1))).cast("bigint").alias("w"))
     of_user = W.partitionBy("zone_id", "user_id")
-    frequent_first = of_user.orderBy(F.col("n").desc(), F.col("group_id").desc())
-    in_tail = F.col("at") < min_shared
+    light_first = of_user.orderBy(F.col("w").asc(), F.col("group_id").desc()).rowsBetween(W.unboundedPreceding, 0)
+    in_tail = F.col("upto") < min_weight
     # Read four times below, so it is computed once.
     listed = stored(
         members.join(sizes, group)
-        .withColumn("at", F.row_number().over(frequent_first))
-        .withColumn("tail", F.collect_list(F.when(in_tail, F.col("group_id"))).over(of_user))
-        .select(*group, "user_id", "tail", in_tail.alias("in_tail")),
+        .withColumn("upto", F.sum("w").over(light_first))
+        .withColumn("tail", F.collect_list(F.when(in_tail, F.struct("group_id", "w"))).over(of_user))
+        .select(*group, "user_id", "w", "tail", in_tail.alias("in_tail")),
         "listed-members",
     )
     head = listed.filter(~F.col("in_tail")).drop("in_tail")
@@ -100,11 +104,13 @@ def shared_community_pairs(members: DataFrame, min_shared: int) -> DataFrame:
         return block_join(left, other, group, "user_id", "other_id")
 
     def pair(met: DataFrame) -> DataFrame:
+        both = F.array_intersect("tail", "other_tail")
         return met.select(
-            "zone_id",
+            "zone_id", "w",
             F.least("user_id", "other_id").alias("a"),
             F.greatest("user_id", "other_id").alias("b"),
-            F.size(F.array_intersect("tail", "other_tail")).alias("in_tails"),
+            F.size(both).alias("n_tails"),
+            F.aggregate(both, F.lit(0).cast("bigint"), lambda acc, g: acc + g["w"]).alias("w_tails"),
         )
 
     # A meeting in a group is one shared community; the tails are equal in every
@@ -113,12 +119,12 @@ def shared_community_pairs(members: DataFrame, min_shared: int) -> DataFrame:
         pair(meet(head, head).filter("user_id < other_id"))
         .unionAll(pair(meet(head, tail).filter("user_id <> other_id")))
         .groupBy("zone_id", "a", "b")
-        .agg((F.count(F.lit(1)) + F.max("in_tails")).alias("shared"))
-        .filter(F.col("shared") >= min_shared)
+        .agg((F.count(F.lit(1)) + F.max("n_tails")).alias("shared"), (F.sum("w") + F.max("w_tails")).alias("weight"))
+        .filter(F.col("weight") >= min_weight)
     )
 
 
-def friend_recommendations(members: DataFrame, contacts: DataFrame, min_shared: int = 2) -> DataFrame:
-    """Pairs of one zone with enough shared communities and no contact so far
-    (common neighbours: Liben-Nowell & Kleinberg, CIKM 2003)."""
-    return without_known(shared_community_pairs(members, min_shared), contacts, ["a", "b"])
+def friend_recommendations(members: DataFrame, contacts: DataFrame, min_weight: int) -> DataFrame:
+    """Pairs of one zone with enough shared communities and no contact so far (common
+    neighbours weighed by their size: Adamic & Adar, Social Networks 2003)."""
+    return without_known(shared_community_pairs(members, min_weight), contacts, ["a", "b"])

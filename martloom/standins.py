@@ -144,13 +144,13 @@ def zone_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def direct_messages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Sent and received lists: a click on k is a message to user k, a signup in k
-    is a message received from user k."""
-    rows = events(spark, sf_dir)
+    """Sent and received lists, over all users: a click on k is a message to the user k
+    numbers on, a signup in k a message received from there."""
+    rows = events(spark, sf_dir).withColumn("other", F.col("user_id") + F.col("group_id"))
     sent = rows.filter(F.col("event_type") == SEND).select(
-        F.col("user_id").alias("from_id"), F.col("group_id").alias("to_id"))
+        F.col("user_id").alias("from_id"), F.col("other").alias("to_id"))
     received = rows.filter(F.col("event_type") == ENTER).select(
-        F.col("group_id").alias("from_id"), F.col("user_id").alias("to_id"))
+        F.col("other").alias("from_id"), F.col("user_id").alias("to_id"))
     return sent, received
 
 

@@ -83,7 +83,21 @@ def test_a_rate_on_the_bound_is_in_the_upper_tier(spark):
         (1, 2, 1, D("180.00"), D("180.95")),
         (2, 1, 1, D("50.00"), D("50.00")),
     ]
-    assert "Join" not in plan(out)
+    text = plan(out)
+    assert "NestedLoop" not in text and "Cartesian" not in text
+
+
+def test_a_long_rate_card(spark):
+    """A thousand tiers of a hundredth, each paying its own share."""
+    card = [(f"{i / 100:.2f}", f"{(i + 1) / 100:.2f}", f"{i / 100:.2f}", "0") for i in range(1000)]
+    rates = ["0.00", "0.01", "3.33", "3.34", "9.99", "10.00"]
+    out = courier.courier_ledger(
+        _deliveries(spark, [(k, r, "100.00", "0.00", "2024-01-01") for k, r in enumerate(rates)]
+                    + [(9, "1.00", "100.00", "0.00", "2024-01-01"), (9, "1.01", "100.00", "0.00", "2024-01-02"),
+                       (9, "1.01", "100.00", "0.00", "2024-01-03")]), _tiers(spark, card), D("0"))
+    paid = {r.courier_id: r.payout for r in out.collect()}
+    assert [paid[k] for k in range(6)] == [D("0.00"), D("1.00"), D("333.00"), D("334.00"), D("999.00"), None]
+    assert paid[9] == D("300.00")  # the mean 1.00666... is in [1.00, 1.01)
 
 
 @pytest.mark.parametrize("bad", [
@@ -144,21 +158,23 @@ def test_user_and_zone_marts(spark):
     assert (5, dt.date(2024, 2, 5), dt.date(2024, 2, 1), 1, 1) in zones
 
 
-def _brute_pairs(members, t):
-    by_user = {}
+def _brute_pairs(members, least):
+    by_user, sizes = {}, {}
     for z, u, g in members:
         by_user.setdefault((z, u), set()).add(g)
+        sizes[z, g] = sizes.get((z, g), 0) + 1
     out = []
     for (z, u), (y, v) in itertools.combinations(sorted(by_user), 2):
-        shared = len(by_user[z, u] & by_user[y, v])
-        if z == y and shared >= t:
-            out.append((z, u, v, shared))
+        both = by_user[z, u] & by_user[y, v] if z == y else set()
+        weight = sum(lake.UNIT // sizes[z, g] for g in both)
+        if both and weight >= least:
+            out.append((z, u, v, len(both), weight))
     return sorted(out)
 
 
-@pytest.mark.parametrize("min_shared", [1, 2, 3])
-def test_pairs_equal_brute_force_under_skew(spark, min_shared):
-    rng = random.Random(min_shared)
+@pytest.mark.parametrize("least", [1, 90_000, 300_000, 600_000])
+def test_pairs_equal_brute_force_under_skew(spark, least):
+    rng = random.Random(least)
     members = set()
     for u in range(120):
         zone = 0 if u % 3 else 1
@@ -167,16 +183,20 @@ def test_pairs_equal_brute_force_under_skew(spark, min_shared):
         for _ in range(rng.randrange(5)):
             members.add((zone, u, rng.randrange(25)))
     df = spark.createDataFrame(sorted(members), "zone_id int, user_id long, group_id long")
-    got = rows(lake.shared_community_pairs(df, min_shared), "zone_id", "a", "b", "shared")
-    assert sorted(got) == _brute_pairs(members, min_shared)
+    got = rows(lake.shared_community_pairs(df, least), "zone_id", "a", "b", "shared", "weight")
+    assert sorted(got) == _brute_pairs(members, least)
 
 
-def test_hot_community_is_not_paired(spark):
-    """Everybody is in community 7 and in one private community: no pair is built."""
-    members = [(0, u, 7) for u in range(300)] + [(0, u, 1000 + u) for u in range(300)]
-    df = spark.createDataFrame(members, "zone_id int, user_id long, group_id long")
-    assert lake.shared_community_pairs(df, 2).count() == 0
-    assert rows(lake.shared_community_pairs(df.filter("user_id < 4"), 1), "a", "b", "shared")[0] == (0, 1, 1)
+@pytest.mark.parametrize("hot", [1, 5])
+def test_hot_communities_are_not_paired(spark, hot):
+    """Everybody is in the hot communities and in one private one: no pair is built,
+    however many users there are."""
+    for users in (100, 400):
+        members = [(0, u, g) for u in range(users) for g in range(hot)] + [(0, u, 1000 + u) for u in range(users)]
+        df = spark.createDataFrame(members, "zone_id int, user_id long, group_id long")
+        assert lake.shared_community_pairs(df, 500_000).count() == 0
+        # Each user meets the others in no community: the private one has one member.
+        assert plan(lake.shared_community_pairs(df, 500_000)).count("CartesianProduct") == 0
 
 
 def test_contacts_are_not_recommended(spark):
@@ -185,7 +205,8 @@ def test_contacts_are_not_recommended(spark):
     received = spark.createDataFrame([(1, 2)], "from_id long, to_id long")
     contacts = lake.undirected(sent, received)
     assert rows(contacts) == [(1, 2)]
-    assert rows(lake.friend_recommendations(members, contacts), "a", "b", "shared") == [(1, 3, 2), (2, 3, 2)]
+    found = lake.friend_recommendations(members, contacts, 1)
+    assert rows(found, "a", "b", "shared", "weight") == [(1, 3, 2, 666_666), (2, 3, 2, 666_666)]
 
 
 def test_dish_popularity(spark):
@@ -196,3 +217,18 @@ def test_dish_popularity(spark):
         (1, 3, 2, 1, 1), (2, 2, 2, 2, 2), (3, 1, 1, 3, 1)]
     assert [r.dish_id for r in popularity.top_dishes(out, 2).collect()] == [1, 2]
     assert rows(popularity.user_item_counts(lines, "dish_id"))[0] == (10, 1, 2)
+
+
+def test_a_null_community_keeps_its_place(spark):
+    log = _log(spark, [(None, 1, "enter", 0), (None, 2, "enter", 1), (5, 1, "enter", 2), (6, 1, "enter", 3)])
+    messages = _log(spark, [(None, 1, "m", 5)]).select("group_id", "user_id", "ts")
+    out = rows(community.community_conversion(log, messages, "enter", 2), "group_id", "joined_users", "writers")
+    assert sorted(out, key=repr) == [(5, 1, 0), (None, 2, 1)]
+
+
+def test_unknown_dishes_and_categories_are_ranked(spark):
+    lines = spark.createDataFrame([(1, 10, 1), (2, 10, 2), (3, 10, 2), (4, 10, None)], "order_id long, user_id long, dish_id long")
+    dishes = spark.createDataFrame([(1, "soup", None)], "dish_id long, dish_name string, category string")
+    out = popularity.dish_popularity(lines, dishes)
+    got = rows(out, "dish_id", "dish_name", "orders", "rank_overall", "rank_in_category")
+    assert sorted(got, key=repr) == [(1, "soup", 1, 2, 2), (2, None, 2, 1, 1), (None, None, 1, 2, 2)]

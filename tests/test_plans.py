@@ -6,11 +6,12 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import plan
+from martloom.catalog import REGISTRY
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test data not there")
 
-BATCH = sorted(n for n in entry.queries() if not n.startswith("stream_"))
+BATCH = sorted(n for n in REGISTRY if not n.startswith("stream_"))
 
 
 @pytest.mark.parametrize("name", BATCH)
