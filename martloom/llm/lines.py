@@ -152,7 +152,8 @@ def with_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFrame, s
     found = stored(repeated_runs(docs, min_words), "line_runs").select(
         F.col("doc_id").alias(b_id), F.col("key").alias(b_key), F.col("runs").alias(runs))
     keyed = docs.withColumns({an_id: F.col("doc_id").cast("long"), a_key: text_hash()})
-    joined = keyed.join(found, F.col(an_id).eqNullSafe(F.col(b_id)) & (F.col(a_key) == F.col(b_key)), "left")
+    # The runs grow with the corpus, so they are never broadcast: one plan at every size.
+    joined = keyed.join(found.hint("merge"), F.col(an_id).eqNullSafe(F.col(b_id)) & (F.col(a_key) == F.col(b_key)), "left")
     return joined.drop(an_id, a_key, b_id, b_key), runs
 
 
