@@ -5,11 +5,13 @@ otherwise."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from martloom.functions.scalars import great_circle_km
+from martloom.session import stored
 
 
 def with_dimensions(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
@@ -80,76 +82,111 @@ def block_join(left: DataFrame, right: DataFrame, group: list[str], left_id: str
     return a.join(b, [*group, "_i", "_j"]).drop("_i", "_j")
 
 
-# Fixed value: up to this many zone centres the candidates of all cells fit a
-# broadcast (at most cells x centres entries, under 10 MB at ten degrees). More
-# centres than this use joined rows instead.
-PACKED_CENTRES = 500
+#: A cell with at most so many candidate centres is not cut further, nor is one of the
+#: last level (a world of 2^LEVELS by 2^LEVELS cells).
+LEAF, LEVELS = 12, 14
+#: In radians: distances that differ by less than two metres may tie once rounded.
+MARGIN = 4e-7
 
 
-def cell_of(lat: Column, lon: Column, cell_deg: int) -> Column:
-    """Number of the latitude/longitude cell that holds a point."""
-    rows, cols = 180 // cell_deg, 360 // cell_deg
-    row = F.least(F.floor((lat + 90) / cell_deg), F.lit(rows - 1))
-    col = F.pmod(F.floor((lon + 180) / cell_deg), F.lit(cols))
-    return (row * cols + col).cast("int")
+def cell_path(lat: Column, lon: Column) -> Column:
+    """Digits 0 to 3 of the cells that hold a point, from the whole world down: each
+    level halves latitude and longitude."""
+    size = float(1 << LEVELS)
+    row = F.least(F.floor((lat + 90) / 180 * size), F.lit(int(size) - 1))
+    col = F.pmod(F.floor((lon + 180) / 360 * size), F.lit(int(size)))
+    digits = [
+        (F.shiftright(row, b).bitwiseAND(F.lit(1)) * 2 + F.shiftright(col, b).bitwiseAND(F.lit(1))).cast("int").cast("string")
+        for b in range(LEVELS - 1, -1, -1)
+    ]
+    return F.concat(*digits)
 
 
-def cell_candidates(centres: DataFrame, cell_deg: int) -> DataFrame:
-    """For each cell, the centres that can be nearest to some point in it.
+def _middle(path: Column, level: int) -> tuple[Column, Column]:
+    """Latitude and longitude of the middle of a cell of ``level`` digits."""
+    row = col = F.lit(0.0)
+    for k in range(1, level + 1):
+        digit = F.substring(path, k, 1).cast("int")
+        row, col = row * 2 + F.floor(digit / 2), col * 2 + digit % 2
+    size = float(1 << level)
+    return (row + 0.5) / size * 180 - 90, (col + 0.5) / size * 360 - 180
 
-    With r the distance from the middle of the cell to its farthest point, a
-    centre farther from the middle than the closest one by more than 2r is never
-    the nearest (triangle inequality). The small margin covers rounding.
+
+def _unit(lat: Column, lon: Column) -> tuple[Column, Column, Column]:
+    """A place on the unit sphere."""
+    lat, lon = F.radians(lat), F.radians(lon)
+    return (F.cos(lat) * F.cos(lon)).alias("x"), (F.cos(lat) * F.sin(lon)).alias("y"), F.sin(lat).alias("z")
+
+
+def _dot(a: str, b: str) -> Column:
+    return sum((F.col(f"{a}.{k}") * F.col(f"{b}.{k}") for k in "yz"), F.col(f"{a}.x") * F.col(f"{b}.x"))
+
+
+def zone_cells(points: DataFrame, centres: DataFrame) -> DataFrame:
+    """``(cell, options)``: for cells that together hold every point, the centres that
+    can be nearest to a point in them.
+
+    The world is cut in four again and again where candidates are many, and only where
+    there are points. On the unit sphere, a point P is nearer to C0 than to C when
+    P . (C0 - C) is positive. Over a cell with middle M, whose points lie within r of it,
+    that is at least M . (C0 - C) - r |C0 - C|. With C0 the centre nearest to the middle,
+    a centre is dropped where this is positive; the margin covers rounded distances. A
+    cell's parts start from its own candidates. One level is one small job, and a single
+    plan serves any number of centres.
     """
-    rows, cols = 180 // cell_deg, 360 // cell_deg
-    cells = centres.select(
-        "zone_id", "lat", "lon",
-        F.explode(F.sequence(F.lit(0), F.lit(rows * cols - 1))).alias("cell"),
-    )
-    mid_lat = F.floor(F.col("cell") / cols) * cell_deg + (cell_deg / 2 - 90)
-    mid_lon = F.pmod(F.col("cell"), F.lit(cols)) * cell_deg + (cell_deg / 2 - 180)
-    half = F.lit(cell_deg / 2)
-    # A corner or an edge middle is the farthest point of a cell; half a cell of
-    # latitude plus half a cell of equator is an upper bound for both.
-    radius = great_circle_km(F.lit(0.0), F.lit(0.0), half, F.lit(0.0)) * 2
-    measured = cells.withColumn("to_mid", great_circle_km(mid_lat, mid_lon, F.col("lat"), F.col("lon")))
-    nearest = measured.groupBy("cell").agg(F.min("to_mid").alias("best"))
-    return (
-        measured.join(nearest, "cell")
-        .filter(F.col("to_mid") <= F.col("best") + radius * 2 + 1.0)
-        .select("cell", "zone_id", F.col("lat").alias("c_lat"), F.col("lon").alias("c_lon"))
-    )
-
-
-def nearest_zone(points: DataFrame, point_key: str, centres: DataFrame, cell_deg: int = 10,
-                 decimals: int = 3) -> DataFrame:
-    """Nearest centre of every point, by an equi join on grid cells.
-
-    ``points`` has ``lat`` and ``lon`` and one row per ``point_key``; distances are
-    compared after rounding and ties go to the smallest zone id.
+    deepest = stored(points.filter("lat IS NOT NULL AND lon IS NOT NULL")
+                     .select(cell_path(F.col("lat"), F.col("lon")).alias("path")).distinct(), "occupied")
+    open_ = centres.filter("lat IS NOT NULL AND lon IS NOT NULL").select(
+        F.lit("").alias("cell"), "zone_id", F.col("lat").alias("c_lat"), F.col("lon").alias("c_lon"),
+        F.struct(*_unit(F.col("lat"), F.col("lon"))).alias("c"))
+    leaves = None
+    for level in range(1, LEVELS + 1):
+        held = deepest.select(F.substring("path", 1, level).alias("cell")).distinct()
+        parts = open_.select(F.explode(F.array(*[F.concat("cell", F.lit(str(d))) for d in range(4)])).alias("cell"),
+                             "zone_id", "c_lat", "c_lon", "c").join(held, "cell")
+        # Half a cell of latitude plus half a cell of equator reaches any of its points.
+        radius = math.radians(90.0 / (1 << level)) + math.radians(180.0 / (1 << level))
+        measured = parts.withColumn("m", F.struct(*_unit(*_middle(F.col("cell"), level))))
+        best = measured.groupBy("cell").agg(F.max_by("c", _dot("m", "c")).alias("c0"))
+        ahead = _dot("m", "c0") - _dot("m", "c")
+        apart = F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * _dot("c", "c0")))
+        away = F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * _dot("m", "c"))) + radius
+        near = measured.join(best, "cell").filter(ahead - radius * apart <= MARGIN * away + 1e-15)
+        sizes = near.groupBy("cell").agg((F.count(F.lit(1)) <= LEAF).alias("leaf"))
+        cut = stored(near.select("cell", "zone_id", "c_lat", "c_lon", "c").join(sizes, "cell"), "cells")
+        done = cut.filter("leaf" if level < LEVELS else "true").drop("leaf")
+        leaves = done if leaves is None else leaves.unionByName(done)
+        open_ = cut.filter("NOT leaf").drop("leaf")
+        if level < LEVELS and open_.isEmpty():
+            break
+    return leaves.groupBy("cell").agg(F.collect_list(F.struct("zone_id", "c_lat", "c_lon")).alias("options"))
+
+
+def nearest_zone(points: DataFrame, point_key: str, centres: DataFrame, decimals: int = 3) -> DataFrame:
+    """Nearest centre of every point, by an equi join on cells.
+
+    ``points`` has ``lat`` and ``lon``; equal rows stay, and rows without a place have no
+    zone. Distances are compared after rounding and ties go to the smallest zone id. Both
+    sides of the join are stored tables or scans, so a cell that holds very many points
+    can be split.
     """
-    candidates = cell_candidates(centres, cell_deg)
-    placed = points.withColumn("cell", cell_of(F.col("lat"), F.col("lon"), cell_deg))
+    cells = stored(zone_cells(points, centres), "zone-cells").withColumnRenamed("cell", "_cell")
+    used = [r[0] for r in cells.select(F.length("_cell").alias("n")).distinct().collect()]
 
     def choice(c_lat: Column, c_lon: Column, zone: Column) -> Column:
         km = F.round(great_circle_km(F.col("lat"), F.col("lon"), c_lat, c_lon), decimals)
         return F.struct(km.alias("km"), zone.alias("zone_id"))
 
-    n_centres = centres.limit(PACKED_CENTRES + 1).count()
-    if n_centres <= PACKED_CENTRES:
-        packed = candidates.groupBy("cell").agg(
-            F.collect_list(F.struct("zone_id", "c_lat", "c_lon")).alias("options")
-        )
-        best = placed.join(F.broadcast(packed), "cell", "left").withColumn(
-            "best",
-            F.array_min(F.transform("options", lambda o: choice(o["c_lat"], o["c_lon"], o["zone_id"]))),
-        )
-    else:
-        # Candidates of one point leave the join side by side, so the partial
-        # minimum shrinks them back to one row before the shuffle.
-        best = placed.join(candidates, "cell", "left").groupBy(*points.columns).agg(
-            F.min(choice(F.col("c_lat"), F.col("c_lon"), F.col("zone_id"))).alias("best")
-        )
-    return best.select(
-        point_key, F.col("best.zone_id").alias("zone_id"), F.col("best.km").alias("distance_km")
-    )
+    nearest = F.array_min(F.transform("options", lambda o: choice(o["c_lat"], o["c_lon"], o["zone_id"])))
+    # A point lies in one cell of each level, and one of these is a leaf.
+    if not used:  # no centre at all
+        return points.select(point_key, F.lit(None).cast(centres.schema["zone_id"].dataType).alias("zone_id"),
+                             F.lit(None).cast("double").alias("distance_km"))
+    levels = sorted(used)
+    placed = points.select(point_key, "lat", "lon", cell_path(F.col("lat"), F.col("lon")).alias("_path"))
+    inside = placed.filter("_path IS NOT NULL").select(
+        point_key, "lat", "lon", F.explode(F.array(*[F.substring("_path", 1, n) for n in levels])).alias("_cell"))
+    found = inside.join(cells, "_cell").select(point_key, nearest.alias("best"))
+    placeless = placed.filter("_path IS NULL").select(point_key, F.lit(None).cast(found.schema["best"].dataType).alias("best"))
+    return found.unionByName(placeless).select(
+        point_key, F.col("best.zone_id").alias("zone_id"), F.col("best.km").alias("distance_km"))
