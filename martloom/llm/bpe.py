@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from martloom.llm.rows import map_columns
 
 #: Memory of one task, not results: past these sizes the tables start anew.
-MAX_STATES, MAX_PIECES, PIECE_CHARS = 300_000, 400_000, 48
+MAX_STATES, MAX_PIECES, PIECE_CHARS = 200_000, 200_000, 48
 #: Bytes of one piece after which settled tokens are emitted.
 LONG_PIECE = 4096
 
@@ -44,6 +44,7 @@ class Transducer:
         self.ranks = ranks
         self.tokens = {n: t for t, n in ranks.items()}
         self.width = {n: len(t) for t, n in ranks.items()}
+        self.number = {n: n for n in ranks.values()}  # one object per id, whoever holds it
         self.heads = {b""} | {t[:i] for t in ranks for i in range(1, len(t))}
         self._pairs: dict[int, bool] = {}
         self._whole: dict[int, bool] = {}
@@ -106,7 +107,7 @@ class Transducer:
         out = []
         while stop:
             token = ends[stop - 1]
-            out.append(token)
+            out.append(self.number[token])
             stop -= self.width[token]
         out.reverse()
         return out
