@@ -10,7 +10,7 @@ from pyspark.sql.types import ArrayType, DateType, DecimalType, IntegerType, Str
 
 from martloom import standins as src
 from martloom.functions.scalars import message
-from martloom.operators.joins import nearest_zone as zone_of_point
+from martloom.operators.joins import enrich, nearest_zone as zone_of_point
 from martloom.operators.modelling import SplitSpec, decompose, recompose
 from martloom.operators.quality import bag_difference, duplicates, orphans, profile
 from martloom.operators.rows import (
@@ -26,8 +26,8 @@ from martloom.sources.sinks import (
     drop_periods, extract_new, land_raw, read_mark, read_or_empty, relayout, save_mark, upsert,
 )
 from martloom.streaming import layers as stream_layer
-from martloom.streaming.notify import PROMOTION, NotificationJob, batch_file_writer
-from martloom.streaming.sources import as_envelopes, file_stream, stage_in_time_order
+from martloom.streaming.notify import JOINED, PROMOTION, NotificationJob, batch_file_writer
+from martloom.streaming.sources import ENVELOPE, as_envelopes, file_stream, stage_in_time_order
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -385,7 +385,8 @@ def friend_recommendations(spark, sf_dir):
 # --- streams ---------------------------------------------------------------------------------------
 
 PROMO_NOW = dt.datetime(2024, 1, 16)
-BATCHES = 3
+# Promotions live for a day; what is repeated later than this is expired.
+REPEAT_DELAY = "2 days"
 
 
 def _twice(df: DataFrame) -> DataFrame:
@@ -393,43 +394,45 @@ def _twice(df: DataFrame) -> DataFrame:
     return df.withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
 
 
-def _files_per_batch(files: int) -> int:
-    """Cut the staged files into about BATCHES micro-batches, whatever the scale."""
-    return -(-files // BATCHES)
-
-
 def _run_notifications(spark, sf_dir):
-    """Every purchase is a one-day promotion of its community, delivered twice."""
+    """Every purchase is a one-day promotion of its community, delivered twice. Those of
+    every 50th event are cut off on the way."""
     source, checkpoint = fresh_path(spark, "promotions"), fresh_path(spark, "checkpoint")
-    messages, feedback = fresh_path(spark, "messages"), fresh_path(spark, "feedback")
+    messages, feedback, rejects = (fresh_path(spark, n) for n in ("messages", "feedback", "rejects"))
     promos = src.events(spark, sf_dir).filter(F.col("event_type") == src.WRITE).select(
         F.col("event_id").alias("promo_id"), F.col("group_id").alias("restaurant_id"),
         F.col("ts").cast("timestamp").alias("promo_start"),
         (F.col("ts").cast("timestamp") + F.expr("interval 1 day")).alias("promo_end"),
     )
-    once = as_envelopes(promos, F.col("promo_id"), message(*PROMOTION.names), F.col("promo_start"), "promotions")
-    files = stage_in_time_order(_twice(once), source)
+    text = message(*PROMOTION.names)
+    sent = F.when(F.col("promo_id") % 50 == 0, F.rtrim(text, F.lit("}"))).otherwise(text)
+    once = as_envelopes(promos, F.col("promo_id"), sent, F.col("promo_start"), "promotions")
+    stage_in_time_order(_twice(once), source)
     job = NotificationJob(
         read_subscriptions=lambda: src.subscriptions(spark, sf_dir),
         now=F.lit(PROMO_NOW).cast("timestamp"),
         send_messages=batch_file_writer(messages),
         store_feedback=batch_file_writer(feedback),
-        repeat_delay="60 days",
-        work_path=fresh_path(spark, "live-promotions"),
+        store_rejects=batch_file_writer(rejects),
+        repeat_delay=REPEAT_DELAY,
+        work_path=fresh_path(spark, "notifications"),
     )
-    stream = file_stream(spark, source, files_per_batch=_files_per_batch(files))
-    job.start(stream, checkpoint).awaitTermination()
-    return messages, feedback
+    job.start(file_stream(spark, source), checkpoint).awaitTermination()
+    return messages, feedback, rejects
+
+
+MESSAGE_ROW = record(key=TEXT, value=TEXT)
+FEEDBACK_ROW = StructType([*JOINED.fields, *record(feedback=TEXT).fields])
 
 
 @query
 def stream_notifications(spark, sf_dir):
-    sent, _ = _run_notifications(spark, sf_dir)
+    sent, _, _ = _run_notifications(spark, sf_dir)
     body = StructType([
         *PROMOTION.fields,
         *record(user_id=LONG, favourites=ArrayType(LONG), message_id=TEXT).fields,
     ])
-    return spark.read.parquet(sent).select(F.from_json("value", body).alias("m")).select(
+    return read_files(spark, sent, "parquet", MESSAGE_ROW).select(F.from_json("value", body).alias("m")).select(
         "m.promo_id", "m.restaurant_id", "m.user_id",
         F.col("m.promo_start").cast("timestamp_ntz").alias("promo_start"),
         F.concat_ws(",", F.transform("m.favourites", lambda k: k.cast("string"))).alias("favourites"),
@@ -439,34 +442,41 @@ def stream_notifications(spark, sf_dir):
 
 @query
 def stream_feedback(spark, sf_dir):
-    _, feedback = _run_notifications(spark, sf_dir)
-    return spark.read.parquet(feedback).select(
-        "promo_id", "restaurant_id", "user_id", F.coalesce("feedback", F.lit("none")).alias("feedback")
+    _, feedback, _ = _run_notifications(spark, sf_dir)
+    return read_files(spark, feedback, "parquet", FEEDBACK_ROW).select(
+        "promo_id", "restaurant_id", "user_id", "message_id", F.coalesce("feedback", F.lit("none")).alias("feedback")
     )
 
 
+@query
+def stream_rejects(spark, sf_dir):
+    """Broken messages, each kept once, with the key they came under."""
+    _, _, rejects = _run_notifications(spark, sf_dir)
+    return read_files(spark, rejects, "parquet", ENVELOPE).select(
+        F.col("key").cast("string").cast("bigint").alias("promo_id"), "topic",
+        F.col("timestamp").cast("timestamp_ntz").alias("sent"), F.length(F.col("value").cast("string")).alias("n_chars"),
+    ).withColumn("n_chars", (F.col("n_chars") > 0).cast("bigint")).withColumnRenamed("n_chars", "has_text")
+
+
 @query
 def stream_layers(spark, sf_dir):
-    """Order lines as messages, delivered twice, through three chained streams."""
-    source, raw, lines, marts = (fresh_path(spark, n) for n in ("orders-topic", "raw", "lines", "counters"))
+    """Order lines as messages, delivered twice, through chained streams."""
+    source, raw, work = (fresh_path(spark, n) for n in ("orders-topic", "raw", "order-lines"))
     line = src.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice")
     order = src.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    sold = line.join(order, F.col("l_orderkey") == F.col("o_orderkey")).join(
-        src.dishes(spark, sf_dir), F.col("l_partkey") == F.col("dish_id")
-    ).select(
+    sold = enrich(line.join(order, F.col("l_orderkey") == F.col("o_orderkey"))
+                  .withColumnRenamed("l_partkey", "dish_id"), src.dishes(spark, sf_dir), "dish_id").select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"), "o_orderdate",
         F.array(F.struct("dish_id", "category", F.col("l_extendedprice").cast("decimal(18,2)").alias("price")))
         .alias("items"),
     )
     once = as_envelopes(sold, F.col("order_id"), message("order_id", "user_id", "items"), F.col("o_orderdate"), "orders")
-    per_batch = _files_per_batch(stage_in_time_order(_twice(once), source))
+    stage_in_time_order(_twice(once), source)
     checkpoint = fresh_path(spark, "checkpoint")
-    stream = file_stream(spark, source, files_per_batch=per_batch)
-    stream_layer.start_raw(stream, raw, f"{checkpoint}/raw").awaitTermination()
-    stream_layer.start_lines(spark, raw, lines, f"{checkpoint}/lines", "3650 days", per_batch).awaitTermination()
-    stream_layer.start_counters(spark, lines, marts, f"{checkpoint}/counters", files_per_batch=per_batch) \
-        .awaitTermination()
-    return stream_layer.read_counters(spark, marts)
+    stream_layer.start_raw(file_stream(spark, source), raw, f"{checkpoint}/raw").awaitTermination()
+    job = stream_layer.LineJob(work)
+    job.start(spark, raw, f"{checkpoint}/lines").awaitTermination()
+    return job.counters(spark)
 
 
 # --- popularity ---------------------------------------------------------------------------------------

@@ -29,26 +29,35 @@ def computed_once(df: DataFrame, name: str, col: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(col)).alias(name))
 
 
-def parse_events(df: DataFrame, schema: StructType, value: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Split envelopes into parsed rows and rows that do not fit the schema.
-
-    The good side has the envelope columns and one column ``event``; the bad side
-    is the envelope as received, to be stored and looked at.
-    """
+def with_event(df: DataFrame, schema: StructType, value: str = "value") -> DataFrame:
+    """Envelopes with a column ``event``, null where the value does not fit the schema."""
     wider = StructType([*schema.fields, StructField(_BROKEN, StringType())])
     event = F.from_json(
         F.col(value).cast("string"), wider, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
     )
     parsed = computed_once(df, "event", event)
-    is_bad = F.col("event").isNull() | F.col(f"event.{_BROKEN}").isNotNull()
+    fits = F.col("event").isNotNull() & F.col(f"event.{_BROKEN}").isNull()
     fields = F.struct(*[F.col(f"event.{name}") for name in schema.names])
-    good = parsed.filter(~is_bad).select(*df.columns, fields.alias("event"))
-    return good, parsed.filter(is_bad).select(*df.columns)
+    return parsed.select(*df.columns, F.when(fits, fields).alias("event"))
+
+
+def parse_events(df: DataFrame, schema: StructType, value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Split envelopes into parsed rows and rows that do not fit the schema.
+
+    The good side has the envelope columns and one column ``event``; the bad side
+    is the envelope as received, to be stored and looked at.
+    """
+    parsed = with_event(df, schema, value)
+    return parsed.filter("event IS NOT NULL"), parsed.filter("event IS NULL").select(*df.columns)
+
+
+def is_active(start: str, end: str, now: Column) -> Column:
+    """Live at ``now``: the start belongs to the interval, the end does not."""
+    return (F.col(start) <= now) & (now < F.col(end))
 
 
 def active_at(df: DataFrame, start: str, end: str, now: Column) -> DataFrame:
-    """Rows live at ``now``: the start belongs to the interval, the end does not."""
-    return df.filter((F.col(start) <= now) & (now < F.col(end)))
+    return df.filter(is_active(start, end, now))
 
 
 def create_views(spark: SparkSession, defs: Mapping[str, str | DataFrame]) -> None:

@@ -131,7 +131,7 @@ _NOTIFY = f"""{EVENTS},
 sub AS (SELECT DISTINCT user_id, k FROM ev WHERE event_type = 'view'),
 fav AS (SELECT user_id, string_agg(CAST(k AS VARCHAR), ',' ORDER BY k) AS favourites FROM sub GROUP BY 1),
 promo AS (SELECT event_id AS promo_id, k, ts AS promo_start FROM ev WHERE event_type = 'purchase'
-  AND ts <= TIMESTAMP '{PROMO_NOW}' AND TIMESTAMP '{PROMO_NOW}' < ts + INTERVAL 1 DAY)"""
+  AND event_id % 50 <> 0 AND ts <= TIMESTAMP '{PROMO_NOW}' AND TIMESTAMP '{PROMO_NOW}' < ts + INTERVAL 1 DAY)"""
 
 _POPULAR = """pop AS (SELECT l_partkey AS dish_id, count(DISTINCT o_orderkey) AS orders, count(DISTINCT o_custkey) AS users
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1),
@@ -222,10 +222,14 @@ ORACLE: dict[str, str] = {
         WHERE weight >= {FRIEND_WEIGHT} AND NOT EXISTS (SELECT 1 FROM contact c WHERE c.a = pair.a AND c.b = pair.b)""",
     "stream_notifications": f"""WITH {_NOTIFY} SELECT promo_id, k AS restaurant_id, user_id, promo_start, favourites,
         {_key(['promo_id', 'user_id'])} AS message_id FROM promo JOIN sub USING (k) JOIN fav USING (user_id)""",
-    "stream_feedback": f"""WITH {_NOTIFY} SELECT promo_id, k AS restaurant_id, user_id, 'none' AS feedback
-        FROM promo JOIN sub USING (k)""",
-    "stream_layers": """SELECT o_custkey AS user_id, l_partkey AS dish_id, count(DISTINCT o_orderkey) AS orders
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2""",
+    "stream_feedback": f"""WITH {_NOTIFY} SELECT promo_id, k AS restaurant_id, user_id, {_key(['promo_id', 'user_id'])} AS message_id,
+        'none' AS feedback FROM promo JOIN sub USING (k)""",
+    "stream_rejects": """SELECT event_id AS promo_id, 'promotions' AS topic, ts AS sent, CAST(1 AS BIGINT) AS has_text FROM events
+        WHERE event_type = 'purchase' AND event_id % 50 = 0""",
+    "stream_layers": """SELECT o_custkey AS user_id, 'dish' AS kind, CAST(l_partkey AS VARCHAR) AS item,
+          count(DISTINCT o_orderkey) AS orders FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 3
+        UNION ALL SELECT o_custkey, 'category', p_type, count(DISTINCT o_orderkey)
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN part ON l_partkey = p_partkey GROUP BY 1, 3""",
     "dish_popularity": f"WITH {_POPULAR} SELECT * FROM ranked",
     "top_dishes": f"WITH {_POPULAR} SELECT * FROM ranked ORDER BY orders DESC, dish_id LIMIT {TOP_DISHES}",
     "user_dish_counts": """SELECT o_custkey AS user_id, 'dish' AS kind, CAST(l_partkey AS VARCHAR) AS item,

@@ -1,21 +1,27 @@
-"""Chained streams: raw messages, order lines, running counters.
+"""Chained streams: raw messages, then order lines and running counters.
 
-Each layer is a query of its own over the files of the layer before it. The raw
-and line layers use the append file sink, whose log keeps half-written files out
-of the next stream.
+The raw layer uses the append file sink, whose log keeps half-written files out of the
+next stream. The second stream writes each batch into folders of its own, which a replay
+replaces. It holds no state: what was seen before is looked up in the stored lines of the
+months a batch touches, so neither the age of a message nor a watermark loses a row.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import ArrayType
+from pyspark.sql.types import ArrayType, DateType
 
 from martloom.functions.scalars import stable_key
-from martloom.operators.ranking import latest_per_key
+from martloom.operators.joins import only_known, without_known
+from martloom.operators.ranking import first_per_key
 from martloom.operators.rows import conform, parse_events
 from martloom.schema import AMOUNT, LONG, TEXT, TS, record
-from martloom.streaming.sources import drop_repeats, file_stream
+from martloom.session import remove
+from martloom.sources.sinks import read_or_empty
+from martloom.streaming.sources import DRAIN, file_stream
 
 ORDER = record(
     order_id=LONG, user_id=LONG,
@@ -23,59 +29,100 @@ ORDER = record(
 )
 RAW = record(key=TEXT, value=TEXT, topic=TEXT, timestamp=TS)
 LINE = record(line_key=TEXT, order_id=LONG, user_id=LONG, dish_id=LONG, category=TEXT, price=AMOUNT, timestamp=TS)
+STORED_LINE = record(**{f.name: f.dataType for f in LINE.fields}, batch_id=LONG, month=DateType())
+COUNTER = record(user_id=LONG, kind=TEXT, item=TEXT, orders=LONG)
+STORED_COUNTER = record(**{f.name: f.dataType for f in COUNTER.fields}, batch_id=LONG)
 
 
-def _append(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def start_raw(stream: DataFrame, path: str, checkpoint: str, trigger: dict = DRAIN) -> StreamingQuery:
+    """Messages as received."""
     return (
-        df.writeStream.format("parquet").option("path", path)
-        .option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+        conform(stream, RAW).writeStream.format("parquet").option("path", path)
+        .option("checkpointLocation", checkpoint).outputMode("append").trigger(**trigger).start()
     )
 
 
-def start_raw(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Messages as received."""
-    return _append(conform(stream, RAW), path, checkpoint)
-
-
-def start_lines(spark: SparkSession, raw_path: str, path: str, checkpoint: str, delay: str,
-                files_per_batch: int = 8) -> StreamingQuery:
-    """One row per order and dish with a stable key; repeats are dropped."""
-    good, _ = parse_events(file_stream(spark, raw_path, RAW, files_per_batch), ORDER)
+def order_lines(good: DataFrame) -> DataFrame:
+    """One row per order and dish with a stable key and the month of its message."""
     exploded = good.select(
         "timestamp", "event.order_id", "event.user_id", F.explode("event.items").alias("item")
     ).select("timestamp", "order_id", "user_id", "item.*")
-    unique = drop_repeats(exploded, ["order_id", "dish_id"], "timestamp", delay)
-    keyed = unique.withColumn("line_key", stable_key("order_id", "dish_id"))
-    return _append(conform(keyed, LINE), path, checkpoint)
-
-
-def start_counters(spark: SparkSession, lines_path: str, path: str, checkpoint: str, item: str = "dish_id",
-                   files_per_batch: int = 8) -> StreamingQuery:
-    """Orders per user and item.
-
-    Update mode emits only keys that changed in a batch. They are stored as new
-    versions under the batch number (a replay replaces its own folder), so a
-    batch costs what changed and not what is stored.
-    """
-    counts = (
-        file_stream(spark, lines_path, LINE, files_per_batch)
-        .groupBy("user_id", item).agg(F.count(F.lit(1)).alias("orders"))
-    )
-
-    def on_batch(changed: DataFrame, batch_id: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-    return (
-        counts.writeStream.outputMode("update").foreachBatch(on_batch)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
-
-
-def read_counters(spark: SparkSession, path: str, item: str = "dish_id") -> DataFrame:
-    """Current counters: the newest version of each key."""
-    return latest_per_key(spark.read.parquet(path), ["user_id", item], ["batch_id"]).drop("batch_id")
-
-
-def compact_counters(spark: SparkSession, path: str, target: str, item: str = "dish_id") -> None:
-    """Fold all versions into one table."""
-    read_counters(spark, path, item).write.mode("overwrite").parquet(target)
+    keyed = conform(exploded.withColumn("line_key", stable_key("order_id", "dish_id")), LINE)
+    return keyed.withColumn("month", F.trunc("timestamp", "month"))
+
+
+def near_months(lines: DataFrame, days: int) -> DataFrame:
+    """Months from which a row of ``lines`` may be a repeat, up to ``days`` away."""
+    day = F.col("timestamp").cast("date")
+    return lines.select(F.explode(F.sequence(
+        F.trunc(F.date_sub(day, days), "month"), F.trunc(F.date_add(day, days), "month"), F.expr("interval 1 month"))).alias("month")).distinct()
+
+
+def counter_steps(new: DataFrame, known: DataFrame) -> DataFrame:
+    """What the new lines add: orders per user and dish, and per user and category. An
+    order counts once for a category, whichever of its lines came first."""
+    dishes = new.select("user_id", F.lit("dish").alias("kind"), F.col("dish_id").cast("string").alias("item"))
+    pairs = new.select("order_id", "user_id", "category").distinct()
+    fresh = without_known(pairs, known, ["order_id", "category"])
+    categories = fresh.select("user_id", F.lit("category").alias("kind"), F.col("category").alias("item"))
+    return dishes.unionAll(categories).groupBy("user_id", "kind", "item").agg(F.count(F.lit(1)).alias("orders"))
+
+
+@dataclass(frozen=True)
+class LineJob:
+    """Raw messages to lines, counters and rejects, all stored under ``path``.
+
+    A repeat of a message is found within ``lookback_days`` of the first."""
+
+    path: str
+    lookback_days: int = 7
+
+    def folder(self, name: str) -> str:
+        return f"{self.path}/{name}"
+
+    def on_batch(self, spark: SparkSession, batch: DataFrame, batch_id: int) -> None:
+        """``spark`` is the session that started the stream: that of the micro-batch has
+        adaptive execution switched off."""
+        work = f"{self.folder('work')}/batch_id={batch_id}"
+        batch.write.mode("overwrite").parquet(work)
+        good, bad = parse_events(spark.read.schema(batch.schema).parquet(work), ORDER)
+        bad.write.mode("overwrite").parquet(f"{self.folder('rejects')}/batch_id={batch_id}")
+        lines = order_lines(good)
+        before = read_or_empty(spark, self.folder("lines"), STORED_LINE).filter(F.col("batch_id") != batch_id)
+        known = only_known(before, near_months(lines, self.lookback_days), ["month"])
+        new = without_known(first_per_key(lines, ["line_key"], ["timestamp", "user_id"]), known, ["line_key"])
+        target = f"{self.folder('lines')}/batch_id={batch_id}"
+        new.hint("rebalance", "month").write.mode("overwrite").partitionBy("month").parquet(target)
+        written = read_or_empty(spark, target, STORED_LINE)
+        counter_steps(written, known).write.mode("overwrite").parquet(f"{self.folder('counters')}/batch_id={batch_id}")
+        remove(spark, work)
+
+    def start(self, spark: SparkSession, raw_path: str, checkpoint: str, trigger: dict = DRAIN, **batches) -> StreamingQuery:
+        return (
+            file_stream(spark, raw_path, RAW, **batches).writeStream.foreachBatch(lambda batch, batch_id: self.on_batch(spark, batch, batch_id))
+            .option("checkpointLocation", checkpoint).trigger(**trigger).start()
+        )
+
+    def _parts(self, spark: SparkSession) -> tuple[DataFrame, int]:
+        """Counters of the last fold and of the batches after it, and that fold's batch."""
+        folded = read_or_empty(spark, self.folder("folded"), STORED_COUNTER)
+        upto = folded.agg(F.coalesce(F.max("batch_id"), F.lit(-1))).first()[0]
+        later = read_or_empty(spark, self.folder("counters"), STORED_COUNTER).filter(F.col("batch_id") > upto)
+        return folded.filter(F.col("batch_id") == upto).unionByName(later), upto
+
+    def counters(self, spark: SparkSession) -> DataFrame:
+        """Current counters: what all batches added."""
+        return self._parts(spark)[0].groupBy("user_id", "kind", "item").agg(F.sum("orders").alias("orders"))
+
+    def fold_counters(self, spark: SparkSession) -> None:
+        """Sum up the counters of all batches so far, for readers to start from. Run it
+        between batches; what it has summed up is removed afterwards."""
+        parts, upto = self._parts(spark)
+        last = parts.agg(F.max("batch_id")).first()[0]
+        if last is None or last == upto:
+            return
+        self.counters(spark).write.mode("overwrite").parquet(f"{self.folder('folded')}/batch_id={last}")
+        for batch_id in range(upto + 1, last + 1):
+            remove(spark, f"{self.folder('counters')}/batch_id={batch_id}")
+        if upto >= 0:
+            remove(spark, f"{self.folder('folded')}/batch_id={upto}")
