@@ -14,13 +14,13 @@ from martloom.operators.joins import enrich, nearest_zone as zone_of_point
 from martloom.operators.modelling import SplitSpec, decompose, recompose
 from martloom.operators.quality import bag_difference, duplicates, orphans, profile
 from martloom.operators.rows import (
-    add_with_default, conform, create_views, parse_events, signed_amount,
+    add_with_default, conform, create_views, signed_amount,
 )
 from martloom.plans import community, courier, lake, popularity, retention, segmentation
 from martloom.plans.layers import LayerTable, Mart, backfill, promote, refresh, stored_days
 from martloom.schema import LONG, TEXT, TS_NTZ, record
 from martloom.session import fresh_path, stored
-from martloom.sources.files import read_documents, read_files
+from martloom.sources.files import read_documents, read_files, read_lake
 from martloom.sources.paged import read_paged, stored_pages
 from martloom.sources.sinks import (
     drop_periods, extract_new, land_raw, read_mark, read_or_empty, relayout, save_mark, upsert,
@@ -92,7 +92,11 @@ def segment_summary(spark, sf_dir):
 
 @query
 def segment_scores_approx(spark, sf_dir):
-    return segmentation.segment_scores_approx(_measures(spark, sf_dir))
+    """Per user and measure: is the approximate score one that a rank within the promised
+    error of the user's ranks has?"""
+    measures = stored(_measures(spark, sf_dir), "measures")
+    scored = stored(segmentation.segment_scores_approx(measures), "approximate")
+    return segmentation.within_rank_error(scored)
 
 
 # --- one wide table and its split ---------------------------------------------------
@@ -234,9 +238,9 @@ def document_landing(spark, sf_dir):
     _event_records(spark, sf_dir).select(
         F.when(broken, F.rtrim(text, F.lit("}"))).otherwise(text).alias("value")
     ).write.text(path)
-    good, bad = parse_events(read_documents(spark, path, EVENT_RECORD), EVENT_RECORD, "payload")
-    landed = conform(good.select("event.*"), EVENT_RECORD).withColumn("state", F.lit("landed"))
-    aside = bad.select("payload").agg(F.count(F.lit(1)).alias("event_id")).select(
+    documents = read_documents(spark, path, EVENT_RECORD)
+    landed = conform(documents.filter("doc IS NOT NULL").select("doc.*"), EVENT_RECORD).withColumn("state", F.lit("landed"))
+    aside = documents.filter("doc IS NULL").agg(F.count(F.lit(1)).alias("event_id")).select(
         "event_id", F.lit(0).cast("bigint").alias("user_id"), F.lit("").alias("event_type"),
         F.lit(0).cast("bigint").alias("group_id"), F.lit("set aside").alias("state"),
     )
@@ -326,7 +330,10 @@ def lake_relayout(spark, sf_dir):
     path = fresh_path(spark, "lake")
     dated = src.table(spark, sf_dir, "events").withColumn("event_date", F.col("ts").cast("date"))
     relayout(dated, path, ["event_date", "event_type"])
-    return read_files(spark, path, "parquet", dated.schema).groupBy("event_date", "event_type").agg(
+    first, last = read_files(spark, path, "parquet", dated.schema).agg(F.min("event_date"), F.max("event_date")).first()
+    last = last or dt.date.today()
+    days = (last - (first or last)).days + 1
+    return read_lake(spark, path, dated.schema, last, days, undated=True).groupBy("event_date", "event_type").agg(
         F.count(F.lit(1)).alias("events"),
         F.countDistinct("user_id").alias("users"),
         F.min("event_id").alias("first_event"),

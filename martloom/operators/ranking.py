@@ -84,6 +84,21 @@ def with_exact_rank(df: DataFrame, order: Sequence[Column], rank: str, rows: str
     )
 
 
+def with_running_total(df: DataFrame, order: Sequence[Column], amount: str, upto: str, whole: str) -> DataFrame:
+    """Sum of ``amount`` up to and with each row in a total order, beside the whole sum.
+
+    As in ``with_exact_rank``, rows are range-partitioned, summed inside a partition, and
+    the sums of the earlier partitions are added.
+    """
+    ranked = cut_lineage(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    inside = W.partitionBy("_part").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    by_part = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = ranked.groupBy("_part").agg(F.sum(amount).alias("_n")).select(
+        "_part", F.coalesce(F.sum("_n").over(by_part), F.lit(0)).alias("_before"), F.sum("_n").over(W.partitionBy()).alias(whole))
+    return (ranked.withColumn("_in", F.sum(amount).over(inside)).join(F.broadcast(offsets), "_part")
+            .withColumn(upto, F.col("_before") + F.col("_in")).drop("_part", "_in", "_before"))
+
+
 def quantile_of_rank(rank: Column, rows: Column, n: int) -> Column:
     """Group 1..n of a position; sizes differ by at most one, larger groups first."""
     small = F.floor(rows / n)
@@ -109,7 +124,9 @@ def with_quantile_approx(df: DataFrame, measures: dict[str, str], n: int, accura
     equal scores; nulls get score 1.
     """
     steps = [i / n for i in range(1, n)]
-    cuts = df.agg(*[F.percentile_approx(c, steps, accuracy).alias(c) for c in measures]).first()
+    # A null ranks below every value, as in the exact scores.
+    cuts = df.agg(*[F.percentile_approx(F.coalesce(F.col(c).cast("double"), F.lit(float("-inf"))), steps, accuracy).alias(c)
+                    for c in measures]).first()
 
     def score(c: str) -> Column:
         passed = [F.when(F.col(c) > F.lit(cut), 1).otherwise(0) for cut in (cuts[c] or [])]

@@ -98,16 +98,16 @@ def _zone_mart() -> str:
     monthly = ", ".join(
         f"CAST(sum(week_{t}) OVER (PARTITION BY zone_id, month) AS BIGINT) AS month_{t}" for t in EVENT_TYPES)
     kept = ", ".join(f"week_{t}" for t in EVENT_TYPES)
-    return f"""WITH z AS (SELECT CAST(date_trunc('week', ts) AS DATE) AS week, CAST(c_nationkey AS BIGINT) AS zone_id, {weekly}
-      FROM events LEFT JOIN customer ON user_id = c_custkey GROUP BY 1, 2),
+    return f"""WITH {EVENTS}, z AS (SELECT CAST(date_trunc('week', ts) AS DATE) AS week, CAST(n_nationkey AS BIGINT) AS zone_id, {weekly}
+      FROM ev LEFT JOIN nation ON n_nationkey = k // 4 GROUP BY 1, 2),
     zm AS (SELECT *, CAST(date_trunc('month', week) AS DATE) AS month FROM z)
     SELECT CAST(week AS VARCHAR) AS week, zone_id, CAST(month AS VARCHAR) AS month, {kept}, {monthly} FROM zm"""
 
 
 def _user_mart() -> str:
     counts = ", ".join(f"count(*) FILTER (WHERE event_type = '{t}') AS {t}_events" for t in EVENT_TYPES)
-    return f"""WITH e AS (SELECT event_id, ts, user_id, event_type, c_nationkey AS zone_id
-      FROM events LEFT JOIN customer ON user_id = c_custkey),
+    return f"""WITH {EVENTS}, e AS (SELECT event_id, ts, user_id, event_type, n_nationkey AS zone_id
+      FROM ev LEFT JOIN nation ON n_nationkey = k // 4),
     last AS (SELECT user_id, zone_id FROM e WHERE zone_id IS NOT NULL
       QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, zone_id) = 1),
     modal AS (SELECT user_id, zone_id FROM (SELECT user_id, zone_id, count(*) AS n FROM e
@@ -155,6 +155,8 @@ ORACLE: dict[str, str] = {
         FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""",
     "segment_scores": f"""WITH {_MEASURES} SELECT user_id, CAST(last_order AS VARCHAR) AS last_order, orders,
         CAST(spend AS DOUBLE) AS spend, recency, frequency, monetary, segment FROM seg""",
+    "segment_scores_approx": """SELECT c_custkey AS user_id, true AS recency_ok, true AS frequency_ok, true AS monetary_ok
+        FROM customer""",
     "segment_summary": f"""WITH {_MEASURES} SELECT segment, count(*) AS users, CAST(sum(orders) AS BIGINT) AS orders,
         CAST(sum(spend) AS DOUBLE) AS spend FROM seg GROUP BY 1""",
     "wide_split_dims": _split_dims(),

@@ -14,6 +14,8 @@ from martloom.functions.scalars import money, total
 from martloom.operators.joins import enrich
 from martloom.operators.rows import computed_once
 from martloom.schema import DOUBLE, INT, LONG, TEXT, TS_NTZ, record
+from martloom.session import fresh_path
+from martloom.sources.files import read_lookup
 
 # Statuses and event types of the test data.
 CLOSED, OPEN, REFUNDED = "F", "O", "P"
@@ -127,9 +129,25 @@ def user_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+COMMUNITY_ZONE = record(group_id=LONG, zone_id=LONG, version=INT)
+
+
+def community_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lookup of the zone of a community, as an exported snapshot: four communities in
+    each nation, and older versions that name a wrong one."""
+    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("bigint").alias("n"))
+    rows = nation.select("n", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("i"))
+    rows = rows.select((F.col("n") * 4 + F.col("i")).alias("group_id"), "n", F.explode(F.array(F.lit(1), F.lit(2))).alias("version"))
+    snapshot = rows.select("group_id", F.when(F.col("version") == 2, F.col("n")).otherwise(F.lit(-1)).alias("zone_id"), "version")
+    path = fresh_path(spark, "community-zones")
+    snapshot.write.parquet(path)
+    return read_lookup(spark, path, COMMUNITY_ZONE, "group_id", "version").drop("version")
+
+
 def lake_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
-    return enrich(rows, user_zones(spark, sf_dir), "user_id")
+    """Events with the zone they happened in, found by their community."""
+    rows = events(spark, sf_dir).select("event_id", "ts", "user_id", "event_type", "group_id")
+    return enrich(rows, community_zones(spark, sf_dir), "group_id").drop("group_id")
 
 
 def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -44,7 +44,8 @@ def test_large_folder_is_split_over_tasks(spark):
 def test_lake_reads_only_the_asked_days(spark, tmp_path):
     path = str(tmp_path / "lake")
     sinks.relayout(_daily(spark, range(1, 21)).withColumn("kind", F.lit("a")), path, ["day", "kind"])
-    part = read_lake(spark, path, DAY, 3, "day")
+    schema = spark.read.parquet(path).schema
+    part = read_lake(spark, path, schema, DAY, 3, "day")
     assert sorted({r.day.day for r in part.collect()}) == [8, 9, 10]
     assert "PartitionFilters: [isnotnull(day" in plan(part)
     with pytest.raises(ValueError):
@@ -180,8 +181,9 @@ def test_files_documents_and_lookups(spark, tmp_path):
 
     lookup = str(tmp_path / "lookup")
     spark.createDataFrame([(1, "old", 1), (1, "new", 2), (2, "x", 1)], "k long, v string, t long").write.parquet(lookup)
-    assert rows(read_lookup(spark, lookup, "k", "t"), "k", "v") == [(1, "new"), (2, "x")]
-    assert read_lookup(spark, lookup, "k").count() == 2
+    schema = "k long, v string, t long"
+    assert rows(read_lookup(spark, lookup, schema, "k", "t"), "k", "v") == [(1, "new"), (2, "x")]
+    assert read_lookup(spark, lookup, schema, "k").count() == 2
 
 
 def test_messages_and_feedback(spark):

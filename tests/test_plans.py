@@ -40,3 +40,56 @@ def test_top_dishes_are_a_top_k(spark):
 def test_events_are_hash_aggregated_before_the_first_shuffle(spark):
     text = plan(entry.queries()["user_mart"](spark, SF_DIR))
     assert "HashAggregate(keys=[user_id" in text and text.index("SortAggregate") < text.index("HashAggregate(keys=[user_id")
+
+
+def _frames(spark):
+    """What the jobs write, before it is written."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from martloom.plans import courier, lake
+    from martloom.sources import sinks
+    from martloom.streaming import layers, notify
+
+    rows = spark.createDataFrame([(1, 1, "a", dt.datetime(2024, 1, 1), 1)], "k long, period long, v string, ts timestamp_ntz, version int")
+    members = spark.createDataFrame([(0, 1, 2), (0, 2, 2)], "zone_id int, user_id long, group_id long")
+    months = spark.createDataFrame([(1, 2024, 1, 2, 7)], "courier_id long, settlement_year int, settlement_month int, orders_count long, _rate_sum long")
+    tiers = spark.createDataFrame([(0, 9, 1, 1)], "lo int, hi int, pct int, floor int")
+    lines = spark.createDataFrame([("k", 1, 2, 3, "c", None, dt.datetime(2024, 1, 1))], layers.LINE).withColumn("month", F.lit(dt.date(2024, 1, 1)))
+    live = spark.createDataFrame([(1, 2, None, None)], notify.PROMOTION)
+    subs = spark.createDataFrame([(1, 2)], "user_id long, restaurant_id long")
+    return {
+        "extract_new": sinks.extract_new(rows, "ts", "2024-01-01", rows, ["k"], "2 days"),
+        "new_rows": sinks.new_rows(rows, rows, ["k"], ["ts"]),
+        "upserted": sinks.upserted(rows, rows, ["k"], "version"),
+        "zone_weeks": lake.zone_weeks(rows.selectExpr("ts", "k as zone_id", "v as event_type"), ["a"]),
+        "pairs": lake.shared_community_pairs(members, 1),
+        "with_tier": courier.with_tier(months, tiers),
+        "counter_steps": layers.counter_steps(lines, lines),
+        "notifications": notify.notifications(live, subs),
+    }
+
+
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
+def test_frames_behind_the_writes_join_by_key(spark, threshold):
+    """Also where nothing is small enough to be broadcast."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        for name, frame in _frames(spark).items():
+            text = plan(frame)
+            for word in ("CartesianProduct", "NestedLoop", "EvalPython", "MapInPandas"):
+                assert word not in text, name
+            if threshold == "-1" and name in ("extract_new", "new_rows", "pairs", "with_tier", "counter_steps", "notifications"):
+                assert "SortMergeJoin" in text, name
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_reread_opens_only_the_asked_folders(spark, tmp_path):
+    from martloom.sources.files import read_lake
+    import datetime as dt
+    spark.range(3).selectExpr("id", "date_add(date'2024-01-01', cast(id as int)) as event_date").write.partitionBy("event_date").parquet(str(tmp_path / "l"))
+    part = read_lake(spark, str(tmp_path / "l"), "id long, event_date date", dt.date(2024, 1, 2))
+    assert "PartitionFilters: [isnotnull(event_date" in plan(part) and part.count() == 1

@@ -20,7 +20,7 @@ def duck():
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
     without = set(entry.queries()) - set(entry.oracle_sql())
-    assert {q for q in without if not re.match(r"op\d+_|pipeline$", q)} == {"segment_scores_approx"}
+    assert {q for q in without if not re.match(r"op\d+_|pipeline$", q)} == set()
 
 
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
@@ -32,16 +32,6 @@ def test_query_equals_sql(spark, duck, name):
     assert got
 
 
-def test_approximate_scores_are_near_the_exact_ones(spark):
-    run = entry.queries()
-    exact = {r.user_id: r for r in run["segment_scores"](spark, SF_DIR).collect()}
-    approx = {r.user_id: r for r in run["segment_scores_approx"](spark, SF_DIR).collect()}
-    assert exact.keys() == approx.keys()
-    # Exact scores split equal values by user id, approximate ones do not.
-    for measure in ("recency", "monetary"):
-        assert all(abs(exact[u][measure] - approx[u][measure]) <= 1 for u in exact)
-
-
 def test_invariants(spark):
     run = entry.queries()
     for r in run["community_conversion"](spark, SF_DIR).collect():
