@@ -207,7 +207,7 @@ def upsert_counters(spark, sf_dir):
 
 
 EVENT_RECORD = record(event_id=LONG, user_id=LONG, event_type=TEXT, group_id=LONG)
-PAGE_ROWS, MIN_PAGES = 1_000_000, 8
+PAGE_ROWS = 10_000
 
 
 def _event_records(spark, sf_dir):
@@ -216,17 +216,20 @@ def _event_records(spark, sf_dir):
 
 @query
 def paged_extract(spark, sf_dir):
-    """Events saved as API responses of about PAGE_ROWS records, read back page by page."""
+    """Events saved as API responses of about PAGE_ROWS records, one payload a page, read
+    back page by page. Pages that are cut off are kept as they came."""
     path = fresh_path(spark, "api-pages")
     records = _event_records(spark, sf_dir)
-    n_pages = max(MIN_PAGES, -(-records.count() // PAGE_ROWS))
-    saved = records.select(
-        message(*EVENT_RECORD.names).alias("value"),
-        F.pmod(F.xxhash64("event_id"), F.lit(n_pages)).alias("page"),
-    )
-    saved.hint("rebalance", "page").write.partitionBy("page").text(path)
+    # The count comes from the files' footers.
+    n_pages = max(8, -(-records.count() // PAGE_ROWS))
+    page = F.pmod("event_id", F.lit(n_pages)).alias("page")
+    saved = records.groupBy(page).agg(F.to_json(F.collect_list(F.struct(*EVENT_RECORD.names))).alias("value"))
+    cut = F.when(F.col("page") == 3, F.rtrim("value", F.lit("]"))).otherwise(F.col("value"))
+    saved.select(cut.alias("value"), "page").write.partitionBy("page").text(path)
     rows = read_paged(spark, stored_pages(path), n_pages, EVENT_RECORD)
-    return rows.drop("page_no").dropDuplicates(["event_id"])
+    good = rows.filter("payload IS NULL").drop("page_no", "payload").dropDuplicates(["event_id"])
+    aside = rows.filter("payload IS NOT NULL").select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in EVENT_RECORD.fields], "page_no")
+    return good.withColumn("cut_page", F.lit(None).cast("bigint")).unionByName(aside.withColumnRenamed("page_no", "cut_page"))
 
 
 @query

@@ -16,9 +16,6 @@ def profile(df: DataFrame, exact: bool = True) -> DataFrame:
     reads one column, and repeated values are merged before the shuffle. The
     approximate form is a single pass with one distinct-count sketch per column.
     """
-    def text(c):
-        return F.col(c).cast("string")
-
     if exact:
         def one(c: str) -> DataFrame:
             values = df.groupBy(F.col(c).alias("v")).agg(F.count(F.lit(1)).alias("n"))

@@ -6,7 +6,7 @@ windows, joins and distinct counts stand where Spark uses another route.
 
 from __future__ import annotations
 
-from martloom.catalog import FRIEND_WEIGHT, PROMO_NOW, STATUS_SINCE, FIRST_LOAD, SECOND_LOAD, TOP_DISHES
+from martloom.catalog import FRIEND_WEIGHT, PAGE_ROWS, PROMO_NOW, STATUS_SINCE, FIRST_LOAD, SECOND_LOAD, TOP_DISHES
 from martloom.standins import EVENT_TYPES, WIDE_DIMS, WIDE_MEASURES
 
 K = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
@@ -184,7 +184,9 @@ ORACLE: dict[str, str] = {
     "upsert_counters": """SELECT o_custkey AS user_id, CASE WHEN o_orderstatus <> 'P' THEN year(o_orderdate) END AS order_year,
         count(*) AS orders, CAST(CASE WHEN order_year >= 1998 OR order_year IS NULL AND o_custkey % 2 = 1 THEN 2 ELSE 1 END
         AS BIGINT) AS version FROM orders GROUP BY 1, 2""",
-    "paged_extract": f"WITH {EVENTS} SELECT event_id, user_id, event_type, k AS group_id FROM ev",
+    "paged_extract": f"""WITH {EVENTS}, n AS (SELECT greatest(8, -(-count(*) // {PAGE_ROWS})) AS n FROM ev)
+        SELECT event_id, user_id, event_type, k AS group_id, CAST(NULL AS BIGINT) AS cut_page FROM ev, n WHERE event_id % n <> 3
+        UNION ALL SELECT NULL, NULL, NULL, NULL, 3 WHERE EXISTS (SELECT 1 FROM ev, n WHERE event_id % n = 3)""",
     "document_landing": f"""WITH {EVENTS} SELECT event_id, user_id, event_type, k AS group_id, 'landed' AS state
         FROM ev WHERE event_type <> 'error' UNION ALL
         SELECT count(*), 0, '', 0, 'set aside' FROM ev WHERE event_type = 'error'""",

@@ -16,7 +16,9 @@ import pyarrow.fs as pafs
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
+
+from martloom.operators.rows import computed_once
 
 _BATCH_ROWS = 4096
 
@@ -94,17 +96,23 @@ def paged_payloads(spark: SparkSession, fetch_page: Callable[[int], Iterable[str
 
 def read_paged(spark: SparkSession, fetch_page: Callable[[int], Iterable[str]],
                n_pages: int, schema: StructType | str, pages_per_task: int = 1) -> DataFrame:
-    """Records of all pages with the declared columns, plus ``page_no``.
+    """Records of all pages with the declared columns, plus ``page_no`` and ``payload``.
 
-    A payload that is not a JSON object gives a row of nulls, kept for the
-    caller to set aside.
+    A payload is a record or an array of records, so a page may come as one payload and
+    is taken apart in the JVM. One that is neither gives a row with ``payload`` as it was
+    received, for the caller to set aside; it is null for records.
     """
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
     rows = paged_payloads(spark, fetch_page, n_pages, pages_per_task)
-    return rows.select("page_no", F.from_json("payload", schema).alias("r")).select("page_no", "r.*")
+    parsed = computed_once(rows, "records", F.from_json("payload", ArrayType(schema)))
+    parsed = parsed.filter("records IS NULL OR size(records) > 0")
+    return parsed.select("page_no", F.when(F.col("records").isNull(), F.col("payload")).alias("payload"),
+                         F.explode_outer("records").alias("r")).select("page_no", "payload", "r.*")
 
 
 def stored_pages(base: str) -> Callable[[int], Iterable[str]]:
-    """``fetch_page`` over saved responses ``base/page=N/``, one JSON record per line.
+    """``fetch_page`` over saved responses ``base/page=N/``, one payload per line.
 
     The folder of a page follows from its number, so no list of pages is built
     or shipped; lines are streamed and never held together.

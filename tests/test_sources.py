@@ -34,7 +34,7 @@ PAGES = [
 def test_pages_are_read_in_parallel_tasks(spark):
     df = read_paged(spark, lambda i: PAGES[i], 3, SCHEMA)
     assert df.rdd.getNumPartitions() == 3
-    assert rows(df, "page_no", "id") == [(0, 1), (0, 2), (2, 2), (2, 3), (2, None)]
+    assert rows(df, "page_no", "id", "payload") == [(0, 1, None), (0, 2, None), (2, 2, None), (2, 3, None), (2, None, "broken")]
     assert read_paged(spark, lambda i: PAGES[i], 3, SCHEMA, pages_per_task=2).count() == 5
 
 
@@ -79,3 +79,9 @@ def test_cluster_without_shared_folder_is_refused():
 
     with pytest.raises(ValueError):
         shared_dir(Session())
+
+
+def test_a_page_may_be_one_payload(spark):
+    pages = ['[{"id": 1, "name": "a"}, {"id": 2}]', "[]", '[{"id": 3}', '{"id": 4}']
+    df = read_paged(spark, lambda i: [pages[i]], 4, SCHEMA)
+    assert rows(df, "page_no", "id", "payload") == [(0, 1, None), (0, 2, None), (2, None, '[{"id": 3}'), (3, 4, None)]
