@@ -26,34 +26,54 @@ from martloom.llm.rows import fresh, map_columns, text_hash
 from martloom.session import stored
 
 SEGMENTS, WIDTH, SEED = 8, 8, 42
+WORD_SEEDS = (42, 43, 44)
 #: Shingles whose bits are added at once.
 CHUNK = 8192
 
 
-def fingerprint(text: str | None, shingle: int = 3) -> int:
-    """Signed 64-bit SimHash: a bit is 1 if it is set in over half of the shingle hashes."""
-    words = (text or "").encode().lower().split()
-    if not words:
-        return 0
-    count = max(1, len(words) - shingle + 1)
+def split_words(text: str | None) -> list[bytes]:
+    return (text or "").encode().lower().split()
+
+
+def shingles(words: list[bytes], size: int) -> list[bytes]:
+    """Runs of ``size`` words, the whole text if it has fewer, none if it has none."""
+    return [b" ".join(words[i:i + size]) for i in range(max(1, len(words) - size + 1))] if words else []
+
+
+def majority(features: list[bytes], seed: int = SEED) -> int:
+    """Signed 64-bit SimHash: a bit is 1 if it is set in over half of the hashes."""
     ones = np.zeros(64, dtype=np.int64)
-    for at in range(0, count, CHUNK):
-        hashes = np.array([xxhash.xxh64_intdigest(b" ".join(words[i:i + shingle]), SEED)
-                           for i in range(at, min(at + CHUNK, count))], dtype="<u8")
+    for at in range(0, len(features), CHUNK):
+        hashes = np.array([xxhash.xxh64_intdigest(x, seed) for x in features[at:at + CHUNK]], dtype="<u8")
         ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > count, bitorder="little").view("<i8")[0])
+    return int(np.packbits(ones * 2 > len(features), bitorder="little").view("<i8")[0])
+
 
+def fingerprint(text: str | None, shingle: int = 3) -> int:
+    return majority(shingles(split_words(text), shingle))
+
+
+def word_fingerprints(text: str | None) -> list[int]:
+    """Independent SimHashes of the different words: an edited word changes one feature,
+    not the several shingles that hold it."""
+    words = sorted(set(split_words(text)))
+    return [majority(words, seed) for seed in WORD_SEEDS]
 
-def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, text_hash, fp) for every row."""
+
+def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text", doc_id: str = "doc_id",
+                 by_words: bool = False) -> DataFrame:
+    """(doc_id, text_hash, fp) for every row, and word_fps if asked for."""
     keyed = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     keyed = keyed.withColumn("text_hash", text_hash())
 
     def make():
-        return lambda ids, hashes, texts: (ids, hashes, [fingerprint(t, shingle) for t in texts])
+        def work(ids, hashes, texts):
+            out = [ids, hashes, [fingerprint(t, shingle) for t in texts]]
+            return [*out, [word_fingerprints(t) for t in texts]] if by_words else out
+        return work
 
-    return map_columns(keyed, ["doc_id", "text_hash", "text"],
-                       [("doc_id", "long"), ("text_hash", "long"), ("fp", "long")], make)
+    fields = [("doc_id", "long"), ("text_hash", "long"), ("fp", "long")]
+    return map_columns(keyed, ["doc_id", "text_hash", "text"], fields + [("word_fps", "array<long>")] * by_words, make)
 
 
 def quotas(radius: int) -> list[int]:
@@ -102,14 +122,61 @@ def close_pairs(groups: DataFrame, radius: int = 3) -> DataFrame:
             .select("a", "b").distinct())
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, **columns: str) -> DataFrame:
+def similar_links(docs: DataFrame, prints: DataFrame, radius: int, words: int, similarity: float) -> DataFrame:
+    """Pairs (a, b) of ``fp`` of texts whose sets of shingles of ``words`` words have a
+    Jaccard similarity of ``similarity`` or more, found by fingerprints of their words.
+
+    Different texts with one word fingerprint are compared with the first of them, and
+    the first ones with each other within ``radius`` bits: a large group costs one
+    comparison a text. Each of several independent fingerprints finds pairs that others
+    miss. Only texts that are compared are cut into shingles.
+    """
+    texts = stored(prints.groupBy("text_hash").agg(F.min("fp").alias("fp"), F.min("word_fps").alias("word_fps")), "texts")
+    found = None
+    for k in range(len(WORD_SEEDS)):
+        own = texts.select("text_hash", F.col("word_fps")[k].alias("word_fp"))
+        heads = stored(own.groupBy("word_fp").agg(F.min("text_hash").alias("head")), "text_heads")
+        same = own.join(heads, "word_fp").filter("text_hash != head").select(F.col("text_hash").alias("a"), F.col("head").alias("b"))
+        near = close_pairs(heads.select(F.col("word_fp").alias("fp")), radius)
+        for side in "ab":
+            near = near.join(heads.select(F.col("word_fp").alias(side), F.col("head").alias(f"{side}_head")), side)
+        pairs = same.union(near.select(F.least("a_head", "b_head"), F.greatest("a_head", "b_head")))
+        found = pairs if found is None else found.union(pairs)
+    candidates = stored(found.distinct(), "text_pairs")
+    asked = candidates.select(F.explode(F.array("a", "b")).alias("asked")).distinct()
+    rows = docs.select(text_hash().alias("text_hash"), "text")
+    # As many as there are near copies, so never broadcast: one plan at every size.
+    rows = rows.join(asked.hint("merge"), F.col("text_hash") == F.col("asked"), "left_semi")
+
+    def make():
+        def work(hashes, values):
+            return hashes, [sorted({xxhash.xxh64_intdigest(s, SEED) - (1 << 63) for s in shingles(split_words(t), words)})
+                            for t in values]
+        return work
+
+    sets = stored(map_columns(rows, ["text_hash", "text"], [("text_hash", "long"), ("shingles", "array<long>")], make)
+                  .dropDuplicates(["text_hash"]), "shingles")
+    for side in "ab":
+        candidates = candidates.join(sets.select(F.col("text_hash").alias(side), F.col("shingles").alias(f"{side}_set")), side)
+    common = F.size(F.array_intersect("a_set", "b_set"))
+    alike = candidates.filter(common >= similarity * (F.size("a_set") + F.size("b_set") - common)).select("a", "b")
+    for side in "ab":
+        alike = alike.join(texts.select(F.col("text_hash").alias(side), F.col("fp").alias(f"{side}_fp")), side)
+    return alike.select(F.col("a_fp").alias("a"), F.col("b_fp").alias("b"))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, similar: tuple[int, float] | None = None) -> DataFrame:
     """(doc_id, text_hash, fp, component_id, chosen): the smallest doc_id reachable, and
-    the text_hash of the row of the component that stays."""
-    prints = stored(fingerprints(docs, shingle, **columns), "fingerprints")
+    the text_hash of the row of the component that stays. With ``similar`` (words of a
+    shingle, similarity) the links of ``similar_links`` are added."""
+    prints = stored(fingerprints(docs, shingle, by_words=similar is not None), "fingerprints")
     # A row without an id sorts after every id.
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     groups = stored(prints.groupBy("fp").agg(F.min(order).alias("first")), "fingerprint_groups")
-    classes = components(close_pairs(groups, radius))
+    links = close_pairs(groups, radius)
+    if similar:
+        links = links.union(similar_links(docs, prints, radius, *similar))
+    classes = components(links)
     linked = groups.join(classes.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first", F.coalesce("component", "fp").alias("component"))
     tops = linked.groupBy("component").agg(F.min("first").alias("top"))
@@ -118,10 +185,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, **column
     return prints.join(labelled, "fp").select("doc_id", "text_hash", "fp", "component_id", "chosen")
 
 
-def drop_near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3,
+                         similar: tuple[int, float] | None = (5, 0.8)) -> DataFrame:
     """One document of each group, with all its columns: the smallest doc_id's. Of rows
     with one id and one text a single row stays."""
-    kept = (near_duplicates(docs, shingle, radius)
+    kept = (near_duplicates(docs, shingle, radius, similar)
             .filter(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_hash") == F.col("chosen")))
             .select("doc_id", "text_hash").distinct())
     an_id, a_hash, k_id, k_hash, row = fresh(docs, "own_id", "own_hash", "kept_id", "kept_hash", "row")

@@ -100,3 +100,23 @@ def test_one_document_of_each_group_stays(spark):
     kept = simhash.drop_near_duplicates(awkward(spark)).collect()
     assert sorted((r.doc_id for r in kept), key=repr) == sorted([1, 2, 5, 7, 7, None, 9], key=repr)
     assert simhash.drop_near_duplicates(empty(spark)).count() == 0
+
+
+def test_edited_copies_are_found_by_words_and_verified(spark):
+    """Every 40th word edited: a similarity of about 0.8 on five words, but more than
+    three bits on three."""
+    pick = random.Random(12)
+    rows, base = [], [prose(50 + g, 400).split() for g in range(12)]
+    for g, words in enumerate(base):
+        rows.append((100 * g, " ".join(words)))
+        for c in range(1, 4):
+            edited = list(words)
+            for at in pick.sample(range(400), 6):
+                edited[at] = f"edit{c}x{at}"
+            rows.append((100 * g + c, " ".join(edited)))
+    rows.append((9000, " ".join(sorted(base[0]))))  # the same words, another text
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], DOCS)
+    alone = {r.doc_id for r in simhash.drop_near_duplicates(docs, similar=None).collect()}
+    kept = {r.doc_id for r in simhash.drop_near_duplicates(docs).collect()}
+    assert {100 * g for g in range(12)} | {9000} <= kept <= alone
+    assert len(kept) <= 13 + 9 < len(alone)
