@@ -26,10 +26,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.rows import map_columns
+from martloom.llm.rows import WORKER_TABLES, map_columns
 
 #: Memory of one task, not results: past these sizes the tables start anew.
 MAX_STATES, MAX_PIECES, PIECE_CHARS = 200_000, 200_000, 48
+TABLES = "bpe"
 #: Bytes of one piece after which settled tokens are emitted.
 LONG_PIECE = 4096
 
@@ -232,17 +233,14 @@ class Decoder:
         return "".join([stream.feed(c) for c in self.chunks(ids)] + [stream.close()])
 
 
-_built: dict[str, tuple[Encoder, Decoder]] = {}
-
-
 def _coders(raw: bytes, pattern: str) -> tuple[Encoder, Decoder]:
     """One pair per vocabulary and worker, so that states are shared by its tasks."""
     key = hashlib.sha256(raw + pattern.encode()).hexdigest()
-    if key not in _built:
+    held = WORKER_TABLES.get(TABLES)
+    if held is None or held[0] != key:
         ranks = read_ranks(raw)
-        _built.clear()
-        _built[key] = Encoder(ranks, pattern), Decoder(ranks)
-    return _built[key]
+        held = WORKER_TABLES[TABLES] = key, (Encoder(ranks, pattern), Decoder(ranks))
+    return held[1]
 
 
 def _vocabulary(df: DataFrame, path: str):
@@ -260,7 +258,7 @@ def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", tex
         return lambda keys, texts: (keys, [encoder.encode(t) for t in texts])
 
     keyed = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    return map_columns(keyed, ["doc_id", "text"], [("doc_id", "long"), ("ids", "array<int>")], make)
+    return map_columns(keyed, ["doc_id", "text"], [("doc_id", "long"), ("ids", "array<int>")], make, keeps=TABLES)
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -271,7 +269,7 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
         decoder = _coders(raw.value, pattern)[1]
         return lambda keys, ids: (keys, [decoder.text(x or ()) for x in ids])
 
-    return map_columns(encoded, ["doc_id", "ids"], [("doc_id", "long"), ("text", "string")], make)
+    return map_columns(encoded, ["doc_id", "ids"], [("doc_id", "long"), ("text", "string")], make, keeps=TABLES)
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -300,7 +298,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return map_columns(keyed, ["doc_id", "text"],
                        [("doc_id", "long"), ("n_tokens", "long"), ("ids_sha256", "string"),
-                        ("decoded_sha256", "string")], make)
+                        ("decoded_sha256", "string")], make, keeps=TABLES)
 
 
 def encoded_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -321,4 +319,4 @@ def encoded_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), "text")
     return map_columns(keyed, ["doc_id", "source", "text"],
                        [("doc_id", "long"), ("source", "string"), ("n_tokens", "long"), ("ids", "array<int>"),
-                        ("intact", "boolean")], make)
+                        ("intact", "boolean")], make, keeps=TABLES)

@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROOT = str(Path(__file__).resolve().parents[2])
-#: Rows of one Arrow batch: texts are long, and a batch is held in a worker's memory.
-BATCH_ROWS = 1000
+#: Rows and bytes of one Arrow batch: texts are long, and a batch is held in a worker's memory.
+BATCH_ROWS, BATCH_BYTES = 500, "16m"
 #: Rows turned into Python objects at once.
 SLICE_ROWS = 200
 
@@ -30,21 +30,34 @@ def prepare(spark: SparkSession) -> None:
     """Small Arrow batches; workers on this machine find the package where the driver
     did, whatever folder they start in (a cluster installs or ships it)."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
 
 
+#: Tables that a worker keeps for later tasks of the same operator, by its name.
+WORKER_TABLES: dict[str, object] = {}
+
+
+def _release(but: str | None) -> None:
+    """A worker serves all operators in turn; what another one has left goes first."""
+    for name in [n for n in WORKER_TABLES if n != but]:
+        del WORKER_TABLES[name]
+
+
 def map_columns(df: DataFrame, columns: list[str], fields: list[tuple[str, str]],
-                make: Callable[[], Callable[..., Iterable]], slice_rows: int = SLICE_ROWS) -> DataFrame:
+                make: Callable[[], Callable[..., Iterable]], slice_rows: int = SLICE_ROWS,
+                keeps: str | None = None) -> DataFrame:
     """A new table with ``fields`` (name, type) from ``columns`` of ``df``.
 
     ``make()`` runs once per task; what it returns gets the values of some rows, one
     list per column, and returns or yields one list per field. It may return more or
-    fewer rows than it got.
+    fewer rows than it got. ``keeps`` names what the worker may hold for its next task.
     """
     prepare(df.sparkSession)
     kinds, names = [_ARROW[k] for _, k in fields], [n for n, _ in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _release(keeps)
         work = make()
         for batch in batches:
             for at in range(0, batch.num_rows, slice_rows):
@@ -63,6 +76,7 @@ def keep_rows(df: DataFrame, column: str, make: Callable[[], Callable[[list], li
     at = df.columns.index(column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _release(None)
         keep = make()
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE_ROWS):
