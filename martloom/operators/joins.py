@@ -84,7 +84,7 @@ def block_join(left: DataFrame, right: DataFrame, group: list[str], left_id: str
 
 #: A cell with at most so many candidate centres is not cut further, nor is one of the
 #: last level (a world of 2^LEVELS by 2^LEVELS cells).
-LEAF, LEVELS = 12, 14
+LEAF, LEVELS = 12, 16
 #: In radians: distances that differ by less than two metres may tie once rounded.
 MARGIN = 4e-7
 
@@ -99,7 +99,7 @@ def cell_path(lat: Column, lon: Column) -> Column:
         (F.shiftright(row, b).bitwiseAND(F.lit(1)) * 2 + F.shiftright(col, b).bitwiseAND(F.lit(1))).cast("int").cast("string")
         for b in range(LEVELS - 1, -1, -1)
     ]
-    return F.concat(*digits)
+    return F.when(lat.isNotNull() & lon.isNotNull(), F.concat(*digits))
 
 
 def _middle(path: Column, level: int) -> tuple[Column, Column]:

@@ -10,7 +10,8 @@ from compare import connect
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test data not there")
 
-SAME = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP"}
+SAME = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP",
+        "boolean": "BOOLEAN"}
 
 
 @pytest.mark.parametrize("name", sorted(n for n in entry.oracle_sql() if not n.startswith("stream_")))
