@@ -129,7 +129,8 @@ def similar_links(docs: DataFrame, prints: DataFrame, radius: int, words: int, s
     Different texts with one word fingerprint are compared with the first of them, and
     the first ones with each other within ``radius`` bits: a large group costs one
     comparison a text. Each of several independent fingerprints finds pairs that others
-    miss. Only texts that are compared are cut into shingles.
+    miss. Only texts that are compared are cut into shingles. Pairs of first texts grow
+    with the square of a group of near copies whose word fingerprints all differ.
     """
     texts = stored(prints.groupBy("text_hash").agg(F.min("fp").alias("fp"), F.min("word_fps").alias("word_fps")), "texts")
     found = None
@@ -186,7 +187,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, similar:
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3,
-                         similar: tuple[int, float] | None = (5, 0.8)) -> DataFrame:
+                         similar: tuple[int, float] | None = None) -> DataFrame:
     """One document of each group, with all its columns: the smallest doc_id's. Of rows
     with one id and one text a single row stays."""
     kept = (near_duplicates(docs, shingle, radius, similar)

@@ -117,6 +117,6 @@ def test_edited_copies_are_found_by_words_and_verified(spark):
     rows.append((9000, " ".join(sorted(base[0]))))  # the same words, another text
     docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], DOCS)
     alone = {r.doc_id for r in simhash.drop_near_duplicates(docs, similar=None).collect()}
-    kept = {r.doc_id for r in simhash.drop_near_duplicates(docs).collect()}
+    kept = {r.doc_id for r in simhash.drop_near_duplicates(docs, similar=(5, 0.8)).collect()}
     assert {100 * g for g in range(12)} | {9000} <= kept <= alone
     assert len(kept) <= 13 + 9 < len(alone)
