@@ -14,6 +14,8 @@ from martloom.llm import bpe, lines, mixing, simhash, toxicity
 from martloom.llm.rows import table
 from martloom.session import fresh_path
 
+#: Near copies: words of a shingle, and the least Jaccard similarity of two texts' shingles.
+SIMILAR = (5, 0.8)
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -26,7 +28,7 @@ def delete_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.drop_near_duplicates(docs)
+    return simhash.drop_near_duplicates(docs, similar=SIMILAR)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

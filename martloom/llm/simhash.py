@@ -122,28 +122,9 @@ def close_pairs(groups: DataFrame, radius: int = 3) -> DataFrame:
             .select("a", "b").distinct())
 
 
-def similar_links(docs: DataFrame, prints: DataFrame, radius: int, words: int, similarity: float) -> DataFrame:
-    """Pairs (a, b) of ``fp`` of texts whose sets of shingles of ``words`` words have a
-    Jaccard similarity of ``similarity`` or more, found by fingerprints of their words.
-
-    Different texts with one word fingerprint are compared with the first of them, and
-    the first ones with each other within ``radius`` bits: a large group costs one
-    comparison a text. Each of several independent fingerprints finds pairs that others
-    miss. Only texts that are compared are cut into shingles. Pairs of first texts grow
-    with the square of a group of near copies whose word fingerprints all differ.
-    """
-    texts = stored(prints.groupBy("text_hash").agg(F.min("fp").alias("fp"), F.min("word_fps").alias("word_fps")), "texts")
-    found = None
-    for k in range(len(WORD_SEEDS)):
-        own = texts.select("text_hash", F.col("word_fps")[k].alias("word_fp"))
-        heads = stored(own.groupBy("word_fp").agg(F.min("text_hash").alias("head")), "text_heads")
-        same = own.join(heads, "word_fp").filter("text_hash != head").select(F.col("text_hash").alias("a"), F.col("head").alias("b"))
-        near = close_pairs(heads.select(F.col("word_fp").alias("fp")), radius)
-        for side in "ab":
-            near = near.join(heads.select(F.col("word_fp").alias(side), F.col("head").alias(f"{side}_head")), side)
-        pairs = same.union(near.select(F.least("a_head", "b_head"), F.greatest("a_head", "b_head")))
-        found = pairs if found is None else found.union(pairs)
-    candidates = stored(found.distinct(), "text_pairs")
+def _jaccard_links(docs: DataFrame, candidates: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) of text hashes whose sets of shingles are similar enough. Only texts
+    that are compared are cut into shingles."""
     asked = candidates.select(F.explode(F.array("a", "b")).alias("asked")).distinct()
     rows = docs.select(text_hash().alias("text_hash"), "text")
     # As many as there are near copies, so never broadcast: one plan at every size.
@@ -157,27 +138,85 @@ def similar_links(docs: DataFrame, prints: DataFrame, radius: int, words: int, s
 
     sets = stored(map_columns(rows, ["text_hash", "text"], [("text_hash", "long"), ("shingles", "array<long>")], make)
                   .dropDuplicates(["text_hash"]), "shingles")
+    pairs = candidates
     for side in "ab":
-        candidates = candidates.join(sets.select(F.col("text_hash").alias(side), F.col("shingles").alias(f"{side}_set")), side)
+        pairs = pairs.join(sets.select(F.col("text_hash").alias(side), F.col("shingles").alias(f"{side}_set")), side)
     common = F.size(F.array_intersect("a_set", "b_set"))
-    alike = candidates.filter(common >= similarity * (F.size("a_set") + F.size("b_set") - common)).select("a", "b")
+    return pairs.filter(common >= similarity * (F.size("a_set") + F.size("b_set") - common)).select("a", "b")
+
+
+def star_pairs(keyed: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) of ``text_hash``: each text of a key (k, key) with the key's head,
+    one pair a text and key. Heads differ by key, so a large group gets many of them."""
+    turn = F.struct(F.xxhash64("text_hash", "k", "key").alias("turn"), "text_hash")
+    heads = keyed.groupBy("k", "key").agg(F.min(turn).alias("top"), F.count("*").alias("n")).filter("n > 1").select(
+        "k", "key", F.col("top.text_hash").alias("head"))
+    return (keyed.join(heads, ["k", "key"]).filter("text_hash != head")
+            .select(F.least("text_hash", "head").alias("a"), F.greatest("text_hash", "head").alias("b")).distinct())
+
+
+def open_pairs(keyed: DataFrame, radius: int) -> DataFrame:
+    """Distinct pairs (a, b) of ``text_hash`` that meet in a key within ``radius`` bits of
+    their ``word_fp`` and are not in one ``component`` yet. Texts of a key's largest component
+    are met by the others only, so what is linked already costs no comparison."""
+    sizes = keyed.groupBy("k", "key", "component").agg(F.count("*").alias("n"))
+    mixed = sizes.groupBy("k", "key").agg(F.max_by("component", F.struct("n", "component")).alias("top"),
+                                          F.count("*").alias("components")).filter("components > 1").drop("components")
+    mixed = stored(keyed.join(mixed, ["k", "key"]), "open_keys")
+    names = ("text_hash", "word_fp", "component")
+    left = mixed.filter("component != top").select("k", "key", *[F.col(c).alias(f"a_{c}") for c in names])
+    right = mixed.select("k", "key", "top", *[F.col(c).alias(f"b_{c}") for c in names])
+    met = left.join(right, ["k", "key"]).filter(
+        "a_component != b_component AND (b_component = top OR a_text_hash < b_text_hash)").filter(
+        chain_holds(F.col("key"), F.col("a_word_fp"), F.col("b_word_fp"), radius))
+    return met.select(F.least("a_text_hash", "b_text_hash").alias("a"), F.greatest("a_text_hash", "b_text_hash").alias("b")).distinct()
+
+
+def similar_classes(docs: DataFrame, prints: DataFrame, links: DataFrame, radius: int, words: int, similarity: float) -> DataFrame:
+    """(node, component) of ``fp`` by ``links`` and by the pairs of texts whose sets of
+    shingles of ``words`` words have a Jaccard similarity of ``similarity`` or more, found
+    within ``radius`` bits of any of the fingerprints of their words.
+
+    First the texts of a key are compared with the key's head, which links a large group of
+    near copies at one comparison a text and key. Then all pairs that are still in different
+    components are compared, so each pair of the keys is either compared or connected. What
+    grows with a square is only a group whose word fingerprints agree and whose texts do not.
+    """
+    texts = stored(prints.groupBy("text_hash").agg(F.min("fp").alias("fp"), F.min("word_fps").alias("word_fps")), "texts")
+    keyed = stored(texts.select("text_hash", "fp", F.posexplode("word_fps").alias("k", "word_fp")).withColumn(
+        "key", F.explode(chain_keys(F.col("word_fp")))), "text_keys")
+
+    def by_prints(pairs):
+        for side in "ab":
+            pairs = pairs.join(texts.select(F.col("text_hash").alias(side), F.col("fp").alias(f"{side}_fp")), side)
+        return pairs.select(F.col("a_fp").alias("a"), F.col("b_fp").alias("b")).filter("a != b").distinct()
+
+    stars = _jaccard_links(docs, stored(star_pairs(keyed), "star_pairs"), words, similarity)
+    classes = stored(components(links.union(by_prints(stars))), "star_classes").withColumnRenamed("node", "fp")
+    whole = keyed.join(classes, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    pairs = stored(open_pairs(whole, radius), "open_pairs")
+    more = by_prints(_jaccard_links(docs, pairs, words, similarity))
     for side in "ab":
-        alike = alike.join(texts.select(F.col("text_hash").alias(side), F.col("fp").alias(f"{side}_fp")), side)
-    return alike.select(F.col("a_fp").alias("a"), F.col("b_fp").alias("b"))
+        more = more.join(classes.select(F.col("fp").alias(side), F.col("component").alias(f"{side}_class")), side, "left")
+    # Components of components: what the stars linked is not walked again.
+    more = stored(components(more.select(F.coalesce("a_class", "a").alias("a"), F.coalesce("b_class", "b").alias("b"))), "open_classes")
+    met = more.select(F.col("node").alias("old"), F.col("component").alias("new"))
+    moved = classes.join(met, F.col("component") == F.col("old"), "left").select(
+        F.col("fp").alias("node"), F.coalesce("new", "component").alias("component"))
+    alone = more.join(classes.select(F.col("fp").alias("node")), "node", "left_anti").select("node", "component")
+    return moved.union(alone)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, similar: tuple[int, float] | None = None) -> DataFrame:
     """(doc_id, text_hash, fp, component_id, chosen): the smallest doc_id reachable, and
     the text_hash of the row of the component that stays. With ``similar`` (words of a
-    shingle, similarity) the links of ``similar_links`` are added."""
+    shingle, similarity) the links of ``similar_classes`` are added."""
     prints = stored(fingerprints(docs, shingle, by_words=similar is not None), "fingerprints")
     # A row without an id sorts after every id.
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     groups = stored(prints.groupBy("fp").agg(F.min(order).alias("first")), "fingerprint_groups")
     links = close_pairs(groups, radius)
-    if similar:
-        links = links.union(similar_links(docs, prints, radius, *similar))
-    classes = components(links)
+    classes = similar_classes(docs, prints, links, radius, *similar) if similar else components(links)
     linked = groups.join(classes.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first", F.coalesce("component", "fp").alias("component"))
     tops = linked.groupBy("component").agg(F.min("first").alias("top"))

@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import random
+
 import corpus_pipeline
 import public_tokenizers
 import pytest
 import tiktoken
-from helpers import awkward, empty
+from helpers import DOCS, awkward, empty, prose
 
 from martloom.llm import bpe
 
@@ -24,6 +26,22 @@ def test_stages_keep_columns_and_take_awkward_tables(spark, tmp_path):
             docs = spark.read.parquet(path)
 
 
+def test_stage_finds_edited_copies_near_the_least_similarity(spark):
+    """Six of 400 words edited, and a large group of near copies that all differ."""
+    pick = random.Random(21)
+    rows, base = [], [prose(70 + g, 400).split() for g in range(8)]
+    for g, words in enumerate(base):
+        for c in range(4 if g else 60):
+            edited = list(words)
+            for at in pick.sample(range(400), 6 if c and g else 3 if c else 0):
+                edited[at] = f"edit{c}x{at}"
+            rows.append((1000 * g + c, " ".join(edited)))
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], DOCS)
+    stage = dict(corpus_pipeline.STAGES)["near_dedup"]
+    kept = {r.doc_id for r in stage(spark, docs, SF).collect()}
+    assert {1000 * g for g in range(8)} <= kept and len(kept) <= 8 + 5
+
+
 def test_run(spark):
     with open(public_tokenizers.path(corpus_pipeline.VOCABULARY), "rb") as file:
         ranks = bpe.read_ranks(file.read())
