@@ -3,10 +3,17 @@
 The halves of a unit vector are quantised by a codebook each; pairs of codewords form a
 grid of cells, and a vector lives in the cell of its nearest pair. A search visits cells
 by rising sum of the two distances (multi-sequence traversal: a heap over the two sorted
-lists) until the sum exceeds that of the nearest cell by ``slack``. The slack is fitted:
-``QUERIES`` vectors are compared with all vectors by brute force, and the least slack
-that finds ``RECALL`` of their true neighbours is taken. Every vector is indexed and
-searches; a pair is found if either finds the other, and is then verified exactly.
+lists) until the sum exceeds that of the nearest cell by ``slack``. Every vector is indexed
+and searches; a pair is found if either finds the other, and is then verified exactly.
+
+The slack is fitted on vectors that are compared with all vectors by brute force. Queries
+that are neighbours of each other are one group, and every group weighs the same, however
+many copies it has: the least slack that finds ``RECALL`` of a group's neighbours, on the
+mean of the groups, is taken. Queries are drawn until ``GROUPS`` groups with neighbours are
+seen. With fewer among ``MOST_QUERIES`` there is no fitted slack, and the geometry alone
+bounds the search: for vectors x and y at a distance of d, x's excess for y's cell and y's for
+x's sum up to 2 (x - y)(c_x - c_y) at most, so the smaller one is within d times the distance
+of the two cells' codewords. Cells beyond that hold no neighbour and are never searched.
 
 Equal vectors are one row with a count. Cells are cut into blocks of about ``BLOCK``
 vectors, so a task compares two blocks at a time and returns counts and a spanning forest
@@ -31,7 +38,11 @@ from martloom.llm.rows import map_columns, share_below
 from martloom.session import stored
 
 COSINE, RECALL = 0.93, 0.995
-CODEWORDS, SAMPLE, QUERIES, BLOCK, SEED = 32, 8000, 256, 512, 10
+CODEWORDS, SAMPLE, BLOCK, SEED = 32, 8000, 512, 10
+#: Queries of the first draw and of the last; groups with true neighbours to be seen.
+QUERIES, MOST_QUERIES, GROUPS = 256, 4096, 64
+#: Distance of unit vectors at the least cosine.
+REACH = float(np.sqrt(2 - 2 * COSINE))
 #: Steps in which the slack is fitted; unit vectors' halves lie within 4 of a codeword.
 STEP, MOST_STEPS = 0.01, 400
 
@@ -56,6 +67,7 @@ def squared(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
 class MultiIndex:
     def __init__(self, first: np.ndarray, second: np.ndarray):
         self.books = first, second
+        self.gaps = squared(first, first), squared(second, second)
 
     def distances(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         half = self.books[0].shape[1]
@@ -84,6 +96,15 @@ class MultiIndex:
             out.append(cell)
         return out
 
+    def reach(self, d1: np.ndarray, d2: np.ndarray, slack: float) -> list[int]:
+        """The visited cells that can hold a neighbour."""
+        g1, g2 = self.gaps[0][d1.argmin()], self.gaps[1][d2.argmin()]
+        most = REACH * np.sqrt(g1.max() + g2.max())
+        cells = np.array(self.visited(d1, d2, min(slack, most + 1e-9)))
+        i, j = cells // len(d2), cells % len(d2)
+        near = d1[i] + d2[j] - d1.min() - d2.min() <= REACH * np.sqrt(g1[i] + g2[j]) + 1e-9
+        return cells[near].tolist()
+
     def excess(self, x1, x2, y1, y2) -> np.ndarray:
         """Slack with which either of two vectors' searches reaches the other's cell,
         from their distances to the codewords; row by row."""
@@ -109,17 +130,55 @@ def _matrix(vectors: list, width: int) -> np.ndarray:
     return np.array(vectors, dtype=np.float64).reshape(-1, width)
 
 
+def groups_of(queries: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """The least number of a query that each query is linked to."""
+    near = (queries @ queries.T >= COSINE) & (labels[:, None] == labels[None, :])
+    np.fill_diagonal(near, True)
+    group = np.arange(len(queries))
+    while True:
+        least = np.where(near, group[None, :], len(group)).min(1)
+        if (least == group).all():
+            return group
+        group = least
+
+
+def fitted_slack(rows: list[tuple[int, int, int]], group: np.ndarray) -> tuple[float, float, int]:
+    """Slack, the mean share of the groups' neighbours that it finds, and the groups with
+    neighbours, from (query, step, neighbours)."""
+    by_group = np.zeros((len(group), MOST_STEPS + 1))
+    for query, step, n in rows:
+        by_group[group[query], step] += n
+    by_group = by_group[by_group.sum(1) > 0]
+    if not len(by_group):
+        return float("inf"), 1.0, 0
+    held = (by_group.cumsum(1) / by_group.sum(1, keepdims=True)).mean(0)
+    step = int(np.argmax(held >= RECALL))
+    return step * STEP + 1e-9, float(held[step]), len(by_group)
+
+
 def fit(vectors: DataFrame, total: int, width: int) -> tuple[MultiIndex, float, float]:
-    """Index, slack and the share of true neighbours that it finds."""
+    """Index, slack (infinite: the geometry alone) and the share of true neighbours that it
+    finds, on the mean of the sampled groups."""
     sample = vectors.filter(share_below(F.col("id"), min(1.0, SAMPLE / total), SEED)).select("unit")
     points = _matrix([r[0] for r in sample.collect()], width)
     if not len(points):
         points = _matrix([r[0] for r in vectors.select("unit").limit(1).collect()], width)
     half = (width + 1) // 2
     index = MultiIndex(codebook(points[:, :half]), codebook(points[:, half:]))
-    asked = vectors.filter(share_below(F.col("id"), min(1.0, QUERIES / total), SEED + 1)).select("id", "label", "unit").collect()
+    drawn = QUERIES
+    while True:
+        slack, recall, groups = _draw(vectors, index, min(1.0, drawn / total), width)
+        if groups >= GROUPS:
+            return index, slack, recall
+        if drawn >= min(total, MOST_QUERIES):
+            return index, float("inf"), 1.0
+        drawn *= 4
+
+
+def _draw(vectors: DataFrame, index: MultiIndex, share: float, width: int) -> tuple[float, float, int]:
+    asked = vectors.filter(share_below(F.col("id"), share, SEED + 1)).select("id", "label", "unit").collect()
     if not asked:
-        return index, 1.0, 1.0
+        return float("inf"), 1.0, 0
     q_id, q_label = np.array([r[0] for r in asked]), np.array([str(r[1]) for r in asked])
     queries = _matrix([r[2] for r in asked], width)
 
@@ -133,18 +192,13 @@ def fit(vectors: DataFrame, total: int, width: int) -> tuple[MultiIndex, float,
             i, j = np.nonzero(hit)
             x1, x2 = index.distances(x)
             steps = np.ceil(index.excess(x1[i], x2[i], q1[j], q2[j]) / STEP).astype(np.int64)
-            found, counts = np.unique(np.minimum(steps, MOST_STEPS), return_counts=True)
-            return found.tolist(), counts.tolist()
+            found, counts = np.unique(np.stack([j, np.minimum(steps, MOST_STEPS)]), axis=1, return_counts=True)
+            return found[0].tolist(), found[1].tolist(), counts.tolist()
         return work
 
-    steps = map_columns(vectors, ["id", "label", "unit"], [("step", "long"), ("n", "long")], make)
-    counts = sorted((r[0], r[1]) for r in steps.groupBy("step").agg(F.sum("n")).collect())
-    true, held = sum(n for _, n in counts), 0
-    for step, n in counts:
-        held += n
-        if held >= RECALL * true:
-            return index, step * STEP + 1e-9, held / true
-    return index, STEP, 1.0
+    fields = [("query", "long"), ("step", "long"), ("n", "long")]
+    steps = map_columns(vectors, ["id", "label", "unit"], fields, make).groupBy("query", "step").agg(F.sum("n"))
+    return fitted_slack([tuple(r) for r in steps.collect()], groups_of(queries, q_label))
 
 
 def _blocks(members: DataFrame, block: str) -> DataFrame:
@@ -222,7 +276,7 @@ def near_vectors(embeddings: DataFrame) -> DataFrame:
     def make():
         def work(ids, labels, units, ns):
             d1, d2 = index.distances(_matrix(units, width))
-            cells = [index.visited(a, b, slack) for a, b in zip(d1, d2, strict=True)]
+            cells = [index.reach(a, b, slack) for a, b in zip(d1, d2, strict=True)]
             return ids, labels, units, ns, [c[0] for c in cells], cells
         return work
 

@@ -85,3 +85,30 @@ def test_awkward_rows(spark):
     assert vectors.near_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
     odd = spark.createDataFrame([(1, [1.0, 0.0, 0.0], 1), (2, [1.0, 0.0, 0.0], 1), (3, [1.0, 0.0], 1)], SCHEMA)
     assert sorted(r.n_links for r in vectors.near_vectors(odd).collect()) == [0, 1, 1]
+
+
+def pairs_and_rest(hot, pairs, rest, dim=32):
+    """A tight group, ordinary pairs of cosine 0.935 to 0.99, and vectors without links."""
+    pick = np.random.default_rng(11)
+    unit = lambda v: v / np.linalg.norm(v)
+    centre, rows = unit(pick.normal(size=dim)), []
+    rows += [unit(centre + pick.normal(size=dim) * 0.002) for _ in range(hot)]
+    for _ in range(pairs):
+        x, other = unit(pick.normal(size=dim)), pick.normal(size=dim)
+        cosine = pick.uniform(0.935, 0.99)
+        rows += [x, cosine * x + np.sqrt(1 - cosine ** 2) * unit(other - (other @ x) * x)]
+    rows += [unit(pick.normal(size=dim)) for _ in range(rest)]
+    return [(i, [float(v) for v in row.astype(np.float32)], 1) for i, row in enumerate(rows)]
+
+
+def found_pairs(spark, rows, hot, pairs):
+    got = {r.vec_id: r.n_links for r in vectors.near_vectors(spark.createDataFrame(rows, SCHEMA)).collect()}
+    return sum(got[hot + 2 * k] > 0 for k in range(pairs))
+
+
+def test_a_hot_group_does_not_set_the_slack_of_the_others(spark):
+    assert found_pairs(spark, pairs_and_rest(700, 600, 200), 700, 600) >= 0.98 * 600
+
+
+def test_rare_pairs_are_found_by_the_proven_bound(spark):
+    assert found_pairs(spark, pairs_and_rest(0, 20, 1500), 0, 20) == 20
