@@ -2,12 +2,13 @@
 
 Base spans of the four kinds are the seeds. Each seed's left context gives lexical
 patterns: the word before it, and the two words before it. All identifier-like words of
-the corpus that the patterns lead to form a graph of patterns and instances. In each
-round Spark scores the patterns by the share of their distinct instances that are known
-to be of a kind (those with few known ones are not trusted), then scores unknown
-instances by the patterns that hold them, 1 - prod(1 - share), and takes those whose own
-shape fits the kind as known. It stops when a round finds none, or after ``ROUNDS``.
-Every place of a discovered identifier becomes a span.
+the corpus, and all runs of digits in groups, that the patterns lead to form a graph of
+patterns and instances. In each round Spark scores the patterns by the share of their
+distinct instances that are known to be of a kind (those with few known ones are not
+trusted; unknown ones whose shape fits the kind count neither for nor against), then scores
+unknown instances by the patterns that hold them, 1 - prod(1 - share), and takes those whose
+own shape fits the kind as known. It stops when a round finds none. Every place of a
+discovered identifier becomes a span, unless it lies within another one of its kind.
 
 Defined results: a null or empty text has no spans and the digest of the empty string;
 rows that share an id are documents of their own; an empty table gives an empty table.
@@ -26,9 +27,11 @@ from martloom.session import stored
 KINDS = ("email", "ip", "card", "phone")
 #: Distinct known instances that a pattern needs, its least share of them, and the least
 #: score of an unknown instance.
-MIN_KNOWN, MIN_SHARE, MIN_SCORE, ROUNDS = 5, 0.8, 0.9, 4
-#: Longest identifier that is discovered.
-LONGEST = 80
+MIN_KNOWN, MIN_SHARE, MIN_SCORE = 5, 0.8, 0.9
+#: Longest identifier that is discovered: an address of 64 characters, its sign, 255 more.
+LONGEST = 320
+#: Digits of a run in groups.
+RUN_DIGITS = range(7, 20)
 
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -37,6 +40,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _MARK = re.compile(r"[0-9]+|@|\((?:at|AT)\)|\[(?:at|AT)\]")
+_RUN = re.compile(r"[+(\[]{0,2}[0-9]+(?:[ ().\[\]/_-]{1,3}[0-9]+)+")
 _EDGE = ".,;:!?\"'()[]<>{}«»“”„"
 
 
@@ -109,7 +113,8 @@ def contexts(text: str, start: int) -> list[str]:
 
 
 def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, str]]:
-    """Words with a digit or a sign for "at" that no base span touches: start, end, value."""
+    """Words with a digit or a sign for "at", and digits in groups, that no base span touches:
+    start, end, value."""
     out, end = [], 0
     held = sorted((a, b) for _, a, b in taken)
     at = 0
@@ -130,13 +135,25 @@ def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int,
             at += 1
         if 5 <= b - a <= LONGEST and not (at < len(held) and held[at][0] < b):
             out.append((a, b, text[a:b]))
+    return sorted({*out, *_digit_runs(text, held)})
+
+
+def _digit_runs(text: str, held: list[tuple[int, int]]) -> list[tuple[int, int, str]]:
+    """Digits in groups with spaces, as words are cut at them."""
+    out, at = [], 0
+    for run in _RUN.finditer(text):
+        a, b = run.span()
+        while at < len(held) and held[at][1] <= a:
+            at += 1
+        if " " in run.group() and len(_digits(run.group())) in RUN_DIGITS and not (at < len(held) and held[at][0] < b):
+            out.append((a, b, run.group()))
     return out
 
 
 def fits(value: str) -> list[int]:
     """Kinds whose shape a value has, more loosely than the base pattern."""
     digits = len(_digits(value))
-    plain = set(value) <= set("0123456789 ().-+_/")
+    plain = set(value) <= set("0123456789 ().-+_/[]")
     out = []
     if re.fullmatch(r"[^\s@]+(?:@|[(\[](?:at|AT)[)\]])[^\s@]+", value):
         out.append(0)
@@ -176,11 +193,18 @@ def _extract(docs: DataFrame) -> DataFrame:
 
 
 def pattern_shares(edges: DataFrame, known: DataFrame) -> DataFrame:
-    """(pattern, kind, share) of the trusted patterns."""
-    sizes = edges.groupBy("pattern").agg(F.count("*").alias("all"))
-    held = edges.join(known, "value").groupBy("pattern", "kind").agg(F.count("*").alias("held"))
-    return (held.filter(F.col("held") >= MIN_KNOWN).join(sizes, "pattern")
-            .select("pattern", "kind", (F.col("held") / F.col("all")).alias("share"))
+    """(pattern, kind, share) of the trusted patterns. An unknown instance whose shape fits
+    the kind is what is asked for, so it is not counted."""
+    marked = edges.select("value", "pattern", "shapes").join(known, "value", "left")
+    counted = marked.groupBy("pattern").agg(F.count("*").alias("all"), *[
+        c for k in range(len(KINDS)) for c in (
+            F.count_if(F.col("kind") == k).alias(f"held_{k}"),
+            F.count_if(F.expr(f"kind IS NULL AND (shapes & {1 << k}) != 0")).alias(f"open_{k}"))])
+    by_kind = counted.select("pattern", "all", F.explode(F.array(*[
+        F.struct(F.lit(k).alias("kind"), F.col(f"held_{k}").alias("held"), F.col(f"open_{k}").alias("open"))
+        for k in range(len(KINDS))])).alias("c")).select("pattern", "all", "c.*")
+    return (by_kind.filter(F.col("held") >= MIN_KNOWN)
+            .select("pattern", "kind", (F.col("held") / (F.col("all") - F.col("open"))).alias("share"))
             .filter(F.col("share") >= MIN_SHARE))
 
 
@@ -205,13 +229,12 @@ def discover(found: DataFrame) -> DataFrame:
     known = stored(edges.filter("kinds >= 0").groupBy("value").agg(F.min("kinds").alias("kind")), "pii_known")
     shapes = stored(edges.filter("kinds < 0 AND shapes > 0").groupBy("value").agg(F.max("shapes").alias("shapes")), "pii_shapes")
     new = known.filter("false")
-    for _ in range(ROUNDS):
+    while True:
         patterns = stored(pattern_shares(edges, known), "pii_patterns")
         fresh = stored(instance_scores(edges, shapes, patterns, known), "pii_new")
         if fresh.isEmpty():
-            break
+            return new
         new, known = new.unionByName(fresh), known.unionByName(fresh)
-    return new
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
@@ -228,6 +251,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
         F.split_part(s, F.lit(":"), F.lit(2)).cast("int"), F.split_part(s, F.lit(":"), F.lit(3)).cast("int")))
     base = base.cast("array<struct<k:int,a:int,b:int>>")
     more = F.coalesce(F.col("more"), F.array().cast("array<struct<k:int,a:int,b:int>>"))
+    more = F.filter(more, lambda s: ~F.exists(more, lambda t: (t["k"] == s["k"]) & (t["a"] <= s["a"]) & (t["b"] >= s["b"]) & (t != s)))
     every = F.array_join(F.transform(F.array_sort(F.concat(base, more)), lambda s: F.concat_ws(
         ":", F.element_at(F.array(*map(F.lit, KINDS)), s["k"] + 1), s["a"], s["b"])), ",")
     return found.join(added, "row", "left").select(

@@ -90,3 +90,24 @@ def test_awkward_rows(spark):
     assert len(out) == 11
     check(out, docs)
     assert pii.personal_data(empty(spark)).count() == 0
+
+
+def test_spaced_phones_and_cards_are_found_where_many_are_unseen(spark):
+    """Over a fifth of the identifiers of each context are of unseen forms, in groups."""
+    pick = random.Random(9)
+    rows, unseen = [], {}
+    for i in range(40):
+        rows.append((i, f"Please call +49 30 {pick.randint(10 ** 6, 10 ** 7 - 1)} for help", "en", "a", 0))
+        start = f"4539 1488 {pick.randint(1000, 9999)} {pick.randint(100, 999)}"
+        last = next(d for d in range(10) if luhn(re.sub(" ", "", start) + str(d)))
+        rows.append((100 + i, f"Charge the card {start}{last} today", "en", "a", 0))
+        if i < 20:
+            phone = f"({pick.randint(100, 999)}) {pick.randint(1000, 9999)} {pick.randint(1000, 9999)}"
+            card = f"{start}{(last + 1) % 10}"
+            for at, kind, head, value in ((200 + i, "phone", "Please call ", phone), (300 + i, "card", "Charge the card ", card)):
+                rows.append((at, f"{head}{value} now", "en", "a", 0))
+                unseen[at] = f"{kind}:{len(head)}:{len(head) + len(value)}"
+    docs = spark.createDataFrame(rows, DOCS)
+    out = {r.doc_id: r for r in pii.personal_data(docs).collect()}
+    check(out.values(), docs)
+    assert {at: out[at].spans for at in unseen} == unseen
