@@ -4,12 +4,13 @@ Each language has a tree of byte contexts up to ``ORDER`` bytes. A byte's code l
 its longest known context is that of its share there; a byte not seen there costs the
 escape (method C: as many escapes as different bytes were seen) and is coded in the next
 shorter context, at last as one of 256. Statistics are frozen after training, so the
-length of a byte depends on its last few bytes only, and the lengths of all contexts are
-a table made once. A text goes to the language that codes all of its bytes in the fewest
+length of a byte depends on its last few bytes only. The trees are sparse: of each order,
+sorted arrays of the contexts and bytes that were seen, with the languages that saw them
+and their code lengths; equal runs of bytes are looked up once. A text goes to the language that codes all of its bytes in the fewest
 bits; the score is that language's share of 2^-bits.
 
-Training takes at most ``MAX_DOCS`` documents a language, chosen by a hash of the id,
-and keeps at most ``MAX_CONTEXTS`` contexts, the most frequent.
+Training takes at most ``MAX_DOCS`` documents a language, chosen by a hash of the id, and
+keeps every context of them, whatever the number of languages.
 
 Defined results: null, or no letter: ``und`` with score 0; equal code lengths: the first
 language by code point; no language to learn from: ``und`` for all; an empty table gives
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from martloom.llm.rows import HELD_OUT, map_columns
 
-ORDER, MAX_DOCS, MAX_CONTEXTS, SEED = 3, 500, 12_000, 1
+ORDER, MAX_DOCS, SEED = 3, 500, 1
 PAD = b"\n" * ORDER
 #: Bytes scored at once.
 BLOCK = 1 << 19
@@ -45,91 +46,108 @@ def grams(data: bytes) -> np.ndarray:
     return out
 
 
+@dataclass
+class Sparse:
+    """Values by (run of bytes, language): those of ``keys[i]`` are at ``starts[i]`` to
+    ``starts[i + 1]``."""
+    keys: np.ndarray
+    starts: np.ndarray
+    lang: np.ndarray
+    bits: np.ndarray
+
+    def of(self, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row of ``asked``, language and value of each entry."""
+        at = np.minimum(np.searchsorted(self.keys, asked), max(0, len(self.keys) - 1))
+        row = np.flatnonzero(self.keys[at] == asked) if len(self.keys) else np.zeros(0, dtype=np.int64)
+        first = self.starts[at[row]]
+        size = self.starts[at[row] + 1] - first
+        entry = np.arange(size.sum()) + np.repeat(first - (size.cumsum() - size), size)
+        return np.repeat(row, size), self.lang[entry], self.bits[entry]
+
+
+def sparse(key: np.ndarray, lang: np.ndarray, bits: np.ndarray) -> Sparse:
+    """From entries sorted by key, then language."""
+    keys, starts = np.unique(key, return_index=True)
+    return Sparse(keys, np.append(starts, len(key)), lang.astype(np.int32), bits.astype(np.float32))
+
+
 @dataclass
 class Trees:
-    """Code lengths of every language in one table: ``bits[node * width + symbol]``."""
+    """By order: bits of an escape from a context, and of a byte in a context."""
     langs: list[str]
-    symbol: np.ndarray     # byte -> symbol; 0 is a byte not seen in training
-    width: int
-    child: list[np.ndarray]  # by depth: node * width + symbol -> deeper node, or -1
-    bits: np.ndarray
+    escapes: list[Sparse]
+    direct: list[Sparse]
+
+    @property
+    def bits(self) -> np.ndarray:
+        return np.concatenate([t.bits for t in (*self.escapes, *self.direct)])
+
+    def costs(self, gram: np.ndarray) -> np.ndarray:
+        """Bits of each gram's last byte, by language."""
+        out = np.full((len(gram), len(self.langs)), 8.0)
+        for order, (escapes, direct) in enumerate(zip(self.escapes, self.direct, strict=True)):
+            key = gram & (1 << 8 * (order + 1)) - 1
+            row, lang, bits = escapes.of(key >> 8)
+            out[row, lang] += bits
+            row, lang, bits = direct.of(key)
+            out[row, lang] = bits
+        return out
+
+    def lengths_of(self, texts: list[bytes]) -> np.ndarray:
+        """Bits by text and language."""
+        total = np.zeros((len(texts), len(self.langs)))
+        owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+        every = np.concatenate([np.zeros(0, dtype=np.int64), *map(grams, texts)])
+        # A block's table of costs stays small with many languages too.
+        step = max(1, BLOCK * 8 // max(8, len(self.langs)))
+        for at in range(0, len(every), step):
+            runs, which = np.unique(every[at:at + step], return_inverse=True)
+            costs, own = self.costs(runs), owner[at:at + step]
+            first = np.flatnonzero(np.diff(own, prepend=-1))
+            for n in range(len(self.langs)):
+                total[own[first], n] += np.add.reduceat(costs[which, n], first)
+        return total
 
     def lengths(self, data: bytes) -> np.ndarray:
         """Bits by language."""
-        total = np.zeros(len(self.langs))
-        data = PAD + data
-        for at in range(ORDER, len(data), BLOCK):
-            s = self.symbol[np.frombuffer(data, np.uint8, min(at + BLOCK, len(data)) - at + ORDER, at - ORDER)]
-            n = len(s) - ORDER
-            best = node = np.zeros(n, dtype=np.int32)
-            # The tree is walked from the latest byte of the context back to the oldest.
-            for depth in range(ORDER):
-                back = s[ORDER - 1 - depth:ORDER - 1 - depth + n]
-                node = np.where(node < 0, -1, self.child[depth][node * self.width + back]) if depth else \
-                    self.child[0][back]
-                best = np.where(node < 0, best, node)
-            total += self.bits[best * self.width + s[ORDER:]].sum(0, dtype=np.float64)
-        return total
+        return self.lengths_of([data])[0]
+
+    def predict_all(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        read = [i for i, t in enumerate(texts) if self.langs and t and any(map(str.isalpha, t))]
+        out = [("und", 0.0)] * len(texts)
+        if read:
+            for i, bits in zip(read, self.lengths_of([as_bytes(texts[i]) for i in read]), strict=True):
+                least = int(bits.argmin())
+                out[i] = self.langs[least], float(1 / np.exp2(bits[least] - bits).sum())
+        return out
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not self.langs or not text or not any(map(str.isalpha, text)):
-            return "und", 0.0
-        bits = self.lengths(as_bytes(text))
-        least = int(bits.argmin())
-        return self.langs[least], float(1 / np.exp2(bits[least] - bits).sum())
+        return self.predict_all([text])[0]
 
 
-def build(langs: list[str], lang: np.ndarray, gram: np.ndarray, count: np.ndarray,
-          max_contexts: int = MAX_CONTEXTS) -> Trees:
-    """Trees from counts of (language number, bytes of context and next byte)."""
+def build(langs: list[str], lang: np.ndarray, gram: np.ndarray, count: np.ndarray, max_contexts: int | None = None) -> Trees:
+    """Trees from counts of (language number, bytes of context and next byte). More than
+    ``max_contexts`` contexts, if given, are refused, never cut."""
+    escapes, direct = [], []
     n_langs = max(1, len(langs))
-    seen = np.unique(np.concatenate([gram >> 8 * k & 255 for k in range(ORDER + 1)]))
-    symbol = np.zeros(256, dtype=np.int32)
-    symbol[seen] = np.arange(1, len(seen) + 1)
-    width = len(seen) + 1
-    nxt = symbol[gram & 255]
-    # Contexts by order, each one byte longer to the left than its parent.
-    child: list[np.ndarray] = []
-    max_contexts = max_contexts * 8 // max(8, n_langs)  # the table holds every language
-    per_order = [None, *(max(1, max_contexts >> (ORDER - k)) for k in range(1, ORDER + 1))]
-    offset, node_of = 0, np.zeros(len(gram), dtype=np.int64)
-    bits = []
-    below = None
+    contexts = 0
     for order in range(ORDER + 1):
-        if order:
-            back = symbol[gram >> (8 * order) & 255]
-            key = np.where(node_of < 0, -1, node_of * width + back)
-            found, inverse = np.unique(key, return_inverse=True)
-            weight = np.bincount(inverse, weights=count, minlength=len(found))
-            weight[found < 0] = -1
-            chosen = np.sort(np.argsort(-weight, kind="stable")[:per_order[order]])
-            chosen = chosen[weight[chosen] > 1]
-            rank = np.full(len(found), -1, dtype=np.int64)
-            rank[chosen] = np.arange(len(chosen))
-            node_of = rank[inverse]
-            first = offset - len(below)
-            table = np.full(len(below) * width, -1, dtype=np.int64)
-            table[found[chosen]] = np.arange(len(chosen)) + offset
-            child.append(np.concatenate([np.full(first * width, -1), table]).astype(np.int32))
-            parent = found[chosen] // width
-            size = len(chosen)
-        else:
-            size, parent = 1, None
-        here = node_of >= 0
-        counts = np.zeros((size, width, n_langs))
-        np.add.at(counts, (node_of[here], nxt[here], lang[here]), count[here])
-        n, q = counts.sum(1, keepdims=True), (counts > 0).sum(1, keepdims=True)
-        shorter = np.full((size, width, n_langs), 8.0) if order == 0 else below[parent]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            direct = np.log2(n + q) - np.log2(counts)
-            escape = np.where(n > 0, np.log2(n + q) - np.log2(q), 0.0)
-        below = np.where(counts > 0, direct, escape + shorter)
-        bits.append(below.astype(np.float32).reshape(-1, n_langs))
-        offset += size
-    return Trees(langs, symbol, width, child, np.concatenate(bits))
-
-
-def train(docs: DataFrame, max_docs: int = MAX_DOCS, max_contexts: int = MAX_CONTEXTS) -> Trees:
+        key = gram & (1 << 8 * (order + 1)) - 1
+        pair, inverse = np.unique(key * n_langs + lang, return_inverse=True)
+        n = np.bincount(inverse, weights=count, minlength=len(pair))
+        key, own = pair // n_langs, pair % n_langs
+        context, inverse = np.unique((key >> 8) * n_langs + own, return_inverse=True)
+        total = np.bincount(inverse, weights=n, minlength=len(context))
+        different = np.bincount(inverse, minlength=len(context))
+        direct.append(sparse(key, own, np.log2((total + different)[inverse]) - np.log2(n)))
+        escapes.append(sparse(context // n_langs, context % n_langs, np.log2(total + different) - np.log2(different)))
+        contexts += len(context)
+    if max_contexts is not None and contexts > max_contexts:
+        raise ValueError(f"{contexts} contexts, but at most {max_contexts} were asked for")
+    return Trees(langs, escapes, direct)
+
+
+def train(docs: DataFrame, max_docs: int = MAX_DOCS) -> Trees:
     """Learns from rows with a language that are not held out. ``docs`` has doc_id,
     text, lang. The driver gets one row per language and the counted contexts of the
     bounded sample."""
@@ -155,9 +173,10 @@ def train(docs: DataFrame, max_docs: int = MAX_DOCS, max_contexts: int = MAX_CON
         return work
 
     counted = (map_columns(sample, ["lang", "text"], [("lang", "long"), ("gram", "long"), ("n", "long")], make)
-               .groupBy("lang", "gram").agg(F.sum("n").alias("n")).filter("n > 1"))
-    table = np.array([tuple(r) for r in counted.orderBy("lang", "gram").collect()], dtype=np.int64).reshape(-1, 3)
-    return build(langs, table[:, 0], table[:, 1], table[:, 2], max_contexts)
+               .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    # As Arrow: rows as Python objects would take many times the memory.
+    table = counted.toArrow()
+    return build(langs, *[table[c].to_numpy().astype(np.int64) for c in ("lang", "gram", "n")])
 
 
 def predictions(docs: DataFrame, trees: Trees) -> DataFrame:
@@ -168,7 +187,7 @@ def predictions(docs: DataFrame, trees: Trees) -> DataFrame:
         model = shared.value
 
         def work(ids, texts):
-            out = [model.predict(t) for t in texts]
+            out = model.predict_all(texts)
             return ids, [x for x, _ in out], [s for _, s in out]
         return work
 

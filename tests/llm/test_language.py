@@ -102,3 +102,28 @@ def test_awkward_rows(spark):
     assert language.predictions(empty(spark), language.train(corpus(spark))).count() == 0
     nothing = language.train(empty(spark))
     assert {r.lang_pred for r in language.predictions(docs, nothing).collect()} == {"und"}
+
+
+def test_many_languages_and_a_rare_one_keep_all_their_contexts(spark):
+    """Each language is the same letters in an order of its own; the rare one has one text."""
+    pick = random.Random(30)
+    rows, held = [], []
+    words = {n: ["".join(pick.sample("abcdefghij", 5)) for _ in range(6)] for n in range(60)}
+    number = 0
+    for n, own in words.items():
+        for _ in range(1 if n == 59 else 6):
+            number += 1
+            while language_held_out(number):
+                number += 1
+            rows.append((number, " ".join(pick.choice(own) for _ in range(12 if n == 59 else 60)), f"l{n:02}", "a", 0))
+        held.append((" ".join(pick.choice(own) for _ in range(20)), f"l{n:02}"))
+    model = language.train(spark.createDataFrame(rows, DOCS))
+    training = [[t for _, t, x, _, _ in rows if x == name] for name in model.langs]
+    for text, _ in held[::20]:
+        assert np.allclose(model.lengths(language.as_bytes(text)), plain_lengths(training, text), atol=1e-2)
+    assert [model.predict(t)[0] for t, _ in held] == [name for _, name in held]
+
+
+def language_held_out(doc_id):
+    import zlib
+    return zlib.crc32(str(doc_id).encode()) % 3 == 1
