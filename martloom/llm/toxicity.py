@@ -135,12 +135,13 @@ class Grammar:
             start = end - size + 1
             if start < done or (start and text[start - 1].isalpha()):
                 continue
-            head = 0
-            for border in _BORDER.finditer(text, max(0, start - 2000), start):
+            # ``done`` is the border that ended the clause read last, so the text is read once.
+            head = max(0, done)
+            for border in _BORDER.finditer(text, head, start):
                 head = border.end()
             tail = _BORDER.search(text, end)
             done = tail.start() if tail else len(text)
-            sums.update(self.clause(text[head or max(0, start - 2000):done]))
+            sums.update(self.clause(text[head:done]))
         return [math.log1p(max(0.0, sums[c])) for c in CONTEXTS]
 
 

@@ -88,3 +88,10 @@ def test_awkward_rows(spark):
     untaught = toxicity.train(docs, none)
     assert (untaught.beta == toxicity.PRIOR).all()
     assert toxicity.drop_toxic(empty(spark), toxicity.train(empty(spark), labels)).count() == 0
+
+
+def test_a_clause_is_read_from_its_start_however_long():
+    grammar = toxicity.Grammar()
+    plain, reported = toxicity.CONTEXTS.index("plain"), toxicity.CONTEXTS.index("reported")
+    got = grammar.features("Before. She said " + "word " * 1000 + "idiot. After")
+    assert got[reported] > 0 and got[plain] == 0
