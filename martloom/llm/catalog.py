@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import bpe, iblt, language, lines, mixing, pii, simhash, toxicity, urls, vectors
+from martloom.llm import bpe, iblt, language, lines, manifest, mixing, pii, simhash, sql, toxicity, urls, vectors
 from martloom.llm.rows import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -55,8 +55,12 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.verified(table(spark, sf_dir, "documents"))
+
+
 REGISTRY = {q.__name__: q for q in (
     op1_language_id, op2_mix_sources, op3_personal_data, op4_paragraph_sketch, op5_url_filter, op6_byte_bpe, op7_simhash, op8_line_dedup,
-    op9_toxicity, op10_embedding_dedup)}
+    op9_toxicity, op10_embedding_dedup, op11_merkle_manifest)}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = sql.ORACLE
