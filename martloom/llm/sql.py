@@ -79,4 +79,34 @@ FROM low l JOIN subroots s ON s.name = l.tree JOIN (SELECT digest FROM top_level
 JOIN fold f ON f.id = l.id AND f.k = len(f.steps) + 1
 """
 
-ORACLE = {"op11_merkle_manifest": MANIFEST}
+_BLANK = r"[^\x20\x09-\x0D]+"
+
+QUALITY = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '{_BLANK}') AS w FROM documents),
+lines AS (SELECT id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{_BLANK}')) AS l FROM d),
+windows AS (
+  SELECT id, i, array_to_string(w[i:i + 4], ' ') AS five FROM (SELECT id, w, unnest(range(1, len(w) - 3)) AS i FROM d)),
+twice AS (SELECT id, i, count(*) OVER (PARTITION BY id, five) AS n FROM windows),
+covered AS (SELECT id, count(DISTINCT i + k) AS n FROM twice, range(5) AS r(k) WHERE twice.n > 1 GROUP BY id),
+m AS (
+  SELECT d.id, doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+    len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words, len(l) AS n_lines,
+    coalesce(list_max(list_transform(w, lambda x: length(x))), 0) AS longest_word,
+    len(list_filter(w, lambda x: regexp_matches(x, '\p{{L}}'))) AS n_letter_words,
+    len(list_filter(w, lambda x: length(x) > 1 AND regexp_matches(x, '\p{{Lu}}') AND NOT regexp_matches(x, '\p{{Ll}}'))) AS n_upper_words,
+    len(list_filter(l, lambda x: regexp_matches(x, '^[ \t]*[-*•]'))) AS n_bullet_lines,
+    len(list_filter(l, lambda x: regexp_matches(x, '([.][.][.]|…)[ \t\r]*$'))) AS n_open_lines
+  FROM d JOIN lines USING (id) LEFT JOIN covered ON covered.id = d.id)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+  CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+  n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  n_words >= 10 AND word_chars BETWEEN 3 * n_words AND 10 * n_words AND longest_word <= 1000 AND 10 * n_symbols <= n_words
+    AND 2 * n_dup_lines <= n_lines AND 100 * n_repeat_words <= 20 * n_words AND 10 * n_letter_words >= 6 * n_words
+    AND 10 * n_upper_words <= 3 * n_words AND 10 * n_bullet_lines <= 9 * n_lines AND 10 * n_open_lines <= 3 * n_lines AS kept
+FROM m
+"""
+
+ORACLE = {"op11_merkle_manifest": MANIFEST, "op13_quality_rules": QUALITY}
