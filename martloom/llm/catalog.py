@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import bpe, iblt, language, lines, manifest, mixing, pii, rules, simhash, sql, toxicity, urls, vectors
+from martloom.llm import bpe, iblt, language, lines, manifest, mixing, pii, rules, simhash, sql, toxicity, trie, urls, vectors
 from martloom.llm.rows import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -59,12 +59,16 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.verified(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.rebuilt(table(spark, sf_dir, "conversations"))
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judged(table(spark, sf_dir, "documents"))
 
 
 REGISTRY = {q.__name__: q for q in (
     op1_language_id, op2_mix_sources, op3_personal_data, op4_paragraph_sketch, op5_url_filter, op6_byte_bpe, op7_simhash, op8_line_dedup,
-    op9_toxicity, op10_embedding_dedup, op11_merkle_manifest, op13_quality_rules)}
+    op9_toxicity, op10_embedding_dedup, op11_merkle_manifest, op12_prefix_trie, op13_quality_rules)}
 
 ORACLE: dict[str, str] = sql.ORACLE

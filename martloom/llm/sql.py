@@ -81,7 +81,7 @@ JOIN fold f ON f.id = l.id AND f.k = len(f.steps) + 1
 
 _BLANK = r"[^\x20\x09-\x0D]+"
 
-QUALITY = f"""
+QUALITY = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS text,
     regexp_extract_all(coalesce(text, ''), '{_BLANK}') AS w FROM documents),
@@ -109,4 +109,33 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM m
 """
 
-ORACLE = {"op11_merkle_manifest": MANIFEST, "op13_quality_rules": QUALITY}
+TRIE = f"""
+WITH RECURSIVE {_CRC_TABLE},
+t AS (
+  SELECT conv_id, struct_pack(r := coalesce(role, ''), x := coalesce(text, '')) AS turn,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k
+  FROM conversations WHERE conv_id IS NOT NULL),
+whole AS (SELECT conv_id, list(turn ORDER BY k) AS turns FROM t GROUP BY conv_id),
+spec AS (
+  SELECT conv_id, turns, conv_id - conv_id % 20 AS base_id, CAST({_crc("CAST(conv_id AS VARCHAR)")} % 4 AS BIGINT) AS h
+  FROM whole, crc_table),
+rebuilt AS (
+  SELECT s.conv_id, list_concat(coalesce(b.turns, [])[1:h], s.turns[h + 1:]) AS turns
+  FROM spec s LEFT JOIN whole b ON b.conv_id = s.base_id),
+prefixes AS (SELECT conv_id, len(turns) AS n, d, turns[1:d] AS path FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT path, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(n) > d AS inside,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256,
+    CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(path[d].x, '{_BLANK}')) END AS words
+  FROM prefixes GROUP BY path, d),
+above AS (SELECT path, path[1:a] AS top, a FROM (SELECT path, unnest(range(0, depth + 1)) AS a FROM nodes)),
+sums AS (
+  SELECT a.top, count(*) FILTER (NOT v.inside) AS n_leaves, sum((v.n_convs - 1) * v.words) AS saved_tokens,
+    count(*) FILTER (v.depth = a.a + 1) AS n_children
+  FROM above a JOIN nodes v ON v.path = a.path GROUP BY a.top)
+SELECT u.conv_id, CAST(u.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, u.n_convs, s.n_children, s.n_leaves,
+  CAST(s.saved_tokens AS BIGINT) AS saved_tokens, u.ends_sha256
+FROM nodes u JOIN sums s ON s.top = u.path LEFT JOIN nodes p ON u.depth > 0 AND p.path = u.path[1:u.depth - 1]
+"""
+
+ORACLE = {"op11_merkle_manifest": MANIFEST, "op12_prefix_trie": TRIE, "op13_quality_rules": QUALITY}
