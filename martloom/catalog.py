@@ -23,7 +23,7 @@ from martloom.session import fresh_path, stored
 from martloom.sources.files import read_documents, read_files, read_lake
 from martloom.sources.paged import read_paged, stored_pages
 from martloom.sources.sinks import (
-    drop_periods, extract_new, land_raw, read_mark, read_or_empty, relayout, save_mark, upsert,
+    drop_periods, extract_new, land_raw, read_mark, read_or_empty, relayout, save_mark, source_changes, upsert,
 )
 from martloom.streaming import layers as stream_layer
 from martloom.streaming.notify import JOINED, PROMOTION, NotificationJob, batch_file_writer
@@ -273,14 +273,23 @@ def _with_gaps(events: DataFrame) -> DataFrame:
                            F.lit(False)))
 
 
-def _land_in_parts(spark, events, source_name):
-    """Loads of a growing source: two on the first day, one later. Each picks up what no
-    load before it has brought, whatever its time."""
+def _changed(events: DataFrame) -> DataFrame:
+    """The source by the last load: some early events have another type and the time of
+    their change, an hour before the first load."""
+    start = F.lit(FIRST_LOAD).cast("timestamp_ntz")
+    edited = F.coalesce((F.col("event_id") % 13 == 0) & (F.col("ts") < start), F.lit(False))
+    return events.withColumn("event_type", F.when(edited, "edited").otherwise(F.col("event_type"))).withColumn(
+        "ts", F.when(edited, start - F.expr("interval 1 hour")).otherwise(F.col("ts")))
+
+
+def _land_in_parts(spark, events, source_name, last=lambda rows: rows):
+    """Loads of a growing source: two on the first day, one later, when the source is what
+    ``last`` makes of it. Each picks up what no load before it has brought, whatever its time."""
     landing, marks = fresh_path(spark, "landing"), fresh_path(spark, "marks")
     rows = events.drop("late")
     schema = staged_schema(rows)
     first = F.coalesce(F.col("ts") < F.lit(FIRST_LOAD).cast("timestamp_ntz"), F.col("event_id") % 2 == 0) & ~F.col("late")
-    visible = [events.filter(first).drop("late"), events.filter(first | F.col("late")).drop("late"), rows]
+    visible = [events.filter(first).drop("late"), events.filter(first | F.col("late")).drop("late"), last(rows)]
     for seq, (known, day) in enumerate(zip(visible, (FIRST_LOAD, FIRST_LOAD, SECOND_LOAD), strict=True)):
         landed = read_or_empty(spark, landing, schema)
         new = stored(extract_new(known, "ts", read_mark(spark, marks, source_name), landed, ["event_id"], OVERLAP), "increment")
@@ -291,10 +300,31 @@ def _land_in_parts(spark, events, source_name):
 
 @query
 def raw_increment(spark, sf_dir):
+    """Events with gaps, late rows and changed rows, and the same events from a source that
+    has no times at all: each version is landed once."""
     events = read_files(spark, f"{sf_dir}/events.parquet", "parquet", src.SCHEMAS["events"])
-    landing, schema = _land_in_parts(spark, _with_gaps(events), "events")
+    untimed = events.withColumn("ts", F.lit(None).cast("timestamp_ntz")).withColumn("late", F.lit(False))
+    parts = [_land_in_parts(spark, _with_gaps(events), "events", _changed), _land_in_parts(spark, untimed, "untimed")]
+    rows = [read_files(spark, landing, "parquet", schema) for landing, schema in parts]
+    return rows[0].unionByName(rows[1]).select("load_date", "load_seq", "event_id", "user_id", "event_type", "ts", "load_source")
+
+
+@query
+def change_capture(spark, sf_dir):
+    """Four loads of a whole source without times: half of the orders, then all, then with
+    other states, without some and with rows that have no key, then without any change."""
+    landing = fresh_path(spark, "landing")
+    orders = src.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    half = orders.filter("o_orderkey % 2 = 0")
+    state = F.when(F.col("o_orderkey") % 5 == 0, "X").otherwise(F.col("o_orderstatus"))
+    later = orders.filter("o_orderkey % 7 <> 0").withColumn("o_orderstatus", state).unionByName(
+        orders.filter("o_orderkey = 7").withColumn("o_orderkey", F.lit(None).cast("bigint")))
+    schema = staged_schema(orders.withColumn("change", F.lit("")))
+    for seq, seen in enumerate((half, orders, later, later)):
+        changes = stored(source_changes(seen, read_or_empty(spark, landing, schema), ["o_orderkey"]), "changes")
+        land_raw(changes, landing, SECOND_LOAD, dt.datetime.combine(SECOND_LOAD, dt.time()), "orders", orders.columns, seq)
     return read_files(spark, landing, "parquet", schema).select(
-        "load_date", "load_seq", "event_id", "user_id", "event_type", "ts", "load_source")
+        "load_seq", "change", "o_orderkey", "o_custkey", "o_orderstatus", F.coalesce(F.col("o_totalprice"), F.lit(0.0)).alias("o_totalprice"))
 
 
 MEMBER = record(group_id=LONG, user_id=LONG, event_id=LONG, event=TEXT, ts=TS_NTZ)

@@ -193,9 +193,19 @@ ORACLE: dict[str, str] = {
     "raw_increment": f"""WITH e AS (SELECT * REPLACE (CASE WHEN event_id % 11 <> 0 THEN ts END AS ts) FROM events),
         s AS (SELECT *, CASE WHEN ts < TIMESTAMP '{FIRST_LOAD}' THEN
               CASE WHEN event_id % 7 = 0 AND ts >= TIMESTAMP '{FIRST_LOAD}' - INTERVAL 1 DAY THEN 1 ELSE 0 END
-            WHEN ts IS NULL AND event_id % 2 = 0 THEN 0 ELSE 2 END AS seq FROM e)
+            WHEN ts IS NULL AND event_id % 2 = 0 THEN 0 ELSE 2 END AS seq FROM e),
+        v AS (SELECT seq, event_id, user_id, event_type, ts, 'events' AS load_source FROM s
+          UNION ALL SELECT 2, event_id, user_id, 'edited', TIMESTAMP '{FIRST_LOAD}' - INTERVAL 1 HOUR, 'events' FROM e
+            WHERE event_id % 13 = 0 AND ts < TIMESTAMP '{FIRST_LOAD}'
+          UNION ALL SELECT CASE WHEN event_id % 2 = 0 THEN 0 ELSE 2 END, event_id, user_id, event_type, NULL, 'untimed' FROM events)
         SELECT CASE WHEN seq < 2 THEN '{FIRST_LOAD}' ELSE '{SECOND_LOAD}' END AS load_date, CAST(seq AS BIGINT) AS load_seq,
-          event_id, user_id, event_type, ts, 'events' AS load_source FROM s""",
+          event_id, user_id, event_type, ts, load_source FROM v""",
+    "change_capture": """WITH o AS (SELECT o_orderkey AS k, o_custkey AS c, o_orderstatus AS s, o_totalprice AS p FROM orders),
+        v AS (SELECT CASE WHEN k % 2 = 0 THEN 0 ELSE 1 END AS load_seq, 'new' AS change, k, c, s, p FROM o
+          UNION ALL SELECT 2, 'changed', k, c, 'X', p FROM o WHERE k % 7 <> 0 AND k % 5 = 0 AND s <> 'X'
+          UNION ALL SELECT 2, 'gone', k, NULL, NULL, 0 FROM o WHERE k % 7 = 0
+          UNION ALL SELECT 2, 'new', NULL, c, s, p FROM o WHERE k = 7)
+        SELECT CAST(load_seq AS BIGINT) AS load_seq, change, k AS o_orderkey, c AS o_custkey, s AS o_orderstatus, p AS o_totalprice FROM v""",
     "insert_new_keys": f"""WITH {EVENTS} SELECT nullif(k, 0) AS group_id, user_id, event_id, event_type AS event, ts FROM ev
         QUALIFY row_number() OVER (PARTITION BY nullif(k, 0), user_id ORDER BY ts, event_id) = 1""",
     "community_conversion": f"""WITH {EVENTS},

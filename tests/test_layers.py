@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan, rows
+from martloom.catalog import staged_schema
 from martloom.operators.quality import bag_difference, duplicates
 from martloom.plans.layers import LayerTable, Mart, backfill, period_bounds, promote, refresh, stored_days
 from martloom.schema import LONG, TEXT, TS_NTZ, record
@@ -253,3 +254,58 @@ def test_a_period_that_became_empty_is_removed(spark, tmp_path):
     sinks.drop_periods(spark, lake, "day", [days[1]])
     refresh(spark, mart, days[1])
     assert rows(spark.read.parquet(mart.path), "week") == [(dt.date(2024, 1, 1),), (dt.date(2024, 1, 22),)]
+
+
+def _load(spark, path, new, seq):
+    sinks.land_raw(new, path, DAY, dt.datetime(2024, 1, 10), "api", load_seq=seq)
+
+
+def test_source_without_times_is_landed_once(spark, tmp_path):
+    path, marks = str(tmp_path / "raw"), str(tmp_path / "marks")
+    source = spark.createDataFrame([(1, None), (2, None)], "id long, ts timestamp_ntz")
+    _load(spark, path, source, 0)
+    assert sinks.save_mark(source, marks, "s", "ts", 0) is None
+    again = sinks.extract_new(source, "ts", sinks.read_mark(spark, marks, "s"), spark.read.parquet(path), ["id"])
+    assert rows(again) == []
+    more = source.union(spark.createDataFrame([(3, None), (None, None)], source.schema))
+    assert rows(sinks.extract_new(more, "ts", None, spark.read.parquet(path), ["id"]), "id") == [(3,), (None,)]
+
+
+@pytest.mark.parametrize("old_day", [1, 10])
+def test_changed_row_is_landed_wherever_its_old_version_lies(spark, old_day):
+    schema = "id long, v string, ts timestamp_ntz"
+    old = (1, "old", dt.datetime(2024, 1, old_day))
+    landed = spark.createDataFrame([old, (2, None, dt.datetime(2024, 1, 10))], schema)
+    source = spark.createDataFrame([(1, "new", dt.datetime(2024, 1, 11)), (2, None, dt.datetime(2024, 1, 10))], schema)
+    new = sinks.extract_new(source, "ts", "2024-01-10 00:00:00", landed, ["id"], "2 days")
+    assert rows(new, "id", "v") == [(1, "new")]
+
+
+def test_source_changes(spark, tmp_path):
+    path, schema = str(tmp_path / "raw"), "id long, grp string, v string"
+
+    def load(data, seq):
+        source = spark.createDataFrame(data, schema)
+        held = sinks.read_or_empty(spark, path, staged)
+        changes = sinks.source_changes(source, held, ["id", "grp"])
+        found = sorted((tuple(r) for r in changes.select("change", "id", "grp", "v").collect()), key=repr)
+        _load(spark, path, spark.createDataFrame(changes.collect(), f"{schema}, change string"), seq)
+        return found
+
+    empty = spark.createDataFrame([], f"{schema}, change string")
+    staged = staged_schema(empty)
+    first = [(1, "a", "x"), (2, None, "y"), (None, None, "z"), (4, "a", None)]
+    assert load(first, 0) == sorted([("new", *r) for r in first], key=repr)
+    assert load(first, 1) == []
+    second = [(1, "a", "X"), (None, None, "z"), (4, "a", ""), (5, "b", "n")]
+    assert load(second, 2) == [("changed", 1, "a", "X"), ("changed", 4, "a", ""), ("gone", 2, None, None), ("new", 5, "b", "n")]
+    # What was gone comes back, and a row goes back to an earlier version.
+    assert load(first, 3) == [("changed", 1, "a", "x"), ("changed", 4, "a", None), ("gone", 5, "b", None), ("new", 2, None, "y")]
+    # A key with several rows counts once.
+    assert len(load([*first, *first], 4)) == 0
+
+
+def test_versions_meet_by_equi_join(spark):
+    landed = spark.createDataFrame([(1, "a", "new", DAY, 0)], "id long, v string, change string, load_date date, load_seq int")
+    text = plan(sinks.source_changes(spark.createDataFrame([(1, "b")], "id long, v string"), landed, ["id"]))
+    assert "CartesianProduct" not in text and "NestedLoop" not in text
