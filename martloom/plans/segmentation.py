@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from martloom.functions.scalars import total
 from martloom.operators.joins import keep_all
-from martloom.operators.ranking import quantile_of_rank, with_quantile, with_quantile_approx, with_running_total
+from martloom.operators.ranking import quantile_of_rank, with_quantile_approx, with_running_total
 from martloom.operators.rows import with_statuses
+from martloom.operators.selection import with_quantiles
 
 
 def user_measures(users: DataFrame, orders: DataFrame, closed: str) -> DataFrame:
@@ -28,10 +29,7 @@ def user_measures(users: DataFrame, orders: DataFrame, closed: str) -> DataFrame
 
 def segment_scores(measures: DataFrame, n: int = 5) -> DataFrame:
     """Scores 1..n per measure, n the best; ties are broken by user id."""
-    user = F.col("user_id").asc()
-    scored = with_quantile(measures, [F.col("last_order").asc_nulls_first(), user], n, "recency")
-    scored = with_quantile(scored, [F.col("orders").asc(), user], n, "frequency")
-    scored = with_quantile(scored, [F.col("spend").asc(), user], n, "monetary")
+    scored = with_quantiles(measures, {"last_order": "recency", "orders": "frequency", "spend": "monetary"}, "user_id", n)
     return _with_segment(scored)
 
 

@@ -1,9 +1,12 @@
+import datetime as dt
 import random
+from decimal import Decimal
 
+import pytest
 from pyspark.sql import Window as W, functions as F
 
 from conftest import plan, rows
-from martloom.operators import ranking as K
+from martloom.operators import ranking as K, selection as S
 
 
 def test_latest_row_breaks_ties_by_id(spark):
@@ -84,3 +87,45 @@ def test_dense_ranks_equal_the_window_functions(spark):
 def test_top_breaks_ties_by_name(spark):
     df = spark.createDataFrame([("b", 2), ("a", 2), ("c", 5)], "dish string, n long")
     assert [r[0] for r in K.top(df, "n", "dish", 2).collect()] == ["c", "a"]
+
+
+def _ntiles(df, measures, tie, n):
+    out = df
+    for c, name in measures.items():
+        out = out.withColumn(name, F.ntile(n).over(W.orderBy(F.col(c).asc_nulls_first(), F.col(tie).asc_nulls_first())))
+    return out
+
+
+def test_selected_quantiles_equal_the_window_function(spark):
+    measures = {"v": "a", "d": "b", "m": "c", "t": "e"}
+    for n_rows, n in ((1, 5), (4, 5), (23, 5), (700, 5), (999, 7)):
+        rng = random.Random(n_rows)
+        data = [(i * 1_000_003 - 40, v, dt.date(1900, 1, 1) + dt.timedelta(days=rng.randrange(60_000)) if i % 9 else None,
+                 Decimal(rng.randrange(-10**24, 10**24)) / 100, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=rng.randrange(50)))
+                for i, v in _values(n_rows, n_rows)]
+        df = spark.createDataFrame(data, "u long, v long, d date, m decimal(28,2), t timestamp_ntz").repartition(5)
+        got = S.with_quantiles(df, measures, "u", n)
+        assert got.columns == [*df.columns, *measures.values()]
+        assert rows(got) == rows(_ntiles(df, measures, "u", n))
+
+
+def test_selection_neither_sorts_nor_shuffles_rows(spark):
+    df = spark.createDataFrame(_values(500, 3), "u long, v long")
+    text = plan(S.with_quantiles(df, {"v": "q"}, "u", 5))
+    assert "Exchange" not in text and "Sort" not in text and "Window" not in text
+
+
+def test_selection_with_few_parts_takes_more_passes(spark, monkeypatch):
+    monkeypatch.setattr(S, "PARTS", 8)
+    df = spark.createDataFrame(_values(400, 4), "u long, v long")
+    assert rows(S.with_quantiles(df, {"v": "q"}, "u", 5)) == rows(_ntiles(df, {"v": "q"}, "u", 5))
+
+
+def test_selection_of_nothing_and_of_one_value(spark):
+    none = spark.createDataFrame([], "u long, v long")
+    assert rows(S.with_quantiles(none, {"v": "q"}, "u", 5)) == []
+    flat = spark.createDataFrame([(i, None) for i in range(10)], "u long, v long")
+    assert rows(S.with_quantiles(flat, {"v": "q"}, "u", 5), "q") == [(q,) for q in (1, 1, 2, 2, 3, 3, 4, 4, 5, 5)]
+    for bad in ("double", "string"):
+        with pytest.raises(ValueError):
+            S.with_quantiles(spark.createDataFrame([], f"u long, v {bad}"), {"v": "q"}, "u", 5)
