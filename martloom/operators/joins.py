@@ -83,23 +83,30 @@ def block_join(left: DataFrame, right: DataFrame, group: list[str], left_id: str
 
 
 #: A cell with at most so many candidate centres is not cut further, nor is one of the
-#: last level (a world of 2^LEVELS by 2^LEVELS cells).
-LEAF, LEVELS = 12, 16
+#: last level (a world of 2^LEVELS by 2^LEVELS cells, two metres by one at the equator).
+LEAF, LEVELS = 32, 24
+#: Levels that one round goes down.
+STEP = 4
 #: In radians: distances that differ by less than two metres may tie once rounded.
 MARGIN = 4e-7
 
 
+def _spread(bits: Column) -> Column:
+    """The bits of a number of up to 32 bits, with a zero in front of each."""
+    for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F),
+                        (2, 0x3333333333333333), (1, 0x5555555555555555)):
+        bits = (bits.bitwiseOR(F.shiftleft(bits, shift))).bitwiseAND(F.lit(mask))
+    return bits
+
+
 def cell_path(lat: Column, lon: Column) -> Column:
     """Digits 0 to 3 of the cells that hold a point, from the whole world down: each
     level halves latitude and longitude."""
-    size = float(1 << LEVELS)
-    row = F.least(F.floor((lat + 90) / 180 * size), F.lit(int(size) - 1))
-    col = F.pmod(F.floor((lon + 180) / 360 * size), F.lit(int(size)))
-    digits = [
-        (F.shiftright(row, b).bitwiseAND(F.lit(1)) * 2 + F.shiftright(col, b).bitwiseAND(F.lit(1))).cast("int").cast("string")
-        for b in range(LEVELS - 1, -1, -1)
-    ]
-    return F.when(lat.isNotNull() & lon.isNotNull(), F.concat(*digits))
+    size = 1 << LEVELS
+    row = F.least(F.floor((lat + 90) / 180 * float(size)), F.lit(size - 1)).cast("bigint")
+    col = F.pmod(F.floor((lon + 180) / 360 * float(size)), F.lit(size)).cast("bigint")
+    code = F.shiftleft(_spread(row), 1).bitwiseOR(_spread(col))
+    return F.lpad(F.conv(code.cast("string"), 10, 4), LEVELS, "0")
 
 
 def _middle(path: Column, level: int) -> tuple[Column, Column]:
@@ -126,24 +133,25 @@ def zone_cells(points: DataFrame, centres: DataFrame) -> DataFrame:
     """``(cell, options)``: for cells that together hold every point, the centres that
     can be nearest to a point in them.
 
-    The world is cut in four again and again where candidates are many, and only where
-    there are points. On the unit sphere, a point P is nearer to C0 than to C when
-    P . (C0 - C) is positive. Over a cell with middle M, whose points lie within r of it,
-    that is at least M . (C0 - C) - r |C0 - C|. With C0 the centre nearest to the middle,
-    a centre is dropped where this is positive; the margin covers rounded distances. A
-    cell's parts start from its own candidates. One level is one small job, and a single
-    plan serves any number of centres.
+    Centres in one place are one, that of the smallest id. The world is cut again and
+    again where candidates are many, and only where there are points. On the unit sphere,
+    a point P is nearer to C0 than to C when P . (C0 - C) is positive. Over a cell with
+    middle M, whose points lie within r of it, that is at least M . (C0 - C) - r |C0 - C|.
+    With C0 the centre nearest to the middle, a centre is dropped where this is positive;
+    the margin covers rounded distances. A cell's parts start from its own candidates, and
+    a round goes down ``STEP`` levels at once, to the occupied parts alone.
     """
-    deepest = stored(points.filter("lat IS NOT NULL AND lon IS NOT NULL")
-                     .select(cell_path(F.col("lat"), F.col("lon")).alias("path")).distinct(), "occupied")
-    open_ = centres.filter("lat IS NOT NULL AND lon IS NOT NULL").select(
-        F.lit("").alias("cell"), "zone_id", F.col("lat").alias("c_lat"), F.col("lon").alias("c_lon"),
-        F.struct(*_unit(F.col("lat"), F.col("lon"))).alias("c"))
+    placed = points.filter("lat IS NOT NULL AND lon IS NOT NULL")
+    deepest = stored(placed.select(cell_path(F.col("lat"), F.col("lon")).alias("path")).distinct(), "occupied")
+    open_ = centres.filter("lat IS NOT NULL AND lon IS NOT NULL").groupBy(F.col("lat").alias("c_lat"), F.col("lon").alias("c_lon")).agg(
+        F.min("zone_id").alias("zone_id")).select(
+        F.lit("").alias("cell"), "zone_id", "c_lat", "c_lon", F.struct(*_unit(F.col("c_lat"), F.col("c_lon"))).alias("c"))
     leaves = None
-    for level in range(1, LEVELS + 1):
-        held = deepest.select(F.substring("path", 1, level).alias("cell")).distinct()
-        parts = open_.select(F.explode(F.array(*[F.concat("cell", F.lit(str(d))) for d in range(4)])).alias("cell"),
-                             "zone_id", "c_lat", "c_lon", "c").join(held, "cell")
+    for level in range(STEP, LEVELS + 1, STEP):
+        held = deepest.select(F.substring("path", 1, level - STEP).alias("cell"), F.substring("path", 1, level).alias("part")).distinct()
+        if level == STEP:  # the world has 4 ** STEP parts at most
+            held = F.broadcast(held)
+        parts = open_.join(held, "cell").select(F.col("part").alias("cell"), "zone_id", "c_lat", "c_lon", "c")
         # Half a cell of latitude plus half a cell of equator reaches any of its points.
         radius = math.radians(90.0 / (1 << level)) + math.radians(180.0 / (1 << level))
         measured = parts.withColumn("m", F.struct(*_unit(*_middle(F.col("cell"), level))))

@@ -100,6 +100,22 @@ def test_many_centres_in_one_city_leave_few_candidates(spark):
     assert max(sizes) <= 5 * J.LEAF and sum(sizes) / len(sizes) <= 2 * J.LEAF
 
 
+def test_many_centres_in_one_place_are_one_candidate(spark):
+    rng = random.Random(5)
+    centres = [(z + 10, 10.0, 20.0) for z in range(3000)] + [(3, -40.0, 100.0), (4, 60.0, -100.0)]
+    points = [(i, rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(50)]
+    p, c = _check_zones(spark, points, centres)
+    assert max(len(r.options) for r in J.zone_cells(p, c).collect()) <= 3
+
+
+def test_close_centres_are_told_apart(spark):
+    rng = random.Random(6)
+    centres = [(z, 55 + rng.random() / 2000, 37 + rng.random() / 2000) for z in range(600)]
+    points = [(i, 55 + rng.random() / 2000, 37 + rng.random() / 2000) for i in range(40)] + [(90, 54.0, 36.0)]
+    p, c = _check_zones(spark, points, centres)
+    assert max(len(r.options) for r in J.zone_cells(p, c).collect()) < 600
+
+
 def test_equal_points_stay_and_placeless_points_have_no_zone(spark):
     p = spark.createDataFrame([(1, 0.0, 0.0), (1, 0.0, 0.0), (2, None, 1.0)], "user_id long, lat double, lon double")
     c = spark.createDataFrame([(z, 1.0, float(z)) for z in range(600)], "zone_id long, lat double, lon double")
