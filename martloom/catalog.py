@@ -9,15 +9,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, DateType, DecimalType, IntegerType, StructType
 
 from martloom import standins as src
-from martloom.functions.scalars import message
+from martloom.functions.scalars import message, week_start
 from martloom.operators.joins import enrich, nearest_zone as zone_of_point
 from martloom.operators.modelling import SplitSpec, decompose, recompose
-from martloom.operators.quality import bag_difference, duplicates, orphans, profile
+from martloom.operators.quality import bag_difference_by_digest, duplicates, orphans, profile
 from martloom.operators.rows import (
     add_with_default, conform, create_views, signed_amount,
 )
 from martloom.plans import community, courier, lake, popularity, retention, segmentation
-from martloom.plans.layers import LayerTable, Mart, backfill, promote, refresh, stored_days
+from martloom.plans.layers import LayerTable, Mart, backfill, promote, refresh, refresh_by_digest, stored_days
 from martloom.schema import LONG, TEXT, TS_NTZ, record
 from martloom.session import fresh_path, stored
 from martloom.sources.files import read_documents, read_files, read_lake
@@ -121,7 +121,7 @@ def wide_split_dims(spark, sf_dir):
 def wide_split_lossless(spark, sf_dir):
     wide = stored(src.wide_orders(spark, sf_dir), "wide")
     rebuilt = recompose(decompose(wide, WIDE_SPLIT), WIDE_SPLIT)
-    return bag_difference(wide, rebuilt).agg(
+    return bag_difference_by_digest(wide, rebuilt).agg(
         F.coalesce(F.sum(F.greatest("surplus", F.lit(0))), F.lit(0)).alias("lost_rows"),
         F.coalesce(F.sum(F.greatest(-F.col("surplus"), F.lit(0))), F.lit(0)).alias("invented_rows"),
     )
@@ -160,6 +160,25 @@ def cohort_retention(spark, sf_dir):
     return retention.cohort_retention(src.orders(spark, sf_dir))
 
 
+@query
+def refresh_changed(spark, sf_dir):
+    """The weekly mart when refunds come very late: first some orders of any age are still
+    closed and others are not yet cancelled, then the source says otherwise. Only weeks
+    with a changed day are computed again; a week that lost all its orders is gone."""
+    lake_path = fresh_path(spark, "orders-lake")
+    orders = src.orders(spark, sf_dir)
+    refunded_later = (F.col("status") == src.REFUNDED) & (F.col("order_id") % 101 == 0)
+    cancelled = orders.filter("order_id % 500 = 0").withColumn("order_date", F.add_months("order_date", 120))
+    mart = Mart(lake_path, orders.schema, "order_date",
+                lambda df: retention.weekly_retention(df, src.STATUSES, src.REFUNDED), fresh_path(spark, "weeks"), "week", "week")
+    before = orders.withColumn("status", F.when(refunded_later, src.CLOSED).otherwise(F.col("status")))
+    for seen in (before.unionByName(cancelled), orders, orders):
+        seen.write.mode("overwrite").parquet(lake_path)
+        refresh_by_digest(spark, mart)
+    weeks = mart.build(orders).schema
+    return read_or_empty(spark, mart.path, weeks)
+
+
 # The day the status column was added to the order feed.
 STATUS_SINCE = dt.date(1998, 1, 1)
 
@@ -337,10 +356,33 @@ def insert_new_keys(spark, sf_dir):
     log = src.group_log(spark, sf_dir).withColumn("group_id", F.when(F.col("group_id") != 0, F.col("group_id")))
     landing, schema = _land_in_parts(spark, log.withColumn("late", F.lit(False)), "group_log")
     target = fresh_path(spark, "members")
-    step = LayerTable(landing, schema, target, MEMBER, lambda df: df, ["group_id", "user_id"], ["ts", "event_id"])
+    step = LayerTable(landing, schema, target, MEMBER, lambda df: df, ["group_id", "user_id"], ["ts", "event_id"], buckets=16)
     for day in (FIRST_LOAD, SECOND_LOAD, SECOND_LOAD):
         promote(spark, [step], day)
-    return read_files(spark, target, "parquet", MEMBER)
+    return read_files(spark, target, "parquet", MEMBER).select(*MEMBER.names)
+
+
+WEEKLY = record(event_id=LONG, user_id=LONG, event_type=TEXT, week=DateType())
+
+
+@query
+def promote_weeks(spark, sf_dir):
+    """Weeks replaced as a whole, from loads that bring rows of each other's weeks: late
+    ones after their time, and a day that is landed anew with fewer rows."""
+    landing, target = fresh_path(spark, "landing"), fresh_path(spark, "weeks")
+    events = src.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
+    start = F.lit(FIRST_LOAD).cast("timestamp_ntz")
+    late, early = F.col("event_id") % 5 == 0, F.col("ts") < start
+    days = [FIRST_LOAD, SECOND_LOAD, SECOND_LOAD + dt.timedelta(days=1)]
+    loads = [(0, events.filter(early & ~late)), (1, events.filter(~early)), (2, events.filter(early & late)),
+             (1, events.filter(~early & (F.col("event_type") != src.LEAVE)))]
+    step = LayerTable(landing, staged_schema(events), target, WEEKLY,
+                      lambda df: df.withColumn("week", week_start("ts")), period_col="week")
+    for k, rows in loads:
+        land_raw(rows, landing, days[k], dt.datetime.combine(days[k], dt.time()), "events")
+        promote(spark, [step], days[k])
+    return read_files(spark, target, "parquet", WEEKLY).groupBy("week", "event_type").agg(
+        F.count(F.lit(1)).alias("events"), F.sum("user_id").alias("user_sum"))
 
 
 # --- communities ---------------------------------------------------------------------------

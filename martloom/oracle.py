@@ -208,6 +208,9 @@ ORACLE: dict[str, str] = {
         SELECT CAST(load_seq AS BIGINT) AS load_seq, change, k AS o_orderkey, c AS o_custkey, s AS o_orderstatus, p AS o_totalprice FROM v""",
     "insert_new_keys": f"""WITH {EVENTS} SELECT nullif(k, 0) AS group_id, user_id, event_id, event_type AS event, ts FROM ev
         QUALIFY row_number() OVER (PARTITION BY nullif(k, 0), user_id ORDER BY ts, event_id) = 1""",
+    "promote_weeks": f"""SELECT CAST(CAST(date_trunc('week', ts) AS DATE) AS VARCHAR) AS week, event_type, count(*) AS events,
+        CAST(sum(user_id) AS BIGINT) AS user_sum FROM events
+        WHERE ts < TIMESTAMP '{FIRST_LOAD}' OR event_type <> 'error' GROUP BY ALL""",
     "community_conversion": f"""WITH {EVENTS},
         old AS (SELECT k, min(ts) AS first_ts FROM ev GROUP BY 1 ORDER BY 2, 1 LIMIT 10),
         j AS (SELECT DISTINCT k, user_id FROM ev WHERE event_type = 'signup'),
@@ -252,3 +255,6 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT o_custkey, 'category', p_type, count(DISTINCT o_orderkey)
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN part ON l_partkey = p_partkey GROUP BY 1, 3""",
 }
+
+# A mart that is kept up to date equals one that is computed at once.
+ORACLE["refresh_changed"] = ORACLE["weekly_retention"]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import plan, rows
 from martloom.catalog import staged_schema
 from martloom.operators.quality import bag_difference, duplicates
-from martloom.plans.layers import LayerTable, Mart, backfill, period_bounds, promote, refresh, stored_days
+from martloom.plans.layers import LayerTable, Mart, backfill, merged, period_bounds, promote, refresh, refresh_by_digest, stored_days
 from martloom.schema import LONG, TEXT, TS_NTZ, record
 from martloom.sources import sinks
 from martloom.sources.files import lake_window, read_documents, read_files, read_lake, read_lookup
@@ -309,3 +309,97 @@ def test_versions_meet_by_equi_join(spark):
     landed = spark.createDataFrame([(1, "a", "new", DAY, 0)], "id long, v string, change string, load_date date, load_seq int")
     text = plan(sinks.source_changes(spark.createDataFrame([(1, "b")], "id long, v string"), landed, ["id"]))
     assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_refresh_by_digest_finds_changes_of_any_age(spark, tmp_path):
+    lake = str(tmp_path / "lake")
+    first, middle, last = dt.date(2023, 5, 3), dt.date(2023, 5, 12), dt.date(2024, 1, 16)
+
+    def put(*amounts):
+        sinks.relayout(spark.createDataFrame([*amounts], "day date, amount long"), lake, ["day"])
+
+    put((first, 10), (middle, 7), (last, 5), (None, 3))
+    mart = _mart(spark, tmp_path, "mart", lake)
+    assert refresh_by_digest(spark, mart) == [(dt.date(2023, 5, 1), dt.date(2023, 5, 14)), (dt.date(2024, 1, 15), dt.date(2024, 1, 21))]
+    assert rows(spark.read.parquet(mart.path), "amount") == [(10,), (3,), (5,), (7,)]
+    assert refresh_by_digest(spark, mart) == []
+    untouched = {p.name for p in (tmp_path / "mart").glob("week=2024-01-15/*.parquet")}
+    # A refund 250 days back, and an undated row more.
+    put((first, 10), (first, -10), (None, 3), (None, 1))
+    assert refresh_by_digest(spark, mart) == [(dt.date(2023, 5, 1), dt.date(2023, 5, 7))]
+    assert rows(spark.read.parquet(mart.path), "amount") == [(0,), (4,), (5,), (7,)]
+    assert {p.name for p in (tmp_path / "mart").glob("week=2024-01-15/*.parquet")} == untouched
+    # A day that is gone takes its week along.
+    sinks.drop_periods(spark, lake, "day", [middle])
+    assert refresh_by_digest(spark, mart) == [(dt.date(2023, 5, 8), dt.date(2023, 5, 14))]
+    assert rows(spark.read.parquet(mart.path), "amount") == [(0,), (4,), (5,)]
+
+
+def test_merged_spans():
+    d = [dt.date(2024, 1, k) for k in range(1, 11)]
+    assert merged([(d[5], d[6]), (d[0], d[2]), (d[3], d[3]), (d[6], d[8])]) == [(d[0], d[3]), (d[5], d[8])]
+    assert merged([]) == []
+
+
+def test_buckets_are_pruned(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = record(k=LONG, v=TEXT, t=LONG)
+    everything = spark.createDataFrame([(i, "a", 1) for i in range(200)] + [(None, "n", 1)], schema)
+    for _ in range(2):
+        sinks.insert_new(everything, path, ["k"], ["t"], schema, buckets=16)
+    load = spark.createDataFrame([(7, "z", 0), (900, "new", 1), (None, "m", 0)], schema)
+    placed = sinks.with_bucket(load, ["k"], schema, 16)
+    target = sinks.bucketed_target(placed, path, schema, 16)
+    assert "PartitionFilters: [bucket_of_16" in plan(target) and 0 < target.count() < 60
+    sinks.insert_new(load, path, ["k"], ["t"], schema, buckets=16)
+    stored = spark.read.schema(schema).parquet(path)
+    assert stored.count() == 202
+    assert rows(stored.filter("k IN (7, 900) OR k IS NULL"), "k", "v") == [(7, "a"), (900, "new"), (None, "n")]
+
+
+@pytest.mark.parametrize("value, kind", [
+    ("2024-01-01 10:20:30", "timestamp_ntz"), ("a/b:c%d=e", "string"), (" sp ace", "string"), ("", "string"), (None, "string"), ("7", "int"),
+    ("2024-01-01", "date"), ("true", "boolean")])
+def test_folder_of_any_period_is_removed(spark, tmp_path, value, kind):
+    path = str(tmp_path / "mart")
+    other = {"timestamp_ntz": "2023-01-01 00:00:00", "int": "8", "date": "2020-01-01", "boolean": "false"}.get(kind, "other")
+    df = spark.createDataFrame([(1, value), (2, other)], "id long, p string").withColumn("p", F.col("p").cast(kind))
+    sinks.write_mart(df, path, "p")
+    period = df.filter("id = 1").first()["p"]
+    sinks.drop_periods(spark, path, "p", [period])
+    assert rows(spark.read.parquet(path), "id") == [(2,)]
+
+
+def test_promotion_by_period_opens_only_days_of_touched_periods(spark, tmp_path):
+    staging, target = str(tmp_path / "stg"), str(tmp_path / "weeks")
+    schema = record(id=LONG, week=TEXT)
+    d = [DAY + dt.timedelta(days=k) for k in range(4)]
+
+    def land(day, *data):
+        sinks.land_raw(spark.createDataFrame([*data], "id long, week string"), staging, day, dt.datetime(2024, 1, 10), "api")
+
+    seen = []
+
+    def shape(rows_):
+        seen.append(plan(rows_))
+        return rows_
+
+    land(d[0], (1, "w1"), (2, "w2"))
+    land(d[1], (3, "w2"))
+    land(d[2], (4, "w3"))
+    table = LayerTable(staging, spark.read.parquet(staging).schema, target, schema, shape, period_col="week")
+    for day in d[:3]:
+        promote(spark, [table], day)
+    assert rows(spark.read.parquet(target), "id", "week") == [(1, "w1"), (2, "w2"), (3, "w2"), (4, "w3")]
+    # A late row of w1: the day of w3 is not opened.
+    land(d[3], (5, "w1"))
+    seen.clear()
+    promote(spark, [table], d[3])
+    assert "2024-01-10" in seen[-1] or "19732" in seen[-1]
+    assert "2024-01-12" not in seen[-1] and "19734" not in seen[-1]
+    # The day that brought w1 and w2 is landed anew without w2.
+    land(d[0], (1, "w1"))
+    promote(spark, [table], d[0])
+    land(d[2], (6, "w4"))
+    promote(spark, [table], d[2])
+    assert rows(spark.read.parquet(target), "id", "week") == [(1, "w1"), (3, "w2"), (5, "w1"), (6, "w4")]

@@ -1,4 +1,4 @@
-from conftest import rows
+from conftest import plan, rows
 from martloom.operators import quality as Q
 
 
@@ -35,3 +35,24 @@ def test_bag_difference_sees_both_directions_and_nulls(spark):
     b = spark.createDataFrame([(1, None), (2, "x"), (3, "y")], "k long, v string")
     assert rows(Q.bag_difference(a, b)) == [(1, None, 1), (3, "y", -1)]
     assert rows(Q.bag_difference(a, a)) == []
+
+
+def test_digests_find_the_same_differences(spark):
+    a = [(i, None if i % 3 else f"v{i}", float(i)) for i in range(60)] + [(1, None, 1.0), (None, "x", None), (None, None, 2.0)]
+    b = [r for r in a if r[0] != 7] + [(8, None, 8.0), (None, "x", None)]
+    schema = "k long, v string, d double"
+    left, right = spark.createDataFrame(a, schema), spark.createDataFrame(b, schema)
+    for buckets in (1, 7, 1024):
+        assert rows(bag_difference_by_digest(left, right, buckets)) == rows(bag_difference(left, right))
+    assert rows(bag_difference_by_digest(left, left.repartition(5))) == []
+    # A null moved to another column is another row.
+    moved = spark.createDataFrame([("a", None)], "x string, y string"), spark.createDataFrame([(None, "a")], "x string, y string")
+    assert bag_difference_by_digest(*moved).count() == 2
+    none = left.filter("false")
+    assert rows(bag_difference_by_digest(none, none)) == []
+    assert bag_difference_by_digest(left, none).count() == bag_difference(left, none).count()
+
+
+def test_equal_tables_group_no_whole_rows(spark):
+    left = spark.range(100).select("id", F.lit("x").alias("v"))
+    assert "HashAggregate" not in plan(bag_difference_by_digest(left, left.repartition(3)))
