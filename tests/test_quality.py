@@ -43,16 +43,16 @@ def test_digests_find_the_same_differences(spark):
     schema = "k long, v string, d double"
     left, right = spark.createDataFrame(a, schema), spark.createDataFrame(b, schema)
     for buckets in (1, 7, 1024):
-        assert rows(bag_difference_by_digest(left, right, buckets)) == rows(bag_difference(left, right))
-    assert rows(bag_difference_by_digest(left, left.repartition(5))) == []
+        assert rows(Q.bag_difference_by_digest(left, right, buckets)) == rows(Q.bag_difference(left, right))
+    assert rows(Q.bag_difference_by_digest(left, left.repartition(5))) == []
     # A null moved to another column is another row.
     moved = spark.createDataFrame([("a", None)], "x string, y string"), spark.createDataFrame([(None, "a")], "x string, y string")
-    assert bag_difference_by_digest(*moved).count() == 2
+    assert Q.bag_difference_by_digest(*moved).count() == 2
     none = left.filter("false")
-    assert rows(bag_difference_by_digest(none, none)) == []
-    assert bag_difference_by_digest(left, none).count() == bag_difference(left, none).count()
+    assert rows(Q.bag_difference_by_digest(none, none)) == []
+    assert Q.bag_difference_by_digest(left, none).count() == Q.bag_difference(left, none).count()
 
 
 def test_equal_tables_group_no_whole_rows(spark):
     left = spark.range(100).select("id", F.lit("x").alias("v"))
-    assert "HashAggregate" not in plan(bag_difference_by_digest(left, left.repartition(3)))
+    assert "HashAggregate" not in plan(Q.bag_difference_by_digest(left, left.repartition(3)))
