@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -20,7 +21,9 @@ from martloom.plans import community, courier, lake, popularity, retention, segm
 from martloom.plans.layers import LayerTable, Mart, backfill, promote, refresh, refresh_by_digest, stored_days
 from martloom.schema import LONG, TEXT, TS_NTZ, record
 from martloom.session import fresh_path, stored
+from martloom.sources import variants
 from martloom.sources.files import read_documents, read_files, read_lake
+from martloom.sources.lake import cluster, compact, file_sizes
 from martloom.sources.paged import read_paged, stored_pages
 from martloom.sources.sinks import (
     drop_periods, extract_new, land_raw, read_mark, read_or_empty, relayout, save_mark, source_changes, upsert,
@@ -416,6 +419,70 @@ def lake_relayout(spark, sf_dir):
     )
 
 
+def _dated_events(spark, sf_dir):
+    return src.table(spark, sf_dir, "events").withColumn("event_date", F.col("ts").cast("date"))
+
+
+@query
+def lake_compaction(spark, sf_dir):
+    """A lake that many small loads have written, before and after its days are compacted:
+    the rows stay, and a day is one file."""
+    path = fresh_path(spark, "lake")
+    dated = _dated_events(spark, sf_dir)
+    for part in range(4):
+        dated.filter(F.col("event_id") % 4 == part).write.mode("append").partitionBy("event_date").parquet(path)
+    crowded = compact(spark, path, dated.schema, ["event_date"], ["user_id", "event_id"])
+    after = file_sizes(spark, path, dated.schema, ["event_date"]).select("event_date", F.col("files").alias("files_after"))
+    days = read_files(spark, path, "parquet", dated.schema).groupBy("event_date").agg(
+        F.count(F.lit(1)).alias("events"), F.sum("event_id").alias("id_sum"), F.sum("user_id").alias("user_sum"))
+    before = crowded.select("event_date", (F.col("files") > 1).alias("was_crowded"))
+    return days.join(after, "event_date").join(before, "event_date", "left").withColumn(
+        "was_crowded", F.coalesce("was_crowded", F.lit(False)))
+
+
+LAKE_BUCKETS = 16
+
+
+@query
+def clustered_activity(spark, sf_dir):
+    """Events and subscriptions, both clustered by user, joined and counted per user without
+    a shuffle."""
+    tag = uuid.uuid4().hex
+    events = cluster(src.events(spark, sf_dir).select("user_id", "event_id", "group_id"), f"events_{tag}", fresh_path(spark, "clustered"),
+                     ["user_id"], LAKE_BUCKETS)
+    subscribed = cluster(src.subscriptions(spark, sf_dir).select("user_id", F.col("restaurant_id").alias("group_id")).distinct(),
+                         f"subscriptions_{tag}", fresh_path(spark, "clustered"), ["user_id"], LAKE_BUCKETS)
+    return clustered_counts(events, subscribed)
+
+
+def clustered_counts(events: DataFrame, subscribed: DataFrame) -> DataFrame:
+    """Per user: events in communities that they subscribe to, and how many of those."""
+    return events.join(subscribed, ["user_id", "group_id"]).groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("events"), F.countDistinct("group_id").alias("communities"))
+
+
+@query
+def open_fields(spark, sf_dir):
+    """Events as documents of open shape: a number that is sometimes text, null or missing,
+    a nested object, and documents that are cut off. Which types each field has, and its
+    values by path."""
+    path = fresh_path(spark, "open-documents")
+    k = F.col("group_id").cast("string")
+    number = (F.when(F.col("event_id") % 11 == 0, "null").when(F.col("event_id") % 3 == 0, F.concat(F.lit('"'), k, F.lit('"')))
+              .otherwise(k))
+    text = F.concat(
+        F.lit("{"), F.when(F.col("event_id") % 5 != 0, F.concat(F.lit('"k": '), number, F.lit(", "))).otherwise(""),
+        F.lit('"who": {"id": '), F.col("user_id").cast("string"), F.lit(', "the type": "'), F.col("event_type"), F.lit('"}}'))
+    text = F.when(F.col("event_id") % 13 == 0, F.rtrim(text, F.lit("}"))).otherwise(text)
+    src.events(spark, sf_dir).select(text.alias("value")).write.text(path)
+    documents = read_documents(spark, path)
+    found = variants.fields(documents, "doc")
+    values = [F.struct(F.lit(f.path).alias("path"), variants.value("doc", f).cast("string").alias("v")) for f in found]
+    by_path = documents.select(F.explode(F.array(*values)).alias("e")).groupBy("e.path").agg(
+        F.count_distinct("e.v").alias("distinct_values"), F.sum(F.expr("try_cast(e.v AS bigint)")).alias("number_sum"))
+    return variants.kinds(documents, "doc", found).join(by_path, "path").withColumn("number_sum", F.coalesce("number_sum", F.lit(0)))
+
+
 @query
 def user_mart(spark, sf_dir):
     return lake.user_mart(src.lake_events(spark, sf_dir), src.EVENT_TYPES)

@@ -222,6 +222,19 @@ ORACLE: dict[str, str] = {
     "current_members": f"""WITH {EVENTS}, last AS (SELECT * FROM ev WHERE event_type IN ('signup', 'error')
           QUALIFY row_number() OVER (PARTITION BY k, user_id ORDER BY ts DESC, event_id DESC) = 1)
         SELECT k AS group_id, user_id, ts AS member_since FROM last WHERE event_type = 'signup'""",
+    "lake_compaction": """SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS event_date, count(*) AS events,
+        CAST(sum(event_id) AS BIGINT) AS id_sum, CAST(sum(user_id) AS BIGINT) AS user_sum, 1::BIGINT AS files_after,
+        count(DISTINCT event_id % 4) > 1 AS was_crowded FROM events GROUP BY 1""",
+    "clustered_activity": f"""WITH {EVENTS}, s AS (SELECT DISTINCT user_id, k FROM ev WHERE event_type = 'view')
+        SELECT user_id, count(*) AS events, count(DISTINCT k) AS communities FROM ev JOIN s USING (user_id, k) GROUP BY 1""",
+    "open_fields": f"""WITH {EVENTS}, d AS (SELECT * FROM ev WHERE event_id % 13 <> 0),
+        f AS (SELECT '$[''k'']' AS path, CASE WHEN event_id % 11 = 0 THEN 'VOID' WHEN event_id % 3 = 0 THEN 'STRING' ELSE 'BIGINT' END AS kind,
+            CASE WHEN event_id % 11 <> 0 THEN CAST(k AS VARCHAR) END AS v FROM d WHERE event_id % 5 <> 0
+          UNION ALL SELECT '$[''who''][''id'']', 'BIGINT', CAST(user_id AS VARCHAR) FROM d
+          UNION ALL SELECT '$[''who''][''the type'']', 'STRING', event_type FROM d),
+        p AS (SELECT path, count(DISTINCT v) AS distinct_values, CAST(coalesce(sum(TRY_CAST(v AS BIGINT)), 0) AS BIGINT) AS number_sum
+          FROM f GROUP BY 1)
+        SELECT path, kind, count(*) AS docs, distinct_values, number_sum FROM f JOIN p USING (path) GROUP BY ALL""",
     "lake_relayout": """SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS event_date, event_type, count(*) AS events,
         count(DISTINCT user_id) AS users, min(event_id) AS first_event, max(event_id) AS last_event FROM events
         GROUP BY 1, 2""",
