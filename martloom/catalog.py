@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, DateType, DecimalType, IntegerType, StructType
 
 from martloom import standins as src
-from martloom.functions.scalars import message, week_start
+from martloom.functions.scalars import message, unique_list, week_start
 from martloom.operators.joins import enrich, nearest_zone as zone_of_point
 from martloom.operators.modelling import SplitSpec, decompose, recompose
 from martloom.operators.quality import bag_difference_by_digest, duplicates, orphans, profile
@@ -445,20 +445,21 @@ LAKE_BUCKETS = 16
 
 @query
 def clustered_activity(spark, sf_dir):
-    """Events and subscriptions, both clustered by user, joined and counted per user without
+    """Events and subscribers, both clustered by user, joined and counted per user without
     a shuffle."""
     tag = uuid.uuid4().hex
     events = cluster(src.events(spark, sf_dir).select("user_id", "event_id", "group_id"), f"events_{tag}", fresh_path(spark, "clustered"),
                      ["user_id"], LAKE_BUCKETS)
-    subscribed = cluster(src.subscriptions(spark, sf_dir).select("user_id", F.col("restaurant_id").alias("group_id")).distinct(),
-                         f"subscriptions_{tag}", fresh_path(spark, "clustered"), ["user_id"], LAKE_BUCKETS)
-    return clustered_counts(events, subscribed)
+    favourites = src.subscriptions(spark, sf_dir).groupBy("user_id").agg(unique_list("restaurant_id").alias("favourites"))
+    subscribers = cluster(favourites, f"subscribers_{tag}", fresh_path(spark, "clustered"), ["user_id"], LAKE_BUCKETS)
+    return clustered_counts(events, subscribers)
 
 
-def clustered_counts(events: DataFrame, subscribed: DataFrame) -> DataFrame:
-    """Per user: events in communities that they subscribe to, and how many of those."""
-    return events.join(subscribed, ["user_id", "group_id"]).groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("events"), F.countDistinct("group_id").alias("communities"))
+def clustered_counts(events: DataFrame, subscribers: DataFrame) -> DataFrame:
+    """Per subscriber: events, those in communities that they subscribe to, and the first one."""
+    liked = F.array_contains("favourites", F.col("group_id"))
+    return events.join(subscribers, "user_id").groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("events"), F.count_if(liked).alias("liked"), F.min(F.when(liked, F.col("event_id"))).alias("first_liked"))
 
 
 @query
@@ -521,14 +522,15 @@ def nearest_zone(spark, sf_dir):
     return zone_of_point(src.user_points(spark, sf_dir), "user_id", src.zone_centres(spark, sf_dir))
 
 
-# Two communities of four members, or one of two.
-FRIEND_WEIGHT = lake.UNIT // 2
+# As much as three communities that a pair of the zone shares on average.
+FRIEND_TIMES = 3
 
 
 @query
 def friend_recommendations(spark, sf_dir):
     sent, received = src.direct_messages(spark, sf_dir)
-    return lake.friend_recommendations(src.zone_members(spark, sf_dir), lake.undirected(sent, received), FRIEND_WEIGHT)
+    members = stored(src.zone_members(spark, sf_dir), "zone-members")
+    return lake.friend_recommendations(members, lake.undirected(sent, received), lake.zone_thresholds(members, FRIEND_TIMES))
 
 
 # --- streams ---------------------------------------------------------------------------------------

@@ -6,7 +6,7 @@ windows, joins and distinct counts stand where Spark uses another route.
 
 from __future__ import annotations
 
-from martloom.catalog import FRIEND_WEIGHT, PAGE_ROWS, PROMO_NOW, STATUS_SINCE, FIRST_LOAD, SECOND_LOAD, TOP_DISHES
+from martloom.catalog import FRIEND_TIMES, PAGE_ROWS, PROMO_NOW, STATUS_SINCE, FIRST_LOAD, SECOND_LOAD, TOP_DISHES
 from martloom.standins import EVENT_TYPES, WIDE_DIMS, WIDE_MEASURES
 
 K = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
@@ -122,7 +122,9 @@ _SHARED = f"""{EVENTS},
 member AS (SELECT DISTINCT c_nationkey AS zone_id, user_id, k FROM ev JOIN customer ON user_id = c_custkey
   WHERE event_type = 'view'),
 contact AS (SELECT DISTINCT user_id AS a, user_id + k AS b FROM ev WHERE event_type IN ('click', 'signup') AND k <> 0),
-w AS (SELECT zone_id, k, 1000000 // count(*) AS w FROM member GROUP BY 1, 2),
+w AS (SELECT zone_id, k, count(*) AS n, 1000000 // count(*) AS w FROM member GROUP BY 1, 2),
+least_weight AS (SELECT zone_id, greatest(1, {FRIEND_TIMES} * (sum(w * n * (n - 1)) // greatest(1, sum(n * (n - 1))))) AS least
+  FROM w GROUP BY 1),
 pair AS (SELECT x.zone_id, x.user_id AS a, y.user_id AS b, count(*) AS shared, CAST(sum(w) AS BIGINT) AS weight
   FROM member x JOIN member y ON x.zone_id = y.zone_id AND x.k = y.k AND x.user_id < y.user_id
   JOIN w ON w.zone_id = x.zone_id AND w.k = x.k GROUP BY 1, 2, 3)"""
@@ -226,7 +228,8 @@ ORACLE: dict[str, str] = {
         CAST(sum(event_id) AS BIGINT) AS id_sum, CAST(sum(user_id) AS BIGINT) AS user_sum, 1::BIGINT AS files_after,
         count(DISTINCT event_id % 4) > 1 AS was_crowded FROM events GROUP BY 1""",
     "clustered_activity": f"""WITH {EVENTS}, s AS (SELECT DISTINCT user_id, k FROM ev WHERE event_type = 'view')
-        SELECT user_id, count(*) AS events, count(DISTINCT k) AS communities FROM ev JOIN s USING (user_id, k) GROUP BY 1""",
+        SELECT ev.user_id, count(*) AS events, count(s.k) AS liked, min(event_id) FILTER (s.k IS NOT NULL) AS first_liked
+        FROM ev LEFT JOIN s ON s.user_id = ev.user_id AND s.k = ev.k WHERE ev.user_id IN (SELECT user_id FROM s) GROUP BY 1""",
     "open_fields": f"""WITH {EVENTS}, d AS (SELECT * FROM ev WHERE event_id % 13 <> 0),
         f AS (SELECT '$[''k'']' AS path, CASE WHEN event_id % 11 = 0 THEN 'VOID' WHEN event_id % 3 = 0 THEN 'STRING' ELSE 'BIGINT' END AS kind,
             CASE WHEN event_id % 11 <> 0 THEN CAST(k AS VARCHAR) END AS v FROM d WHERE event_id % 5 <> 0
@@ -248,8 +251,8 @@ ORACLE: dict[str, str] = {
         d AS (SELECT user_id, zone_id, round({_km('lat', 'lon', 'zlat', 'zlon')}, 3) AS distance_km FROM u, z)
         SELECT user_id, zone_id, distance_km FROM d
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY distance_km, zone_id) = 1""",
-    "friend_recommendations": f"""WITH {_SHARED} SELECT CAST(zone_id AS BIGINT) AS zone_id, a, b, shared, weight FROM pair
-        WHERE weight >= {FRIEND_WEIGHT} AND NOT EXISTS (SELECT 1 FROM contact c WHERE c.a = pair.a AND c.b = pair.b)""",
+    "friend_recommendations": f"""WITH {_SHARED} SELECT CAST(zone_id AS BIGINT) AS zone_id, a, b, shared, weight FROM pair JOIN least_weight USING (zone_id)
+        WHERE weight >= least AND NOT EXISTS (SELECT 1 FROM contact c WHERE c.a = pair.a AND c.b = pair.b)""",
     "stream_notifications": f"""WITH {_NOTIFY} SELECT promo_id, k AS restaurant_id, user_id, promo_start, favourites,
         {_key(['promo_id', 'user_id'])} AS message_id FROM promo JOIN sub USING (k) JOIN fav USING (user_id)""",
     "stream_feedback": f"""WITH {_NOTIFY} SELECT promo_id, k AS restaurant_id, user_id, {_key(['promo_id', 'user_id'])} AS message_id,

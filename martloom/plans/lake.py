@@ -67,8 +67,20 @@ def undirected(sent: DataFrame, received: DataFrame) -> DataFrame:
 UNIT = 1_000_000
 
 
-def shared_community_pairs(members: DataFrame, min_weight: int) -> DataFrame:
-    """User pairs of one zone whose shared communities weigh ``min_weight`` or more.
+def zone_thresholds(members: DataFrame, times: int) -> DataFrame:
+    """``(zone_id, min_weight)``: ``times`` the mean weight of a community that two users of
+    the zone share. Weights fall as communities grow, and so does this: about the same
+    share of the sharing pairs reaches it at any size."""
+    sizes = members.groupBy("zone_id", "group_id").agg(F.count(F.lit(1)).alias("n"))
+    pairs = F.col("n") * (F.col("n") - 1)
+    sums = sizes.groupBy("zone_id").agg(
+        F.sum(F.floor(F.lit(UNIT) / F.col("n")).cast("bigint") * pairs).alias("weight"), F.sum(pairs).alias("pairs"))
+    return sums.select("zone_id", F.expr(f"greatest(1, {int(times)} * (weight div greatest(1, pairs)))").cast("bigint").alias("min_weight"))
+
+
+def shared_community_pairs(members: DataFrame, min_weight: int | DataFrame) -> DataFrame:
+    """User pairs of one zone whose shared communities weigh ``min_weight`` or more: a
+    number, or ``(zone_id, min_weight)``.
 
     ``members`` has distinct ``(zone_id, user_id, group_id)``; a community weighs the less
     the more members of the zone it has. Result: ``(zone_id, a, b, shared, weight)`` with
@@ -81,16 +93,21 @@ def shared_community_pairs(members: DataFrame, min_weight: int) -> DataFrame:
     in the tails; no pair is lost, and every count and weight is complete: what both tails
     share is added from the two lists.
     """
-    if min_weight < 1:
+    if isinstance(min_weight, int) and min_weight < 1:
         raise ValueError("min_weight must be at least 1")
     group = ["zone_id", "group_id"]
+    limits = None if isinstance(min_weight, int) else stored(min_weight, "zone-thresholds")
+
+    def limited(df: DataFrame) -> DataFrame:
+        return df.withColumn("min_weight", F.lit(min_weight)) if limits is None else df.join(limits, "zone_id")
+
     sizes = members.groupBy(*group).agg(F.floor(F.lit(UNIT) / F.count(F.lit(1))).cast("bigint").alias("w"))
     of_user = W.partitionBy("zone_id", "user_id")
     light_first = of_user.orderBy(F.col("w").asc(), F.col("group_id").desc()).rowsBetween(W.unboundedPreceding, 0)
-    in_tail = F.col("upto") < min_weight
+    in_tail = F.col("upto") < F.col("min_weight")
     # Read four times below, so it is computed once.
     listed = stored(
-        members.join(sizes, group)
+        limited(members.join(sizes, group))
         .withColumn("upto", F.sum("w").over(light_first))
         .withColumn("tail", F.collect_list(F.when(in_tail, F.struct("group_id", "w"))).over(of_user))
         .select(*group, "user_id", "w", "tail", in_tail.alias("in_tail")),
@@ -115,16 +132,16 @@ def shared_community_pairs(members: DataFrame, min_weight: int) -> DataFrame:
 
     # A meeting in a group is one shared community; the tails are equal in every
     # row of a pair.
-    return (
+    pairs = (
         pair(meet(head, head).filter("user_id < other_id"))
         .unionAll(pair(meet(head, tail).filter("user_id <> other_id")))
         .groupBy("zone_id", "a", "b")
         .agg((F.count(F.lit(1)) + F.max("n_tails")).alias("shared"), (F.sum("w") + F.max("w_tails")).alias("weight"))
-        .filter(F.col("weight") >= min_weight)
     )
+    return limited(pairs).filter(F.col("weight") >= F.col("min_weight")).drop("min_weight")
 
 
-def friend_recommendations(members: DataFrame, contacts: DataFrame, min_weight: int) -> DataFrame:
+def friend_recommendations(members: DataFrame, contacts: DataFrame, min_weight: int | DataFrame) -> DataFrame:
     """Pairs of one zone with enough shared communities and no contact so far (common
     neighbours weighed by their size: Adamic & Adar, Social Networks 2003)."""
     return without_known(shared_community_pairs(members, min_weight), contacts, ["a", "b"])

@@ -17,15 +17,21 @@ class Field:
     kind: DataType
 
 
-def _step(name: str) -> str:
-    return "['" + name.replace("\\", "\\\\").replace("'", "\\'") + "']"
+def _step(name: str) -> str | None:
+    """One segment of a path; there is none for a name with both kinds of quotes."""
+    if "'" not in name:
+        return f"['{name}']"
+    return f'["{name}"]' if '"' not in name else None
 
 
 def _leaves(kind: StructType, path: str) -> list[Field]:
     out = []
     for field in kind.fields:
-        below = path + _step(field.name)
-        out += _leaves(field.dataType, below) if isinstance(field.dataType, StructType) else [Field(below, field.dataType)]
+        step = _step(field.name)
+        if step and isinstance(field.dataType, StructType):
+            out += _leaves(field.dataType, path + step)
+        elif step:
+            out.append(Field(path + step, field.dataType))
     return out
 
 

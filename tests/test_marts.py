@@ -232,3 +232,22 @@ def test_unknown_dishes_and_categories_are_ranked(spark):
     out = popularity.dish_popularity(lines, dishes)
     got = rows(out, "dish_id", "dish_name", "orders", "rank_overall", "rank_in_category")
     assert sorted(got, key=repr) == [(1, "soup", 1, 2, 2), (2, None, 2, 1, 1), (None, None, 1, 2, 2)]
+
+
+def test_threshold_follows_the_size_of_the_zone(spark):
+    """Four times the users in communities four times as large: about the same share passes."""
+    shares = []
+    for users in (60, 240):
+        rng = random.Random(users)
+        data = [(z, u, g) for z in range(2) for u in range(users) for g in rng.sample(range(30), 6)]
+        df = spark.createDataFrame(data, "zone_id long, user_id long, group_id long")
+        sharing = lake.shared_community_pairs(df, 1).count()
+        got = lake.shared_community_pairs(df, lake.zone_thresholds(df, 3))
+        shares.append(got.count() / sharing)
+        weights = {r.zone_id: r.min_weight for r in lake.zone_thresholds(df, 3).collect()}
+        every = lake.shared_community_pairs(df, 1).collect()
+        assert sorted((r.zone_id, r.a, r.b) for r in every if r.weight >= weights[r.zone_id]) == sorted(rows(got, "zone_id", "a", "b"))
+    assert 0.02 < shares[0] and abs(shares[0] - shares[1]) < 0.3 * shares[0]
+    # Nobody shares anything: no threshold to fall below.
+    alone = spark.createDataFrame([(1, 1, 1), (1, 2, 2)], "zone_id long, user_id long, group_id long")
+    assert rows(lake.zone_thresholds(alone, 3)) == [(1, 1)]
