@@ -61,6 +61,15 @@ def remove(spark: SparkSession, path: str) -> None:
     jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
 
 
+def entries(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any file system Spark can reach; none if it is not there."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(jvm_path):
+        return []
+    return sorted(status.getPath().getName() for status in system.listStatus(jvm_path))
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives the loss of any executor."""
     spark = df.sparkSession
