@@ -6,22 +6,29 @@ by rising sum of the two distances (multi-sequence traversal: a heap over the tw
 lists) until the sum exceeds that of the nearest cell by ``slack``. Every vector is indexed
 and searches; a pair is found if either finds the other, and is then verified exactly.
 
-The slack is fitted on vectors that are compared with all vectors by brute force. Queries
-that are neighbours of each other are one group, and every group weighs the same, however
-many copies it has: the least slack that finds ``RECALL`` of a group's neighbours, on the
-mean of the groups, is taken. Queries are drawn until ``GROUPS`` groups with neighbours are
-seen. With fewer among ``MOST_QUERIES`` there is no fitted slack, and the geometry alone
-bounds the search: for vectors x and y at a distance of d, x's excess for y's cell and y's for
-x's sum up to 2 (x - y)(c_x - c_y) at most, so the smaller one is within d times the distance
-of the two cells' codewords. Cells beyond that hold no neighbour and are never searched.
+The slack is fitted in one way at every size, on two sets of pairs, as the least with which
+``RECALL`` of each is found. The first are made: sampled vectors and others at exactly the
+least cosine from them, turned towards random directions and towards other sampled vectors;
+all true links are closer. The second are the true links of sampled queries, compared with
+all vectors by brute force; queries that are neighbours of each other are one group, and
+every group weighs the same, however many copies it has. The geometry bounds the search
+besides: for vectors x and y at a distance of d, x's excess for y's cell and y's for x's sum
+up to 2 (x - y)(c_x - c_y) at most, so the smaller one is within d times the distance of the
+two cells' codewords. Cells beyond that hold no neighbour and are never searched.
+
+Codewords grow with the square root of the rows, so that a cell keeps about ``BLOCK``
+vectors, and the sample they are fitted on grows with them. Vectors of all lengths share the
+index, by as many components as the most common length has (shorter ones are filled with
+zeros): no two vectors are farther apart there than they are. Only vectors of the same
+length and label are compared, on all their components.
 
 Equal vectors are one row with a count. Cells are cut into blocks of about ``BLOCK``
-vectors, so a task compares two blocks at a time and returns counts and a spanning forest
-of the links, never all pairs. Codebooks are fitted on at most ``SAMPLE`` vectors.
+vectors, and a pair of blocks is a join key of its own: a task compares two blocks at a time
+and returns counts and a spanning forest of the links, never all pairs.
 
-Defined results: vectors without label, null, empty, zero, with a null or non-finite
-component, or of another length than most have no links and are kept; rows that share a
-vec_id are vectors of their own; an empty table gives an empty table.
+Defined results: vectors without label, null, empty, zero, or with a null or non-finite
+component have no links and are kept; vectors of different lengths have none with each
+other; rows that share a vec_id are vectors of their own; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -38,9 +45,10 @@ from martloom.llm.rows import map_columns, share_below
 from martloom.session import stored
 
 COSINE, RECALL = 0.93, 0.995
-CODEWORDS, SAMPLE, BLOCK, SEED = 32, 8000, 512, 10
-#: Queries of the first draw and of the last; groups with true neighbours to be seen.
-QUERIES, MOST_QUERIES, GROUPS = 256, 4096, 64
+#: The least number of codewords of a half, and of sampled vectors; sampled vectors a codeword.
+CODEWORDS, SAMPLE, SAMPLE_EACH, BLOCK, SEED = 32, 8000, 16, 512, 10
+#: Queries that are compared with all vectors, and pairs that are made.
+QUERIES, MADE = 512, 8000
 #: Distance of unit vectors at the least cosine.
 REACH = float(np.sqrt(2 - 2 * COSINE))
 #: Steps in which the slack is fitted; unit vectors' halves lie within 4 of a codeword.
@@ -126,8 +134,16 @@ def distinct_vectors(embeddings: DataFrame) -> DataFrame:
     return groups.select("id", "label", "embedding", unit.alias("unit"), "n", "dim")
 
 
-def _matrix(vectors: list, width: int) -> np.ndarray:
-    return np.array(vectors, dtype=np.float64).reshape(-1, width)
+def _matrix(vectors: list) -> np.ndarray:
+    return np.array(vectors, dtype=np.float64).reshape(len(vectors), -1)
+
+
+def _folded(vectors: list, width: int) -> np.ndarray:
+    """The first ``width`` components, missing ones zero."""
+    out = np.zeros((len(vectors), width))
+    for row, v in zip(out, vectors, strict=True):
+        row[:len(v)] = v[:width]
+    return out
 
 
 def groups_of(queries: np.ndarray, labels: np.ndarray) -> np.ndarray:
@@ -142,51 +158,70 @@ def groups_of(queries: np.ndarray, labels: np.ndarray) -> np.ndarray:
         group = least
 
 
-def fitted_slack(rows: list[tuple[int, int, int]], group: np.ndarray) -> tuple[float, float, int]:
-    """Slack, the mean share of the groups' neighbours that it finds, and the groups with
-    neighbours, from (query, step, neighbours)."""
+def fitted_slack(rows: list[tuple[int, int, int]], group: np.ndarray) -> tuple[float, float]:
+    """Slack, and the mean share of the groups' neighbours that it finds, from (query, step,
+    neighbours). No slack is needed where there are no neighbours."""
     by_group = np.zeros((len(group), MOST_STEPS + 1))
     for query, step, n in rows:
         by_group[group[query], step] += n
     by_group = by_group[by_group.sum(1) > 0]
     if not len(by_group):
-        return float("inf"), 1.0, 0
+        return 0.0, 1.0
     held = (by_group.cumsum(1) / by_group.sum(1, keepdims=True)).mean(0)
     step = int(np.argmax(held >= RECALL))
-    return step * STEP + 1e-9, float(held[step]), len(by_group)
+    return step * STEP + 1e-9, float(held[step])
+
+
+def made_neighbours(points: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of unit vectors at exactly the least cosine: points, and each turned towards a
+    random direction or towards another point."""
+    pick = np.random.default_rng(SEED)
+    x = points[pick.integers(0, len(points), n)]
+    to = pick.normal(size=x.shape)
+    to[::2] = points[pick.integers(0, len(points), n)][::2]
+    to -= (to * x).sum(1, keepdims=True) * x
+    size = np.linalg.norm(to, axis=1, keepdims=True)
+    some = size[:, 0] > 1e-9
+    x, to = x[some], to[some] / size[some]
+    return x, COSINE * x + np.sqrt(1 - COSINE ** 2) * to
+
+
+def codewords(total: int) -> int:
+    return max(CODEWORDS, int(np.ceil(np.sqrt(total / BLOCK))))
 
 
 def fit(vectors: DataFrame, total: int, width: int) -> tuple[MultiIndex, float, float]:
-    """Index, slack (infinite: the geometry alone) and the share of true neighbours that it
-    finds, on the mean of the sampled groups."""
-    sample = vectors.filter(share_below(F.col("id"), min(1.0, SAMPLE / total), SEED)).select("unit")
-    points = _matrix([r[0] for r in sample.collect()], width)
+    """Index, slack and the share of true neighbours that it finds, on the mean of the
+    sampled groups."""
+    k = codewords(total)
+    most = max(SAMPLE, SAMPLE_EACH * k)
+    sample = vectors.filter(share_below(F.col("id"), min(1.0, most / total), SEED)).select("unit")
+    points = _folded([r[0] for r in sample.collect()], width)
     if not len(points):
-        points = _matrix([r[0] for r in vectors.select("unit").limit(1).collect()], width)
+        points = _folded([r[0] for r in vectors.select("unit").limit(1).collect()], width)
     half = (width + 1) // 2
-    index = MultiIndex(codebook(points[:, :half]), codebook(points[:, half:]))
-    drawn = QUERIES
-    while True:
-        slack, recall, groups = _draw(vectors, index, min(1.0, drawn / total), width)
-        if groups >= GROUPS:
-            return index, slack, recall
-        if drawn >= min(total, MOST_QUERIES):
-            return index, float("inf"), 1.0
-        drawn *= 4
+    index = MultiIndex(codebook(points[:, :half], k), codebook(points[:, half:], k))
+    x, y = made_neighbours(points, MADE)
+    slack = 0.0
+    if len(x):
+        excess = index.excess(*index.distances(x), *index.distances(y))
+        slack = float(np.quantile(excess, RECALL, method="higher")) + 1e-9
+    found, recall = _drawn(vectors.filter(F.col("dim") == width), index, min(1.0, QUERIES / total), width)
+    return index, max(slack, found), recall
 
 
-def _draw(vectors: DataFrame, index: MultiIndex, share: float, width: int) -> tuple[float, float, int]:
+def _drawn(vectors: DataFrame, index: MultiIndex, share: float, width: int) -> tuple[float, float]:
     asked = vectors.filter(share_below(F.col("id"), share, SEED + 1)).select("id", "label", "unit").collect()
     if not asked:
-        return float("inf"), 1.0, 0
+        return 0.0, 1.0
     q_id, q_label = np.array([r[0] for r in asked]), np.array([str(r[1]) for r in asked])
-    queries = _matrix([r[2] for r in asked], width)
+    queries = _folded([r[2] for r in asked], width)
 
     def make():
         q1, q2 = index.distances(queries)
 
         def work(ids, labels, units):
-            x = _matrix(units, width)
+            x = _folded(units, width)
             hit = (x @ queries.T >= COSINE) & (np.array([str(v) for v in labels])[:, None] == q_label[None, :]) \
                 & (np.array(ids)[:, None] != q_id[None, :])
             i, j = np.nonzero(hit)
@@ -201,13 +236,19 @@ def _draw(vectors: DataFrame, index: MultiIndex, share: float, width: int) -> tu
     return fitted_slack([tuple(r) for r in steps.collect()], groups_of(queries, q_label))
 
 
-def _blocks(members: DataFrame, block: str) -> DataFrame:
-    """Members of each (label, cell) in blocks of about ``BLOCK``."""
-    sizes = members.groupBy("label", "cell").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    return (members.join(sizes, ["label", "cell"])
-            .withColumn(block, F.pmod(F.xxhash64("id", F.lit(SEED)), F.col("blocks")))
-            .groupBy("label", "cell", block)
-            .agg(F.collect_list(F.struct("id", "n", "unit", "own", "cells")).alias("m")))
+def _blocks(members: DataFrame, block: str) -> tuple[DataFrame, DataFrame]:
+    """Members of each (label, cell) in blocks of about ``BLOCK``; how many there are."""
+    sizes = members.groupBy("label", "cell").agg(F.ceil(F.count("*") / BLOCK).alias(f"{block}s"))
+    blocks = (members.join(sizes, ["label", "cell"])
+              .withColumn(block, F.pmod(F.xxhash64("id", F.lit(SEED)), F.col(f"{block}s")))
+              .groupBy("label", "cell", block)
+              .agg(F.collect_list(F.struct("id", "n", "unit", "own", "cells")).alias("m")))
+    return blocks, sizes
+
+
+def _each(blocks: DataFrame, sizes: DataFrame, block: str) -> DataFrame:
+    """A copy for every block of the other side."""
+    return blocks.join(sizes, ["label", "cell"]).withColumn(block, F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"{block}s") - 1)))
 
 
 def _compare(ids_p, own_p, n_p, p, ids_r, cells_r, n_r, r, grid):
@@ -230,12 +271,13 @@ def _compare(ids_p, own_p, n_p, p, ids_r, cells_r, n_r, r, grid):
     return links_p, links_r, least_p, least_r
 
 
-def verified(members: DataFrame, width: int, grid: int) -> DataFrame:
+def verified(members: DataFrame, grid: int) -> DataFrame:
     """(a, b, n): counts of links of a where b is null, else an edge of the forest."""
-    residents = _blocks(members.withColumn("cell", F.col("own")), "block")
-    probes = _blocks(members.withColumn("cell", F.explode("cells")), "block")
-    pairs = residents.select("label", "cell", F.col("m").alias("r")).join(
-        probes.select("label", "cell", F.col("m").alias("p")), ["label", "cell"])
+    residents, r_sizes = _blocks(members.withColumn("cell", F.col("own")), "r_block")
+    probes, p_sizes = _blocks(members.withColumn("cell", F.explode("cells")), "p_block")
+    keys = ["label", "cell", "r_block", "p_block"]
+    pairs = _each(residents, p_sizes, "p_block").select(*keys, F.col("m").alias("r")).join(
+        _each(probes, r_sizes, "r_block").select(*keys, F.col("m").alias("p")), keys)
 
     def make():
         def work(rs, ps):
@@ -243,8 +285,8 @@ def verified(members: DataFrame, width: int, grid: int) -> DataFrame:
             for r, p in zip(rs, ps, strict=True):
                 ids_p, ids_r = (np.array([m["id"] for m in x], dtype=np.int64) for x in (p, r))
                 out = _compare(
-                    ids_p, np.array([m["own"] for m in p]), np.array([m["n"] for m in p]), _matrix([m["unit"] for m in p], width),
-                    ids_r, [m["cells"] for m in r], np.array([m["n"] for m in r]), _matrix([m["unit"] for m in r], width), grid)
+                    ids_p, np.array([m["own"] for m in p]), np.array([m["n"] for m in p]), _matrix([m["unit"] for m in p]),
+                    ids_r, [m["cells"] for m in r], np.array([m["n"] for m in r]), _matrix([m["unit"] for m in r]), grid)
                 for ids, links, least in ((ids_p, out[0], out[2]), (ids_r, out[1], out[3])):
                     some = links > 0
                     a += ids[some].tolist()
@@ -263,28 +305,28 @@ def verified(members: DataFrame, width: int, grid: int) -> DataFrame:
 def near_vectors(embeddings: DataFrame) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row."""
     vectors = stored(distinct_vectors(embeddings), "vectors")
-    widths = vectors.groupBy("dim").agg(F.sum("n").alias("rows"), F.count("*").alias("n")).orderBy(F.desc("rows"), "dim").limit(1).collect()
+    widths = vectors.groupBy("dim").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim")
+    common, total = widths.first(), vectors.count()
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), "label", "embedding")
-    if not widths:
+    if common is None:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
                            F.lit(True).alias("kept"))
-    width, _, total = widths[0]
-    vectors = vectors.filter(F.col("dim") == width)
+    width = common["dim"]
     index, slack, _ = fit(vectors, total, width)
     grid = len(index.books[0]) * len(index.books[1])
 
     def make():
         def work(ids, labels, units, ns):
-            d1, d2 = index.distances(_matrix(units, width))
+            d1, d2 = index.distances(_folded(units, width))
             cells = [index.reach(a, b, slack) for a, b in zip(d1, d2, strict=True)]
             return ids, labels, units, ns, [c[0] for c in cells], cells
         return work
 
     members = stored(map_columns(
-        vectors.withColumn("label", F.col("label").cast("string")), ["id", "label", "unit", "n"],
+        vectors.withColumn("label", F.concat_ws("/", "dim", F.col("label").cast("string"))), ["id", "label", "unit", "n"],
         [("id", "long"), ("label", "string"), ("unit", "array<double>"), ("n", "long"), ("own", "long"), ("cells", "array<long>")],
         make), "vector_cells")
-    found = stored(verified(members, width, grid), "vector_links")
+    found = stored(verified(members, grid), "vector_links")
     links = found.filter("b IS NULL").groupBy("a").agg(F.sum("n").alias("links"))
     classes = components(found.filter("b IS NOT NULL"))
     known = (vectors.select("id", F.col("label").alias("v_label"), F.col("embedding").alias("v_embedding"), "n")

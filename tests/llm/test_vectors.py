@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import os
 import random
 
 import numpy as np
+import pytest
 from helpers import clashing
 from pyspark.sql import functions as F
 
@@ -112,3 +114,65 @@ def test_a_hot_group_does_not_set_the_slack_of_the_others(spark):
 
 def test_rare_pairs_are_found_by_the_proven_bound(spark):
     assert found_pairs(spark, pairs_and_rest(0, 20, 1500), 0, 20) == 20
+
+
+def test_every_length_is_indexed(spark):
+    """Pairs of a rare length, shorter or longer than most, link like any other."""
+    rows = pairs_and_rest(0, 30, 300)
+    extra = [(9000 + 100 * d + k, v, 1) for d in (2, 3, 33, 70) for k, v in enumerate(
+        [r[1] for r in pairs_and_rest(0, 10, 0, dim=d)] if d > 3 else [[1.0, 0.01] + [0.0] * (d - 2), [1.0, 0.0] + [0.0] * (d - 2), [0.0, 1.0] + [0.0] * (d - 2)])]
+    rows = rows + extra
+    got = {r.vec_id: r for r in vectors.near_vectors(spark.createDataFrame(rows, SCHEMA)).collect()}
+    want = {w[0]: w for w in plain_by_length(rows)}
+    assert all(got[i].n_links <= w[1] for i, w in want.items())
+    of = lambda ids: (sum(got[i].n_links for i in ids), sum(want[i][1] for i in ids))
+    found, true = of([r[0] for r in extra])
+    assert true >= 44 and found >= 0.95 * true
+    found, true = of(list(want))
+    assert found >= 0.97 * true
+
+
+def plain_by_length(rows):
+    out = []
+    for n in sorted({len(r[1]) for r in rows}):
+        out += plain([r for r in rows if len(r[1]) == n])
+    return out
+
+
+def test_a_hot_cell_is_many_join_keys(spark, monkeypatch):
+    """All vectors in one cell: pairs of blocks are keys, and every link is found."""
+    monkeypatch.setattr(vectors, "BLOCK", 16)
+    rows = [(i, [float(x) for x in v], 1) for i, v in enumerate(
+        (np.ones(8) + np.random.default_rng(5).normal(size=(150, 8)) * 0.01).astype(np.float32))]
+    got = vectors.near_vectors(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {(r.n_links, r.component_id) for r in got} == {(149, 0)}
+
+
+def test_made_neighbours_lie_at_the_least_cosine():
+    pick = np.random.default_rng(2)
+    points = pick.normal(size=(50, 12))
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    x, y = vectors.made_neighbours(points, 400)
+    assert np.allclose((x * y).sum(1), vectors.COSINE) and np.allclose(np.linalg.norm(y, axis=1), 1) and len(x) > 380
+    same = np.repeat(points[:1], 5, axis=0)
+    assert len(vectors.made_neighbours(same, 10)[0]) == 5
+
+
+def test_codewords_grow_with_the_rows():
+    assert vectors.codewords(10) == vectors.codewords(100_000) == 32
+    assert vectors.codewords(10 ** 9) == 1398
+
+
+def test_recall_on_the_test_data(spark):
+    path = "/root/testdata/sf0.1/embeddings.parquet"
+    if not os.path.exists(path):
+        pytest.skip("test data not there")
+    df = spark.read.parquet(path)
+    rows = [(r.vec_id, r.embedding, r.label) for r in df.collect()]
+    x = np.array([r[1] for r in rows], dtype=np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    label = np.array([r[2] for r in rows])
+    hit = (x @ x.T >= vectors.COSINE) & (label[:, None] == label[None, :])
+    np.fill_diagonal(hit, False)
+    got = vectors.near_vectors(df).agg(F.sum("n_links")).first()[0]
+    assert 0.995 * hit.sum() <= got <= hit.sum()
