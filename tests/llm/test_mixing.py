@@ -84,3 +84,58 @@ def test_awkward_rows(spark):
     assert mixing.mixed_documents(empty(spark)).count() == 0
     blank = spark.createDataFrame([(1, None, None, "a", 0), (2, "", None, "b", 0)], DOCS)
     assert [(r.target, r.taken) for r in mixing.mix(blank).collect()] == [(0.0, 0), (0.0, 0)]
+
+
+def plain_level(sizes, target, most=2.0):
+    """The level at which the expected copies of all documents meet the target, by halving."""
+    bits = lambda n: max(1, n.bit_length())
+    low, high = 0.0, 2 * most
+    for _ in range(100):
+        mid = (low + high) / 2
+        if sum(min(most, mid * bits(n)) * n for n in sizes) < target:
+            low = mid
+        else:
+            high = mid
+    return [min(most, high * bits(n)) for n in sizes]
+
+
+def test_expected_copies_meet_the_target(spark):
+    docs = corpus(spark, 500)
+    sized = mixing.slim(docs)
+    cuts = mixing.plan(sized)
+    rows = sized.alias("d").join(cuts.alias("c"), F.col("d.source").eqNullSafe(F.col("c.source"))).select(
+        "d.source", "size", "target", mixing.expected(F.col("size"), F.col("level")).alias("e"),
+        mixing.whole_copies(F.col("size"), F.col("level")).alias("whole"), mixing.chance(F.col("size"), F.col("level")).alias("chance")).collect()
+    for source in {r.source for r in rows}:
+        own = [r for r in rows if r.source == source]
+        assert abs(sum(r.e * r.size for r in own) - own[0].target) < 1e-6 * own[0].target
+        want = plain_level([r.size for r in own], own[0].target)
+        assert all(abs(r.e - w) < 1e-6 and abs(r.whole + r.chance - r.e) < 1e-6 for r, w in zip(own, want))
+        assert len({round(r.e, 9) for r in own}) > 1 or own[0].target > 1.99 * sum(r.size for r in own)
+
+
+def test_inclusion_frequencies_are_the_probabilities(spark):
+    """Over many seeds, each size is taken as often as its chance says, and the order by
+    Pareto ranks differs from a plain random one."""
+    pick = random.Random(5)
+    rows = [(i, prose(i, pick.choice([2, 20, 300])), "en", "ab"[i % 2], 0) for i in range(300)]
+    sized = mixing.slim(spark.createDataFrame(rows, DOCS))
+    wanted, got, seeds = {}, {}, 16
+    for seed in range(seeds):
+        cuts = mixing.plan(sized, seed=seed)
+        out = mixing._copies(sized, cuts, 2.0, seed).select(
+            "source", "size", "copies", mixing.expected(F.col("size"), F.col("level")).alias("e")).collect()
+        for r in out:
+            key = r.source, r.size
+            wanted[key] = r.e
+            got.setdefault(key, []).append(r.copies)
+    assert len({round(e, 6) for e in wanted.values()}) >= 4
+    for key, e in wanted.items():
+        mean = sum(got[key]) / len(got[key])
+        assert abs(mean - e) < 0.06, (key, e, mean)
+
+
+def test_plan_of_copies_does_not_pass_the_most(spark):
+    rows = [(i, "w " * (1 + i % 7), "en", "only", 0) for i in range(50)] + [(100, "x " * 5000, "en", "big", 0)]
+    out = mixing.mix(spark.createDataFrame(rows, DOCS), share=5.0).collect()
+    assert all(r.taken == 2 * r.size for r in out)
