@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections.abc import Iterable, Iterator
 
 import regex
@@ -177,8 +178,12 @@ _UTF8 = [(0x00, 0x7F, None, 0), (0xC2, 0xDF, (0x80, 0xBF), 0), (0xE0, 0xE0, (0xA
          (0xF0, 0xF0, (0x90, 0xBF), 2), (0xF1, 0xF3, (0x80, 0xBF), 2), (0xF4, 0xF4, (0x80, 0x8F), 2)]
 
 
+_RUNS = re.compile(rb"[\x00-\x7f]+|[\x80-\xff]+")
+
+
 class Utf8Stream:
-    """Text of byte chunks as they come; an unfinished character waits for its rest."""
+    """Text of byte chunks as they come; an unfinished character waits for its rest. Runs of
+    ASCII stay in the starting state, so they are taken whole."""
 
     def __init__(self) -> None:
         self.held = b""
@@ -190,7 +195,15 @@ class Utf8Stream:
             return chunk.decode("ascii")
         out: list[str] = []
         done = bytearray()
-        for byte in chunk:
+        for run in _RUNS.findall(chunk):
+            if run[0] < 0x80 and self.expects is None:
+                done += run
+            else:
+                done = self._step(run, done, out)
+        return "".join(out) + done.decode()
+
+    def _step(self, run: bytes, done: bytearray, out: list[str]) -> bytearray:
+        for byte in run:
             if self.expects is not None:
                 low, high, more = self.expects
                 if low <= byte <= high:
@@ -212,7 +225,7 @@ class Utf8Stream:
             else:
                 out.append(done.decode() + "�")
                 done = bytearray()
-        return "".join(out) + done.decode()
+        return done
 
     def close(self) -> str:
         left, self.held, self.expects = self.held, b"", None
@@ -285,9 +298,10 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             counts, ids_sha, text_sha = [], [], []
             for t in texts:
                 ids = encoder.encode(t)
-                decoded = hashlib.sha256()
+                decoded, stream = hashlib.sha256(), Utf8Stream()
                 for chunk in decoder.chunks(ids):
-                    decoded.update(chunk)
+                    decoded.update(stream.feed(chunk).encode())
+                decoded.update(stream.close().encode())
                 counts.append(len(ids))
                 ids_sha.append(hashlib.sha256(",".join(map(digits, ids)).encode()).hexdigest())
                 text_sha.append(decoded.hexdigest())

@@ -6,7 +6,7 @@ import random
 import public_tokenizers
 import pytest
 import tiktoken
-from helpers import awkward, empty
+from helpers import awkward, clashing, empty
 
 from martloom.llm import bpe
 
@@ -78,3 +78,26 @@ def test_encode_then_decode(spark):
     docs = awkward(spark)
     texts = bpe.decode(bpe.encode(docs, PATH, public_tokenizers.PATTERN), PATH, public_tokenizers.PATTERN)
     assert sorted(r.text for r in texts.collect()) == sorted(r.text or "" for r in docs.collect())
+
+
+def test_round_trip_decodes_through_the_stream(spark, monkeypatch):
+    """What the stream gives is what is hashed: a stream that loses text is seen."""
+    docs = spark.createDataFrame([(1, "é" * 5000 + " 🙂 plain"), (2, "a"), (3, None)], "doc_id long, text string")
+    good = {r.doc_id: r.decoded_sha256 for r in bpe.round_trip(docs, PATH, public_tokenizers.PATTERN).collect()}
+    assert good[1] == hashlib.sha256(("é" * 5000 + " 🙂 plain").encode()).hexdigest()
+
+    class Lossy(bpe.Utf8Stream):
+        def feed(self, chunk):
+            return super().feed(chunk)[1:]
+
+    monkeypatch.setattr(bpe, "Utf8Stream", Lossy)
+    bad = {r.doc_id: r.decoded_sha256 for r in bpe.round_trip(docs, PATH, public_tokenizers.PATTERN).collect()}
+    assert bad[1] != good[1] and bad[2] != good[2] and bad[3] == good[3]
+
+
+def test_round_trip_with_clashing_columns(spark):
+    docs = clashing(awkward(spark), "ids", "n_tokens", "ids_sha256", "raw")
+    out = bpe.round_trip(docs, PATH, public_tokenizers.PATTERN)
+    assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    texts = sorted(hashlib.sha256((r.text or "").encode()).hexdigest() for r in docs.select("text").collect())
+    assert sorted(r.decoded_sha256 for r in out.collect()) == texts
