@@ -35,13 +35,15 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm.graph import components
-from martloom.llm.rows import map_columns, share_below
+from martloom.llm.rows import map_columns, prepare, share_below
 from martloom.session import stored
 
 COSINE, RECALL = 0.93, 0.995
@@ -131,11 +133,7 @@ def distinct_vectors(embeddings: DataFrame) -> DataFrame:
     norm = F.expr("sqrt(aggregate(embedding, 0D, (a, x) -> a + double(x) * double(x)))")
     groups = groups.withColumn("norm", norm).filter("norm > 0").withColumn("dim", F.size("embedding"))
     unit = F.expr("transform(embedding, x -> double(x) / norm)")
-    return groups.select("id", "label", "embedding", unit.alias("unit"), "n", "dim")
-
-
-def _matrix(vectors: list) -> np.ndarray:
-    return np.array(vectors, dtype=np.float64).reshape(len(vectors), -1)
+    return groups.select("id", "label", "embedding", "norm", unit.alias("unit"), "n", "dim")
 
 
 def _folded(vectors: list, width: int) -> np.ndarray:
@@ -236,13 +234,13 @@ def _drawn(vectors: DataFrame, index: MultiIndex, share: float, width: int) -> t
     return fitted_slack([tuple(r) for r in steps.collect()], groups_of(queries, q_label))
 
 
-def _blocks(members: DataFrame, block: str) -> tuple[DataFrame, DataFrame]:
+def _blocks(members: DataFrame, block: str, *columns: str) -> tuple[DataFrame, DataFrame]:
     """Members of each (label, cell) in blocks of about ``BLOCK``; how many there are."""
     sizes = members.groupBy("label", "cell").agg(F.ceil(F.count("*") / BLOCK).alias(f"{block}s"))
     blocks = (members.join(sizes, ["label", "cell"])
               .withColumn(block, F.pmod(F.xxhash64("id", F.lit(SEED)), F.col(f"{block}s")))
               .groupBy("label", "cell", block)
-              .agg(F.collect_list(F.struct("id", "n", "unit", "own", "cells")).alias("m")))
+              .agg(F.collect_list(F.struct("id", "n", "embedding", "norm", *columns)).alias("m")))
     return blocks, sizes
 
 
@@ -251,14 +249,40 @@ def _each(blocks: DataFrame, sizes: DataFrame, block: str) -> DataFrame:
     return blocks.join(sizes, ["label", "cell"]).withColumn(block, F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"{block}s") - 1)))
 
 
-def _compare(ids_p, own_p, n_p, p, ids_r, cells_r, n_r, r, grid):
+@dataclass(frozen=True)
+class _Block:
+    """Members of a block, straight from their Arrow columns."""
+
+    ids: np.ndarray
+    n: np.ndarray
+    unit: np.ndarray
+    rows: pa.StructArray
+
+    @classmethod
+    def of(cls, rows: pa.StructArray) -> _Block:
+        field = lambda name: rows.field(name).to_numpy(zero_copy_only=False)
+        raw = rows.field("embedding").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(rows), -1)
+        return cls(field("id"), field("n"), raw / field("norm")[:, None], rows)
+
+    def numbers(self, name: str) -> np.ndarray:
+        return self.rows.field(name).to_numpy(zero_copy_only=False)
+
+    def seen(self, grid: int) -> np.ndarray:
+        """Which cells each member's search visits."""
+        cells = self.rows.field("cells")
+        out = np.zeros((len(self.ids), grid), dtype=bool)
+        row = np.repeat(np.arange(len(self.ids)), cells.value_lengths().to_numpy(zero_copy_only=False))
+        out[row, cells.flatten().to_numpy(zero_copy_only=False)] = True
+        return out
+
+
+def _compare(p: _Block, r: _Block, grid: int):
     """Counts of links and a spanning forest (id, least id) for two blocks of a cell."""
-    hit = (p @ r.T >= COSINE) & (ids_p[:, None] != ids_r[None, :])
-    seen = np.zeros((len(ids_r), grid), dtype=bool)
-    for k, cells in enumerate(cells_r):
-        seen[k, cells] = True
-    # Where both find each other the pair counts on the side of the smaller id.
-    hit &= ~(seen[:, own_p].T & (ids_p[:, None] > ids_r[None, :]))
+    ids_p, ids_r, n_p, n_r = p.ids, r.ids, p.n, r.n
+    hit = (p.unit @ r.unit.T >= COSINE) & (ids_p[:, None] != ids_r[None, :])
+    if hit.any():
+        # Where both find each other the pair counts on the side of the smaller id.
+        hit &= ~(r.seen(grid)[:, p.numbers("own")].T & (ids_p[:, None] > ids_r[None, :]))
     links_p, links_r = hit @ n_r, hit.T @ n_p
     least_p, least_r = ids_p.copy(), ids_r.copy()
     i, j = np.nonzero(hit)
@@ -273,33 +297,27 @@ def _compare(ids_p, own_p, n_p, p, ids_r, cells_r, n_r, r, grid):
 
 def verified(members: DataFrame, grid: int) -> DataFrame:
     """(a, b, n): counts of links of a where b is null, else an edge of the forest."""
-    residents, r_sizes = _blocks(members.withColumn("cell", F.col("own")), "r_block")
-    probes, p_sizes = _blocks(members.withColumn("cell", F.explode("cells")), "p_block")
+    residents, r_sizes = _blocks(members.withColumn("cell", F.col("own")), "r_block", "cells")
+    probes, p_sizes = _blocks(members.withColumn("cell", F.explode("cells")), "p_block", "own")
     keys = ["label", "cell", "r_block", "p_block"]
     pairs = _each(residents, p_sizes, "p_block").select(*keys, F.col("m").alias("r")).join(
         _each(probes, r_sizes, "r_block").select(*keys, F.col("m").alias("p")), keys)
+    prepare(members.sparkSession)
 
-    def make():
-        def work(rs, ps):
-            a, b, n = [], [], []
-            for r, p in zip(rs, ps, strict=True):
-                ids_p, ids_r = (np.array([m["id"] for m in x], dtype=np.int64) for x in (p, r))
-                out = _compare(
-                    ids_p, np.array([m["own"] for m in p]), np.array([m["n"] for m in p]), _matrix([m["unit"] for m in p]),
-                    ids_r, [m["cells"] for m in r], np.array([m["n"] for m in r]), _matrix([m["unit"] for m in r]), grid)
-                for ids, links, least in ((ids_p, out[0], out[2]), (ids_r, out[1], out[3])):
-                    some = links > 0
-                    a += ids[some].tolist()
-                    b += [None] * int(some.sum())
-                    n += links[some].tolist()
-                    other = ids != least
-                    a += ids[other].tolist()
-                    b += least[other].tolist()
-                    n += [None] * int(other.sum())
-            return a, b, n
-        return work
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                r, p = (_Block.of(batch.column(c)[k].values) for c in (0, 1))
+                links_p, links_r, least_p, least_r = _compare(p, r, grid)
+                a, b, n = [], [], []
+                for ids, links, least in ((p.ids, links_p, least_p), (r.ids, links_r, least_r)):
+                    some, other = links > 0, ids != least
+                    a += [pa.array(ids[some]), pa.array(ids[other])]
+                    b += [pa.nulls(int(some.sum()), pa.int64()), pa.array(least[other])]
+                    n += [pa.array(links[some]), pa.nulls(int(other.sum()), pa.int64())]
+                yield pa.RecordBatch.from_arrays([pa.concat_arrays(x) for x in (a, b, n)], names=["a", "b", "n"])
 
-    return map_columns(pairs, ["r", "p"], [("a", "long"), ("b", "long"), ("n", "long")], make, slice_rows=1)
+    return pairs.select("r", "p").mapInArrow(run, "a long, b long, n long")
 
 
 def near_vectors(embeddings: DataFrame) -> DataFrame:
@@ -315,16 +333,19 @@ def near_vectors(embeddings: DataFrame) -> DataFrame:
     index, slack, _ = fit(vectors, total, width)
     grid = len(index.books[0]) * len(index.books[1])
 
+    raw = embeddings.schema["embedding"].dataType.simpleString()
+
     def make():
-        def work(ids, labels, units, ns):
+        def work(ids, labels, units, own, norms, ns):
             d1, d2 = index.distances(_folded(units, width))
             cells = [index.reach(a, b, slack) for a, b in zip(d1, d2, strict=True)]
-            return ids, labels, units, ns, [c[0] for c in cells], cells
+            return ids, labels, own, norms, ns, [c[0] for c in cells], cells
         return work
 
+    labelled = vectors.withColumn("label", F.concat_ws("/", "dim", F.col("label").cast("string")))
     members = stored(map_columns(
-        vectors.withColumn("label", F.concat_ws("/", "dim", F.col("label").cast("string"))), ["id", "label", "unit", "n"],
-        [("id", "long"), ("label", "string"), ("unit", "array<double>"), ("n", "long"), ("own", "long"), ("cells", "array<long>")],
+        labelled, ["id", "label", "unit", "embedding", "norm", "n"],
+        [("id", "long"), ("label", "string"), ("embedding", raw), ("norm", "double"), ("n", "long"), ("own", "long"), ("cells", "array<long>")],
         make), "vector_cells")
     found = stored(verified(members, grid), "vector_links")
     links = found.filter("b IS NULL").groupBy("a").agg(F.sum("n").alias("links"))
