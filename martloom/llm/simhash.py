@@ -233,8 +233,9 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3,
             .filter(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_hash") == F.col("chosen")))
             .select("doc_id", "text_hash").distinct())
     an_id, a_hash, k_id, k_hash, row = fresh(docs, "own_id", "own_hash", "kept_id", "kept_hash", "row")
-    keyed = docs.withColumns({an_id: F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), a_hash: text_hash()})
-    kept = kept.select(F.coalesce("doc_id", F.lit(-1)).alias(k_id), F.col("text_hash").alias(k_hash))
-    joined = keyed.join(kept, (F.col(an_id) == F.col(k_id)) & (F.col(a_hash) == F.col(k_hash)), "left_semi")
-    one = Window.partitionBy(an_id, a_hash).orderBy(an_id)
-    return joined.withColumn(row, F.row_number().over(one)).filter(F.col(row) == 1).select(*docs.columns)
+    keyed = docs.withColumns({an_id: F.col("doc_id").cast("long"), a_hash: text_hash()})
+    kept = kept.select(F.col("doc_id").alias(k_id), F.col("text_hash").alias(k_hash))
+    joined = keyed.join(kept, F.col(an_id).eqNullSafe(F.col(k_id)) & (F.col(a_hash) == F.col(k_hash)), "left_semi")
+    # Rows of one id and text: the least by all columns, wherever they lie.
+    one = Window.partitionBy(an_id, a_hash).orderBy(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])))
+    return joined.withColumn(row, F.row_number().over(one)).filter(F.col(row) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])

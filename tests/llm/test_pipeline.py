@@ -1,12 +1,16 @@
 from __future__ import annotations
 
+import itertools
+import os
 import random
+import re
+from collections import Counter
 
 import corpus_pipeline
 import public_tokenizers
 import pytest
 import tiktoken
-from helpers import DOCS, awkward, empty, prose
+from helpers import DOCS, awkward, clashing, empty, prose
 
 from martloom.llm import bpe
 
@@ -54,7 +58,45 @@ def test_run(spark):
     assert sum(public.encode_ordinary(docs[r.doc_id].text) == list(r.ids) for r in rows) > 0.8 * len(rows)
 
 
-@pytest.mark.parametrize("name", ["op1_", "op2_", "op3_", "op4_", "op5_", "op6_", "op7_", "op8_", "op9_", "op10_", "pipeline"])
+@pytest.mark.parametrize("name", ["op1_", "op2_", "op3_", "op4_", "op5_", "op6_", "op7_", "op8_", "op9_", "op10_", "op11_", "op12_", "op13_", "pipeline"])
 def test_registered(name):
     import __spark_entry__
     assert sum(q.startswith(name) for q in __spark_entry__.queries()) == 1
+
+
+def test_stages_keep_clashing_columns(spark, tmp_path):
+    spark.createDataFrame([(1, 1, 0)], LABELS).write.parquet(str(tmp_path / "labels.parquet"))
+    docs = clashing(awkward(spark), "own_id", "own_hash", "row", "runs", "copies", "rank", "size", "label", "score", "key")
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, str(tmp_path))
+        out.write.parquet(f"{tmp_path}/after_{name}")
+        if k < len(corpus_pipeline.STAGES) - 1:
+            assert out.columns == docs.columns
+        docs = spark.read.parquet(f"{tmp_path}/after_{name}")
+    assert docs.count() > 0
+
+
+def test_near_dedup_recall_against_brute_force(spark):
+    """Of all pairs of different texts with a similarity of 0.8 or more on five words, at
+    least 0.9 are not both kept."""
+    path = "/root/testdata/sf0.1/documents.parquet"
+    if not os.path.exists(path):
+        pytest.skip("test data not there")
+    docs = spark.read.parquet(path)
+    sets, holders = {}, {}
+    for r in docs.select("doc_id", "text").collect():
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), r.text or ""))
+        own = frozenset(" ".join(words[i:i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+        sets[r.doc_id] = own
+        for s in own:
+            holders.setdefault(s, []).append(r.doc_id)
+    common = Counter()
+    for ids in holders.values():
+        if len(ids) <= 50:  # a pair of the asked similarity shares rarer shingles as well
+            common.update(itertools.combinations(ids, 2))
+    pairs = [(a, b) for (a, b) in common if sets[a] != sets[b]
+             and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    kept = {r.doc_id for r in dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, SF).collect()}
+    missed = [p for p in pairs if p[0] in kept and p[1] in kept]
+    print("near pairs", len(pairs), "missed", len(missed))
+    assert len(pairs) > 30 and len(missed) <= 0.1 * len(pairs)

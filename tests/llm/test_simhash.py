@@ -120,3 +120,13 @@ def test_edited_copies_are_found_by_words_and_verified(spark):
     kept = {r.doc_id for r in simhash.drop_near_duplicates(docs, similar=(5, 0.8)).collect()}
     assert {100 * g for g in range(12)} | {9000} <= kept <= alone
     assert len(kept) <= 13 + 9 < len(alone)
+
+
+def test_no_id_is_not_minus_one(spark):
+    rows = [(None, "one text of some words", "en", "a", 1), (-1, "one text of some words", "en", "b", 2), (-1, "another text altogether here", "en", "z", 3),
+            (-1, "another text altogether here", "en", "c", 3)]
+    for parts in (1, 4):
+        out = simhash.drop_near_duplicates(spark.createDataFrame(rows, DOCS).repartition(parts)).collect()
+        assert sorted((r.doc_id, r.source) for r in out) == [(-1, "b"), (-1, "c")]
+    alone = simhash.drop_near_duplicates(spark.createDataFrame(rows[:1], DOCS)).collect()
+    assert [r.doc_id for r in alone] == [None]

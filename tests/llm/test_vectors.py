@@ -164,7 +164,7 @@ def test_codewords_grow_with_the_rows():
 
 
 def test_recall_on_the_test_data(spark):
-    path = "/root/testdata/sf0.1/embeddings.parquet"
+    path = "/root/testdata/check_s/embeddings.parquet"  # those of the smaller scales have no links
     if not os.path.exists(path):
         pytest.skip("test data not there")
     df = spark.read.parquet(path)
@@ -175,4 +175,4 @@ def test_recall_on_the_test_data(spark):
     hit = (x @ x.T >= vectors.COSINE) & (label[:, None] == label[None, :])
     np.fill_diagonal(hit, False)
     got = vectors.near_vectors(df).agg(F.sum("n_links")).first()[0]
-    assert 0.995 * hit.sum() <= got <= hit.sum()
+    assert hit.sum() > 50_000 and 0.995 * hit.sum() <= got <= hit.sum()
