@@ -2,7 +2,13 @@
 are mixed to their weights, and the result is encoded.
 
 Each stage takes (spark, docs, sf_dir) and reads all rows that the one before it kept.
-All but the last return the columns of ``docs``. An empty table passes through each.
+All but the last return the columns of ``docs``, extra ones included.
+
+Defined results: a null or empty text is not toxic, has no line to lose, is a near copy of
+every text without words, has size 0, so that the mix takes it or not without effect on its
+targets, and is encoded as no ids. Rows without doc_id or source are rows like any other. Of
+rows equal in id and text, near-dedup keeps one; the stages before it treat them alike. An
+empty table passes through each stage.
 """
 
 from __future__ import annotations
