@@ -146,13 +146,22 @@ def _jaccard_links(docs: DataFrame, candidates: DataFrame, words: int, similarit
 
 
 def star_pairs(keyed: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of ``text_hash``: each text of a key (k, key) with the key's head,
-    one pair a text and key. Heads differ by key, so a large group gets many of them."""
+    """Distinct pairs (text_hash, head): each text of a key (k, key) with the key's head, one
+    pair a text and key. Heads differ by key, so a large group gets many of them."""
     turn = F.struct(F.xxhash64("text_hash", "k", "key").alias("turn"), "text_hash")
     heads = keyed.groupBy("k", "key").agg(F.min(turn).alias("top"), F.count("*").alias("n")).filter("n > 1").select(
         "k", "key", F.col("top.text_hash").alias("head"))
-    return (keyed.join(heads, ["k", "key"]).filter("text_hash != head")
-            .select(F.least("text_hash", "head").alias("a"), F.greatest("text_hash", "head").alias("b")).distinct())
+    return keyed.join(heads, ["k", "key"]).filter("text_hash != head").select("text_hash", "head").distinct()
+
+
+def first_heads(stars: DataFrame) -> DataFrame:
+    """One pair of each text: with its head that most texts have."""
+    common = stars.groupBy("head").agg(F.count("*").alias("n"))
+    return stars.join(common, "head").groupBy("text_hash").agg(F.max(F.struct("n", "head"))["head"].alias("head"))
+
+
+def _ordered_pairs(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("text_hash", "head").alias("a"), F.greatest("text_hash", "head").alias("b")).distinct()
 
 
 def open_pairs(keyed: DataFrame, radius: int) -> DataFrame:
@@ -177,33 +186,47 @@ def similar_classes(docs: DataFrame, prints: DataFrame, links: DataFrame, radius
     shingles of ``words`` words have a Jaccard similarity of ``similarity`` or more, found
     within ``radius`` bits of any of the fingerprints of their words.
 
-    First the texts of a key are compared with the key's head, which links a large group of
-    near copies at one comparison a text and key. Then all pairs that are still in different
-    components are compared, so each pair of the keys is either compared or connected. What
-    grows with a square is only a group whose word fingerprints agree and whose texts do not.
+    First each text is compared with one head of its keys, the commonest, which links a large
+    group of near copies at one comparison a text; then with the heads of its other keys that
+    are in another component; then all pairs of a key that are still in different components.
+    So each pair of the keys is either compared or connected. What grows with a square is
+    only a group whose word fingerprints agree and whose texts do not.
     """
     texts = stored(prints.groupBy("text_hash").agg(F.min("fp").alias("fp"), F.min("word_fps").alias("word_fps")), "texts")
     keyed = stored(texts.select("text_hash", "fp", F.posexplode("word_fps").alias("k", "word_fp")).withColumn(
         "key", F.explode(chain_keys(F.col("word_fp")))), "text_keys")
 
-    def by_prints(pairs):
+    def linked(pairs):
+        """Verified pairs of texts as links of their fingerprints."""
+        pairs = _jaccard_links(docs, pairs, words, similarity)
         for side in "ab":
             pairs = pairs.join(texts.select(F.col("text_hash").alias(side), F.col("fp").alias(f"{side}_fp")), side)
         return pairs.select(F.col("a_fp").alias("a"), F.col("b_fp").alias("b")).filter("a != b").distinct()
 
-    stars = _jaccard_links(docs, stored(star_pairs(keyed), "star_pairs"), words, similarity)
-    classes = stored(components(links.union(by_prints(stars))), "star_classes").withColumnRenamed("node", "fp")
-    whole = keyed.join(classes, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    pairs = stored(open_pairs(whole, radius), "open_pairs")
-    more = by_prints(_jaccard_links(docs, pairs, words, similarity))
+    def placed(classes):
+        """Texts with the component of their fingerprint."""
+        return texts.join(classes.withColumnRenamed("node", "fp"), "fp", "left").select(
+            "text_hash", F.coalesce("component", "fp").alias("component"))
+
+    stars = stored(star_pairs(keyed), "star_pairs")
+    classes = stored(components(links.union(linked(stored(_ordered_pairs(first_heads(stars)), "first_pairs")))), "star_classes")
+    where = stored(placed(classes), "star_places")
+    apart = (stars.join(where.withColumnRenamed("component", "own"), "text_hash")
+             .join(where.select(F.col("text_hash").alias("head"), F.col("component").alias("other")), "head").filter("own != other"))
+    classes = stored(merged_classes(classes, linked(stored(_ordered_pairs(apart), "apart_pairs"))), "head_classes")
+    whole = keyed.join(classes.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    return merged_classes(classes, linked(stored(open_pairs(whole, radius), "open_pairs")))
+
+
+def merged_classes(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, component) after more links (a, b): components of components, so that what was
+    linked before is not walked again."""
     for side in "ab":
-        more = more.join(classes.select(F.col("fp").alias(side), F.col("component").alias(f"{side}_class")), side, "left")
-    # Components of components: what the stars linked is not walked again.
-    more = stored(components(more.select(F.coalesce("a_class", "a").alias("a"), F.coalesce("b_class", "b").alias("b"))), "open_classes")
+        links = links.join(classes.select(F.col("node").alias(side), F.col("component").alias(f"{side}_class")), side, "left")
+    more = stored(components(links.select(F.coalesce("a_class", "a").alias("a"), F.coalesce("b_class", "b").alias("b"))), "merged")
     met = more.select(F.col("node").alias("old"), F.col("component").alias("new"))
-    moved = classes.join(met, F.col("component") == F.col("old"), "left").select(
-        F.col("fp").alias("node"), F.coalesce("new", "component").alias("component"))
-    alone = more.join(classes.select(F.col("fp").alias("node")), "node", "left_anti").select("node", "component")
+    moved = classes.join(met, F.col("component") == F.col("old"), "left").select("node", F.coalesce("new", "component").alias("component"))
+    alone = more.join(classes.select("node"), "node", "left_anti").select("node", "component")
     return moved.union(alone)
 
 
