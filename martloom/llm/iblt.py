@@ -2,12 +2,17 @@
 
 A text's paragraphs are its lines, long ones broken near the ends of sentences. Each
 different paragraph's 64-bit digest goes into one cell of each of ``TABLES`` tables: the
-cell counts it and XORs its digest and a checksum in. Two sketches are subtracted cell by
-cell, so equal paragraphs vanish; a cell that holds a single digest (its checksum agrees)
-gives it away, the digest is taken out of its other cells, and so on until nothing is
-left: the paragraphs in which the versions differ. Likeness is the number of common
-paragraphs over that of all. If cells are left over, the pair is tried again with tables
-sized for all paragraphs of both; the few that fail again are compared digest by digest.
+cell counts it and XORs its digest and a checksum in. A table has about half as many cells
+as the text has paragraphs, in a power of two, so that the larger of two sketches can be
+folded to the size of the smaller one. The fingerprint is this sketch, printed.
+
+Two sketches are subtracted cell by cell, so equal paragraphs vanish; a cell that holds a
+single digest (its checksum and its place agree) gives it away, the digest is taken out of
+its other cells, and so on until nothing is left: the digests of the paragraphs in which
+the versions differ, and on which side. Likeness is the number of common paragraphs over
+that of all. If cells are left over, as is the rule for texts that have little in common,
+the pair is tried again with tables sized for all paragraphs of both; the few that fail
+again are compared digest by digest.
 
 Only SQL functions are used. Documents are dealt to buckets of neighbouring ids; the first
 document of each bucket is copied to the bucket before it, so that every document meets
@@ -29,7 +34,9 @@ from pyspark.sql import functions as F
 
 from martloom.session import stored
 
-TABLES, CELLS, ROUNDS, MORE_ROUNDS = 3, 4, 5, 4
+TABLES, ROUNDS, MORE_ROUNDS = 3, 6, 4
+#: Least and most cells of a table.
+LEAST_CELLS, MOST_CELLS = 8, 1 << 20
 #: Documents in a bucket of ids, and most buckets (their borders are held by the driver).
 BUCKET_ROWS, MOST_BUCKETS = 2000, 65_536
 PARAGRAPH = r"[^\n]{1,120}[^\n.!?]{0,120}[.!?]*"
@@ -47,16 +54,9 @@ def cell_of(digest: Column, table: Column | int, cells: Column) -> Column:
     return turned.bitwiseAND((cells - 1).cast("long")).cast("int")
 
 
-def sketch(values: Column) -> Column:
-    """The sketch of ``CELLS`` cells a table as text: count, digests, checksums in hex."""
-    def cell(number: Column) -> Column:
-        own = F.filter(values, lambda d: cell_of(d, F.floor(number / CELLS).cast("int"), F.lit(CELLS)) == number % CELLS)
-        xor = F.aggregate(own, F.lit(0).cast("long"), lambda acc, d: acc.bitwiseXOR(d))
-        check = F.aggregate(own, F.lit(0).cast("long"), lambda acc, d: acc.bitwiseXOR(F.xxhash64(d)))
-        return F.concat(F.lpad(F.hex(F.size(own)), 4, "0"), F.lpad(F.hex(xor), 16, "0"),
-                        F.lpad(F.hex(check.bitwiseAND(F.lit(0xFFFF))), 4, "0"))
-
-    return F.lower(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(TABLES * CELLS - 1)), cell), ""))
+def sketch_cells(paragraphs: Column) -> Column:
+    """Cells of each table of the sketch of a text with so many different paragraphs."""
+    return F.least(F.lit(MOST_CELLS), F.greatest(F.lit(LEAST_CELLS), F.pow(F.lit(2), F.ceil(F.log2(paragraphs / 2))))).cast("int")
 
 
 def borders(docs: DataFrame) -> tuple[list[int], int | None, bool]:
@@ -116,42 +116,80 @@ def versions(docs: DataFrame) -> DataFrame:
                        digests(F.col("text")).alias("own"), digests(F.col("edited")).alias("edited"), digests(F.col("next")).alias("next"))
 
 
-def _settle(cells: DataFrame) -> DataFrame:
-    """Sums up what falls into a cell; empty cells go. Table -1 counts what was found."""
-    return (cells.groupBy("row", "kind", "cells", "table", "cell")
+def _entry(table, cell, n, digest, checksum) -> Column:
+    return F.struct(table.cast("int").alias("table"), cell.cast("long").alias("cell"), n.cast("long").alias("n"),
+                    digest.cast("long").alias("digest"), checksum.cast("long").alias("checksum"))
+
+
+def _entries(digest: Column, n: Column, cells: Column) -> Column:
+    """What a digest adds to each table."""
+    return F.array(*[_entry(F.lit(t), cell_of(digest, t, cells), n, digest, F.xxhash64(digest)) for t in range(TABLES)])
+
+
+def _settle(cells: DataFrame, *keys: str) -> DataFrame:
+    """Sums up what falls into a cell; empty cells go."""
+    return (cells.groupBy(*keys, "cells", "table", "cell")
             .agg(F.sum("n").alias("n"), F.bit_xor("digest").alias("digest"), F.bit_xor("checksum").alias("checksum"))
-            .filter("table < 0 OR n != 0 OR digest != 0 OR checksum != 0"))
+            .filter("n != 0 OR digest != 0 OR checksum != 0"))
+
+
+def sketches(lists: DataFrame, *keys: str) -> DataFrame:
+    """The cells in use (``keys``, cells, table, cell, n, digest, checksum) of the sketch of
+    each list ``digests``, dealt by some of the keys."""
+    each = lists.select(*keys, sketch_cells(F.size("digests")).alias("cells"), F.explode("digests").alias("d"))
+    return _settle(each.select(*keys, "cells", F.explode(_entries(F.col("d"), F.lit(1), F.col("cells"))).alias("e"))
+                   .select(*keys, "cells", "e.*"), *keys)
+
+
+def printed() -> Column:
+    """Aggregate of a sketch's cells as text: place, count, digests, checksums in hex."""
+    place = F.col("table") * MOST_CELLS + F.col("cell")
+    cell = F.struct(place.alias("at"), F.concat(F.lpad(F.hex(place), 6, "0"), F.lpad(F.hex("n"), 6, "0"),
+                                                F.lpad(F.hex("digest"), 16, "0"), F.lpad(F.hex("checksum"), 16, "0")).alias("hex"))
+    return F.lower(F.array_join(F.transform(F.array_sort(F.collect_list(cell)), lambda c: c["hex"]), ""))
+
+
+def subtracted(cells: DataFrame) -> DataFrame:
+    """Differences of sketches: cells of (row, kind) with the ``sign`` of their side, folded
+    to ``fold`` cells a table."""
+    folded = F.col("cell").bitwiseAND((F.col("fold") - 1).cast("long"))
+    return _settle(cells.select("row", "kind", F.col("fold").alias("cells"), "table", folded.alias("cell"),
+                                (F.col("n") * F.col("sign")).alias("n"), "digest", "checksum"), "row", "kind")
 
 
-def peeled(pairs: DataFrame, rounds: int) -> DataFrame:
-    """(row, kind, found, left): digests that were recovered, and cells left over.
+def larger(pairs: DataFrame) -> DataFrame:
+    """Differences of new sketches of the lists ``left`` and ``right``, with tables for all."""
+    both = F.size("left") + F.size("right")
+    cells = F.least(F.lit(MOST_CELLS), F.pow(F.lit(2), F.ceil(F.log2(4.0 * both)))).cast("int")
+    sides = F.concat(F.transform("left", lambda d: F.struct(d.alias("d"), F.lit(1).alias("n"))),
+                     F.transform("right", lambda d: F.struct(d.alias("d"), F.lit(-1).alias("n"))))
+    each = pairs.select("row", "kind", cells.alias("cells"), F.explode(sides).alias("v")).select("row", "kind", "cells", "v.*")
+    return _settle(each.select("row", "kind", "cells", F.explode(_entries(F.col("d"), F.col("n"), F.col("cells"))).alias("e"))
+                   .select("row", "kind", "cells", "e.*"), "row", "kind")
+
+
+def peeled(cells: DataFrame, rounds: int) -> DataFrame:
+    """(row, kind, gone, new, left): the digests that only the left and only the right side
+    has, as far as recovered, and the number of cells left over.
 
-    ``pairs`` has row, kind, cells and the digest lists left and right, and is dealt by
-    row, so all sums below stay in the task. A round takes the lone digests of one table:
-    each is in one cell of it, so none is taken twice.
+    ``cells`` is dealt by row, so all sums below stay in the task. A round takes the lone
+    digests of one table: each is in one cell of it, so none is taken twice. What was
+    recovered is kept as cells of table -1.
     """
-    signed = pairs.select("row", "kind", "cells", F.explode(F.concat(
-        F.transform("left", lambda d: F.struct(d.alias("digest"), F.lit(1).cast("long").alias("n"))),
-        F.transform("right", lambda d: F.struct(d.alias("digest"), F.lit(-1).cast("long").alias("n"))))).alias("v"))
-    cells = _settle(signed.select("row", "kind", "cells", F.explode(F.array(*map(F.lit, range(TABLES)))).alias("table"), "v.*").select(
-        "row", "kind", "cells", "table", cell_of(F.col("digest"), F.col("table"), F.col("cells")).alias("cell"),
-        "n", "digest", F.xxhash64("digest").alias("checksum")))
     for round_ in range(rounds):
         table = round_ % TABLES
-        lone = (F.col("table") == table) & (F.abs("n") == 1) & (F.xxhash64("digest") == F.col("checksum"))
-
-        def entry(table, cell, n, digest, checksum):
-            return F.struct(table.cast("int").alias("table"), cell.cast("int").alias("cell"), n.cast("long").alias("n"),
-                            digest.cast("long").alias("digest"), checksum.cast("long").alias("checksum"))
-
-        out = [entry(F.lit(t), cell_of(F.col("digest"), t, F.col("cells")), -F.col("n"), F.col("digest"), F.col("checksum"))
-               for t in range(TABLES) if t != table]
-        out.append(entry(F.lit(-1), F.lit(0), F.lit(1), F.lit(0), F.lit(0)))
-        same = F.array(entry(F.col("table"), F.col("cell"), F.col("n"), F.col("digest"), F.col("checksum")))
+        digest, n, size = F.col("digest"), F.col("n"), F.col("cells")
+        lone = ((F.col("table") == table) & (F.abs("n") == 1) & (F.xxhash64("digest") == F.col("checksum"))
+                & (cell_of(digest, table, size) == F.col("cell")))
+        out = [_entry(F.lit(t), cell_of(digest, t, size), -n, digest, F.col("checksum")) for t in range(TABLES) if t != table]
+        out.append(_entry(F.lit(-1), digest, n, digest, F.col("checksum")))
+        same = F.array(_entry(F.col("table"), F.col("cell"), n, digest, F.col("checksum")))
         cells = _settle(cells.select("row", "kind", "cells", F.explode(F.when(lone, F.array(*out)).otherwise(same)).alias("e"))
-                        .select("row", "kind", "cells", "e.*"))
+                        .select("row", "kind", "cells", "e.*"), "row", "kind")
+    found = F.col("table") < 0
     return cells.groupBy("row", "kind").agg(
-        F.coalesce(F.sum(F.when(F.col("table") < 0, F.col("n"))), F.lit(0)).alias("found"),
+        F.collect_list(F.when(found & (F.col("n") > 0), F.col("digest"))).alias("gone"),
+        F.collect_list(F.when(found & (F.col("n") < 0), F.col("digest"))).alias("new"),
         F.sum((F.col("table") >= 0).cast("int")).alias("left"))
 
 
@@ -159,33 +197,62 @@ def _likeness(n_left: Column, n_right: Column, differing: Column) -> Column:
     return F.when(n_left + n_right == 0, 1.0).otherwise((n_left + n_right - differing) / (n_left + n_right + differing))
 
 
-def _pairs(rows: DataFrame) -> DataFrame:
-    return rows.repartition("row").select("row", F.explode(F.array(
+def _version(number: int, name: str, *folds: tuple[int, int, str]) -> Column:
+    """A version of a row: its digests, and the pairs (kind, sign) that it is part of with the
+    cells a table that the other version allows."""
+    own = sketch_cells(F.size(name))
+    return F.struct(F.lit(number).alias("version"), F.col(name).alias("digests"), F.array(*[
+        F.struct(F.lit(kind).alias("kind"), F.lit(sign).alias("sign"), F.least(own, sketch_cells(F.size(other))).alias("fold"))
+        for kind, sign, other in folds]).alias("folds"))
+
+
+def first_try(rows: DataFrame) -> DataFrame:
+    """``peeled`` for the fingerprints of each row's text and edited text (kind 0), and of its
+    text and the next one (kind 1). ``rows`` is dealt by row."""
+    lists = rows.select("row", F.explode(F.array(
+        _version(0, "own", (0, 1, "edited"), (1, 1, "next")), _version(1, "edited", (0, -1, "own")),
+        _version(2, "next", (1, -1, "own")))).alias("v")).select("row", "v.*")
+    cells = sketches(lists, "row", "version", "folds")
+    return peeled(subtracted(cells.select("row", "table", "cell", "n", "digest", "checksum", F.explode("folds").alias("f"))
+                             .select("*", "f.*")), ROUNDS)
+
+
+def solved_pairs(rows: DataFrame) -> DataFrame:
+    """(row, kind, gone, new, left, tries) of pairs that differ, after the larger second try."""
+    dealt = rows.select("row", "own", "edited", "next").repartition("row")
+    first = stored(first_try(dealt), "peeled")
+    pairs = dealt.select("row", F.explode(F.array(
         F.struct(F.lit(0).alias("kind"), F.col("own").alias("left"), F.col("edited").alias("right")),
         F.struct(F.lit(1).alias("kind"), F.col("own").alias("left"), F.col("next").alias("right")))).alias("p")).select("row", "p.*")
+    failed = pairs.join(first.filter("left > 0").select("row", "kind"), ["row", "kind"], "left_semi")
+    second = peeled(larger(failed), MORE_ROUNDS)
+    return first.filter("left = 0").withColumn("tries", F.lit(1)).unionByName(second.withColumn("tries", F.lit(2)))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
-    near_next for every row."""
+    near_next, and the numbers of recovered digests that only the text (n_gone) and only the
+    edited text (n_new) has, for every row."""
     rows = stored(versions(docs), "versions").withColumn("row", F.monotonically_increasing_id())
-    pairs = _pairs(rows)
-    first = stored(peeled(pairs.withColumn("cells", F.lit(CELLS)), ROUNDS), "peeled")
-    failed = first.filter("left > 0").select("row", "kind")
-    both = F.size("left") + F.size("right")
-    larger = pairs.join(failed, ["row", "kind"], "left_semi").withColumn(
-        "cells", F.pow(F.lit(2), F.ceil(F.log2(4.0 * both))).cast("int"))
-    second = peeled(larger, MORE_ROUNDS)
-    solved = stored(first.filter("left = 0").unionByName(second).groupBy("row").agg(*[
-        F.max(F.when((F.col("kind") == k) & (F.col("left") == 0), F.col("found"))).alias(c)
-        for k, c in ((0, "d_edited"), (1, "d_next"))]), "solved").withColumnRenamed("row", "solved_row")
+    only = F.struct(F.size("gone").alias("gone"), F.size("new").alias("new"))
+    solved = stored(solved_pairs(rows).groupBy("row").agg(*[
+        F.max(F.when((F.col("kind") == k) & (F.col("left") == 0), only)).alias(c) for k, c in ((0, "d_edited"), (1, "d_next"))]), "solved")
+    dealt = rows.repartition("row")
+    lists = dealt.select("row", F.explode(F.array(
+        F.struct(F.lit(0).alias("version"), F.col("own").alias("digests")),
+        F.struct(F.lit(1).alias("version"), F.col("edited").alias("digests")))).alias("v")).select("row", "v.*")
+    prints = (sketches(lists, "row", "version").groupBy("row", "version").agg(printed().alias("print"))
+              .groupBy("row").agg(*[F.coalesce(F.max(F.when(F.col("version") == v, F.col("print"))), F.lit("")).alias(c)
+                                    for v, c in ((0, "fingerprint"), (1, "edited_fingerprint"))]))
     # No row in ``solved``: nothing differs, or nothing was there to compare.
-    joined = rows.join(solved, F.col("row") == F.col("solved_row"), "left")
+    joined = dealt.join(prints.hint("merge"), "row", "left").join(solved.hint("merge"), "row", "left")
+
+    def only_in(one: str, other: str, found: str, side: str) -> Column:
+        return F.coalesce(F.col(f"{found}.{side}"), F.size(F.array_except(one, other))).cast("long")
 
     def likeness(other: str, found: str) -> Column:
-        exact = F.size(F.array_except("own", other)) + F.size(F.array_except(other, "own"))
-        return _likeness(F.size("own"), F.size(other), F.coalesce(F.col(found), exact))
+        return _likeness(F.size("own"), F.size(other), only_in("own", other, found, "gone") + only_in(other, "own", found, "new"))
 
-    return joined.select("doc_id", "n_chars", "edited_sha256", sketch(F.col("own")).alias("fingerprint"),
-                         sketch(F.col("edited")).alias("edited_fingerprint"),
-                         likeness("edited", "d_edited").alias("near_edited"), likeness("next", "d_next").alias("near_next"))
+    return joined.select("doc_id", "n_chars", "edited_sha256", *[F.coalesce(c, F.lit("")).alias(c) for c in ("fingerprint", "edited_fingerprint")],
+                         likeness("edited", "d_edited").alias("near_edited"), likeness("next", "d_next").alias("near_next"),
+                         only_in("own", "edited", "d_edited", "gone").alias("n_gone"), only_in("edited", "own", "d_edited", "new").alias("n_new"))

@@ -52,21 +52,35 @@ def test_against_brute_force(spark, monkeypatch, bucket_rows):
     assert sorted(got(iblt.fingerprints(docs))) == sorted(plain(rows))
 
 
-def test_first_try_fails_where_much_differs_and_the_second_recovers(spark):
+def test_the_published_sketches_give_the_differing_digests(spark):
+    """First try on the fingerprints; what differs too much needs the larger second one."""
     left = [prose(i, 3) for i in range(60)]
-    rows = [(0, left, left[:57]), (1, left, left[:30] + ["x"] * 1), (2, left, left)]
-    df = spark.createDataFrame(rows, "row long, left array<string>, right array<string>").select(
-        "row", *[F.transform(c, lambda x: F.xxhash64(x)).alias(c) for c in ("left", "right")]).withColumn("kind", F.lit(0))
-    first = {r.row: r for r in iblt.peeled(df.withColumn("cells", F.lit(4)), iblt.ROUNDS).collect()}
-    assert (first[0].found, first[0].left) == (3, 0) and first[1].left > 0 and 2 not in first
-    second = {r.row: r for r in iblt.peeled(df.withColumn("cells", F.lit(512)), iblt.MORE_ROUNDS).collect()}
-    assert (second[1].found, second[1].left) == (31, 0)
+    rows = [(0, left, left[:57], left[:30] + ["x"]), (1, left, left, ["y"] * 0), (2, left[:3], left[:4], left)]
+    df = spark.createDataFrame(rows, "row long, own array<string>, edited array<string>, next array<string>").select(
+        "row", *[F.transform(c, lambda x: F.xxhash64(x)).alias(c) for c in ("own", "edited", "next")])
+    digest = {r.p: r.d for r in spark.createDataFrame([(p,) for p in [*left, "x"]], "p string").select("p", F.xxhash64("p").alias("d")).collect()}
+    first = {(r.row, r.kind): r for r in iblt.first_try(df.repartition("row")).collect()}
+    assert first[0, 0].left == 0 and set(first[0, 0].gone) == {digest[p] for p in left[57:]} and first[0, 0].new == []
+    assert (1, 0) not in first and set(first[2, 0].new) == {digest[left[3]]}
+    assert first[1, 1].left > 0 and first[2, 1].left > 0
+    found = {(r.row, r.kind): r for r in iblt.solved_pairs(df).collect()}
+    assert all(r.left == 0 for r in found.values()) and found[1, 1].tries == 2 and found[0, 0].tries == 1
+    assert set(found[1, 1].gone) == {digest[p] for p in left}
+    assert set(found[0, 1].gone) == {digest[p] for p in left[30:]} and set(found[0, 1].new) == {digest["x"]}
+    assert set(found[2, 1].new) == {digest[p] for p in left[3:]}
+
+
+def test_most_edited_texts_need_one_try(spark):
+    rows = iblt.versions(corpus(spark, 400)).withColumn("row", F.monotonically_increasing_id())
+    tries = [r.tries for r in iblt.solved_pairs(rows).filter("kind = 0").collect()]
+    assert len(tries) > 300 and tries.count(1) > 0.9 * len(tries)
 
 
 def test_equal_texts_have_equal_fingerprints(spark):
     out = iblt.fingerprints(awkward(spark)).collect()
     prints = {r.fingerprint for r in out if r.doc_id in (5, 6)}
-    assert len(prints) == 1 and all(len(r.fingerprint) == 24 * 12 for r in out)
+    assert len(prints) == 1 and all(len(r.fingerprint) % 44 == 0 for r in out)
+    assert all((r.fingerprint == "") == (r.doc_id in (2, 3)) for r in out)
 
 
 def test_awkward_rows(spark):
