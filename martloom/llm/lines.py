@@ -2,12 +2,15 @@
 
 Windows are measured in words: from every line on, and from every line back, the lines up
 to the first at which ``min_words`` words are together. The line of least hash in a window
-is its fingerprint, qualified by all that the window holds. A run of ``min_words`` words
-or more that is repeated holds the same windows at both places, and each of its lines lies
-in one of them, so none is missed. Each fingerprint's first place is its anchor; every
-other place is joined to the anchor's document, matched lines are extended both ways as
-far as they agree, and matched runs of ``min_words`` words or more are deleted. A deleted
-line equals an earlier one, so the earliest of each stays.
+is selected, and its hash is the fingerprint of that place, so a text has fewer
+fingerprints than lines. Places are joined by fingerprint; one that no other place has
+goes no further. A run of ``min_words`` words or more that is repeated holds the same
+windows at both places, so both have the fingerprint, and each of the run's lines lies in
+one of its windows. Where a fingerprint is met at several places, the first place for each
+content of its windows is an anchor, so that a common line does not hide one run behind
+another. Every other place is joined to the anchor's document, matched lines are extended
+both ways as far as they agree, and matched runs of ``min_words`` words or more are
+deleted. A deleted line equals an earlier one, so the earliest of each stays.
 
 Defined results: lines end at a line feed and are compared without white space at their
 ends; a null text stays null, an empty one empty; a text that loses all its lines is
@@ -57,20 +60,23 @@ def _windows(hashes: list[int], words: list[int], min_words: int) -> Iterator[tu
             head += 1
 
 
-def fingerprints(hashes: list[int], words: list[int], min_words: int = MIN_WORDS) -> tuple[list[int], list[int]]:
-    """Fingerprints and their lines, for windows read forwards and backwards."""
+def fingerprints(hashes: list[int], words: list[int], min_words: int = MIN_WORDS) -> dict[int, list[int]]:
+    """The places selected by windows read forwards and backwards, with what each of their
+    windows holds as one number. The fingerprint of a place is its line's hash."""
     n = len(hashes)
     windows = set(_windows(hashes, words, min_words))
     windows |= {(n - e, n - s, n - 1 - p) for s, e, p in _windows(hashes[::-1], words[::-1], min_words)}
     if not windows:
-        return [], []
+        return {}
     # Hashes of any run of lines from those of the heads of the text.
     heads, powers = [0], [1]
     for h in hashes:
         heads.append((heads[-1] * BASE + h) % PRIME)
         powers.append(powers[-1] * BASE % PRIME)
-    found = {((heads[e] - heads[s] * powers[e - s]) % PRIME ^ hashes[p] % PRIME, p) for s, e, p in windows}
-    return [k for k, _ in found], [p for _, p in found]
+    found: dict[int, set[int]] = {}
+    for s, e, p in windows:
+        found.setdefault(p, set()).add((heads[e] - heads[s] * powers[e - s]) % PRIME)
+    return {p: sorted(held) for p, held in sorted(found.items())}
 
 
 def matched_runs(own: list[int], words: list[int], other: list[int], min_words: int = MIN_WORDS) -> list[tuple[int, int]]:
@@ -88,14 +94,15 @@ def _lines(docs: DataFrame, min_words: int) -> DataFrame:
         def work(ids, keys, texts):
             out = [line_hashes(t) for t in texts]
             prints = [fingerprints(h, w, min_words) for h, w in out]
-            return (ids, keys, [h for h, _ in out], [w for _, w in out], [f for f, _ in prints], [p for _, p in prints])
+            return (ids, keys, [h for h, _ in out], [w for _, w in out], [list(p) for p in prints],
+                    [[h[place] for place in p] for (h, _), p in zip(out, prints, strict=True)], [list(p.values()) for p in prints])
 
         return work
 
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("key"), "text")
     return map_columns(keyed, ["doc_id", "key", "text"],
                        [("doc_id", "long"), ("key", "long"), ("hashes", "array<long>"), ("words", "array<int>"),
-                        ("prints", "array<long>"), ("places", "array<int>")], make)
+                        ("places", "array<int>"), ("prints", "array<long>"), ("windows", "array<array<long>>")], make)
 
 
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -103,13 +110,17 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     exclusive, for documents that have any. They may overlap."""
     lines = stored(_lines(docs, min_words), "lines")
     same = ["doc_id", "key"]
-    places = lines.select(*same, F.size("hashes").alias("n"), F.explode(F.arrays_zip("prints", "places")).alias("p")).select(
-        *same, "n", F.col("p.places").alias("line"), F.col("p.prints").alias("hash"))
+    places = stored(lines.select(*same, F.size("hashes").alias("n"), F.explode(F.arrays_zip("places", "prints", "windows")).alias("p")).select(
+        *same, "n", F.col("p.places").alias("line"), F.col("p.prints").alias("print"), F.col("p.windows").alias("windows")), "line_prints")
     place = F.struct(*same, "line")
-    anchors = stored(places.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-                     .filter("first < last").select("hash", "first"), "line_anchors")
+    repeated = (places.groupBy("print").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+                .filter("first < last").select("print"))
+    # Fingerprints grow with the corpus, so they are never broadcast: one plan at every size.
+    met = stored(places.join(repeated.hint("merge"), "print", "left_semi")
+                 .select(*same, "n", "line", "print", F.explode("windows").alias("window")), "line_windows")
+    anchors = met.groupBy("print", "window").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first < last").drop("last")
     # A run that is met by many of its lines is one row: same documents, same shift.
-    met = (places.join(anchors, "hash").filter(place > F.col("first"))
+    met = (met.join(anchors, ["print", "window"]).filter(place > F.col("first"))
            .select(*same, "n", F.col("first.doc_id").alias("a_id"), F.col("first.key").alias("a_key"),
                    (F.col("first.line") - F.col("line")).alias("shift")).distinct())
     theirs = lines.select(F.col("doc_id").alias("b_id"), F.col("key").alias("b_key"), F.col("hashes").alias("theirs")) \

@@ -19,7 +19,8 @@ HELD_OUT = "CAST(crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 3 = 1 AS BOOLEA
 
 _ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(),
           "boolean": pa.bool_(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()),
-          "array<double>": pa.list_(pa.float64()), "array<float>": pa.list_(pa.float32()), "array<int>": pa.list_(pa.int32()), "array<string>": pa.list_(pa.string())}
+          "array<double>": pa.list_(pa.float64()), "array<float>": pa.list_(pa.float32()), "array<int>": pa.list_(pa.int32()), "array<string>": pa.list_(pa.string()),
+          "array<array<long>>": pa.list_(pa.list_(pa.int64()))}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -54,9 +54,29 @@ def test_a_repeated_run_has_common_fingerprints_that_cover_it():
             own = [(pick.getrandbits(60), pick.randint(0, 30)) for _ in range(pick.randint(0, 5))] + shared
             own += [(pick.getrandbits(60), pick.randint(0, 30)) for _ in range(pick.randint(0, 5))]
             hashes = [h for h, _ in own]
-            prints, places = lines.fingerprints(hashes, [w for _, w in own])
-            found.append({(f, hashes[p]) for f, p in zip(prints, places, strict=True)})
-        assert {h for _, h in found[0] & found[1]} & {h for h, _ in shared}
+            prints = lines.fingerprints(hashes, [w for _, w in own])
+            found.append({(hashes[p], window) for p, windows in prints.items() for window in windows})
+        assert {h for h, _ in found[0] & found[1]} & {h for h, _ in shared}
+
+
+def test_fewer_fingerprints_than_lines_each_the_least_of_a_window():
+    pick = random.Random(3)
+    hashes, words = [pick.getrandbits(60) for _ in range(2000)], [pick.randint(5, 25) for _ in range(2000)]
+    places = lines.fingerprints(hashes, words)
+    least = {min(range(s, e), key=hashes.__getitem__) for s in range(2000) for e in [next(
+        (e for e in range(s + 1, 2001) if sum(words[s:e]) >= 50), None)] if e}
+    assert least <= set(places) and len(places) < 0.8 * len(hashes)
+
+
+def test_a_common_line_hides_no_run(spark):
+    """All runs share the line of least hash, and the first document with it has another run."""
+    pool = sorted((prose(i, 20) for i in range(12)), key=lambda x: lines.line_hashes(x)[0][0])
+    common, rest = pool[0], pool[1:]
+    first, second = [rest[0], common, rest[1]], [rest[2], common, rest[3]]
+    texts = [[common, rest[4]], first, second, [rest[5], *second], [*first, rest[6]], [rest[7], common]]
+    docs = spark.createDataFrame([(i, "\n".join(t), "en", "a", 0) for i, t in enumerate(texts)], DOCS)
+    runs = {r.doc_id: {i for a, b in r.runs for i in range(a, b)} for r in lines.repeated_runs(docs).collect()}
+    assert runs == {3: {1, 2, 3}, 4: {0, 1, 2}}
 
 
 def test_deleted_lines(spark):
