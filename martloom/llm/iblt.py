@@ -39,6 +39,8 @@ TABLES, ROUNDS, MORE_ROUNDS = 3, 6, 4
 LEAST_CELLS, MOST_CELLS = 8, 1 << 20
 #: Documents in a bucket of ids, and most buckets (their borders are held by the driver).
 BUCKET_ROWS, MOST_BUCKETS = 2000, 65_536
+#: Documents whose sketches are made and peeled in one task: a paragraph becomes nine rows.
+DEALT_ROWS = 1000
 PARAGRAPH = r"[^\n]{1,120}[^\n.!?]{0,120}[.!?]*"
 
 
@@ -217,14 +219,22 @@ def first_try(rows: DataFrame) -> DataFrame:
                              .select("*", "f.*")), ROUNDS)
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Dealt by row to as many parts as documents ask for: the lists are far smaller than
+    what is made of them, so their bytes say too little."""
+    return rows.repartition(max(1, math.ceil(rows.count() / DEALT_ROWS)), "row")
+
+
 def solved_pairs(rows: DataFrame) -> DataFrame:
     """(row, kind, gone, new, left, tries) of pairs that differ, after the larger second try."""
-    dealt = rows.select("row", "own", "edited", "next").repartition("row")
+    dealt = _dealt(rows.select("row", "own", "edited", "next"))
     first = stored(first_try(dealt), "peeled")
-    pairs = dealt.select("row", F.explode(F.array(
-        F.struct(F.lit(0).alias("kind"), F.col("own").alias("left"), F.col("edited").alias("right")),
-        F.struct(F.lit(1).alias("kind"), F.col("own").alias("left"), F.col("next").alias("right")))).alias("p")).select("row", "p.*")
-    failed = pairs.join(first.filter("left > 0").select("row", "kind"), ["row", "kind"], "left_semi")
+    # Joined by row alone, so the lists stay where they are.
+    again = first.filter("left > 0").groupBy("row").agg(F.collect_set("kind").alias("kinds"))
+    both = F.array(*[F.struct(F.lit(kind).alias("kind"), F.col("own").alias("left"), F.col(other).alias("right"))
+                     for kind, other in enumerate(("edited", "next"))])
+    failed = dealt.join(again.hint("merge"), "row").select(
+        "row", F.explode(F.filter(both, lambda p: F.array_contains("kinds", p["kind"]))).alias("p")).select("row", "p.*")
     second = peeled(larger(failed), MORE_ROUNDS)
     return first.filter("left = 0").withColumn("tries", F.lit(1)).unionByName(second.withColumn("tries", F.lit(2)))
 
@@ -237,7 +247,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     only = F.struct(F.size("gone").alias("gone"), F.size("new").alias("new"))
     solved = stored(solved_pairs(rows).groupBy("row").agg(*[
         F.max(F.when((F.col("kind") == k) & (F.col("left") == 0), only)).alias(c) for k, c in ((0, "d_edited"), (1, "d_next"))]), "solved")
-    dealt = rows.repartition("row")
+    dealt = _dealt(rows)
     lists = dealt.select("row", F.explode(F.array(
         F.struct(F.lit(0).alias("version"), F.col("own").alias("digests")),
         F.struct(F.lit(1).alias("version"), F.col("edited").alias("digests")))).alias("v")).select("row", "v.*")
