@@ -29,6 +29,8 @@ SEGMENTS, WIDTH, SEED = 8, 8, 42
 WORD_SEEDS = (42, 43, 44)
 #: Shingles whose bits are added at once.
 CHUNK = 8192
+#: Bits of a parity sketch.
+PARITY = 512
 
 
 def split_words(text: str | None) -> list[bytes]:
@@ -60,20 +62,47 @@ def word_fingerprints(text: str | None) -> list[int]:
     return [majority(words, seed) for seed in WORD_SEEDS]
 
 
+def shingle_set(text: str | None, words: int) -> list[int]:
+    """Sorted hashes of the different shingles, as signed numbers."""
+    return sorted({xxhash.xxh64_intdigest(s, SEED) - (1 << 63) for s in shingles(split_words(text), words)})
+
+
+def parity(hashes: list[int]) -> list[int]:
+    """Each hash of a set flips one of ``PARITY`` bits. Two sketches differ in no more bits
+    than the two sets have elements that the other one lacks."""
+    places = np.array(hashes, dtype=np.int64).astype(np.uint64) % np.uint64(PARITY)
+    odd = np.bincount(places.astype(np.int64), minlength=PARITY) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8").tolist()
+
+
+def may_be_similar(x: str, y: str, similarity: float) -> Column:
+    """False only for sets of a Jaccard similarity s below ``similarity``: the elements that
+    one of two sets lacks are (1 - s) / (1 + s) of the sum of their sizes. ``x`` and ``y`` are
+    prefixes of the columns ``sketch`` and ``size``."""
+    apart = sum((F.bit_count(F.get(f"{x}sketch", i).bitwiseXOR(F.get(f"{y}sketch", i))) for i in range(PARITY // 64)), F.lit(0))
+    return apart * (1 + similarity) <= (1 - similarity) * (F.col(f"{x}size") + F.col(f"{y}size")) + 1e-6
+
+
 def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text", doc_id: str = "doc_id",
-                 by_words: bool = False) -> DataFrame:
-    """(doc_id, text_hash, fp) for every row, and word_fps if asked for."""
+                 similar_words: int | None = None) -> DataFrame:
+    """(doc_id, text_hash, fp) for every row; with ``similar_words`` also word_fps, and the
+    parity sketch and size of the set of shingles of so many words."""
     keyed = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     keyed = keyed.withColumn("text_hash", text_hash())
 
     def make():
         def work(ids, hashes, texts):
             out = [ids, hashes, [fingerprint(t, shingle) for t in texts]]
-            return [*out, [word_fingerprints(t) for t in texts]] if by_words else out
+            if similar_words is None:
+                return out
+            sets = [shingle_set(t, similar_words) for t in texts]
+            return [*out, [word_fingerprints(t) for t in texts], [parity(s) for s in sets], [len(s) for s in sets]]
         return work
 
     fields = [("doc_id", "long"), ("text_hash", "long"), ("fp", "long")]
-    return map_columns(keyed, ["doc_id", "text_hash", "text"], fields + [("word_fps", "array<long>")] * by_words, make)
+    if similar_words is not None:
+        fields += [("word_fps", "array<long>"), ("sketch", "array<long>"), ("size", "long")]
+    return map_columns(keyed, ["doc_id", "text_hash", "text"], fields, make)
 
 
 def quotas(radius: int) -> list[int]:
@@ -132,8 +161,7 @@ def _jaccard_links(docs: DataFrame, candidates: DataFrame, words: int, similarit
 
     def make():
         def work(hashes, values):
-            return hashes, [sorted({xxhash.xxh64_intdigest(s, SEED) - (1 << 63) for s in shingles(split_words(t), words)})
-                            for t in values]
+            return hashes, [shingle_set(t, words) for t in values]
         return work
 
     sets = stored(map_columns(rows, ["text_hash", "text"], [("text_hash", "long"), ("shingles", "array<long>")], make)
@@ -164,20 +192,23 @@ def _ordered_pairs(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("text_hash", "head").alias("a"), F.greatest("text_hash", "head").alias("b")).distinct()
 
 
-def open_pairs(keyed: DataFrame, radius: int) -> DataFrame:
+def open_pairs(keyed: DataFrame, texts: DataFrame, radius: int, similarity: float) -> DataFrame:
     """Distinct pairs (a, b) of ``text_hash`` that meet in a key within ``radius`` bits of
-    their ``word_fp`` and are not in one ``component`` yet. Texts of a key's largest component
-    are met by the others only, so what is linked already costs no comparison."""
+    their ``word_fp``, are not in one ``component`` yet and whose parity sketches allow the
+    similarity. Texts of a key's largest component are met by the others only, so what is
+    linked already costs no comparison."""
     sizes = keyed.groupBy("k", "key", "component").agg(F.count("*").alias("n"))
     mixed = sizes.groupBy("k", "key").agg(F.max_by("component", F.struct("n", "component")).alias("top"),
                                           F.count("*").alias("components")).filter("components > 1").drop("components")
-    mixed = stored(keyed.join(mixed, ["k", "key"]), "open_keys")
-    names = ("text_hash", "word_fp", "component")
+    mixed = keyed.join(mixed, ["k", "key"]).join(texts.select("text_hash", "sketch", "size"), "text_hash")
+    mixed = stored(mixed, "open_keys")
+    names = ("text_hash", "word_fp", "component", "sketch", "size")
     left = mixed.filter("component != top").select("k", "key", *[F.col(c).alias(f"a_{c}") for c in names])
     right = mixed.select("k", "key", "top", *[F.col(c).alias(f"b_{c}") for c in names])
     met = left.join(right, ["k", "key"]).filter(
         "a_component != b_component AND (b_component = top OR a_text_hash < b_text_hash)").filter(
-        chain_holds(F.col("key"), F.col("a_word_fp"), F.col("b_word_fp"), radius))
+        chain_holds(F.col("key"), F.col("a_word_fp"), F.col("b_word_fp"), radius)).filter(
+        may_be_similar("a_", "b_", similarity))
     return met.select(F.least("a_text_hash", "b_text_hash").alias("a"), F.greatest("a_text_hash", "b_text_hash").alias("b")).distinct()
 
 
@@ -189,10 +220,11 @@ def similar_classes(docs: DataFrame, prints: DataFrame, links: DataFrame, radius
     First each text is compared with one head of its keys, the commonest, which links a large
     group of near copies at one comparison a text; then with the heads of its other keys that
     are in another component; then all pairs of a key that are still in different components.
-    So each pair of the keys is either compared or connected. What grows with a square is
+    The last two skip pairs whose parity sketches prove that they are not similar.
+    So each pair of the keys is compared, connected or disproved. What grows with a square is
     only a group whose word fingerprints agree and whose texts do not.
     """
-    texts = stored(prints.groupBy("text_hash").agg(F.min("fp").alias("fp"), F.min("word_fps").alias("word_fps")), "texts")
+    texts = stored(prints.groupBy("text_hash").agg(*[F.min(c).alias(c) for c in ("fp", "word_fps", "sketch", "size")]), "texts")
     keyed = stored(texts.select("text_hash", "fp", F.posexplode("word_fps").alias("k", "word_fp")).withColumn(
         "key", F.explode(chain_keys(F.col("word_fp")))), "text_keys")
 
@@ -206,16 +238,17 @@ def similar_classes(docs: DataFrame, prints: DataFrame, links: DataFrame, radius
     def placed(classes):
         """Texts with the component of their fingerprint."""
         return texts.join(classes.withColumnRenamed("node", "fp"), "fp", "left").select(
-            "text_hash", F.coalesce("component", "fp").alias("component"))
+            "text_hash", F.coalesce("component", "fp").alias("component"), "sketch", "size")
 
     stars = stored(star_pairs(keyed), "star_pairs")
     classes = stored(components(links.union(linked(stored(_ordered_pairs(first_heads(stars)), "first_pairs")))), "star_classes")
     where = stored(placed(classes), "star_places")
-    apart = (stars.join(where.withColumnRenamed("component", "own"), "text_hash")
-             .join(where.select(F.col("text_hash").alias("head"), F.col("component").alias("other")), "head").filter("own != other"))
+    of_head = where.select(F.col("text_hash").alias("head"), *[F.col(c).alias(f"head_{c}") for c in ("component", "sketch", "size")])
+    apart = (stars.join(where, "text_hash").join(of_head, "head").filter("component != head_component")
+             .filter(may_be_similar("", "head_", similarity)))
     classes = stored(merged_classes(classes, linked(stored(_ordered_pairs(apart), "apart_pairs"))), "head_classes")
     whole = keyed.join(classes.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    return merged_classes(classes, linked(stored(open_pairs(whole, radius), "open_pairs")))
+    return merged_classes(classes, linked(stored(open_pairs(whole, texts, radius, similarity), "open_pairs")))
 
 
 def merged_classes(classes: DataFrame, links: DataFrame) -> DataFrame:
@@ -234,7 +267,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, similar:
     """(doc_id, text_hash, fp, component_id, chosen): the smallest doc_id reachable, and
     the text_hash of the row of the component that stays. With ``similar`` (words of a
     shingle, similarity) the links of ``similar_classes`` are added."""
-    prints = stored(fingerprints(docs, shingle, by_words=similar is not None), "fingerprints")
+    prints = stored(fingerprints(docs, shingle, similar_words=similar[0] if similar else None), "fingerprints")
     # A row without an id sorts after every id.
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     groups = stored(prints.groupBy("fp").agg(F.min(order).alias("first")), "fingerprint_groups")

@@ -130,3 +130,19 @@ def test_no_id_is_not_minus_one(spark):
         assert sorted((r.doc_id, r.source) for r in out) == [(-1, "b"), (-1, "c")]
     alone = simhash.drop_near_duplicates(spark.createDataFrame(rows[:1], DOCS)).collect()
     assert [r.doc_id for r in alone] == [None]
+
+
+def test_parity_sketches_never_disprove_a_similar_pair(spark):
+    """Sets of every similarity: those of 0.8 or more always pass, far ones of some hundred
+    elements do not."""
+    pick, rows = random.Random(31), []
+    for _ in range(300):
+        size, lost = pick.randint(1, 400), pick.random() ** 2
+        x = {pick.getrandbits(64) - (1 << 63) for _ in range(size)}
+        y = {v for v in x if pick.random() > lost} | {pick.getrandbits(64) - (1 << 63) for _ in range(int(size * lost * pick.random()))}
+        rows.append((len(x & y) / len(x | y), simhash.parity(sorted(x)), len(x), simhash.parity(sorted(y)), len(y)))
+    rows.append((1.0, simhash.parity([]), 0, simhash.parity([]), 0))
+    pairs = spark.createDataFrame(rows, "s double, a_sketch array<long>, a_size long, b_sketch array<long>, b_size long")
+    out = pairs.select("s", simhash.may_be_similar("a_", "b_", 0.8).alias("passes")).collect()
+    assert all(r.passes for r in out if r.s >= 0.8) and sum(r.s >= 0.8 for r in out) > 30
+    assert sum(r.passes for r in out if r.s < 0.6) < 0.2 * sum(r.s < 0.6 for r in out)
