@@ -311,6 +311,17 @@ def test_versions_meet_by_equi_join(spark):
     assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
+def test_rows_of_both_sides_are_shuffled_once(spark):
+    source = spark.createDataFrame([(1, "b", {"k": 1}), (1, "b", {"k": 1}), (2, "a", None), (None, "c", None)], "id long, v string, tags map<string, int>")
+    landed = source.limit(0).withColumns({
+        "change": F.lit("new"), "load_date": F.lit(DAY), "load_seq": F.lit(0)}).unionByName(spark.createDataFrame(
+            [(1, "a", None, "new", DAY, 0), (1, "b", {"k": 1}, "changed", DAY, 1), (2, "a", None, "gone", DAY, 0), (3, "x", None, "new", DAY, 0)],
+            "id long, v string, tags map<string, int>, change string, load_date date, load_seq int"))
+    changes = sinks.source_changes(source, landed, ["id"])
+    assert rows(changes, "change", "id", "v") == sorted([("gone", 3, None), ("new", 2, "a"), ("new", None, "c")], key=repr)
+    assert plan(changes).count("Exchange") == 1
+
+
 def test_refresh_by_digest_finds_changes_of_any_age(spark, tmp_path):
     lake = str(tmp_path / "lake")
     first, middle, last = dt.date(2023, 5, 3), dt.date(2023, 5, 12), dt.date(2024, 1, 16)
