@@ -112,7 +112,7 @@ def wide_split_dims(spark, sf_dir):
     tables = decompose(stored(src.wide_orders(spark, sf_dir), "wide"), WIDE_SPLIT)
     parts = [
         tables[name].select(
-            F.lit(name).alias("dim"), F.col(WIDE_SPLIT.key(name)).alias("dim_key"),
+            F.lit(name).alias("dim"), F.col(WIDE_SPLIT.text(name)).alias("dim_key"),
             F.col(cols[0]).alias("natural_id"), F.col(cols[1]).alias("name"),
         )
         for name, cols in src.WIDE_DIMS.items()

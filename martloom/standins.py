@@ -191,24 +191,25 @@ def zone_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wide_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The one wide table: order lines with all attributes repeated on each row."""
-    line = table(spark, sf_dir, "lineitem")
-    order = table(spark, sf_dir, "orders")
+    """The one wide table: order lines with all attributes repeated on each row. Amounts are
+    fixed-point and orders have their customers before the lines meet them, so that what is
+    shuffled per line is narrow."""
+    line = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", F.col("l_linenumber").cast("bigint").alias("line_no"),
+        money("l_quantity").alias("qty"), money("l_extendedprice").alias("price"))
     customer = table(spark, sf_dir, "customer").join(
-        table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    part = table(spark, sf_dir, "part")
-    supplier = table(spark, sf_dir, "supplier")
+        table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select(
+            "c_custkey", "c_name", "c_mktsegment", "n_name")
+    order = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("order_date")).join(
+        customer, F.col("o_custkey") == F.col("c_custkey"))
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     return (
-        line.join(order, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
+        line.join(part, F.col("l_partkey") == F.col("p_partkey"))
+        .join(order, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .select(
-            F.col("l_orderkey").alias("order_id"),
-            F.col("o_orderdate").cast("date").alias("order_date"),
-            F.col("l_linenumber").cast("bigint").alias("line_no"),
-            money("l_quantity").alias("qty"),
-            money("l_extendedprice").alias("price"),
+            F.col("l_orderkey").alias("order_id"), "order_date", "line_no", "qty", "price",
             F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("customer_name"),
             F.col("c_mktsegment").alias("customer_segment"), F.col("n_name").alias("customer_country"),
             F.col("p_partkey").alias("dish_id"), F.col("p_name").alias("dish_name"),

@@ -41,3 +41,12 @@ def test_keys_agree_between_runs_and_layouts(spark):
 def test_dimension_and_key(spark):
     out = with_key(dimension(_wide(spark), ["dish_id", "category"]), ["dish_id"], "k")
     assert out.count() == 2 and len({r[0] for r in rows(out, "k")}) == 2
+
+
+def test_fact_refers_to_dimensions_by_short_keys(spark):
+    tables = decompose(_wide(spark), SPEC)
+    for name in SPEC.dims:
+        held = tables[name].select(SPEC.key(name), SPEC.text(name)).collect()
+        assert {bytes(k).hex() for k, _ in held} == {text[:32] for _, text in held} and {len(text) for _, text in held} == {64}
+        assert {bytes(r[0]) for r in tables["fact"].select(SPEC.key(name)).collect()} == {bytes(k) for k, _ in held}
+    assert recompose(tables, SPEC).columns == [*SPEC.dims["user"], *SPEC.dims["dish"], *SPEC.measures]
