@@ -622,7 +622,8 @@ def stream_layers(spark, sf_dir):
         .alias("items"),
     )
     once = as_envelopes(sold, F.col("order_id"), message("order_id", "user_id", "items"), F.col("o_orderdate"), "orders")
-    stage_in_time_order(_twice(once), source)
+    # Their size and their ranges are measured before they are written.
+    stage_in_time_order(_twice(stored(once, "order-messages")), source)
     checkpoint = fresh_path(spark, "checkpoint")
     stream_layer.start_raw(file_stream(spark, source), raw, f"{checkpoint}/raw").awaitTermination()
     job = stream_layer.LineJob(work)

@@ -23,7 +23,7 @@ from pyspark.sql.types import ArrayType, DateType
 from martloom.functions.scalars import stable_key
 from martloom.operators.joins import without_known
 from martloom.operators.ranking import first_per_key
-from martloom.operators.rows import conform, parse_events
+from martloom.operators.rows import conform, with_event
 from martloom.schema import AMOUNT, LONG, TEXT, TS, record
 from martloom.session import entries, remove
 from martloom.sources.sinks import read_or_empty, relayout
@@ -121,14 +121,21 @@ class LineJob:
         """``spark`` is the session that started the stream: that of the micro-batch has
         adaptive execution switched off."""
         work, own = f"{self.folder('work')}/batch_id={batch_id}", (0, batch_id)
-        batch.write.mode("overwrite").parquet(work)
-        good, bad = parse_events(spark.read.schema(batch.schema).parquet(work), ORDER)
+        # Parsed once, for the three readers below. Of a message that fits, the text goes.
+        parsed = with_event(batch, ORDER)
+        parsed = parsed.withColumn("value", F.when(F.col("event").isNull(), F.col("value")))
+        parsed.write.mode("overwrite").parquet(work)
+        parsed = spark.read.schema(parsed.schema).parquet(work)
+        bad = parsed.filter("event IS NULL").select(*batch.columns)
         bad.write.mode("overwrite").parquet(f"{self.folder('rejects')}/batch_id={batch_id}")
-        lines = order_lines(good)
+        lines = order_lines(parsed.filter("event IS NOT NULL"))
         # A few months of the calendar.
         near = [r[0] for r in near_months(lines, self.lookback_days).collect()]
         known = self.lines(spark, near, but=own)
-        new = without_known(first_per_key(lines, ["line_key"], ["timestamp", "user_id"]), known, ["line_key"])
+        # A line's key is never null: joined by plain equality, both sides stay where they
+        # were grouped by it.
+        new = first_per_key(lines, ["line_key"], ["timestamp", "user_id"]).join(
+            known.select("line_key").distinct(), "line_key", "left_anti")
         numbered = new.withColumns({"level": F.lit(0).cast("long"), "upto": F.lit(batch_id).cast("long")})
         relayout(numbered.select(*STORED_LINE.names), self.folder("lines"), ["month", "level", "upto"])
         written = self._read(spark, [(m, own) for m in near if own in self.folders(spark, m)])
