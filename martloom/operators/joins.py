@@ -191,7 +191,8 @@ def nearest_zone(points: DataFrame, point_key: str, centres: DataFrame, decimals
         return points.select(point_key, F.lit(None).cast(centres.schema["zone_id"].dataType).alias("zone_id"),
                              F.lit(None).cast("double").alias("distance_km"))
     levels = sorted(used)
-    placed = points.select(point_key, "lat", "lon", cell_path(F.col("lat"), F.col("lon")).alias("_path"))
+    has_place = F.col("lat").isNotNull() & F.col("lon").isNotNull()  # least() passes over nulls
+    placed = points.select(point_key, "lat", "lon", F.when(has_place, cell_path(F.col("lat"), F.col("lon"))).alias("_path"))
     inside = placed.filter("_path IS NOT NULL").select(
         point_key, "lat", "lon", F.explode(F.array(*[F.substring("_path", 1, n) for n in levels])).alias("_cell"))
     found = inside.join(cells, "_cell").select(point_key, nearest.alias("best"))
