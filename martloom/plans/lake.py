@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from martloom.functions.scalars import month_start, week_start
-from martloom.operators.joins import block_join, without_known
+from martloom.operators.joins import block_join
 from martloom.session import stored
 
 
@@ -135,6 +135,7 @@ def shared_community_pairs(members: DataFrame, min_weight: int | DataFrame) -> D
     pairs = (
         pair(meet(head, head).filter("user_id < other_id"))
         .unionAll(pair(meet(head, tail).filter("user_id <> other_id")))
+        .repartition("a", "b")  # of which what follows by pair has use as well
         .groupBy("zone_id", "a", "b")
         .agg((F.count(F.lit(1)) + F.max("n_tails")).alias("shared"), (F.sum("w") + F.max("w_tails")).alias("weight"))
     )
@@ -144,4 +145,6 @@ def shared_community_pairs(members: DataFrame, min_weight: int | DataFrame) -> D
 def friend_recommendations(members: DataFrame, contacts: DataFrame, min_weight: int | DataFrame) -> DataFrame:
     """Pairs of one zone with enough shared communities and no contact so far (common
     neighbours weighed by their size: Adamic & Adar, Social Networks 2003)."""
-    return without_known(shared_community_pairs(members, min_weight), contacts, ["a", "b"])
+    # No end of a pair is null: joined by plain equality, pairs stay where they were summed.
+    return shared_community_pairs(members, min_weight).join(contacts.select("a", "b").distinct(), ["a", "b"], "left_anti").select(
+        "zone_id", "a", "b", "shared", "weight")

@@ -251,3 +251,17 @@ def test_threshold_follows_the_size_of_the_zone(spark):
     # Nobody shares anything: no threshold to fall below.
     alone = spark.createDataFrame([(1, 1, 1), (1, 2, 2)], "zone_id long, user_id long, group_id long")
     assert rows(lake.zone_thresholds(alone, 3)) == [(1, 1)]
+
+
+def test_pairs_stay_where_they_are_summed_up(spark):
+    members = spark.createDataFrame([(1, u, g) for u in range(4) for g in range(2)], "zone_id long, user_id long, group_id long")
+    contacts = spark.createDataFrame([(0, 1)], "a long, b long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = lake.friend_recommendations(members, contacts, 1)
+        joins = plan(out).split("LeftAnti", 1)[1]
+        before_sums = joins.split("HashAggregate", 1)[0]
+        assert "Exchange" not in before_sums and "(0, 1)" not in str([(r["a"], r["b"]) for r in out.collect()])
+        assert out.columns == ["zone_id", "a", "b", "shared", "weight"] and out.count() == 5
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
