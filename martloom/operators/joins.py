@@ -82,6 +82,21 @@ def block_join(left: DataFrame, right: DataFrame, group: list[str], left_id: str
     return a.join(b, [*group, "_i", "_j"]).drop("_i", "_j")
 
 
+def block_pairs(df: DataFrame, group: list[str], row_id: str, block_rows: int = 2000) -> DataFrame:
+    """Every unordered pair of rows of one ``group`` with different ids, once: ``block_join``
+    of a table with itself. Of two blocks only one order is made. The columns of the second
+    row, but for ``group``, are called ``other_...``; rows without an id have no pair."""
+    blocks = df.groupBy(*group).agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("_n"))
+    rest = [c for c in df.columns if c not in group]
+    own = F.pmod(F.xxhash64(row_id), F.col("_n").cast("bigint")).cast("int")
+    placed = df.join(blocks, group)
+    a = placed.select(*group, own.alias("_i"), F.explode(F.sequence(own, F.col("_n") - 1)).alias("_j"), *rest)
+    b = placed.select(*group, own.alias("_j"), F.explode(F.sequence(F.lit(0), own)).alias("_i"),
+                      *[F.col(c).alias(f"other_{c}") for c in rest])
+    once = (F.col("_i") < F.col("_j")) & (F.col(row_id) != F.col(f"other_{row_id}")) | (F.col(row_id) < F.col(f"other_{row_id}"))
+    return a.join(b, [*group, "_i", "_j"]).filter(once).drop("_i", "_j")
+
+
 #: A cell with at most so many candidate centres is not cut further, nor is one of the
 #: last level (a world of 2^LEVELS by 2^LEVELS cells, two metres by one at the equator).
 LEAF, LEVELS = 32, 24

@@ -52,6 +52,16 @@ def test_block_join_equals_plain_join_whatever_the_block_size(spark):
         assert sorted(tuple(r) for r in J.block_join(a, b, ["g"], "i", "j", block_rows).select("g", "i", "j").collect()) == expected
 
 
+def test_block_pairs_are_the_pairs_of_a_group_once(spark):
+    rng = random.Random(2)
+    data = [(i, 7 if rng.random() < 0.4 else rng.randrange(20)) for i in range(150)]
+    df = spark.createDataFrame([*data, (None, 7)], "i long, g long")
+    expected = sorted((g, i, j) for i, g in data for j, h in data if g == h and i < j)
+    for block_rows in (5, 33, 2000):
+        got = [(r.g, min(r.i, r.other_i), max(r.i, r.other_i)) for r in J.block_pairs(df, ["g"], "i", block_rows).collect()]
+        assert sorted(got) == expected
+
+
 def test_block_join_cuts_a_hot_group(spark):
     hot = spark.range(1000).select(F.col("id").alias("i"), F.lit(1).alias("g"))
     other = hot.withColumnRenamed("i", "j")

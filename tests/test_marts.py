@@ -265,3 +265,57 @@ def test_pairs_stay_where_they_are_summed_up(spark):
         assert out.columns == ["zone_id", "a", "b", "shared", "weight"] and out.count() == 5
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _members(seed, users=90, groups=25):
+    rng = random.Random(seed)
+    members = {(u % 2, u, 7) for u in range(users)}
+    members |= {(u % 2, u, rng.randrange(groups)) for u in range(users) for _ in range(rng.randrange(12))}
+    return sorted(members)
+
+
+@pytest.mark.parametrize("long_list", [0, 4, 1000])
+def test_pairs_of_long_and_short_lists_equal_brute_force(spark, long_list):
+    members = _members(long_list)
+    df = spark.createDataFrame([*members, (1, None, 7), (None, 5, 7), (1, 5, None)], "zone_id int, user_id long, group_id long")
+    for least in (60_000, 250_000):
+        got = rows(lake.shared_community_pairs(df, least, long_list), "zone_id", "a", "b", "shared", "weight")
+        # The extra rows: one member more of community 7 in zone 1, who meets nobody.
+        sizes = {}
+        for z, _, g in [*members, (1, None, 7)]:
+            sizes[z, g] = sizes.get((z, g), 0) + 1
+        of = {}
+        for z, u, g in members:
+            of.setdefault((z, u), set()).add(g)
+        expected = []
+        for (z, u), (y, v) in itertools.combinations(sorted(of), 2):
+            both = of[z, u] & of[y, v] if z == y else set()
+            weight = sum(lake.UNIT // sizes[z, g] for g in both)
+            if weight >= least:
+                expected.append((z, u, v, len(both), weight))
+        assert sorted(got) == expected and expected
+
+
+@pytest.mark.parametrize("long_list", [0, 1000])
+def test_repeated_members_meet_as_often(spark, long_list):
+    """User 1 twice in all: two copies meet one, as long as one of the two does not leave it out."""
+    members = [(0, 1, g) for g in (5, 6)] * 2 + [(0, u, g) for u in (2, 3) for g in (5, 6)]
+    df = spark.createDataFrame(members, "zone_id int, user_id long, group_id long")
+    got = rows(lake.shared_community_pairs(df, 1, long_list), "a", "b", "shared", "weight")
+    assert got == [(1, 2, 4, 1_000_000), (1, 3, 4, 1_000_000), (2, 3, 2, 500_000)]
+    # User 1 leaves out both copies of one, users 2 and 3 one of their own.
+    got = rows(lake.shared_community_pairs(df, 500_001, long_list), "a", "b", "shared", "weight")
+    assert got == [(1, 2, 3, 750_000), (1, 3, 3, 750_000)]
+
+
+def test_only_pairs_of_the_result_are_shuffled(spark, monkeypatch):
+    df = spark.createDataFrame(_members(3), "zone_id int, user_id long, group_id long")
+    dealt, repartition = [], type(df).repartition
+
+    def seen(self, *args):
+        dealt.append(self)
+        return repartition(self, *args)
+
+    monkeypatch.setattr(type(df), "repartition", seen)
+    out = lake.shared_community_pairs(df, 250_000)
+    assert [d.count() for d in dealt] == [out.count()] and out.count() > 20
