@@ -21,6 +21,81 @@ def with_dimensions(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame
     return fact
 
 
+#: A fact of fewer rows than twice this is joined dimension by dimension.
+ROWS_A_TASK = 100_000
+
+
+def shares(sizes: Mapping[str, int], most: int, copies: int) -> dict[str, int]:
+    """Into how many parts each dimension is cut, its share of at most ``most`` cells, so
+    that no more than ``copies`` rows of dimensions are sent. The one of which most is sent
+    is cut next."""
+    parts = dict.fromkeys(sizes, 1)
+    while True:
+        for key in sorted(parts, key=lambda k: sizes[k] / parts[k], reverse=True):
+            grown = {**parts, key: parts[key] + 1}
+            cells = math.prod(grown.values())
+            if cells <= most and sum(sizes[k] * cells // grown[k] for k in grown) <= copies:
+                parts = grown
+                break
+        else:
+            return parts
+
+
+def _broadcastable(df: DataFrame) -> bool:
+    """Whether Spark will broadcast ``df`` by its size."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
+
+
+def star_join(fact: DataFrame, dims: Mapping[str, DataFrame], rows_a_task: int = ROWS_A_TASK) -> DataFrame:
+    """``with_dimensions`` with one shuffle of the fact for all dimensions (Afrati & Ullman,
+    Optimizing Joins in a Map-Reduce Environment, EDBT 2010).
+
+    Each dimension is cut into parts by hash of its key, and a cell is one part of each. A
+    fact row belongs to one cell, a dimension row to all cells of its part. A cell with more
+    rows than twice the mean, where a key is hot, is dealt to several tasks, each of which
+    gets the cell's dimension rows. Cells are so few that what is sent of dimensions is at
+    most half as many rows as the fact has; the fact is not sorted. Dimensions that are too
+    large for that are joined one by one, and so are those that Spark broadcasts.
+    """
+    spark = fact.sparkSession
+    n_rows = fact.count()
+    most = min(int(spark.conf.get("spark.sql.shuffle.partitions")), n_rows // rows_a_task)
+    if most < 2:
+        return with_dimensions(fact, dims)
+    every = {key: stored(dim, "dimension") for key, dim in dims.items()}
+    small = {key: dim for key, dim in every.items() if _broadcastable(dim)}
+    dims = {key: dim for key, dim in every.items() if key not in small}
+    parts = shares({key: dim.count() for key, dim in dims.items()}, most, n_rows // 2)
+    cells = math.prod(parts.values())
+    if len(dims) < 2 or cells < 2:
+        return with_dimensions(fact, {**dims, **small})
+
+    def part(key: str) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(parts[key])).cast("int")
+
+    strides, cell = {}, F.lit(0)
+    for key in dims:
+        strides[key] = math.prod(parts[k] for k in strides)
+        cell = cell + part(key) * strides[key]
+    placed = fact.withColumn("_cell", cell)
+    # At most one row per cell.
+    held = dict(placed.groupBy("_cell").agg(F.count(F.lit(1))).collect())
+    tasks, n_tasks = {}, 0
+    for c in range(cells):
+        split = max(1, math.ceil(held.get(c, 0) * cells / (2 * n_rows)))
+        tasks[c], n_tasks = range(n_tasks, n_tasks + split), n_tasks + split
+    first, split = (F.array(*[F.lit(f(tasks[c])) for c in range(cells)]) for f in (min, len))
+    turn = F.pmod(F.monotonically_increasing_id(), F.get(split, F.col("_cell"))).cast("int")
+    out = placed.withColumn("_task", F.get(first, F.col("_cell")) + turn).drop("_cell").repartitionById(n_tasks, F.col("_task"))
+    for key, dim in dims.items():
+        of_part = F.array(*[F.array(*[F.lit(t) for c in range(cells) if c // strides[key] % parts[key] == p for t in tasks[c]])
+                            for p in range(parts[key])])
+        sent = dim.select(F.explode(F.get(of_part, part(key))).alias("_task"), *dim.columns)
+        out = out.join(sent.repartitionById(n_tasks, F.col("_task")).hint("shuffle_hash"), ["_task", key])
+    return with_dimensions(out.drop("_task"), small)
+
+
 def keep_all(left: DataFrame, right: DataFrame, keys: list[str], defaults: Mapping[str, object]) -> DataFrame:
     """Left outer join; the named columns get a default where nothing matched."""
     joined = left.join(right, keys, "left")

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from martloom.functions.scalars import stable_key
+from martloom.operators.joins import star_join
 
 
 @dataclass(frozen=True)
@@ -66,10 +67,8 @@ def decompose(wide: DataFrame, spec: SplitSpec) -> dict[str, DataFrame]:
 
 
 def recompose(tables: Mapping[str, DataFrame], spec: SplitSpec) -> DataFrame:
-    """The wide table again, by joining every dimension to the fact in the order of the
-    spec. Name the smallest last: Spark then knows its size before the fact is shuffled for
-    it."""
-    wide = tables[spec.fact]
-    for name in spec.dims:
-        wide = wide.join(tables[name].drop(spec.text(name)), spec.key(name), "inner").drop(spec.key(name))
-    return wide.select(*[c for cols in spec.dims.values() for c in cols], *spec.measures)
+    """The wide table again, by joining every dimension to the fact. Where they are joined
+    one by one, that is in the order of the spec: name the smallest last, Spark then knows its
+    size before the fact is shuffled for it."""
+    dims = {spec.key(name): tables[name].drop(spec.text(name)) for name in spec.dims}
+    return star_join(tables[spec.fact], dims).select(*[c for cols in spec.dims.values() for c in cols], *spec.measures)

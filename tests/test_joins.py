@@ -41,6 +41,39 @@ def test_dimensions_join(spark):
     assert rows(J.with_dimensions(fact, {"a_sk": a, "b_sk": b}), "a", "b", "n") == [("ax", "bq", 2), ("ax", "by", 1)]
 
 
+def test_star_join_equals_joins_one_by_one(spark):
+    """A third of the rows have one key in both dimensions; some keys are unknown, some null, some twice."""
+    rng = random.Random(7)
+    keys = [(1, 1) if rng.random() < 0.33 else (rng.randrange(60), rng.choice([None, *range(40)])) for _ in range(900)]
+    fact = spark.createDataFrame([(a, b, i % 200) for i, (a, b) in enumerate(keys)], "a_sk long, b_sk long, n long")
+    a = spark.createDataFrame([(k, f"a{k}") for k in range(50)] + [(5, "again")], "a_sk long, a string")
+    b = spark.createDataFrame([(k, f"b{k}") for k in range(5, 45)] + [(1, "b1"), (None, "none")], "b_sk long, b string")
+    dims = {"a_sk": a, "b_sk": b}
+    cols = ["a_sk", "b_sk", "n", "a", "b"]
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    assert "BroadcastHashJoin" in plan(J.star_join(fact, dims, 50)) and rows(J.star_join(fact, dims, 50), *cols) == rows(J.with_dimensions(fact, dims), *cols)
+    spark.conf.set(limit, "-1")
+    try:
+        for rows_a_task in (50, 200, 100_000):
+            assert rows(J.star_join(fact, dims, rows_a_task), *cols) == rows(J.with_dimensions(fact, dims), *cols)
+        empty = {"a_sk": a, "b_sk": b.filter("false")}
+        assert rows(J.star_join(fact, empty, 50), *cols) == rows(J.star_join(fact.filter("false"), dims, 50), *cols) == []
+        out = J.star_join(fact, dims, 200)
+        sizes = out.groupBy(F.spark_partition_id()).count().collect()
+        assert plan(out).count("Exchange") == 3 and max(r["count"] for r in sizes) < 0.6 * out.count()
+    finally:
+        spark.conf.set(limit, before)
+
+
+def test_shares_of_dimensions():
+    assert math.prod(J.shares({"a": 5_400, "b": 7_200, "c": 360}, 48, 10**9).values()) in range(36, 49)
+    parts = J.shares({"a": 5_400, "b": 7_200, "c": 360}, 10_000, 108_000)
+    cells = math.prod(parts.values())
+    assert 54_000 < sum(n * cells // parts[k] for k, n in {"a": 5_400, "b": 7_200, "c": 360}.items()) <= 108_000
+    assert J.shares({"a": 100, "b": 100}, 48, 250) == {"a": 1, "b": 1}
+
+
 def test_block_join_equals_plain_join_whatever_the_block_size(spark):
     rng = random.Random(1)
     left = [(i, 7 if rng.random() < 0.4 else rng.randrange(20)) for i in range(200)]

@@ -1,6 +1,9 @@
-from conftest import rows
+from pyspark.sql import functions as F
+
+from conftest import plan, rows
 from martloom.operators.modelling import SplitSpec, decompose, dimension, recompose, with_key
 from martloom.operators.quality import bag_difference
+from martloom.session import stored
 
 SPEC = SplitSpec(
     dims={"user": ["user_id", "user_name"], "dish": ["dish_id", "dish_name", "category"]},
@@ -50,3 +53,19 @@ def test_fact_refers_to_dimensions_by_short_keys(spark):
         assert {bytes(k).hex() for k, _ in held} == {text[:32] for _, text in held} and {len(text) for _, text in held} == {64}
         assert {bytes(r[0]) for r in tables["fact"].select(SPEC.key(name)).collect()} == {bytes(k) for k, _ in held}
     assert recompose(tables, SPEC).columns == [*SPEC.dims["user"], *SPEC.dims["dish"], *SPEC.measures]
+
+
+def test_the_fact_is_shuffled_once_for_all_dimensions(spark):
+    wide = stored(spark.range(300_000).select(
+        F.col("id").alias("order_id"), (F.col("id") % 500).alias("user_id"), F.concat(F.lit("u"), F.col("id") % 500).alias("user_name"),
+        F.when(F.col("id") % 3 > 0, F.col("id") % 300).alias("dish_id"), F.lit("dish").alias("dish_name"), F.lit(None).cast("string").alias("category"),
+        (F.col("id") % 7).alias("price"), F.lit(1).alias("qty")), "wide")
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        rebuilt = recompose(decompose(wide, SPEC), SPEC)
+        assert plan(rebuilt).count("Exchange") == 1 + len(SPEC.dims)
+        assert rows(bag_difference(wide.select(*rebuilt.columns), rebuilt)) == []
+    finally:
+        spark.conf.set(limit, before)
